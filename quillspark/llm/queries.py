@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quillspark.llm import bpe, fingerprints
+from quillspark.llm import bpe, fingerprints, packing
 
 QUERIES = {
     "op5_bpe_codec": bpe.op5_bpe_codec,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op10_simhash_near_dedup": fingerprints.op10_simhash_near_dedup,
 }
 
