@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quillspark.llm import bpe, fingerprints, packing
+from quillspark.llm import bpe, fingerprints, packing, simhash
 
 QUERIES = {
+    "op4_document_fingerprints": simhash.op4_document_fingerprints,
     "op5_bpe_codec": bpe.op5_bpe_codec,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op10_simhash_near_dedup": fingerprints.op10_simhash_near_dedup,
