@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quillspark.llm import bpe, fingerprints, langid, packing, simhash
+from quillspark.llm import bpe, fingerprints, langid, packing, simhash, vectors
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op4_document_fingerprints": simhash.op4_document_fingerprints,
     "op5_bpe_codec": bpe.op5_bpe_codec,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op8_embedding_near_dedup": vectors.op8_embedding_near_dedup,
     "op10_simhash_near_dedup": fingerprints.op10_simhash_near_dedup,
 }
 
