@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quillspark.llm import bpe, fingerprints, langid, packing, simhash, vectors
+from quillspark.llm import bpe, fingerprints, langid, packing, simhash, substrings, vectors
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op2_suffix_array_dedup": substrings.op2_suffix_array_dedup,
     "op4_document_fingerprints": simhash.op4_document_fingerprints,
     "op5_bpe_codec": bpe.op5_bpe_codec,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
