@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import os
 import random
+import string
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,22 @@ CAPACITY, END_ID = 4096, 1
 #: Pieces in a block, islands in a block, packings on an island, generations, share of bins that go on.
 BLOCK, ISLANDS, POPULATION, GENERATIONS, GO_ON = 2000, 2, 3, 6, 0.06
 #: Words whose ids a worker remembers, and characters of a word that is worth it.
-CACHE_WORDS, CACHE_CHARS = 600_000, 40
+CACHE_WORDS, CACHE_CHARS = 800_000, 40
 SEPARATOR = "|"
+SIGNS = string.punctuation
+LATIN = {chr(i) for i in range(256)}
+
+
+def _as_bytes() -> dict[int, str]:
+    """Letters from U+0080 to U+00FF as the byte-level alphabet writes their UTF-8 bytes."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    shown = {b: chr(b) for b in plain}
+    for n, b in enumerate(b for b in range(256) if b not in shown):
+        shown[b] = chr(256 + n)
+    return {i: "".join(shown[b] for b in chr(i).encode()) for i in range(128, 256)}
+
+
+AS_BYTES = _as_bytes()
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -43,6 +59,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
         self.separator = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {"": b""}
 
     @classmethod
@@ -75,19 +92,46 @@ class WordEncoder:
                 got[w] = np.array(e.ids, "<u4").tobytes()
         return got
 
+    def compose(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of unknown words: Latin letters with ASCII signs after them from their parts, others by learn().
+
+        Such letters are one match of the split pattern and the signs another, whatever the case, so each
+        stem goes to the model once, without the normaliser.
+        """
+        known, model, rest, got, signs = self.known, self.model, [], {}, {}
+        for w in words:
+            stem = w.rstrip(SIGNS)
+            if not stem.isalpha() or not (stem.isascii() or LATIN.issuperset(stem)) or len(w) > CACHE_CHARS:
+                rest.append(w)
+                continue
+            low = stem.lower()
+            ids = known.get(low)
+            if ids is None:
+                ids = known[low] = array("I", [t.id for t in model.tokenize(low if low.isascii() else low.translate(AS_BYTES))]).tobytes()
+            if len(stem) < len(w):
+                tail = w[len(stem) :]
+                if tail not in known and tail not in signs:
+                    signs.update(self.learn([tail]))
+                ids += known[tail] if tail in known else signs[tail]
+            got[w] = ids
+        known.update(signs)
+        return got | self.learn(rest)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = self.learn(list(set().union(*split) - known.keys())) if split else {}
-        for w, ids in new.items():
-            if len(w) <= CACHE_CHARS:
-                known[w] = ids
-        look = known if all(len(w) <= CACHE_CHARS for w in new) else {**known, **new}
-        out = [b"".join(map(look.__getitem__, words)) for words in split]
-        if len(known) > CACHE_WORDS:
-            known.clear()
-            known[""] = b""
+        known, out = self.known, []
+        for text in texts:
+            words = text.replace("\n", " ").split(" ")
+            ids = list(map(known.get, words))
+            try:
+                out.append(b"".join(ids))
+            except TypeError:  # None: words that are new
+                new = self.compose(list({w for w, i in zip(words, ids) if i is None}))
+                out.append(b"".join([new[w] if i is None else i for w, i in zip(words, ids)]))
+                known.update((w, i) for w, i in new.items() if len(w) <= CACHE_CHARS)
+            if len(known) > CACHE_WORDS:
+                known.clear()
+                known[""] = b""
         return out
 
 
