@@ -196,6 +196,24 @@ def near_components(fps: DataFrame, crowd: int | None = None) -> DataFrame:
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that are the first of their near-duplicate component, by doc_id and a hash of the text.
+
+    Rows that repeat id and text count as one, and one of them stays.
+    """
+    common.bounded_batches(docs.sparkSession)
+    uid = F.xxhash64("doc_id", "text")
+    texts = docs.select(uid.alias("doc_id"), "text")
+    fps = common.cut(fingerprints(texts).withColumnRenamed("doc_id", "uid"), "uids")
+    groups = near_components(fps.select(F.col("uid").alias("doc_id"), "fp")).select(F.col("doc_id").alias("uid"), "component_id").distinct()
+    ids = docs.select(uid.alias("uid"), "doc_id").distinct()
+    first = groups.join(ids, "uid").groupBy("component_id").agg(F.min(F.struct("doc_id", "uid")).alias("x"))
+    rows = docs.withColumn("__uid", uid).join(first.select(F.col("x.uid").alias("__uid")), "__uid", "left_semi")
+    if docs.groupBy(uid).count().where("count > 1").limit(1).count():
+        rows = rows.dropDuplicates(["__uid"])
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_components(fingerprints(common.documents(spark, sf_dir)))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

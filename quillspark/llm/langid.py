@@ -226,6 +226,18 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(work, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``docs``; ``lang`` becomes the predicted language, and texts without one go."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("string")
+    def language(text: pa.Array) -> pa.Array:
+        return pa.array([x[0] for x in shared.value.predict(text.to_pylist())], pa.string())
+
+    rows = docs.withColumn("__lang", language("text")).where(F.col("__lang") != UNKNOWN)
+    return rows.select(*[F.col("__lang").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     return predict(docs, fit(docs))
