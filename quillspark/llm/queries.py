@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillspark.llm import bpe, fingerprints, langid, lines, packing, secrets, simhash, substrings, vectors
+from quillspark.llm import bpe, fingerprints, langid, lines, packing, passages, secrets, simhash, substrings, vectors
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_secret_scan": secrets.op7_secret_scan,
     "op8_embedding_near_dedup": vectors.op8_embedding_near_dedup,
+    "op9_substring_near_dedup": passages.op9_substring_near_dedup,
     "op10_simhash_near_dedup": fingerprints.op10_simhash_near_dedup,
 }
 
