@@ -85,7 +85,7 @@ def image_ranges(toc: DataFrame, pdfs: DataFrame) -> DataFrame:
     counts = toc.groupBy("folder").agg(F.count("*").alias("n_rows"))
     rows = rows.join(facts, "folder").join(counts, "folder").withColumn("simple", F.col("n_files") - 1 == F.col("n_rows"))
     rows = rows.join(files.select("folder", "_k", F.col("img_start").alias("own_start"), F.col("img_end").alias("own_end")), ["folder", "_k"], "left")
-    img = lambda p: F.when(p >= 1, F.col("first_img") + p - 1).otherwise(-1)
+    img = lambda p: F.coalesce(F.when(p >= 1, F.col("first_img") + p - 1), F.lit(-1))
     after = Window.partitionBy("folder").orderBy("row_idx")
     page, following, has_next = numeric("page"), F.lead(numeric("page")).over(after), F.lead("row_idx").over(after).isNotNull()
     start = F.when(F.col("simple"), F.col("own_start")).when(page.isNull(), -1).otherwise(img(page))

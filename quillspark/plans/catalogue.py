@@ -1,6 +1,504 @@
-"""Registered queries of the library's own operators, and the SQL that each must agree with."""
+"""Registered queries of the library's own operators, and the SQL that each must agree with.
+
+Every query runs its operator over a whole table. Where the tables lack what an operator works on (control
+characters, size marks, page breaks), the query derives it from the rows, and the SQL does the same.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from quillspark.functions import markup, normalize, ordering
+from quillspark.operators import joins, segments, structure
+from quillspark.session import ship
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+SPACED = "regexp_replace(regexp_replace(regexp_replace(regexp_replace({x}, '\\n{{2,}}', chr(10), 'g'), '[ ]+\\n', chr(10), 'g'), '\\n[ ]+', chr(10), 'g'), ' {{2,}}', ' ', 'g')"
+
+
+@query(f"""
+WITH lines AS (SELECT doc_id, lang, unnest(string_split(replace(text, '. ', '.   '), chr(10))) AS line FROM documents),
+tidy AS (SELECT doc_id, lang, {SPACED.format(x='line')} AS line FROM lines),
+docs AS (SELECT doc_id, lang, count(*) AS n, sum(length(line)) + count(*) - 1 AS chars FROM tidy GROUP BY doc_id, lang)
+SELECT lang, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_lines, CAST(sum(chars) AS BIGINT) AS n_chars FROM docs GROUP BY lang""")
+def q_corpus_profile(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    lines = F.transform(F.split(F.replace("text", F.lit(". "), F.lit(".   ")), "\n", -1), lambda x: normalize.tidy_spaces(x, tibetan=False))
+    rows = docs.select("lang", F.size(lines).alias("n"), F.length(F.array_join(lines, "\n")).alias("chars"))
+    return rows.groupBy("lang").agg(F.count("*").alias("n_docs"), F.sum("n").cast("long").alias("n_lines"), F.sum("chars").cast("long").alias("n_chars"))
+
+
+@query(f"SELECT doc_id, {SPACED.format(x='''replace(replace(text, '. ', '.  '), chr(10), '  ' || chr(10) || chr(10) || ' ')''')} AS text FROM documents")
+def q_space_normalise(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    noisy = F.replace(F.replace("text", F.lit(". "), F.lit(".  ")), F.lit("\n"), F.lit("  \n\n "))
+    return docs.select("doc_id", normalize.tidy_spaces(noisy).alias("text"))
+
+
+@query("SELECT doc_id, nfc_normalize(replace(text, 'e', 'e' || chr(769))) AS text FROM documents")
+def q_nfc(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", normalize.nfc(F.replace("text", F.lit("e"), F.lit("é"))).alias("text"))
+
+
+@query(r"SELECT doc_id, replace(regexp_replace(replace(replace(text, 'a', 'a' || chr(8205)), chr(10), chr(9246)), '\p{C}', '', 'g'), chr(9246), chr(10)) AS text FROM documents")
+def q_control_strip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", normalize.drop_controls(F.replace("text", F.lit("a"), F.lit("a‍"))).alias("text"))
+
+
+@query(r"SELECT doc_id, translate(replace(replace(replace(replace(replace(text, chr(10), chr(13) || chr(10)), '. ', '.' || chr(8203) || chr(160)), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(8203), ''), chr(160), ' ') AS text FROM documents")
+def q_line_breaks_and_spaces(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    noisy = F.replace(F.replace("text", F.lit("\n"), F.lit("\r\n")), F.lit(". "), F.lit(".​ "))
+    return docs.select("doc_id", normalize.plain_spaces(normalize.drop_invisible(normalize.line_breaks(noisy))).alias("text"))
+
+
+@query("""SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS three,
+replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&apos;') AS five FROM documents""")
+def q_xml_escape(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", markup.escape_xml(F.col("text")).alias("three"), markup.escape_xml(F.col("text"), quotes=True).alias("five"))
+
+
+@query("SELECT page_id, regexp_replace(html, '<[^>]+>', '', 'g') AS text FROM pages")
+def q_tag_strip(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", markup.strip_tags(F.col("html")).alias("text"))
+
+
+@query(r"""SELECT page_id, NOT regexp_matches(regexp_replace(CASE WHEN page_id % 3 = 0 THEN regexp_replace(html, '>[^<]+', '> ', 'g') ELSE html END, '<[^>]+>', '', 'g'), '\S') AS blank FROM pages""")
+def q_blank_pages(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    emptied = F.when(F.col("page_id") % 3 == 0, F.regexp_replace("html", ">[^<]+", "> ")).otherwise(F.col("html"))
+    return pages.select("page_id", markup.is_blank_page(emptied).alias("blank"))
+
+
+@query("""SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INT) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents""")
+def q_line_explode(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+
+
+@query("""WITH l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line FROM documents)
+SELECT doc_id, string_agg(upper(left(line, 1)) || substr(line, 2), chr(10) ORDER BY i) AS text FROM l GROUP BY doc_id""")
+def q_reassemble(spark, sf_dir):
+    lines = F.transform(F.split("text", "\n", -1), lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.substring(x, 2, 2**30)))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(lines, "\n").alias("text"))
+
+
+@query("""WITH t AS (SELECT unnest(regexp_extract_all(html, '<([a-z0-9]+)', 1)) AS tag, page_id FROM pages)
+SELECT tag, count(*) AS n, min(page_id) AS first_page, max(page_id) AS last_page FROM t GROUP BY tag""")
+def q_tag_histogram(spark, sf_dir):
+    tags = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<([a-z0-9]+)"), F.lit(1))).alias("tag"))
+    return tags.groupBy("tag").agg(F.count("*").alias("n"), F.min("page_id").alias("first_page"), F.max("page_id").alias("last_page"))
+
+
+TIB = "".join(map(chr, range(0x0F20, 0x0F2A)))
+
+
+@query(f"SELECT o_orderkey, translate(CAST(o_orderkey AS VARCHAR), '0123456789', '{TIB}') AS tibetan, CAST(translate(translate(CAST(o_orderkey AS VARCHAR), '0123456789', '{TIB}'), '{TIB}', '0123456789') AS BIGINT) AS back FROM orders")
+def q_digit_translate(spark, sf_dir):
+    key = F.col("o_orderkey").cast("string")
+    return table(spark, sf_dir, "orders").select("o_orderkey", markup.tibetan_digits(key).alias("tibetan"), markup.arabic_digits(markup.tibetan_digits(key)).cast("long").alias("back"))
+
+
+SETS = "SELECT l_orderkey, array_to_string(list_sort(list_distinct(list(l_linenumber))), '-') AS profile_key FROM lineitem GROUP BY l_orderkey"
+
+
+def order_sets(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("l_linenumber")).alias("sizes")).withColumn("profile_key", F.array_join("sizes", "-"))
+
+
+@query(f"SELECT profile_key, count(*) AS n_orders, min(l_orderkey) AS sample_order FROM ({SETS}) GROUP BY profile_key")
+def q_size_profile(spark, sf_dir):
+    return order_sets(spark, sf_dir).groupBy("profile_key").agg(F.count("*").alias("n_orders"), F.min("l_orderkey").alias("sample_order"))
+
+
+def registry_of(sets):
+    """A registry of the sets of orders whose key divides by 200: a set's first order names its profile."""
+    known = sets.where("l_orderkey % 200 = 0").groupBy("sizes").agg(F.min("l_orderkey").alias("ord"))
+    return known.withColumn("profile", F.concat(F.lit("profile"), F.col("ord").cast("string")))
+
+
+REGISTRY = f"WITH s AS ({SETS}), reg AS (SELECT profile_key, min(l_orderkey) AS ord FROM s WHERE l_orderkey % 200 = 0 GROUP BY profile_key)"
+
+
+@query(f"{REGISTRY} SELECT s.l_orderkey, s.profile_key, coalesce('profile' || CAST(reg.ord AS VARCHAR), '') AS profile FROM s LEFT JOIN reg USING (profile_key)")
+def q_exact_set_join(spark, sf_dir):
+    sets = order_sets(spark, sf_dir)
+    return segments.match_profiles(sets, registry_of(sets)).select("l_orderkey", "profile_key", F.coalesce("profile", F.lit("")).alias("profile"))
+
+
+@query(f"""{REGISTRY}, new AS (SELECT profile_key, count(*) AS n_docs FROM s WHERE profile_key NOT IN (SELECT profile_key FROM reg) GROUP BY profile_key),
+top AS (SELECT coalesce(max(ord), 0) AS last FROM reg)
+SELECT 'profile' || lpad(CAST(row_number() OVER (ORDER BY n_docs DESC, profile_key) + last AS VARCHAR), CAST(greatest(3, length(CAST(row_number() OVER (ORDER BY n_docs DESC, profile_key) + last AS VARCHAR))) AS INT), '0') AS profile, profile_key, n_docs FROM new, top""")
+def q_missing_profiles(spark, sf_dir):
+    sets = order_sets(spark, sf_dir)
+    return segments.missing_profiles(sets, registry_of(sets)).select("profile", F.array_join("sizes", "-").alias("profile_key"), "n_docs")
+
+
+COUNTS = """WITH c0 AS (SELECT p_brand AS doc, p_size AS fs, CAST(sum(length(p_name)) AS BIGINT) AS cnt, max(CASE WHEN p_partkey <= 100 THEN 1 ELSE 0 END) = 1 AS first_page FROM part GROUP BY p_brand, p_size),
+c AS (SELECT *, cnt / sum(cnt) OVER (PARTITION BY doc) * 100 AS pct, count(*) OVER (PARTITION BY doc) AS n,
+ first_value(fs) OVER (PARTITION BY doc ORDER BY cnt DESC, fs) AS top,
+ first_value(fs) OVER (PARTITION BY doc ORDER BY CASE WHEN fs BETWEEN 18 AND 26 THEN 0 ELSE 1 END, cnt DESC, fs) AS body_top,
+ first_value(fs) OVER (PARTITION BY doc ORDER BY CASE WHEN fs BETWEEN 20 AND 26 THEN 0 ELSE 1 END, cnt DESC, fs) AS mid_top,
+ first_value(fs) OVER (PARTITION BY doc ORDER BY cnt DESC, fs DESC) AS pair_top FROM c0)"""
+
+
+def brand_counts(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return part.groupBy(F.col("p_brand").alias("doc"), F.col("p_size").alias("fs")).agg(F.sum(F.length("p_name")).cast("long").alias("cnt"), F.max(F.col("p_partkey") <= 100).alias("on_first_page"))
+
+
+@query(COUNTS + """, r AS (SELECT *, CASE WHEN n = 2 THEN pair_top ELSE body_top END AS reg FROM c),
+k AS (SELECT *, CASE WHEN fs = reg THEN 'regular' WHEN fs > reg THEN CASE WHEN first_page THEN 'large' ELSE 'regular' END ELSE 'small' END AS k0,
+ CASE WHEN fs > reg THEN first_page AND pct <= 15 ELSE true END AS s0 FROM r),
+w AS (SELECT *, coalesce(k0 = 'regular' AND lead(fs) OVER g / fs >= 1.25 AND lead(cnt) OVER g >= cnt, false) AS shrinks FROM k WINDOW g AS (PARTITION BY doc, k0 ORDER BY fs)),
+v AS (SELECT *, CASE WHEN shrinks THEN 'small' ELSE k0 END AS k1 FROM w),
+z AS (SELECT *, max(CASE WHEN k1 = 'regular' THEN 1 ELSE 0 END) OVER (PARTITION BY doc) = 0 AND fs = mid_top AS saved FROM v)
+SELECT doc, fs, cnt, pct, CASE WHEN saved THEN 'regular' ELSE k1 END AS class, s0 OR shrinks OR saved AS confident FROM z""")
+def q_size_class_a(spark, sf_dir):
+    return segments.classify(brand_counts(spark, sf_dir), "doc", "A")
+
+
+@query(COUNTS + """, r AS (SELECT *, CASE WHEN n = 2 THEN pair_top ELSE top END AS reg FROM c)
+SELECT doc, fs, cnt, pct, CASE WHEN fs = reg THEN 'regular' WHEN fs > reg THEN CASE WHEN n = 2 OR pct < 10 OR fs / reg > 1.15 THEN 'large' ELSE 'regular' END ELSE 'small' END AS class,
+CASE WHEN fs = reg THEN true WHEN fs > reg AND n = 2 THEN pct <= 15 WHEN fs > reg THEN pct < 10 WHEN n = 2 THEN true ELSE reg / fs > 1.2 END AS confident FROM r""")
+def q_size_class_b(spark, sf_dir):
+    return segments.classify(brand_counts(spark, sf_dir), "doc", "B")
+
+
+@query(COUNTS + """, r AS (SELECT *, CASE WHEN n = 2 THEN pair_top ELSE body_top END AS reg FROM c)
+SELECT doc, fs, cnt, pct, CASE WHEN fs = reg THEN 'regular' WHEN fs > reg THEN 'large' ELSE 'small' END AS class, true AS confident FROM r""")
+def q_size_class_c(spark, sf_dir):
+    return segments.classify(brand_counts(spark, sf_dir), "doc", "C")
+
+
+@query(COUNTS + " SELECT doc, fs, cnt, pct, CASE WHEN fs = top THEN 'regular' WHEN fs > top THEN 'large' ELSE 'small' END AS class, true AS confident FROM c")
+def q_size_class_d(spark, sf_dir):
+    return segments.classify(brand_counts(spark, sf_dir), "doc", "D")
+
+
+@query("""WITH a AS (SELECT n_nationkey, n_name, row_number() OVER (ORDER BY n_nationkey) AS position FROM nation),
+b AS (SELECT s_suppkey, s_name, row_number() OVER (ORDER BY s_acctbal, s_suppkey) AS position FROM supplier)
+SELECT position, n_name, s_suppkey FROM a JOIN b USING (position)""")
+def q_positional_zip(spark, sf_dir):
+    got = joins.zip_join(table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier"), ["n_nationkey"], ["s_acctbal", "s_suppkey"])
+    return got.select("position", "n_name", "s_suppkey")
+
+
+@query("""WITH a AS (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS position FROM nation),
+b AS (SELECT s_suppkey, s_nationkey % 5 AS n_regionkey, row_number() OVER (PARTITION BY s_nationkey % 5 ORDER BY s_suppkey) AS position FROM supplier)
+SELECT coalesce(a.n_regionkey, b.n_regionkey) AS n_regionkey, coalesce(a.position, b.position) AS position, n_name, s_suppkey FROM a FULL JOIN b ON a.n_regionkey = b.n_regionkey AND a.position = b.position""")
+def q_zip_leftover(spark, sf_dir):
+    right = table(spark, sf_dir, "supplier").withColumn("n_regionkey", (F.col("s_nationkey") % 5).cast("int"))
+    left = table(spark, sf_dir, "nation").withColumn("n_regionkey", F.col("n_regionkey").cast("int"))
+    got = joins.zip_join(left, right, ["n_nationkey"], ["s_suppkey"], ["n_regionkey"], leftovers=True)
+    return got.select("n_regionkey", F.col("position").cast("long"), "n_name", "s_suppkey")
+
+
+@query("""SELECT c.c_custkey, coalesce(o.n, 0) AS n_orders, coalesce(o.total, 0.0) AS largest FROM customer c
+LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_totalprice) AS total FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey""")
+def q_left_default(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n_orders"), F.max("o_totalprice").alias("largest"))
+    return joins.left_default(table(spark, sf_dir, "customer").select("c_custkey"), orders, ["c_custkey"], {"n_orders": 0, "largest": 0.0})
+
+
+@query("SELECT o_custkey, o_orderdate, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus, max(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey, o_orderdate")
+def q_last_wins(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
+    return joins.last_wins(orders, ["o_custkey", "o_orderdate"], "o_orderkey")
+
+
+@query("SELECT o_orderkey, EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R') AS found FROM orders o")
+def q_semi(spark, sf_dir):
+    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return joins.with_membership(table(spark, sf_dir, "orders").select("o_orderkey"), returned, ["o_orderkey"])
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'ORDER_MISSING' AS issue FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'F')""")
+def q_validation_anti(spark, sf_dir):
+    open_ = table(spark, sf_dir, "orders").where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(open_, "l_orderkey", "left_anti").withColumn("issue", F.lit("ORDER_MISSING"))
+
+
+@query("""WITH types AS (SELECT min(event_type) AS kind FROM events), r AS (SELECT user_id, event_id AS start_id, coalesce(lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) - 2, event_id) AS end_id FROM events WHERE event_type = (SELECT kind FROM types))
+SELECT e.event_id, e.user_id, coalesce(r.start_id, -1) AS start_id, coalesce(r.end_id, -1) AS end_id FROM events e LEFT JOIN r ON e.user_id = r.user_id AND e.event_id BETWEEN r.start_id AND r.end_id""")
+def q_range_lookup(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    kind = events.agg(F.min("event_type").alias("kind"))
+    opens = events.join(F.broadcast(kind), F.col("event_type") == F.col("kind"), "left_semi")  # one row
+    end = F.coalesce(F.lead("event_id").over(Window.partitionBy("user_id").orderBy("event_id")) - 2, F.col("event_id"))
+    ranges = opens.select("user_id", F.col("event_id").alias("start_id"), end.alias("end_id")).where("end_id >= start_id")
+    return joins.range_lookup(events.select("event_id", "user_id"), ranges, ["user_id"], "event_id", "start_id", "end_id").select("event_id", "user_id", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("start_id", "end_id")])
+
+
+@query("""WITH o AS (SELECT o_custkey, o_orderkey, CAST(o_orderkey % 7 AS INT) AS page_start, CAST((o_orderkey + o_custkey) % 7 AS INT) AS page_end FROM orders),
+n AS (SELECT *, lead(page_start) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS next FROM o)
+SELECT DISTINCT CAST(o_custkey AS INT) AS vol, page_end AS page FROM n WHERE next = page_end""")
+def q_boundary_lead(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    vol = F.col("o_custkey").cast("string")
+    rows = orders.select(F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("row_idx"), vol.alias("vol_start"), vol.alias("vol_end"), (F.col("o_orderkey") % 7).cast("string").alias("img_start"), ((F.col("o_orderkey") + F.col("o_custkey")) % 7).cast("string").alias("img_end"))
+    return structure.boundary_pages(rows, by=["custkey"])
+
+
+@query("""WITH n AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INT) AS q, lead(CAST(l_quantity AS INT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS next_start FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, q, next_start FROM n WHERE next_start = q + 1""")
+def q_adjacent_gap(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").alias("q"))
+    return structure.adjacent_ends(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "q", "q")
+
+
+@query("""WITH e AS (SELECT event_id, event_type AS level, user_id % 20 AS vol, CAST(event_id % 9 AS INT) AS img_start, CAST((event_id + user_id) % 9 AS INT) AS img_end FROM events)
+SELECT event_id, coalesce(lag(img_end) OVER w, -1) AS prev_end, coalesce(lead(img_start) OVER w, -1) AS next_start FROM e WINDOW w AS (PARTITION BY level, vol ORDER BY event_id)""")
+def q_prev_next_level(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    vol = F.col("user_id") % 20
+    rows = events.select("event_id", F.col("event_type").alias("level"), vol.alias("vol_start"), vol.alias("vol_end"), (F.col("event_id") % 9).cast("string").alias("img_start"), ((F.col("event_id") + F.col("user_id")) % 9).cast("string").alias("img_end"))
+    return structure.neighbours(rows, ["event_id"]).select("event_id", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("prev_end", "next_start")])
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_orderkey % 3 = 0 THEN 6 ELSE 4 END + coalesce(CAST(sum(CAST(l_quantity AS INT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS page_start FROM lineitem""")
+def q_running_pages(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumn("pages", F.col("l_quantity").cast("int"))
+    got = structure.running_start(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "pages", F.when(F.col("l_orderkey") % 3 == 0, 6).otherwise(4))
+    return got.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "page_start")
+
+
+@query("""WITH RECURSIVE n AS (SELECT n_regionkey, n_nationkey, n_nationkey % 4 + 1 AS pages, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS k FROM nation),
+s AS (SELECT n_regionkey, n_nationkey, pages, k, CAST(4 AS BIGINT) AS page_start FROM n WHERE k = 1
+UNION ALL SELECT n.n_regionkey, n.n_nationkey, n.pages, n.k, 2 * s.page_start - 1 + s.pages FROM s JOIN n ON n.n_regionkey = s.n_regionkey AND n.k = s.k + 1)
+SELECT n_regionkey, n_nationkey, page_start FROM s""")
+def q_page_recurrence(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").withColumn("pages", (F.col("n_nationkey") % 4 + 1).cast("long"))
+    return structure.running_start(nation, ["n_regionkey"], ["n_nationkey"], "pages", 4, "as_coded").select("n_regionkey", "n_nationkey", "page_start")
+
+
+LEVEL = "CASE WHEN (conv_id + turn) % 5 = 0 THEN 1 WHEN role = 'user' THEN 2 ELSE 3 END"
+
+
+@query(f"""WITH d AS (SELECT conv_id, turn, {LEVEL} AS level, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
+e AS (SELECT *, min(CASE WHEN level = 1 THEN k END) OVER f AS one, min(CASE WHEN level <= 2 THEN k END) OVER f AS two FROM d WINDOW f AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+x AS (SELECT e.*, CASE WHEN level = 1 THEN one ELSE two END AS nk FROM e)
+SELECT x.conv_id, x.turn, CAST(x.level AS INT) AS level, '1#div' || CAST(x.level AS VARCHAR) || '_' || lpad(CAST(x.k AS VARCHAR), 4, '0') AS start_id,
+coalesce('1#div' || CAST(d.level AS VARCHAR) || '_' || lpad(CAST(d.k AS VARCHAR), 4, '0'), '') AS end_id FROM x LEFT JOIN d ON x.conv_id = d.conv_id AND x.nk = d.k WHERE x.level <= 2""")
+def q_next_div_end(spark, sf_dir):
+    rows = conversation_levels(spark, sf_dir)
+    return structure.div_ends(rows, ["conv_id"], ["turn"]).select("conv_id", "turn", "level", "start_id", "end_id")
+
+
+def conversation_levels(spark, sf_dir):
+    level = F.when((F.col("conv_id") + F.col("turn")) % 5 == 0, 1).when(F.col("role") == "user", 2).otherwise(3)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", level.alias("level"))
+
+
+@query(f"""WITH d AS (SELECT conv_id, turn, {LEVEL} AS level, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
+p AS (SELECT *, max(CASE WHEN level = 1 THEN k END) OVER f AS one, max(CASE WHEN level = 2 THEN k END) OVER f AS two FROM d WINDOW f AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+q AS (SELECT *, CASE WHEN level = 1 THEN 0 WHEN level = 2 THEN one WHEN two > one THEN two ELSE one END AS parent FROM p)
+SELECT conv_id, turn, CAST(level AS INT) AS level, CAST(coalesce(parent, -1) AS INT) AS parent, parent IS NOT NULL AS kept FROM q""")
+def q_nesting(spark, sf_dir):
+    return structure.nest(conversation_levels(spark, sf_dir), ["conv_id"], ["turn"]).select("conv_id", "turn", "level", F.coalesce("parent", F.lit(-1)).cast("int").alias("parent"), "kept")
+
+
+@query("SELECT conv_id, turn, coalesce(CAST(lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS VARCHAR), '') AS end_id FROM conversations")
+def q_milestone_ends(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("turn").cast("string").alias("id"))
+    return structure.milestone_ends(rows, ["conv_id"], ["turn"]).select("conv_id", "turn", "end_id")
+
+
+@query("""WITH f AS (SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+i AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM f)
+SELECT user_id, CAST(island AS BIGINT) AS island, min(event_type) AS kind, count(*) AS n, string_agg(CAST(event_id AS VARCHAR), '-' ORDER BY event_id) AS ids FROM i GROUP BY user_id, island""")
+def q_islands_merge(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    rows = structure.islands(events, ["user_id"], ["event_id"], structure.changed("event_type", ["user_id"], ["event_id"]))
+    ids = F.array_join(F.transform(F.array_sort(F.collect_list("event_id")), lambda x: x.cast("string")), "-")
+    return rows.groupBy("user_id", "island").agg(F.min("event_type").alias("kind"), F.count("*").alias("n"), ids.alias("ids"))
+
+
+@query("""SELECT event_id, user_id, last_value(CASE WHEN event_id % 4 = 0 THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM events""")
+def q_carry_forward(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    got = structure.carry_forward(events, ["user_id"], ["event_id"], F.when(F.col("event_id") % 4 == 0, F.col("event_type")), "carried")
+    return got.select("event_id", "user_id", "carried")
+
+
+@query("""WITH b AS (SELECT DISTINCT p_brand FROM part) SELECT p_brand, row_number() OVER (ORDER BY regexp_extract(p_brand, '^\\D*'), CAST(nullif(regexp_extract(p_brand, '\\d+'), '') AS INT), p_brand) AS position FROM b""".replace("\\\\", "\\"))
+def q_natural_sort(spark, sf_dir):
+    brands = table(spark, sf_dir, "part").select("p_brand").distinct()
+    return joins.ranked(brands.withColumn("_key", ordering.natural_key(F.col("p_brand"))), ["_key", "p_brand"], [], "position").drop("_key")
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, source LIMIT 10")
+def q_topk_sources(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source").limit(10)
+
+
+TOC = """WITH pdfs AS (SELECT o_custkey AS folder, o_orderkey AS ord, CAST(o_orderkey % 30 + 3 AS INT) AS total, CAST(o_orderkey % 3 AS INT) AS blanks, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1 AS is_contents, o_custkey % 90 AS volnum FROM orders),
+toc AS (SELECT o_custkey AS folder, o_orderkey AS row_idx, o_orderkey AS number, o_orderpriority AS title, CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE CAST(o_orderkey % 40 AS VARCHAR) END AS page FROM orders WHERE o_orderkey % 4 <> 0)"""
+
+
+@query(TOC + """, f AS (SELECT *, total - blanks AS n, row_number() OVER (PARTITION BY folder ORDER BY ord) - 1 AS k, 4 + coalesce(CAST(sum(total - blanks) OVER (PARTITION BY folder ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS img_start FROM pdfs),
+facts AS (SELECT folder, count(*) AS n_files, CAST(3 + sum(n) AS BIGINT) AS total_imgs, min(CASE WHEN k = 1 THEN img_start END) AS first_img, min(volnum) AS volnum FROM f GROUP BY folder),
+r AS (SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY folder) AS n_rows, try_cast(page AS INT) AS p, lead(try_cast(page AS INT)) OVER w AS np, lead(row_idx) OVER w IS NOT NULL AS has_next FROM toc WINDOW w AS (PARTITION BY folder ORDER BY row_idx))
+SELECT r.folder, CAST(r.k AS INT) AS pos, CAST(r.number AS VARCHAR) AS number, r.title, r.page, facts.volnum,
+coalesce(CASE WHEN n_files - 1 = n_rows THEN f.img_start WHEN p IS NULL THEN -1 WHEN p >= 1 THEN first_img + p - 1 ELSE -1 END, -1) AS imgnum_start,
+CASE WHEN n_files - 1 = n_rows THEN f.img_start + f.n - 1 WHEN NOT has_next THEN total_imgs WHEN np IS NULL THEN -1 WHEN np >= 1 THEN coalesce(first_img + np - 2, -2) ELSE -2 END AS imgnum_end
+FROM r JOIN facts USING (folder) LEFT JOIN f ON r.folder = f.folder AND r.k = f.k
+UNION ALL SELECT folder, 0, '0', 'contents', '0', volnum, img_start, img_start + n - 1 FROM f WHERE k = 0""")
+def q_image_ranges(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    first = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) == 1
+    key = F.col("o_orderkey")
+    pdfs = orders.select(F.col("o_custkey").alias("folder"), key.alias("ord"), (key % 30 + 3).cast("int").alias("total"), (key % 3).cast("int").alias("blanks"), first.alias("is_contents"), (F.col("o_custkey") % 90).alias("volnum"))
+    page = F.when(key % 11 == 0, "x").otherwise((key % 40).cast("string"))
+    toc = orders.where(key % 4 != 0).select(F.col("o_custkey").alias("folder"), key.alias("row_idx"), key.alias("number"), F.col("o_orderpriority").alias("title"), page.alias("page"))
+    return structure.image_ranges(toc, pdfs)
+
+
+@query("""WITH a AS (SELECT o_custkey, count(*) AS n_orders, count(DISTINCT o_orderpriority) AS n_kinds FROM orders GROUP BY o_custkey)
+SELECT o_custkey, n_orders, n_kinds, CASE WHEN n_orders - 1 = n_kinds THEN 'simple' ELSE 'complex' END AS branch FROM a""")
+def q_count_branch(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.countDistinct("o_orderpriority").alias("n_kinds"))
+    return rows.withColumn("branch", F.when(F.col("n_orders") - 1 == F.col("n_kinds"), "simple").otherwise("complex"))
+
+
+@query(r"""WITH p AS (SELECT doc_id, text AS t, string_split(text, chr(10)) AS l FROM documents),
+q AS (SELECT *, strpos(t, regexp_extract(t, '[0-9]+"')) AS one0, strpos(l[2], '@') AS f, list_filter(generate_series(3, len(l)), lambda i: strpos(l[i], '@') > 0) AS later, strpos(t, '#') AS three, regexp_extract(t, '(?:\.[ ]*){3,}') AS dots FROM p),
+s AS (SELECT *, CASE WHEN regexp_matches(t, '[0-9]+"') THEN one0 ELSE 0 END AS one,
+ CASE WHEN f > 5 THEN length(l[1]) + 1 + f WHEN len(later) > 0 THEN length(array_to_string(l[1:later[1]-1], chr(10))) + 1 + strpos(l[later[1]], '@') ELSE 0 END AS two,
+ CASE WHEN dots <> '' THEN strpos(t, dots) + length(dots) ELSE 0 END AS four FROM q),
+r AS (SELECT *, CASE WHEN one > 0 THEN 1 WHEN two > 0 THEN 2 WHEN three > 0 THEN 3 WHEN four > 0 THEN 4 ELSE 0 END AS rule, CASE WHEN one > 0 THEN one WHEN two > 0 THEN two WHEN three > 0 THEN three WHEN four > 0 THEN four END AS at_pos FROM s)
+SELECT doc_id, CAST(rule AS INT) AS rule, CASE WHEN rule = 0 THEN t ELSE left(t, at_pos - 1) || '<m/>' || substr(t, at_pos) END AS text FROM r""")
+def q_milestone_cascade(spark, sf_dir):
+    text, rule = structure.place_milestone(F.col("text"), F.lit("<m/>"), '[0-9]+"', "@", "#", r"(?:\.[ ]*){3,}", "\n")
+    return table(spark, sf_dir, "documents").select("doc_id", rule.alias("rule"), text.alias("text"))
+
+
+@query("""WITH e AS (SELECT event_id, CAST(user_id % 10 AS INT) AS vol, CAST(event_id % 50 AS INT) AS page, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 50 AS INT) END AS shared FROM events),
+pg AS (SELECT vol, page, max(event_id % 4) AS etext FROM e WHERE page < 40 GROUP BY vol, page),
+sp AS (SELECT vol, etext, min(page) AS first_page, max(page) AS last_page FROM pg GROUP BY vol, etext),
+ms AS (SELECT DISTINCT vol, etext, page FROM pg WHERE page % 2 = 0)
+SELECT e.event_id, CASE WHEN pg.etext IS NULL THEN '' WHEN e.shared = e.page THEN CAST(pg.etext AS VARCHAR) || '#P' || CAST(e.page AS VARCHAR) || '_B01' WHEN e.page = sp.first_page THEN CAST(pg.etext AS VARCHAR) ELSE CAST(pg.etext AS VARCHAR) || '#bop:' || CAST(e.page AS VARCHAR) END AS coord,
+CASE WHEN pg.etext IS NULL THEN 'PAGE_NOT_FOUND' WHEN e.shared = e.page AND ms.page IS NULL THEN 'MILESTONE_MISSING' END AS issue
+FROM e LEFT JOIN pg ON e.vol = pg.vol AND e.page = pg.page LEFT JOIN sp ON sp.vol = pg.vol AND sp.etext = pg.etext LEFT JOIN ms ON ms.vol = pg.vol AND ms.etext = pg.etext AND ms.page = e.page""")
+def q_coord_convert(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    page = (F.col("event_id") % 50).cast("int")
+    rows = events.select("event_id", (F.col("user_id") % 10).cast("int").alias("vol"), page.alias("page"), F.when(F.col("event_id") % 3 == 0, page).alias("shared"))
+    pages = rows.where("page < 40").groupBy("vol", "page").agg(F.max(F.col("event_id") % 4).alias("etext"))
+    spans = pages.groupBy("vol", "etext").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page"))
+    marks = pages.where("page % 2 = 0").select("vol", "etext", ordering.milestone_id(F.col("page")).alias("milestone"))
+    return structure.coordinates(rows, pages, spans, marks, True).select("event_id", "coord", "issue")
+
+
+@query("""WITH p AS (SELECT doc_id, text, string_split(text, chr(10)) AS l, CAST(doc_id % 3 AS INT) AS n FROM documents)
+SELECT doc_id, CASE WHEN n = 0 OR len(l) <= n THEN text ELSE array_to_string(l[1:len(l) - n], chr(10)) END AS text,
+CASE WHEN n = 0 THEN '' WHEN len(l) <= n THEN 'TOO_FEW_PAGES:' || CAST(len(l) AS VARCHAR) ELSE array_to_string(list_transform(list_filter(l[len(l) - n + 1:], lambda x: regexp_matches(regexp_replace(x, '<[^>]+>', '', 'g'), '\\S')), lambda x: 'NOT_BLANK:' || left(x, 100)), '|') END AS issues FROM p""".replace("\\\\", "\\"))
+def q_trailing_pages(spark, sf_dir):
+    text, issues = markup.trim_trailing_pages(F.col("text"), (F.col("doc_id") % 3).cast("int"), "\n")
+    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), F.array_join(issues, "|").alias("issues"))
+
+
+@query("SELECT doc_id, sha256(coalesce(text, '')) AS sha256 FROM documents")
+def q_sha256(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+
+
+@query("""SELECT d.lang, count(*) AS n, count(*) FILTER (WHERE l.quality = 1) AS success, count(*) FILTER (WHERE l.quality = 0) AS failed, count(*) FILTER (WHERE l.doc_id IS NULL) AS unlabelled,
+array_to_string(list_sort(list(d.doc_id) FILTER (WHERE l.quality = 0))[1:3], ',') AS first_failed FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""")
+def q_audit_totals(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    ranked = docs.withColumn("k", F.row_number().over(Window.partitionBy("lang", "quality").orderBy("doc_id")))
+    first = F.array_join(F.transform(F.array_sort(F.collect_list(F.when((F.col("quality") == 0) & (F.col("k") <= 3), F.col("doc_id")))), lambda x: x.cast("string")), ",")
+    return ranked.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("quality") == 1).alias("success"), F.count_if(F.col("quality") == 0).alias("failed"), F.count_if(F.col("quality").isNull()).alias("unlabelled"), first.alias("first_failed"))
+
+
+@query(r"SELECT doc_id, regexp_replace(replace(text, 'th', 't' || chr(10) || 'h'), '([a-z])\n+([a-z])', '\1\2', 'g') AS text FROM documents")
+def q_join_broken_words(spark, sf_dir):
+    broken = F.replace("text", F.lit("th"), F.lit("t\nh"))
+    return table(spark, sf_dir, "documents").select("doc_id", markup.rewrite(broken, [("([a-z])\n+([a-z])", "$1$2")]).alias("text"))
+
+
+@query("""WITH b AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS base FROM orders), s AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN '-' || CAST(o_orderkey AS VARCHAR) ELSE '' END AS stem FROM orders)
+SELECT o_orderkey, stem, base FROM s JOIN b ON stem = base OR starts_with(stem, base || '-')""")
+def q_prefix_join(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    stems = orders.select("o_orderkey", F.concat(F.col("o_custkey").cast("string"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("-"), F.col("o_orderkey").cast("string"))).otherwise("")).alias("stem"))
+    return joins.prefix_join(orders.select(F.col("o_custkey").cast("string").alias("base")).distinct(), stems, "base", "stem").select("o_orderkey", "stem", "base")
+
+
+@query("""WITH p AS (SELECT page_id, page_id % 7 = 0 AS asked FROM pages) SELECT a.page_id AS asked, b.page_id AS page FROM p a JOIN p b ON b.page_id BETWEEN a.page_id - 1 AND a.page_id + 1 WHERE a.asked""")
+def q_context_pages(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.lit(1).alias("vol"), F.col("page_id").alias("page"))
+    asked = pages.where("page % 7 = 0").select("vol", F.col("page").alias("asked"))
+    return joins.context_pages(asked, pages, ["vol"], "asked", 1).select("asked", "page")
+
+
+def size_marked(docs):
+    """Each line of a text as a segment with a size by its length."""
+    return F.array_join(F.transform(F.split("text", "\n", -1), lambda x: F.concat(F.lit("<fs:"), (18 + F.length(x) % 5 * 2).cast("string"), F.lit(">"), x)), "\n")
+
+
+@query("""WITH l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS x, len(string_split(text, chr(10))) AS n FROM documents),
+s AS (SELECT doc_id, i, CAST(18 + length(x) % 5 * 2 AS INT) AS fs, x || CASE WHEN i < n THEN chr(10) ELSE '' END AS content FROM l)
+SELECT doc_id, fs, content, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INT) AS seq FROM s WHERE content <> ''""")
+def q_segments(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("marked", size_marked(None))
+    return docs.select("doc_id", F.posexplode(segments.segments(F.col("marked"))).alias("seq", "s")).select("doc_id", "seq", "s.fs", "s.content")
+
+
+@query()
+def q_size_markup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("marked", size_marked(None))
+    classes = F.create_map(F.lit(18), F.lit("small"), F.lit(26), F.lit("large"))
+    return docs.select("doc_id", segments.apply_size_markup(F.col("marked"), classes).alias("text"))
+
+
+@query()
+def q_simplify_sizes(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("marked", F.translate(size_marked(None), ".(", "།༼"))
+    return docs.select("doc_id", segments.simplify(F.col("marked")).alias("text"))
+
+
+@query()
+def q_normalise_text(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", normalize.normalize_text(F.translate("text", "aeiou", "ཀིུྐཾ")).alias("text"))
+
+
+@query()
+def q_annotations(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    marked = F.concat(F.lit("{D"), F.col("doc_id").cast("string"), F.lit("}"), F.regexp_replace("text", r"(\w+) (\w+)\.", "($1,$2)."))
+    return docs.select("doc_id", markup.annotations(marked).alias("text"))
+
+
+@query()
+def q_markup_to_tei(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", markup.markup_to_tei(F.replace("text", F.lit(".\n"), F.lit(".\nZZZZ\n")), (F.col("doc_id") % 5 + 1).cast("int")).alias("body"))
