@@ -171,4 +171,4 @@ def missing_profiles(docs: DataFrame, registry: DataFrame) -> DataFrame:
     new = seen.join(registry.select("sizes").distinct(), "sizes", "left_anti")
     last = registry.agg(F.coalesce(F.max(F.regexp_extract("profile", r"(\d+)", 1).try_cast("int")), F.lit(0)).alias("last"))
     w = Window.orderBy(F.desc("n_docs"), profile_key(F.col("sizes")))  # one row per unseen set: the registry's own scale
-    return new.withColumn("k", F.row_number().over(w)).crossJoin(F.broadcast(last)).select(F.concat(F.lit("profile"), F.lpad((F.col("k") + F.col("last")).cast("string"), 3, "0")).alias("profile"), "sizes", "n_docs")
+    return new.withColumn("k", F.row_number().over(w)).crossJoin(F.broadcast(last)).select(F.format_string("profile%03d", F.col("k") + F.col("last")).alias("profile"), "sizes", "n_docs")

@@ -211,12 +211,12 @@ def q_positional_zip(spark, sf_dir):
 
 @query("""WITH a AS (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS position FROM nation),
 b AS (SELECT s_suppkey, s_nationkey % 5 AS n_regionkey, row_number() OVER (PARTITION BY s_nationkey % 5 ORDER BY s_suppkey) AS position FROM supplier)
-SELECT coalesce(a.n_regionkey, b.n_regionkey) AS n_regionkey, coalesce(a.position, b.position) AS position, n_name, s_suppkey FROM a FULL JOIN b ON a.n_regionkey = b.n_regionkey AND a.position = b.position""")
+SELECT coalesce(a.n_regionkey, b.n_regionkey) AS n_regionkey, coalesce(a.position, b.position) AS position, coalesce(n_name, '') AS n_name, coalesce(s_suppkey, -1) AS s_suppkey FROM a FULL JOIN b ON a.n_regionkey = b.n_regionkey AND a.position = b.position""")
 def q_zip_leftover(spark, sf_dir):
     right = table(spark, sf_dir, "supplier").withColumn("n_regionkey", (F.col("s_nationkey") % 5).cast("int"))
     left = table(spark, sf_dir, "nation").withColumn("n_regionkey", F.col("n_regionkey").cast("int"))
     got = joins.zip_join(left, right, ["n_nationkey"], ["s_suppkey"], ["n_regionkey"], leftovers=True)
-    return got.select("n_regionkey", F.col("position").cast("long"), "n_name", "s_suppkey")
+    return got.select("n_regionkey", F.col("position").cast("long"), F.coalesce("n_name", F.lit("")).alias("n_name"), F.coalesce("s_suppkey", F.lit(-1)).alias("s_suppkey"))
 
 
 @query("""SELECT c.c_custkey, coalesce(o.n, 0) AS n_orders, coalesce(o.total, 0.0) AS largest FROM customer c
