@@ -68,6 +68,10 @@ class WordEncoder:
             cls._by_file[file] = cls(file)
         return cls._by_file[file]
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.known[""] = b""
+
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words: plain ones together in one text, with a one-token separator between them."""
         got = {}
@@ -130,8 +134,7 @@ class WordEncoder:
                 out.append(b"".join([new[w] if i is None else i for w, i in zip(words, ids)]))
                 known.update((w, i) for w, i in new.items() if len(w) <= CACHE_CHARS)
             if len(known) > CACHE_WORDS:
-                known.clear()
-                known[""] = b""
+                self.forget()
         return out
 
 
@@ -144,18 +147,21 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY)
 
     def work(batches):
         encoder = WordEncoder.of(tokenizer_file)
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-            rows = []
-            for at in range(0, len(ids), 256):
-                for doc, raw in zip(ids[at : at + 256], encoder.encode(texts[at : at + 256])):
-                    raw += end
-                    for k, s in enumerate(range(0, len(raw), 4 * capacity)):
-                        part = raw[s : s + 4 * capacity]
-                        rows.append((doc, k, s // 4, len(part) // 4, zlib.crc32(part)))
-            cols = list(zip(*rows)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        try:
+            for batch in batches:
+                ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
+                rows = []
+                for at in range(0, len(ids), 256):
+                    for doc, raw in zip(ids[at : at + 256], encoder.encode(texts[at : at + 256])):
+                        raw += end
+                        for k, s in enumerate(range(0, len(raw), 4 * capacity)):
+                            part = raw[s : s + 4 * capacity]
+                            rows.append((doc, k, s // 4, len(part) // 4, zlib.crc32(part)))
+                cols = list(zip(*rows)) if rows else [[]] * 5
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        finally:  # workers outlive the task, and their words would add up
+            encoder.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(work, PIECES)
 
