@@ -9,7 +9,7 @@ linked: to the document before and to the first. Texts of a batch are linked bef
 shuffle, so a token that a third of all documents hold arrives for one document of each batch, and a group streams by
 in constant memory. Links of a pair of documents are joined as intervals: neighbours on about the same
 diagonal form one region, which needs links of enough hashes. Regions are verified on the tokens of both
-texts: the densest stretch must reach the similarity and the length. Near-duplicates that both differ
+texts: stretches must reach the similarity and the length. Near-duplicates that both differ
 too much from a common first and previous holder can be missed when they share no other token group.
 """
 
@@ -199,19 +199,24 @@ def regions(enough: int):
     return work
 
 
-def stretch(hit: np.ndarray, penalty: float) -> tuple[int, int]:
-    """The stretch (from, to) with the largest sum of 1 for a hit and -penalty otherwise."""
-    total = np.append(0, np.cumsum(np.where(hit, 1.0, -penalty)))
-    to = int(np.argmax(total - np.minimum.accumulate(total)))
-    return int(np.argmin(total[: to + 1])), to
+def stretch(hit: np.ndarray, share: float) -> tuple[int, int]:
+    """The longest stretch (from, to) of which at least ``share`` are hits, without misses at its ends."""
+    total = np.append(0, np.cumsum(hit - share))
+    low = np.minimum.accumulate(total)
+    first = np.searchsorted(-low, -total - 1e-9, side="left")  # where a stretch up to here can begin at the earliest
+    size = np.arange(len(total)) - first
+    to = int(np.argmax(size))
+    begin = int(first[to])
+    inside = np.flatnonzero(hit[begin:to])
+    return (begin + int(inside[0]), begin + int(inside[-1]) + 1) if len(inside) else (0, 0)
 
 
 def near(x: np.ndarray, y: np.ndarray, similarity: float, least: int) -> list[tuple[int, int, int, int, float]]:
     """Dense common stretches of two token sequences as (x from, x to, y from, y to, Jaccard).
 
-    Equally long stretches with Jaccard j share 2j / (1 + j) of their tokens: each stretch weighs its hits
-    against that; what is left on either side of it is searched again. Where the Jaccard is too low all the
-    same, a denser part is tried.
+    Equally long stretches with Jaccard j share 2j / (1 + j) of their tokens: the longest stretch with that
+    share of hits is taken, and what is left on either side of it is searched again. Where the Jaccard is too
+    low all the same, denser stretches are tried.
     """
     found, todo = [], [(0, len(y))]
     share = 2 * similarity / (1 + similarity)
@@ -220,12 +225,12 @@ def near(x: np.ndarray, y: np.ndarray, similarity: float, least: int) -> list[tu
         lo, hi = todo.pop()
         if hit[lo:hi].sum() < least * similarity:
             continue
-        for penalty in (share / (1 - share) * k for k in (1, 2, 1000)):
-            p, q = stretch(hit[lo:hi], penalty)
+        for need in (share, (1 + share) / 2, 1.0):
+            p, q = stretch(hit[lo:hi], need)
             p, q = p + lo, q + lo
             if q - p < least:
                 break
-            r, s = stretch(np.isin(x, y[p:q]), penalty)
+            r, s = stretch(np.isin(x, y[p:q]), need)
             u, v = np.unique(x[r:s]), np.unique(y[p:q])
             both = len(np.intersect1d(u, v, assume_unique=True))
             jaccard = both / max(1, len(u) + len(v) - both)
