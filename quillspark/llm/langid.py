@@ -66,13 +66,17 @@ def automaton(text: str) -> tuple[list[dict[str, int]], list[int]]:
 
 
 def table(text: str, column: dict[str, int], width: int) -> np.ndarray:
-    """Dense steps, state-major: next state * 2, plus 1 if a phrase ends before the character."""
+    """Dense steps, state-major: next state * 2, plus 1 if the character starts a phrase.
+
+    A character that the sample lacks is a phrase of its own and leads back to the root.
+    """
     nxt, _ = automaton(text)
     out = np.full((len(nxt), width), -1, np.int32)
     for s, edges in enumerate(nxt):
         for c, t in edges.items():
             out[s, column[c]] = t * 2
     root = np.where(out[0] >= 0, out[0] | 1, 1)
+    out[0] = root
     missing = out < 0
     out[missing] = np.broadcast_to(root, out.shape)[missing]
     return out.reshape(-1)
@@ -123,13 +127,13 @@ class Model:
         live = np.searchsorted(-size, -np.arange(SEGMENT), side="left")  # lanes longer than step
         for g, steps in enumerate(self.tables):
             state = np.zeros(len(pieces), np.int32)
-            ended = np.zeros(len(pieces), np.int32)
+            begun = np.zeros(len(pieces), np.int32)
             for t in range(int(size[0])):
                 n = live[t]
                 x = np.take(steps, state[:n] * self.width + lanes[t, :n])
-                ended[:n] += x & 1
+                begun[:n] += x & 1
                 np.right_shift(x, 1, out=state[:n])
-            np.add.at(out[:, g], owner, ended + 1)
+            np.add.at(out[:, g], owner, begun)
         return out
 
     def predict(self, texts: list[str | None], batch_chars: int = 1 << 21) -> list[tuple[str, float]]:
@@ -234,6 +238,7 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     def language(text: pa.Array) -> pa.Array:
         return pa.array([x[0] for x in shared.value.predict(text.to_pylist())], pa.string())
 
+    language = language.asNondeterministic()  # else the filter and the column would each call it
     rows = docs.withColumn("__lang", language("text")).where(F.col("__lang") != UNKNOWN)
     return rows.select(*[F.col("__lang").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
