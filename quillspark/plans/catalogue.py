@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from quillspark.functions import markup, normalize, ordering
 from quillspark.operators import joins, segments, structure
 from quillspark.session import ship
+from quillspark.sources import files, markers, rtf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -502,3 +503,104 @@ def q_annotations(spark, sf_dir):
 def q_markup_to_tei(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", markup.markup_to_tei(F.replace("text", F.lit(".\n"), F.lit(".\nZZZZ\n")), (F.col("doc_id") % 5 + 1).cast("int")).alias("body"))
+
+
+LINES = "l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line, len(string_split(text, chr(10))) AS n FROM documents)"
+
+
+def with_lines(spark, sf_dir, line):
+    """Documents whose ``content`` is their lines changed by ``line(text, number from 0)``."""
+    lines = F.transform(F.split("text", "\n", -1), line)
+    return table(spark, sf_dir, "documents").select(F.col("doc_id"), F.array_join(lines, "\n").alias("content"))
+
+
+def marked_documents(spark, sf_dir):
+    """Five lines to a page, each with its marker; every seventh line with a milestone."""
+    mark = lambda x, i: F.concat(F.lit("["), F.floor(i / 5 + 1).cast("string"), F.lit("a."), (i % 5 + 1).cast("string"), F.lit("]"), F.when(i % 7 == 0, F.concat(F.lit("{D"), (i + 1).cast("string"), F.lit("}"))).otherwise(""), x)
+    return with_lines(spark, sf_dir, mark)
+
+
+@query(f"WITH {LINES} SELECT doc_id, CAST((i - 1) // 5 + 1 AS BIGINT) AS page_seq, CAST((i - 1) // 5 + 1 AS VARCHAR) || 'a' AS folio, CAST((i - 1) % 5 + 1 AS VARCHAR) AS line_num, CASE WHEN (i - 1) % 7 = 0 THEN '{{D' || CAST(i AS VARCHAR) || '}}' ELSE '' END || line AS content FROM l")
+def q_marked_lines(spark, sf_dir):
+    return markers.marked_lines(marked_documents(spark, sf_dir)).select("doc_id", F.col("page_seq").cast("long"), "folio", "line_num", "content")
+
+
+@query(f"WITH {LINES} SELECT doc_id, 'D' || CAST(i AS VARCHAR) AS id, CAST((i - 1) // 5 + 1 AS VARCHAR) || 'a' AS folio, CAST((i - 1) % 5 + 1 AS VARCHAR) AS line FROM l WHERE (i - 1) % 7 = 0")
+def q_marked_milestones(spark, sf_dir):
+    return markers.milestones(markers.marked_lines(marked_documents(spark, sf_dir))).select("doc_id", "id", "folio", "line")
+
+
+@query(f"""WITH {LINES}, m AS (SELECT *, (i - 1) % 4 = 0 AS head, sum(CASE WHEN (i - 1) % 4 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS seq FROM l)
+SELECT doc_id, CAST(seq AS INT) AS seq, CAST((seq - 1) % 3 + 1 AS INT) AS level, max(CASE WHEN head THEN trim(replace(line, '#', '')) END) AS title,
+regexp_replace(coalesce(string_agg(replace(line, '#', ''), chr(10) ORDER BY i) FILTER (WHERE NOT head AND regexp_matches(replace(line, '#', ''), '\\S')), ''), '^\\s+|\\s+$', '', 'g') AS content FROM m GROUP BY doc_id, seq""".replace("\\\\", "\\"))
+def q_divisions(spark, sf_dir):
+    plain = lambda x: F.replace(x, F.lit("#"), F.lit(""))
+    head = lambda x, i: F.when(i % 4 == 0, F.concat(F.lit("#div"), (F.floor(i / 4) % 3 + 1).cast("string"), F.lit(" "), plain(x))).otherwise(plain(x))
+    return markers.divisions(with_lines(spark, sf_dir, head)).select("doc_id", "seq", "level", "title", "content")
+
+
+@query(f"""WITH {LINES}, c AS (SELECT *, sum(CASE WHEN line <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM l)
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(k + i - 2 AS INT) AS seq, '' AS type, line AS text, 12 AS size FROM c WHERE line <> ''
+UNION ALL SELECT CAST(doc_id AS VARCHAR), CAST(k + i - 1 AS INT), 'par_break', '', -1 FROM c WHERE i < n""")
+def q_rtf_runs(spark, sf_dir):
+    """Texts as word-processor files, with signs escaped and paragraphs for lines, and parsed again."""
+    text = F.regexp_replace(F.regexp_replace("text", r"([\\{}])", r"\\$1"), "\n", r"\\par ")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.concat(F.lit("{\\rtf1\\ansi\\f0\\fs24 "), text, F.lit("}")).cast("binary").alias("content"))
+    return rtf.runs(docs).select("doc_id", "seq", F.coalesce("type", F.lit("")).alias("type"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("font.size", F.lit(-1)).alias("size"))
+
+
+@query(f"""SELECT o_orderkey, CAST(o_orderkey % 97 + 1 AS VARCHAR) AS number, o_orderpriority AS title, CAST(o_orderkey % 500 AS VARCHAR) AS page FROM orders WHERE o_orderkey % 3 <> 0""")
+def q_toc_rows(spark, sf_dir):
+    key = F.col("o_orderkey")
+    tib = lambda c: markup.tibetan_digits(c.cast("string"))
+    entry = F.concat(tib(key % 97 + 1), F.lit("༽ "), F.col("o_orderpriority"), F.lit("་" * 7), tib(key % 500))
+    lines = table(spark, sf_dir, "orders").select(key.alias("folder"), F.when(key % 3 == 0, F.concat(F.lit("-- "), entry)).otherwise(entry).alias("line"))
+    return files.toc_rows(lines).select(F.col("folder").alias("o_orderkey"), "number", "title", "page")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 6 < 5 THEN CAST(o_orderkey % 6 + 1 AS INT) ELSE 0 END AS level, 'UT1ER' || CAST(o_custkey % 90 + 10 AS VARCHAR) || '_' || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 4, '0') AS ut_id, 'P' || CAST(o_orderkey AS VARCHAR) || '_B01' AS milestone FROM orders")
+def q_levels_and_ids(spark, sf_dir):
+    key = F.col("o_orderkey")
+    level = ordering.level_of([F.when(key % 6 == i, "X") for i in range(5)])
+    ve = F.concat(F.lit("VE1ER"), (F.col("o_custkey") % 90 + 10).cast("string"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", level.alias("level"), ordering.unit_id(ve, key % 1000).alias("ut_id"), ordering.milestone_id(key).alias("milestone"))
+
+
+@query("""WITH p AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+t AS (SELECT doc_id, len(list_filter(l, lambda x: regexp_matches(x, '\\S'))) <= 2 AS title_page, len(list_filter(l[2:], lambda x: contains(x, '@'))) > 0 AS mid_page FROM p)
+SELECT doc_id, CASE WHEN title_page THEN 'title' WHEN mid_page THEN 'corrected' ELSE 'review' END AS outcome FROM t""".replace("\\\\", "\\"))
+def q_ambiguous_triage(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    title, mid = structure.is_title_page(F.col("text")), structure.mid_page_start(F.col("text"), "@")
+    return docs.select("doc_id", F.when(title, "title").when(mid, "corrected").otherwise("review").alias("outcome"))
+
+
+@query("""WITH c AS (SELECT DISTINCT lang, unnest(string_split(text, '')) AS ch FROM documents)
+SELECT lang, string_agg(ch, '' ORDER BY ascii(ch)) AS signs FROM c WHERE ascii(ch) BETWEEN 33 AND 126 AND NOT regexp_matches(ch, '[A-Za-z0-9]') GROUP BY lang""")
+def q_ascii_signs(spark, sf_dir):
+    signs = F.array_distinct(F.regexp_extract_all("text", F.lit(r"[!-~&&[^A-Za-z0-9]]"), F.lit(0)))
+    rows = table(spark, sf_dir, "documents").select("lang", F.explode(signs).alias("ch")).distinct()
+    return rows.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list("ch")), "").alias("signs"))  # at most 32 signs
+
+
+@query(f"""WITH {LINES} SELECT doc_id, CAST((i - 1) // 6 AS INT) AS page_no, string_agg(line, chr(10) ORDER BY i) AS page FROM l GROUP BY doc_id, (i - 1) // 6""")
+def q_page_split(spark, sf_dir):
+    """A page break before every sixth line, and pages by looking ahead to it, without the break and its newline."""
+    docs = with_lines(spark, sf_dir, lambda x, i: F.when((i > 0) & (i % 6 == 0), F.concat(F.lit('<pb n="'), i.cast("string"), F.lit('"/>'), x)).otherwise(x))
+    pages = docs.select("doc_id", F.posexplode(F.split("content", r'\n(?=<pb n="\d+"/>)', -1)).alias("page_no", "page"))
+    return pages.withColumn("page", F.regexp_replace("page", r'^<pb n="\d+"/>', ""))
+
+
+@query("""SELECT doc_id, 'x<pb/>' || text || '<pb/>' AS text, 'x' || chr(10) || text AS joined FROM documents""")
+def q_pb_and_carriage_returns(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    numbered = F.concat(F.lit('x<pb n="1"/>'), F.col("text"), F.lit('<pb n="2"/>'))
+    return docs.select("doc_id", markup.strip_pb_numbers(numbered).alias("text"), markup.strip_leading_break(F.concat(F.lit("\nZZZZ\nx\n"), F.col("text"))).alias("joined"))
+
+
+@query("""WITH r AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k, l_quantity AS q FROM lineitem)
+SELECT l_orderkey, CAST(sum(q) AS BIGINT) AS pages, count(*) AS n_files, max(k) = count(*) AS complete FROM r GROUP BY l_orderkey""")
+def q_file_counts(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    rows = joins.ranked(lines, ["l_linenumber", "l_partkey", "l_suppkey"], ["l_orderkey"], "k")
+    return rows.groupBy("l_orderkey").agg(F.sum("l_quantity").cast("long").alias("pages"), F.count("*").alias("n_files"), (F.max("k") == F.count("*")).alias("complete"))

@@ -60,7 +60,7 @@ def digest_or_missing(wanted: DataFrame, files: DataFrame, missing: str = "FILE_
     return wanted.join(have, "path", "left").withColumn("sha256", F.coalesce("sha256", F.lit(missing)))
 
 
-def is_whole_volume(name: Column, base: str = "KAMA") -> Column:
+def is_whole_volume(name: Column, base: str) -> Column:
     return name.rlike(rf"(?i)^{base}-\d+\.(rtf|doc)$")
 
 
