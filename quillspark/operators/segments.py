@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quillspark.operators.joins import ranked
+
 TAG = r"<fs:(\d+)>"
 TSEG, SHAD, OPEN, CLOSE = "་", "།", "༼", "༽"
 SEGMENT = "struct<fs: int, content: string>"
@@ -169,6 +171,6 @@ def missing_profiles(docs: DataFrame, registry: DataFrame) -> DataFrame:
     """Size sets not in the registry, numbered on from its highest number: ``profile, sizes, n_docs``."""
     seen = docs.where(F.size("sizes") > 0).groupBy("sizes").agg(F.count("*").alias("n_docs"))
     new = seen.join(registry.select("sizes").distinct(), "sizes", "left_anti")
-    last = registry.agg(F.coalesce(F.max(F.regexp_extract("profile", r"(\d+)", 1).try_cast("int")), F.lit(0)).alias("last"))
-    w = Window.orderBy(F.desc("n_docs"), profile_key(F.col("sizes")))  # one row per unseen set: the registry's own scale
-    return new.withColumn("k", F.row_number().over(w)).crossJoin(F.broadcast(last)).select(F.format_string("profile%03d", F.col("k") + F.col("last")).alias("profile"), "sizes", "n_docs")
+    last = registry.agg(F.coalesce(F.max(F.regexp_extract("profile", r"(\d+)", 1).try_cast("int")), F.lit(0))).first()[0]  # one number
+    new = ranked(new.withColumn("_key", profile_key(F.col("sizes"))).withColumn("_few", -F.col("n_docs")), ["_few", "_key"], [], "k")
+    return new.select(F.format_string("profile%03d", F.col("k") + last).alias("profile"), "sizes", "n_docs")

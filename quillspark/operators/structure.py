@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from quillspark.functions.markup import strip_tags
 from quillspark.functions.ordering import milestone_id
+from quillspark.operators.joins import ranked
 
 PRECEDING = (Window.unboundedPreceding, -1)
 
@@ -19,10 +20,19 @@ def numeric(text: Column | str) -> Column:
 
 
 def boundary_pages(outline: DataFrame, order: str = "row_idx", by: list[str] | None = None) -> DataFrame:
-    """Rows whose end volume and page are the next row's start, after rows with other than numbers are gone."""
+    """Rows whose end volume and page are the next row's start, after rows with other than numbers are gone.
+
+    Without ``by`` the next row may be any: rows are then numbered by range partitions and joined to the
+    number after, so that no task gets them all.
+    """
     rows = outline.select("*", *[numeric(c).alias(f"_{c}") for c in ("vol_start", "vol_end", "img_start", "img_end")])
     rows = rows.where(reduce(lambda a, b: a & b, [F.col(f"_{c}").isNotNull() for c in ("vol_start", "vol_end", "img_start", "img_end")]))
-    w = Window.partitionBy(*(by or [])).orderBy(order)
+    if not by:
+        rows = ranked(rows, [order], [], "_n")
+        after = rows.select((F.col("_n") - 1).alias("_n"), F.col("_vol_start").alias("_v"), F.col("_img_start").alias("_i"))
+        rows = rows.join(after, "_n")
+        return rows.where("_vol_end = _v and _img_end = _i").select(F.col("_vol_end").alias("vol"), F.col("_img_end").alias("page")).distinct()
+    w = Window.partitionBy(*by).orderBy(order)
     hit = (F.col("_vol_end") == F.lead("_vol_start").over(w)) & (F.col("_img_end") == F.lead("_img_start").over(w))
     return rows.withColumn("_hit", hit).where("_hit").select(F.col("_vol_end").alias("vol"), F.col("_img_end").alias("page")).distinct()
 

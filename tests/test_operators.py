@@ -88,3 +88,12 @@ def test_job_totals(spark):
     rows = spark.createDataFrame([("a", "1", True, None), ("a", "2", False, "e2"), ("a", "3", False, "e3")], "ie_id string, doc_id string, ok boolean, error string")
     r = tei.job_totals(rows).first()
     assert (r["success"], r["failed"], r["first_errors"]) == (1, 2, ["e2", "e3"])
+
+
+def test_boundary_pages_over_all_rows(spark):
+    rows = [(0, "1", "1", "1", "5"), (1, "1", "1", "5", "9"), (2, "1", "x", "9", "9"), (3, "1", "2", "10", "3"), (4, "2", "2", "3", "8")]
+    outline = spark.createDataFrame(rows, "row_idx int, vol_start string, vol_end string, img_start string, img_end string")
+    want = {(1, 5), (2, 3)}
+    assert {tuple(r) for r in structure.boundary_pages(outline).collect()} == want
+    one = outline.withColumn("g", F.lit(1))
+    assert {tuple(r) for r in structure.boundary_pages(one, by=["g"]).collect()} == want
