@@ -20,6 +20,8 @@ from quillspark.llm import common
 
 #: Characters from which a text is pre-split.
 LONG = 1 << 16
+#: Characters up to which a part goes to the library's own matcher.
+PLAIN = 1 << 18
 #: A letter, then one space and a letter: every match of the pattern ends before that space.
 SAFE = regex.compile(r"(?<=\p{L})(?= \p{L})")
 
@@ -47,17 +49,22 @@ def parts(text: str, long: int = LONG):
     yield text[at:]
 
 
+def by_pieces(enc, pattern: str, text: str) -> list[int]:
+    """Ids of each match of the pattern by itself; the library's own matcher overflows on long runs of white space."""
+    return [i for m in regex.finditer(pattern, text) for i in enc._encode_single_piece(m[0])]
+
+
 def encode(enc, pattern: str, text: str, long: int = LONG) -> np.ndarray:
     """Ids of the whole text; where the library's matcher gives up, the pattern is matched by ``regex``."""
     out = []
     for part in parts(text, long):
         try:
-            out.append(np.asarray(enc.encode_ordinary(part), "<u4"))
-        except (ValueError, BaseException) as e:
-            if isinstance(e, (KeyboardInterrupt, MemoryError, SystemExit)):
+            ids = enc.encode_ordinary(part) if len(part) <= PLAIN else by_pieces(enc, pattern, part)
+        except BaseException as e:  # the library's panics derive from no narrower class
+            if isinstance(e, (KeyboardInterrupt, MemoryError, SystemExit, GeneratorExit)):
                 raise
-            ids = [i for m in regex.finditer(pattern, part) for i in enc.encode_single_piece(m[0])]
-            out.append(np.asarray(ids, "<u4"))
+            ids = by_pieces(enc, pattern, part)
+        out.append(np.asarray(ids, "<u4"))
     return np.concatenate(out) if out else np.zeros(0, "<u4")
 
 

@@ -71,6 +71,16 @@ def test_codec_cuts_only_at_safe_boundaries():
     assert list(bpe.parts("", 5)) == [""]
 
 
+def test_codec_of_long_runs():
+    enc = bpe.encoder(tok.path("byte_bpe_multi_50k.tiktoken"), tok.PATTERN)
+    r = random.Random(8)
+    for t in (" " * 400_000, "x" + "\n" * 400_000 + "y", "a" * 300_000, "." * 300_000):
+        assert enc.decode_bytes(bpe.encode(enc, tok.PATTERN, t).tolist()) == t.encode()
+    for _ in range(200):
+        t = "".join(r.choice("ab  .'s1\né中\t") for _ in range(150))
+        assert bpe.by_pieces(enc, tok.PATTERN, t) == enc.encode_ordinary(t)
+
+
 def test_codec_of_an_empty_table(spark):
     path = tok.path("byte_bpe_multi_50k.tiktoken")
     assert bpe.bpe_round_trip(docs_of(spark, ["a"]).limit(0), path, tok.PATTERN).count() == 0
