@@ -29,7 +29,10 @@ CROWD = 2048
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
-    """``vec_id, label, cid, dim, vec`` per row; cid null where a vector can't link (see near_vectors)."""
+    """``vec_id, label, cid, dim, vec`` per row; cid null where a vector can't link (see near_vectors).
+
+    Labels of any type become hashes.
+    """
     wide = "double" in rows.schema["embedding"].dataType.simpleString()
     kind = np.float64 if wide else np.float32
 
@@ -41,7 +44,7 @@ def classes_of(rows: DataFrame) -> DataFrame:
                 x = np.array(e, np.float64) if ok else None
                 if ok and np.isfinite(x).all() and x.any():
                     raw = x.astype(kind).tobytes()
-                    cid.append(xxhash.xxh3_64_intdigest(raw, label & 0xFFFFFFFF) - (1 << 63))
+                    cid.append(xxhash.xxh3_64_intdigest(label.to_bytes(8, "little", signed=True) + raw) - (1 << 63))
                     dim.append(len(x))
                     vec.append(raw)
                 else:
@@ -50,7 +53,7 @@ def classes_of(rows: DataFrame) -> DataFrame:
                     vec.append(None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(cid, pa.int64()), pa.array(dim, pa.int32()), pa.array(vec, pa.binary())], ["vec_id", "label", "cid", "dim", "vec"])
 
-    out = rows.select(F.col("vec_id").cast("long"), "embedding", F.col("label").cast("long"))
+    out = rows.select(F.col("vec_id").cast("long"), "embedding", F.when(F.col("label").isNotNull(), F.xxhash64("label")).alias("label"))
     return out.mapInArrow(work, "vec_id long, label long, cid long, dim int, vec binary")
 
 
