@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,6 +16,15 @@ TSEG, SHAD, OPEN, CLOSE = "་", "།", "༼", "༽"
 SEGMENT = "struct<fs: int, content: string>"
 
 
+#: Segments from which folding goes through Python: folds over arrays copy what they have at each step.
+MANY = 2000
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, not wherever a lambda mentions it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def segments(text: Column) -> Column:
     """``array<struct<fs, content>>`` in order; text before the first tag has fs null; empty contents go."""
     parts = F.split(text, r"<fs:(?=\d+>)", -1)
@@ -39,13 +51,8 @@ def simplify(text: Column) -> Column:
     """Text with fewer size tags: a lone opening bracket takes the next size, a closing one stays with what is
     before it, segments without a separator merge backwards, neighbours of one size merge.
     """
-    segs = segments(text)
     empty = F.array().cast(f"array<{SEGMENT}>")
 
-    marked = F.transform(segs, lambda s, i: F.struct(s["fs"].alias("fs"), s["content"].alias("content"), (i == F.size(segs) - 1).alias("last")))
-    start = F.struct(empty.alias("done"), F.lit(False).alias("waits"))
-    brackets = F.aggregate(marked, start, _bracket, lambda st: st["done"])
-
     def backwards(acc: Column, s: Column) -> Column:
         apart = s["content"].contains(TSEG) | s["content"].contains(SHAD) | s["content"].endswith(CLOSE)
         first = F.size(acc) == 0
@@ -57,9 +64,55 @@ def simplify(text: Column) -> Column:
         same = (F.size(acc) > 0) & _last(acc)["fs"].eqNullSafe(s["fs"])
         return F.when(same, _replace_last(acc, s["fs"], F.concat(_last(acc)["content"], s["content"]))).otherwise(_append(acc, s))
 
-    merged = F.aggregate(F.aggregate(brackets, empty, backwards), empty, equal_sizes)
-    out = F.array_join(F.transform(merged, lambda s: F.concat(F.when(s["fs"].isNull(), "").otherwise(F.concat(F.lit("<fs:"), s["fs"].cast("string"), F.lit(">"))), s["content"])), "")
-    return F.when(F.size(segs) == 0, text).otherwise(out)
+    def folded(segs: Column) -> Column:
+        marked = F.transform(segs, lambda s, i: F.struct(s["fs"].alias("fs"), s["content"].alias("content"), (i == F.size(segs) - 1).alias("last")))
+        start = F.struct(empty.alias("done"), F.lit(False).alias("waits"))
+        brackets = F.aggregate(marked, start, _bracket, lambda st: st["done"])
+        merged = F.aggregate(F.aggregate(brackets, empty, backwards), empty, equal_sizes)
+        return F.array_join(F.transform(merged, lambda s: F.concat(F.when(s["fs"].isNull(), "").otherwise(F.concat(F.lit("<fs:"), s["fs"].cast("string"), F.lit(">"))), s["content"])), "")
+
+    @F.arrow_udf("string")
+    def by_python(x: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else simplified(t) for t in x.to_pylist()], pa.string())
+
+    tags = F.regexp_count(text, F.lit(TAG))
+    long = by_python(F.when(tags > MANY, text))
+    return F.when(tags > MANY, long).otherwise(F.coalesce(_let(segments(text), lambda segs: F.when(F.size(segs) > 0, folded(segs))), text))
+
+
+def simplified(text: str) -> str:
+    """The same for one text in Python, in one pass for each rule."""
+    parts = re.split(TAG, text)
+    segs = [(int(parts[i - 1]) if i else None, parts[i]) for i in range(0, len(parts), 2) if parts[i]]
+    if not segs:
+        return text
+    done: list[list] = []
+    waits = False
+    for i, (fs, content) in enumerate(segs):
+        if waits:
+            done.append([fs, [OPEN, content]])
+            waits = False
+        elif content == OPEN and i + 1 < len(segs):
+            waits = True
+        elif content.startswith(CLOSE) and done:
+            done[-1][1].append(content)
+        else:
+            done.append([fs, [content]])
+    merged: list[list] = []
+    for fs, held in done:
+        content = "".join(held)
+        apart = TSEG in content or SHAD in content or content.endswith(CLOSE)
+        if not apart and merged:
+            merged[-1][1].append(content)
+        else:
+            merged.append([fs if apart or content.strip() else None, [content]])
+    out, last = [], object()
+    for fs, held in merged:
+        if fs != last and fs is not None:
+            out.append(f"<fs:{fs}>")
+        last = fs
+        out += held
+    return "".join(out)
 
 
 def _bracket(state: Column, s: Column) -> Column:
@@ -140,21 +193,43 @@ def apply_size_markup(text: Column, classes: Column) -> Column:
     Spaces beside a tag move out of the element, an element ends before a page break and opens again after
     it, and empty elements go.
     """
-    segs = segments(text)
-    kinds = F.transform(segs, lambda s: F.struct(F.when(s["fs"].isNull(), "regular").otherwise(F.coalesce(F.try_element_at(classes, s["fs"]), F.lit("regular"))).alias("k"), s["content"].alias("c")))
-    islands = F.aggregate(
-        F.transform(kinds, lambda s: F.struct(F.when(s["k"].isin("large", "small"), s["k"]).otherwise("regular").alias("k"), s["c"].alias("c"))),
-        F.array().cast("array<struct<k: string, c: string>>"),
-        lambda acc, s: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["k"] == s["k"]), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(s["k"].alias("k"), F.concat(F.element_at(acc, -1)["c"], s["c"]).alias("c"))))).otherwise(F.concat(acc, F.array(s))),
-    )
-    made = F.array_join(F.transform(islands, lambda s: F.when(s["k"] == "regular", s["c"]).otherwise(F.concat(F.lit("<"), s["k"], F.lit(">"), s["c"], F.lit("</"), s["k"], F.lit(">")))), "")
-    for pattern, to in ((r"(<(?:large|small)>)(\s)", "$2$1"), (r"(\s)(</(?:large|small)>)", "$2$1"), ("(<(?:large|small)>)(ZZZZ)", "$2$1"), ("(ZZZZ)(</(?:large|small)>)", "$2$1")):
-        made = F.regexp_replace(made, pattern, to)
-    # a page break with an element open: the next tag after it closes one
-    for kind in ("large", "small"):
-        made = F.regexp_replace(made, f"ZZZZ(?=(?:(?!</?(?:large|small)>)[\\s\\S])*</{kind}>)", f"</{kind}>ZZZZ<{kind}>")
+    def kind(s: Column) -> Column:
+        known = F.when(s["fs"].isNull(), "regular").otherwise(F.coalesce(F.try_element_at(classes, s["fs"]), F.lit("regular")))
+        return F.struct(F.when(known.isin("large", "small"), known).otherwise("regular").alias("k"), s["content"].alias("c"))
+
+    def islands(kinds: Column) -> Column:
+        """Runs of one class, found by where they start, so that nothing is copied twice."""
+        n = F.size(kinds)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(kinds, i)["k"] != F.get(kinds, i - 1)["k"]))
+        return _let(starts, lambda st: F.transform(st, lambda a, j: F.struct(F.get(kinds, a)["k"].alias("k"), F.array_join(F.transform(F.slice(kinds, a + 1, F.coalesce(F.get(st, j + 1), n) - a), lambda s: s["c"]), "").alias("c"))))
+
+    def outside(x: Column) -> Column:
+        """One space, then one page break, on either side of an element's text."""
+        head = F.regexp_extract(x["c"], r"(?U)^\s", 0)
+        x1 = F.struct(x["k"].alias("k"), head.alias("a"), F.substr(x["c"], F.length(head) + 1).alias("c"))
+        return x1
+
+    def closed(x: Column) -> Column:
+        tail = F.regexp_extract(x["c"], r"(?U)\s\z", 0)
+        return F.struct(x["k"].alias("k"), x["a"].alias("a"), F.left(x["c"], F.length(x["c"]) - F.length(tail)).alias("c"), tail.alias("z"))
+
+    def paged(x: Column) -> Column:
+        head = F.when(x["c"].startswith("ZZZZ"), "ZZZZ").otherwise("")
+        rest = F.substr(x["c"], F.length(head) + 1)
+        tail = F.when(rest.endswith("ZZZZ"), "ZZZZ").otherwise("")
+        return F.struct(x["k"].alias("k"), F.concat(x["a"], head).alias("a"), F.left(rest, F.length(rest) - F.length(tail)).alias("c"), F.concat(tail, x["z"]).alias("z"))
+
+    def element(x: Column) -> Column:
+        start, end = F.concat(F.lit("<"), x["k"], F.lit(">")), F.concat(F.lit("</"), x["k"], F.lit(">"))
+        return F.concat(x["a"], start, F.replace(x["c"], F.lit("ZZZZ"), F.concat(end, F.lit("ZZZZ"), start)), end, x["z"])
+
+    def written(x: Column) -> Column:
+        chain = _let(outside(x), lambda p: _let(closed(p), lambda q: _let(paged(q), element)))
+        return F.when(x["k"] == "regular", x["c"]).otherwise(chain)
+
+    made = _let(F.transform(segments(text), kind), lambda kinds: F.when(F.size(kinds) > 0, F.array_join(F.transform(islands(kinds), written), "")))
     made = F.regexp_replace(F.regexp_replace(made, "<large></large>", ""), "<small></small>", "")
-    return F.when(F.size(segs) == 0, text).otherwise(made)
+    return F.coalesce(made, text)
 
 
 def profile_key(sizes: Column) -> Column:
