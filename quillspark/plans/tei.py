@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillspark.functions import markup, normalize
 from quillspark.operators import segments, structure
+from quillspark.session import ship
 from quillspark.sources import markers, rtf
 
 
@@ -97,6 +101,14 @@ def rtf_tei(files: DataFrame, dialect: str = "v2", legacy_table: dict | None = N
     return out.select("ie_id", "ve_id", "ut_id", F.concat(F.lit("archive/"), F.col("ve_id"), F.lit("/"), F.col("ut_id"), F.lit(".xml")).alias("path"), tei.alias("content")), issues
 
 
+def _simplify_and_compose(batches):
+    """Both steps that need Python in one pass: Spark can't always plan one such function over another."""
+    for batch in batches:
+        k = batch.schema.get_field_index("text")
+        made = [None if t is None else unicodedata.normalize("NFC", segments.simplified(t)) for t in batch.column(k).to_pylist()]
+        yield batch.set_column(k, batch.schema.field(k), pa.array(made, batch.schema.field(k).type))
+
+
 def sized_text_tei(docs: DataFrame, registry: DataFrame, blanks: DataFrame | None = None, ra_rule: str = "A", mode: str = "intended") -> tuple[DataFrame, DataFrame]:
     """From ``doc_id, vol, ord, text`` (size tags and ZZZZ): ``doc_id, vol, page_start, body``, and issues.
 
@@ -104,18 +116,22 @@ def sized_text_tei(docs: DataFrame, registry: DataFrame, blanks: DataFrame | Non
     drop trailing blank pages (``blanks(doc_id, blanks)``, default 0), number pages through the volume, to TEI.
     Texts without a profile are skipped with an issue; texts without sizes pass.
     """
-    rows = docs.withColumn("text", normalize.normalize_text(segments.simplify(F.col("text")), ra_rule=ra_rule))
+    ship(docs.sparkSession)
+    rows = docs.mapInArrow(_simplify_and_compose, docs.schema)
+    rows = rows.withColumn("text", normalize.normalize_text(F.col("text"), ra_rule=ra_rule, composed=True))
     rows = rows.withColumn("sizes", segments.size_set(F.col("text")))
     rows = segments.match_profiles(rows, registry).join(registry.select("profile", "classes"), "profile", "left")
     lost = (F.size("sizes") > 0) & F.col("profile").isNull()
-    issues = rows.where(lost).select("doc_id", F.lit("NO_PROFILE").alias("code"), segments.profile_key(F.col("sizes")).alias("detail"))
-    rows = rows.where(~lost).withColumn("text", segments.apply_size_markup(F.col("text"), F.coalesce("classes", F.create_map().cast("map<int, string>"))))
+    rows = rows.withColumn("lost", lost).withColumn("text", segments.apply_size_markup(F.col("text"), F.coalesce("classes", F.create_map().cast("map<int, string>"))))
     if blanks is not None:
         rows = rows.join(blanks.select("doc_id", "blanks"), "doc_id", "left")
     n = F.coalesce("blanks", F.lit(0)) if blanks is not None else F.lit(0)
     text, bad = markup.trim_trailing_pages(F.col("text"), n)
     rows = rows.withColumn("bad", bad).withColumn("text", text)
-    issues = issues.unionByName(rows.select("doc_id", F.lit("TRAILING_PAGES").alias("code"), F.explode("bad").alias("detail")))
+    no_profile = F.array(F.struct(F.lit("NO_PROFILE").alias("code"), segments.profile_key(F.col("sizes")).alias("detail")))
+    found = F.when(F.col("lost"), no_profile).otherwise(F.transform("bad", lambda x: F.struct(F.lit("TRAILING_PAGES").alias("code"), x.alias("detail"))))
+    issues = rows.select("doc_id", F.inline(found))
+    rows = rows.where("not lost")
     pages = F.size(F.split(markup.strip_leading_break(F.col("text")), "ZZZZ", -1))
     rows = rows.withColumn("pages", pages.cast("long"))
     rows = structure.running_start(rows, ["vol"], ["ord"], "pages", F.when(F.col("vol") == 1, 6).otherwise(4), mode)
