@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quillspark.functions.normalize import let
 from quillspark.operators.joins import ranked
 
 TAG = r"<fs:(\d+)>"
@@ -20,11 +21,6 @@ SEGMENT = "struct<fs: int, content: string>"
 MANY = 2000
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is evaluated once, not wherever a lambda mentions it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def segments(text: Column) -> Column:
     """``array<struct<fs, content>>`` in order; text before the first tag has fs null; empty contents go."""
     parts = F.split(text, r"<fs:(?=\d+>)", -1)
@@ -77,7 +73,7 @@ def simplify(text: Column) -> Column:
 
     tags = F.regexp_count(text, F.lit(TAG))
     long = by_python(F.when(tags > MANY, text))
-    return F.when(tags > MANY, long).otherwise(F.coalesce(_let(segments(text), lambda segs: F.when(F.size(segs) > 0, folded(segs))), text))
+    return F.when(tags > MANY, long).otherwise(F.coalesce(let(segments(text), lambda segs: F.when(F.size(segs) > 0, folded(segs))), text))
 
 
 def simplified(text: str) -> str:
@@ -201,7 +197,7 @@ def apply_size_markup(text: Column, classes: Column) -> Column:
         """Runs of one class, found by where they start, so that nothing is copied twice."""
         n = F.size(kinds)
         starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(kinds, i)["k"] != F.get(kinds, i - 1)["k"]))
-        return _let(starts, lambda st: F.transform(st, lambda a, j: F.struct(F.get(kinds, a)["k"].alias("k"), F.array_join(F.transform(F.slice(kinds, a + 1, F.coalesce(F.get(st, j + 1), n) - a), lambda s: s["c"]), "").alias("c"))))
+        return let(starts, lambda st: F.transform(st, lambda a, j: F.struct(F.get(kinds, a)["k"].alias("k"), F.array_join(F.transform(F.slice(kinds, a + 1, F.coalesce(F.get(st, j + 1), n) - a), lambda s: s["c"]), "").alias("c"))))
 
     def outside(x: Column) -> Column:
         """One space, then one page break, on either side of an element's text."""
@@ -224,10 +220,10 @@ def apply_size_markup(text: Column, classes: Column) -> Column:
         return F.concat(x["a"], start, F.replace(x["c"], F.lit("ZZZZ"), F.concat(end, F.lit("ZZZZ"), start)), end, x["z"])
 
     def written(x: Column) -> Column:
-        chain = _let(outside(x), lambda p: _let(closed(p), lambda q: _let(paged(q), element)))
+        chain = let(outside(x), lambda p: let(closed(p), lambda q: let(paged(q), element)))
         return F.when(x["k"] == "regular", x["c"]).otherwise(chain)
 
-    made = _let(F.transform(segments(text), kind), lambda kinds: F.when(F.size(kinds) > 0, F.array_join(F.transform(islands(kinds), written), "")))
+    made = let(F.transform(segments(text), kind), lambda kinds: F.when(F.size(kinds) > 0, F.array_join(F.transform(islands(kinds), written), "")))
     made = F.regexp_replace(F.regexp_replace(made, "<large></large>", ""), "<small></small>", "")
     return F.coalesce(made, text)
 
