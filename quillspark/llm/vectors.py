@@ -5,7 +5,7 @@ learn rotations whose signs are balanced binary codes. Each code is split into s
 with the label is one index table. Vectors that share an entry of any table are compared by cosine of
 the original vectors in double precision, and a linked pair counts in the first table where it meets.
 Substring length follows the number of classes, so entries keep their size; the number of tables
-follows from the chance that a pair at the threshold agrees on a substring. An entry with more than
+follows from the chance that a pair at the threshold agrees on a substring, tried on sampled pairs. An entry with more than
 ``CROWD`` classes is dealt into chunks, and every pair of chunks is one bounded tile.
 """
 
@@ -25,6 +25,8 @@ from quillspark.llm import common
 SAMPLE = 20_000
 #: Chance that a pair right at the threshold meets in no table.
 MISS = 0.005
+#: Sampled pairs that the number of tables is tried on.
+PROBES = 2000
 CROWD = 2048
 
 
@@ -67,45 +69,79 @@ def unit(raw: list[bytes], kind, width: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
-def learn(x: np.ndarray, rotations: int, rounds: int = 30, seed: int = 7) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Mean, and projections (PCA times a learned rotation) whose signs are the codes."""
-    mean = x.mean(0)
+def learn(x: np.ndarray, mean: np.ndarray, rounds: int = 30, seed: int = 7):
+    """Projections (PCA times a learned rotation), one after another, whose signs are the codes."""
     c = x - mean
     _, axes = np.linalg.eigh(c.T @ c)
     v = c @ axes
     rng = np.random.default_rng(seed)
-    out = []
-    for _ in range(rotations):
+    while True:
         r, _ = np.linalg.qr(rng.standard_normal((x.shape[1], x.shape[1])))
         for _ in range(rounds):
             b = np.where(v @ r >= 0, 1.0, -1.0)
             left, _, right = np.linalg.svd(b.T @ v)
             r = (left @ right).T
-        out.append(axes @ r)
-    return mean, out
+        yield axes @ r
 
 
 def plan(n: int, width: int, threshold: float, miss: float = MISS) -> tuple[int, int]:
-    """Bits of a substring and number of tables for n classes."""
+    """Bits of a substring and least number of tables for n classes: what vectors without a common direction need."""
     bits = min(width, 30, max(4, round(math.log2(max(n, 2))) - 4))
     agree = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(miss) / math.log(1 - agree)))
 
 
+def probes(x: np.ndarray, threshold: float, seed: int = 8) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs right at the threshold: a sampled vector turned towards another sampled one, and in any direction."""
+    rng = np.random.default_rng(seed)
+    a = x[rng.permutation(len(x))[:PROBES]]
+    out = []
+    for side in (x[rng.integers(0, len(x), len(a))], rng.standard_normal(a.shape)):
+        side = side - (side * a).sum(1, keepdims=True) * a
+        size = np.linalg.norm(side, axis=1)
+        ok = size > 1e-6
+        if ok.any():
+            out.append((a[ok], threshold * a[ok] + math.sqrt(1 - threshold**2) * side[ok] / size[ok, None]))
+    return out
+
+
 class Codes:
-    def __init__(self, sample: np.ndarray, n: int, threshold: float):
+    """Projections for as many tables as the probes need to meet.
+
+    Centring widens the angles of vectors that share a direction, so tables are added until probes at the
+    threshold meet. Where that takes more rows than tiles of all pairs would, one entry holds everything.
+    """
+
+    def __init__(self, sample: np.ndarray, n: int, threshold: float, crowd: int):
         self.bits, self.tables = plan(n, sample.shape[1], threshold)
-        per = max(1, sample.shape[1] // self.bits)
-        self.mean, self.maps = learn(sample, -(-self.tables // per))
-        self.per = per
+        self.per = max(1, sample.shape[1] // self.bits)
+        self.mean, self.maps = sample.mean(0), []
+        most = max(self.tables, 4 * math.ceil(n / crowd))
+        pairs = probes(sample, threshold)
+        apart = [np.ones(len(x), bool) for x, _ in pairs]
+        done = 0
+        for m in learn(sample, self.mean):
+            self.maps.append(m)
+            for k, (x, y) in enumerate(pairs):
+                p, q = self.pieces(x, m), self.pieces(y, m)
+                apart[k] &= (p != q)[:, : max(0, self.tables - done)].all(1)
+            done += self.per
+            if done < self.tables:
+                continue
+            if all(a.mean() <= 2 * MISS for a in apart):  # twice: room for chance in the probes
+                break
+            if self.tables >= most:
+                self.bits, self.tables, self.per, self.maps = 0, 1, 1, [m]
+                break
+            self.tables = min(most, done + self.per)
+
+    def pieces(self, x: np.ndarray, m: np.ndarray) -> np.ndarray:
+        bit, power = (x - self.mean) @ m >= 0, 1 << np.arange(self.bits)
+        return np.stack([bit[:, i * self.bits : (i + 1) * self.bits] @ power for i in range(self.per)], 1)
 
     def substrings(self, x: np.ndarray) -> np.ndarray:
         """A row per vector and a column per table."""
-        out, power = [], 1 << np.arange(self.bits)
-        for m in self.maps:
-            bit = (x - self.mean) @ m >= 0
-            out += [bit[:, i * self.bits : (i + 1) * self.bits] @ power for i in range(self.per)]
-        return np.stack(out[: self.tables], 1).astype(np.int32)
+        return np.concatenate([self.pieces(x, m) for m in self.maps], 1)[:, : self.tables].astype(np.int32)
 
 
 def near_vectors(rows: DataFrame, threshold: float = 0.93, crowd: int = CROWD) -> DataFrame:
@@ -124,7 +160,7 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93, crowd: int = CROWD) -
     if not n:
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     sample = [r["vec"] for r in classes.select("cid", "vec").orderBy(F.xxhash64("cid")).limit(SAMPLE).collect()]
-    codes = Codes(unit([bytes(r) for r in sample], kind, width), n, threshold)
+    codes = Codes(unit([bytes(r) for r in sample], kind, width), n, threshold, crowd)
     shared = spark.sparkContext.broadcast(codes)
 
     def coded(batches):

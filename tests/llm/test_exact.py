@@ -366,6 +366,21 @@ def test_vector_recall_on_hard_pairs(spark):
     assert got.where("n_links > 0").count() >= 0.9 * 1200
 
 
+@pytest.mark.parametrize("crowd", [2048, 8])
+def test_vector_recall_with_a_common_direction(spark, crowd):
+    r = np.random.default_rng(6)
+    x = np.sqrt(0.8) * np.eye(64)[0] + np.sqrt(0.2 / 63) * r.standard_normal((600, 64)) * (np.arange(64) > 0)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = np.roll(x, 1, axis=0)
+    side -= (side * x).sum(1, keepdims=True) * x
+    y = 0.935 * x + (1 - 0.935**2) ** 0.5 * side / np.linalg.norm(side, axis=1, keepdims=True)
+    every = np.concatenate((x, y))
+    want = (every @ every.T >= 0.93).sum(1) - 1
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(every)], "vec_id long, embedding array<double>, label int")
+    got = {q["vec_id"]: q["n_links"] for q in vectors.near_vectors(table, crowd=crowd).collect()}
+    assert all(got[i] <= n for i, n in enumerate(want)) and sum(got.values()) >= 0.97 * want.sum()
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (7, 7), (9, 8), (3, 1), (10, 11), (11, 12), (12, 13), (13, 14)] + [(100, k) for k in range(101, 160)]
     got = {r["node"]: r["root"] for r in common.components(spark.createDataFrame(edges, "u long, v long")).collect()}
