@@ -2,9 +2,11 @@
 
 A bounded sample of labelled text per language becomes one suffix automaton (an automaton of all its
 substrings). A text is parsed greedily into the longest phrases that the automaton knows; the language
-that needs the fewest phrases, normalised by the phrase's cost log2(sample length), wins. The automata
-are dense tables of next states in which a missing transition restarts at the root and counts a phrase,
-so that a batch of texts is parsed in lockstep with array operations. Texts are cut into segments of
+that codes the text in the fewest bits wins: a phrase costs log2 of the language's own sample length and
+its length in Elias gamma code (by the mean phrase), a character that the sample lacks costs LITERAL bits.
+Each language has its own alphabet. The automata are tables of next states, dense ones for small alphabets
+and sorted transitions for large ones, in which a missing transition restarts at the root and counts a
+phrase, so that a batch of texts is parsed in lockstep with array operations. Texts are cut into segments of
 ``SEGMENT`` characters that are parsed one by one (one more phrase for each, in every language); all
 segments of a text count.
 """
@@ -19,10 +21,12 @@ from pyspark.sql.window import Window
 
 from quillspark.llm import common
 
-#: Bounds of the fit: documents and characters per language, characters in all, characters of a document (from a hashed offset), languages.
-SAMPLE_DOCS, SAMPLE_CHARS, TOTAL_CHARS, DOC_CHARS, LANGUAGES = 300, 60_000, 400_000, 2_000, 64
-#: Letters that have their own column in the tables; all others share one.
-ALPHABET = 62
+#: Bounds of the fit: documents and characters per language, characters in all (of which each language may have DOC_CHARS at least), characters of a document (from a hashed offset).
+SAMPLE_DOCS, SAMPLE_CHARS, TOTAL_CHARS, DOC_CHARS = 300, 60_000, 400_000, 2_000
+#: Columns of the widest dense table; languages with more characters have sorted transitions.
+DENSE = 96
+#: Bits of a character that a sample lacks.
+LITERAL = 20
 SEGMENT = 1024
 UNKNOWN = "und"
 
@@ -65,76 +69,93 @@ def automaton(text: str) -> tuple[list[dict[str, int]], list[int]]:
     return nxt, length
 
 
-def table(text: str, column: dict[str, int], width: int) -> np.ndarray:
-    """Dense steps, state-major: next state * 2, plus 1 if the character starts a phrase.
+class Table:
+    """Steps of a language: next state * 2, plus 1 if the character starts a phrase.
 
-    A character that the sample lacks is a phrase of its own and leads back to the root.
+    A character that the sample lacks (the last column) is a phrase of its own and leads back to the root.
     """
-    nxt, _ = automaton(text)
-    out = np.full((len(nxt), width), -1, np.int32)
-    for s, edges in enumerate(nxt):
-        for c, t in edges.items():
-            out[s, column[c]] = t * 2
-    root = np.where(out[0] >= 0, out[0] | 1, 1)
-    out[0] = root
-    missing = out < 0
-    out[missing] = np.broadcast_to(root, out.shape)[missing]
-    return out.reshape(-1)
+
+    def __init__(self, text: str):
+        nxt, _ = automaton(text)
+        self.size = len(text)
+        self.column = {c: i for i, c in enumerate(sorted(set(text)))}
+        self.width = len(self.column) + 1
+        state = np.repeat(np.arange(len(nxt)), [len(e) for e in nxt])
+        column = np.array([self.column[c] for e in nxt for c in e], np.int64)
+        target = np.array([t for e in nxt for t in e.values()], np.int32) * 2
+        self.root = np.ones(self.width, np.int32)
+        self.root[column[state == 0]] = target[state == 0] | 1
+        self.steps = self.keys = None
+        key = state * self.width + column
+        if self.width <= DENSE:
+            self.steps = np.tile(self.root, len(nxt))
+            self.steps[key[state > 0]] = target[state > 0]
+        else:
+            by = np.argsort(key[state > 0])
+            self.keys, self.targets = key[state > 0][by], target[state > 0][by]
+
+    def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        if self.steps is not None:
+            return np.take(self.steps, state * self.width + column)
+        key = state.astype(np.int64) * self.width + column
+        at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+        return np.where(self.keys[at] == key, self.targets[at], self.root[column]) if len(self.keys) else self.root[column]
 
 
 class Model:
-    """Automata of the languages, with the alphabet that they share."""
+    """Automata of the languages; every character of any sample has a code of its own, all others share one."""
 
     def __init__(self, texts: dict[str, str]):
-        size = min(map(len, texts.values())) if texts else 0
-        texts = {k: v[:size] for k, v in sorted(texts.items())}  # equal lengths: phrase costs compare
-        count: dict[str, int] = {}
-        for text in texts.values():
-            for c in text:
-                count[c] = count.get(c, 0) + 1
-        common_ones = sorted(count, key=lambda c: (-count[c], c))[:ALPHABET]
-        self.column = {c: i for i, c in enumerate(common_ones)}
-        self.width = len(common_ones) + 1
-        rest = self.width - 1
-        for c in count:
-            self.column.setdefault(c, rest)
-        folded = {k: "".join(c if self.column[c] != rest else "\0" for c in v) for k, v in texts.items()}
-        column = dict(self.column) | {"\0": rest}
+        texts = {k: v for k, v in sorted(texts.items()) if v}
         self.languages = list(texts)
-        self.tables = [table(folded[k], column, self.width) for k in self.languages]
-        self.phrase_bits = float(np.log2(max(size, 2)))
-        lookup = np.full(0x110000, rest, np.uint8)
-        for c, i in self.column.items():
-            lookup[ord(c)] = i
-        self.lookup = lookup
+        self.tables = [Table(v) for v in texts.values()]
+        letters = sorted(set().union(*texts.values()))
+        self.lookup = np.ones(0x110000, np.int32)  # 0: padding, 1: in no sample
+        for i, c in enumerate(letters):
+            self.lookup[ord(c)] = i + 2
+        self.columns = [np.array([0, t.width - 1] + [t.column.get(c, t.width - 1) for c in letters], np.int32) for t in self.tables]
+        self.pointer_bits = np.array([np.log2(max(t.size, 2)) for t in self.tables])
 
     def phrases(self, codes: list[np.ndarray]) -> np.ndarray:
         """Phrases of each coded text in each language, all texts in lockstep."""
-        out = np.zeros((len(codes), len(self.languages)), np.int64)
+        return self.parsed(codes)[0]
+
+    def parsed(self, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases, and characters that the sample lacks, of each coded text in each language."""
+        out, lacking = (np.zeros((len(codes), len(self.languages)), np.int64) for _ in range(2))
         owner, pieces = [], []
         for i, c in enumerate(codes):
             for at in range(0, len(c), SEGMENT):
                 owner.append(i)
                 pieces.append(c[at : at + SEGMENT])
         if not pieces:
-            return out
+            return out, lacking
         size = np.array([len(p) for p in pieces])
         order = np.argsort(-size, kind="stable")
         size, owner = size[order], np.array(owner)[order]
-        lanes = np.zeros((SEGMENT, len(pieces)), np.int32)
+        lanes = np.zeros((int(size[0]), len(pieces)), np.int32)
         for k, j in enumerate(order):
             lanes[: size[k], k] = pieces[j]
         live = np.searchsorted(-size, -np.arange(SEGMENT), side="left")  # lanes longer than step
-        for g, steps in enumerate(self.tables):
-            state = np.zeros(len(pieces), np.int32)
-            begun = np.zeros(len(pieces), np.int32)
+        for g, (steps, columns) in enumerate(zip(self.tables, self.columns)):
+            state, begun, absent = (np.zeros(len(pieces), np.int32) for _ in range(3))
+            other = steps.width - 1
             for t in range(int(size[0])):
                 n = live[t]
-                x = np.take(steps, state[:n] * self.width + lanes[t, :n])
+                column = np.take(columns, lanes[t, :n])
+                x = steps.step(state[:n], column)
                 begun[:n] += x & 1
+                absent[:n] += column == other
                 np.right_shift(x, 1, out=state[:n])
             np.add.at(out[:, g], owner, begun)
-        return out
+            np.add.at(lacking[:, g], owner, absent)
+        return out, lacking
+
+    def cost(self, phrases: np.ndarray, lacking: np.ndarray, size: int) -> np.ndarray:
+        """Bits a character in each language."""
+        matched = phrases - lacking
+        mean = np.maximum(1, (size - lacking) / np.maximum(1, matched))
+        return (matched * (self.pointer_bits + 1 + 2 * np.log2(mean)) + lacking * LITERAL) / size
 
     def predict(self, texts: list[str | None], batch_chars: int = 1 << 21) -> list[tuple[str, float]]:
         """(language, score) of whole texts; score: how much cheaper the best language is than the next."""
@@ -142,11 +163,10 @@ class Model:
         todo, coded, chars = [], [], 0
 
         def settle():
-            n = self.phrases(coded)
-            for i, c, row in zip(todo, coded, n):
+            for i, c, row, lacking in zip(todo, coded, *self.parsed(coded)):
                 if not self.languages:
                     continue
-                cost = row * self.phrase_bits / len(c)
+                cost = self.cost(row, lacking, len(c))
                 best = int(np.argmin(cost))
                 rest = np.delete(cost, best)
                 score = 1.0 if not len(rest) else float(1 - cost[best] / rest.min())
@@ -179,38 +199,24 @@ def held_out():
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Learn from at most ``sample_docs`` documents and ``sample_chars`` characters of each language.
+    """Learn every label, from at most ``sample_docs`` documents and ``sample_chars`` characters of each.
 
-    The sample is the documents whose hashed id comes first, and equal texts count once; of a long
-    document it takes ``DOC_CHARS`` characters from a hashed offset. One pass reads ids and labels, one
-    the chosen texts; the driver gets the sample only.
-    Only the ``LANGUAGES`` most frequent labels can be learned.
+    Equal texts count once. The sample is the texts whose hash comes first; of a long one it takes
+    ``DOC_CHARS`` characters from a hashed offset. A language keeps its own sample length, however short.
+    One pass hashes texts, one reads the chosen ones; the driver gets the sample only.
     """
-    h = F.xxhash64("text")
-    part = F.col("text").substr((1 + F.pmod(h, F.greatest(F.length("text") - DOC_CHARS, F.lit(1)))).cast("int"), F.lit(DOC_CHARS))
-    known = labelled(docs).select("lang", h.alias("h"), part.alias("part"))
-    ids = labelled(docs).select("lang", F.xxhash64(F.col("doc_id").cast("string")).alias("h"))
-    langs = [r["lang"] for r in ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    w = Window.partitionBy("lang").orderBy("h")  # each task keeps its least hashes only
-    top = ids.where(F.col("lang").isin(langs)).withColumn("k", F.row_number().over(w)).where(F.col("k") <= sample_docs)
-    last = {r["lang"]: r["h"] for r in top.groupBy("lang").agg(F.max("h").alias("h")).collect()}  # a row per language
-    if not last:
-        return Model({})
-    chosen = F.lit(False)
-    for lang, h in last.items():
-        chosen = chosen | ((F.col("lang") == lang) & (F.xxhash64(F.col("doc_id").cast("string")) <= h))
     at = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - DOC_CHARS, F.lit(1))) + 1
     part = F.col("text").substr(at.cast("int"), F.lit(DOC_CHARS))
-    rows = labelled(docs).where(chosen).select("lang", part.alias("part")).distinct().orderBy("lang", F.xxhash64("part"), "part").limit(2 * sample_docs * len(last)).collect()
-    texts: dict[str, str] = {}
-    size = min(sample_chars, TOTAL_CHARS // len(last))
-    for r in rows:
-        have = texts.get(r["lang"], "")
-        if len(have) < size:
-            texts[r["lang"]] = f"{have} {letters_only(r['part'])}".strip()[:size]
-    texts = {k: v for k, v in texts.items() if v}
-    least = max((len(t) for t in texts.values()), default=0) // 20
-    return Model({k: v for k, v in texts.items() if len(v) >= least})
+    h = F.xxhash64(F.lit(1), "text")
+    ids = labelled(docs).where(part.rlike(r"\p{L}")).select("lang", h.alias("h")).distinct()
+    top = ids.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= sample_docs)  # each task keeps its least hashes only
+    last = top.groupBy("lang").agg(F.max("h").alias("last"))  # a row per language
+    chosen = labelled(docs).select("lang", h.alias("h"), part.alias("part")).join(F.broadcast(last), "lang").where("h <= last")
+    texts: dict[str, list[str]] = {}
+    for r in chosen.select("lang", "part").distinct().orderBy("lang", F.xxhash64("part"), "part").collect():
+        texts.setdefault(r["lang"], []).append(letters_only(r["part"]))
+    size = min(sample_chars, max(DOC_CHARS, TOTAL_CHARS // max(1, len(texts))))
+    return Model({k: " ".join(x for x in v if x)[:size] for k, v in texts.items()})
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

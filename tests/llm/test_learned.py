@@ -56,6 +56,29 @@ def test_held_out_accuracy(spark):
     assert n > 200 and right >= 0.98 * n
 
 
+def test_every_label_is_learned(spark):
+    r = random.Random(3)
+    def tongue(letters, seed):
+        words = ["".join(random.Random(seed * 1000 + k).choice(letters) for _ in range(3 + k % 5)) for k in range(60)]
+        return lambda n: " ".join(r.choice(words) for _ in range(n))
+
+    large, small = tongue("abcdefghijklmnop", 1), tongue("abcdefghijklmnop", 2)
+    same = small(150)
+    rows = [(large(300), "aa") for _ in range(120)] + [(same, "bb")] * 500 + [(small(40), "bb") for _ in range(6)]
+    rows += [(tongue("abcdefghijklmnop", k)(30), f"l{k:02}") for k in range(10, 80) for _ in range(4)]
+    docs = spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate(rows)], "doc_id long, text string, lang string").cache()
+    model = langid.fit(docs)
+    assert set(model.languages) == {x["lang"] for x in langid.labelled(docs).select("lang").distinct().collect()} and len(model.languages) == 72
+    got = [x[0] for x in model.predict([large(40) for _ in range(30)] + [small(40) for _ in range(30)])]
+    assert got == ["aa"] * 30 + ["bb"] * 30
+
+
+def test_a_tiny_sample_does_not_win_other_languages():
+    said = {"a": "the river runs along the old stone bridge and the miller sleeps ", "b": "der fluss fliesst an der alten steinbruecke entlang und der mueller schlaeft "}
+    model = langid.Model({k: v * 50 for k, v in said.items()} | {"c": "ab", "d": "e"})
+    assert [x[0] for x in model.predict([v.strip() for v in said.values()])] == ["a", "b"]
+
+
 def test_labels_of_held_out_documents_teach_nothing(spark):
     docs = common.documents(spark, DATA)
     wrong = docs.withColumn("lang", F.when(langid.held_out(), "zz").otherwise(F.col("lang")))
