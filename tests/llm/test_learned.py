@@ -79,6 +79,21 @@ def test_a_tiny_sample_does_not_win_other_languages():
     assert [x[0] for x in model.predict([v.strip() for v in said.values()])] == ["a", "b"]
 
 
+def test_scripts_keep_their_letters():
+    r = random.Random(8)
+    letters = {"la": range(97, 123), "ru": range(0x430, 0x450), "el": range(0x3B1, 0x3C9), "zh": range(0x4E00, 0x4E00 + 2000), "ja": range(0x4E00 + 1000, 0x4E00 + 3000)}
+    words = {f"{k}{j}": ["".join(chr(r.choice(v)) for _ in range(r.randint(1, 5))) for _ in range(300)] for k, v in letters.items() for j in range(2)}
+    say = lambda k, n: " ".join(r.choice(words[k]) for _ in range(n))
+    samples = {k: say(k, 4000 if k.startswith("la") else 1500) for k in words}
+    model = langid.Model(samples)
+    want = [k for k in words for _ in range(10)]
+    texts = [say(k, 8) for k in want]
+    assert [x[0] for x in model.predict(texts)] == want
+    got = model.phrases([model.lookup[[ord(c) for c in t]] for t in texts])
+    assert {t.steps is None for t in model.tables} == {True, False}
+    assert [list(row) for row in got] == [[greedy(t, samples[k]) for k in model.languages] for t in texts]
+
+
 def test_labels_of_held_out_documents_teach_nothing(spark):
     docs = common.documents(spark, DATA)
     wrong = docs.withColumn("lang", F.when(langid.held_out(), "zz").otherwise(F.col("lang")))
