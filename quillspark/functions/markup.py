@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
+import xml.etree.ElementTree as ET
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillspark.functions.normalize import normalize_text
+from quillspark.functions.normalize import normalized, plain_text
 
 LETTER, SUB, VOWEL = "[\u0f40-\u0f6c]", "[\u0f90-\u0fbc]", "[\u0f71-\u0f84]"
+# Fixed values of the script, and below the patterns of the repairs.
 TSEG, SHAD, TIBETAN = "\u0f0b", "\u0f0d", "[\u0f00-\u0fff]"
 TAGS = "((?:<[^>]*>)*)"
 DIGITS = "".join(map(chr, range(0x0F20, 0x0F2A)))
@@ -127,20 +129,22 @@ def trim_trailing_pages(text: Column, n: Column, sentinel: str = "ZZZZ") -> tupl
     return F.when((n == 0) | few, text).otherwise(kept), issues
 
 
-def _annotate(text: str) -> str:
-    def esc(s: str) -> str:
-        for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&apos;")):
-            s = s.replace(a, b)
-        return s
+_CHOICE = "<choice><orig>{0}</orig><%s>{1}</%s></choice>"
+#: Inline marks and what they become, in order; parts of a mark are escaped first.
+ANNOTATIONS = [
+    (r"\{(D\d+(?:-\d+)?)\}", '<milestone xml:id="{0}" unit="section"/>'),
+    (r"\{([^}D][^},]*),([^}]+)\}", _CHOICE % ("reg", "reg")),
+    (r"\{([^\x00-\x7F][^},]*),([^}]+)\}", _CHOICE % ("reg", "reg")),
+    (r"\(([^)]+),([^)]+)\)", _CHOICE % ("corr", "corr")),
+    (r"\[([^\[\]]*[\u0f00-\u0fff][^\[\]]*)\]", '<unclear reason="illegible">{0}</unclear>'),
+]
+_ENTITIES = {ord(c): f"&{name};" for c, name in (("&", "amp"), ("<", "lt"), (">", "gt"), ('"', "quot"), ("'", "apos"))}
 
-    def choice(tag: str):
-        return lambda m: f"<choice><orig>{esc(m[1])}</orig><{tag}>{esc(m[2])}</{tag}></choice>"
 
-    text = re.sub(r"\{(D\d+(?:-\d+)?)\}", r'<milestone xml:id="\1" unit="section"/>', text)
-    for head in ("[^}D]", r"[^\x00-\x7F]"):
-        text = re.sub(r"\{(" + head + r"[^},]*),([^}]+)\}", choice("reg"), text)
-    text = re.sub(r"\(([^)]+),([^)]+)\)", choice("corr"), text)
-    text = re.sub(r"\[([^\[\]]*[\u0f00-\u0fff][^\[\]]*)\]", lambda m: f'<unclear reason="illegible">{esc(m[1])}</unclear>', text)
+def annotated(text: str) -> str:
+    """One text with its inline marks as TEI, without ``#`` and with single spaces."""
+    for pattern, to in ANNOTATIONS:
+        text = re.sub(pattern, lambda m, to=to: to.format(*(g.translate(_ENTITIES) for g in m.groups())), text)
     return re.sub(" {2,}", " ", text.replace("#", ""))
 
 
@@ -151,26 +155,60 @@ def annotations(text: Column) -> Column:
     """
 
     @F.arrow_udf("string")
-    def annotated(x: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else _annotate(v) for v in x.to_pylist()], pa.string())
+    def marks(x: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else annotated(v) for v in x.to_pylist()], pa.string())
 
     marked = text.rlike(r"[{(\[]")
     plain = rewrite(text, [("#", ""), (" {2,}", " ")])
-    return F.when(marked, annotated(F.when(marked, text))).otherwise(plain)
+    return F.when(marked, marks(F.when(marked, text))).otherwise(plain)
 
 
 def lines_to_lb(text: Column) -> Column:
     return F.replace(text, F.lit("\n"), F.lit("\n<lb/>"))
 
 
-#: Tag placement after line breaks and pages are in place, in order.
-PLACEMENT = [
-    (r"\n<lb/>\s*(?=<pb)", "\n"), (r"<lb/>\s*\n\s*(?=<pb)", ""), (r"\n<lb/>\s*$", ""),
-    ("<large>", '<hi rend="head">'), ("<small>", '<hi rend="small">'), ("</(?:large|small)>", "</hi>"),
-    (r'(?s)<hi rend="[^"]+">(?:<lb/>|\s)*</hi>', ""), (r"\n{3,}", "\n\n"),
-    (r"(?:<lb/>\s*)+</hi>", "</hi>"), (r"<lb/>\s*<pb", "<pb"), (r"\n</hi>", "</hi>\n"),
-    (r'(<hi rend="[^"]+">)\n<lb/>', "\n<lb/>$1"), ("<lb/> +", "<lb/>"), (r"\n\n+", "\n"), ("  +", " "),
-]
+_HI = r'<hi rend="[^"]+">'
+#: Tag placement by flavour, in order. ``pages``: numbered pages; ``pdf``: pages without numbers;
+#: ``runs`` and ``direct``: bodies made of runs of a word processor, with and without moving tags over line ends.
+PLACEMENTS = {
+    "pages": [
+        (r"(?U)\n<lb/>\s*(?=<pb)", "\n"), (r"(?U)<lb/>\s*\n\s*(?=<pb)", ""), (r"(?U)\n<lb/>\s*$", ""),
+        ("<large>", '<hi rend="head">'), ("<small>", '<hi rend="small">'), ("</(?:large|small)>", "</hi>"),
+        (rf"(?Us){_HI}(?:<lb/>|\s)*</hi>", ""), (r"\n{3,}", "\n\n"),
+        (r"(?U)(?:<lb/>\s*)+</hi>", "</hi>"), (r"(?U)<lb/>\s*<pb", "<pb"), (r"\n</hi>", "</hi>\n"),
+        (rf"({_HI})\n<lb/>", "\n<lb/>$1"), ("<lb/> +", "<lb/>"), (r"\n\n+", "\n"), ("  +", " "),
+    ],
+    "pdf": [
+        (r"(?U)\n<lb/>\s*(?=<pb)", "\n"), (r"(?U)<lb/>\s*\n\s*(?=<pb)", ""), (r"(?U)\n<lb/>\s*$", ""),
+        ("<large>", '<hi rend="head">'), ("<small>", '<hi rend="small">'), ("</(?:large|small)>", "</hi>"),
+        (r"(?U)(?:<lb/>\s*)+</hi>", "</hi>"), (r"(?U)<lb/>\s*<pb", "<pb"), (r"\n</hi>", "</hi>\n"),
+        (rf"({_HI})\n<lb/>", "\n<lb/>$1"), ("<lb/> +", "<lb/>"), (r"\n\n+", "\n"), ("  +", " "),
+    ],
+    "runs": [
+        (r"(?U)^\s+|\s+$", ""), (r"\n", "\n<lb/>"), (" *<lb/> *", "\n<lb/>"), (r"(?U)^\s+|\s+$", ""),
+        (rf"(?U){_HI}\s*(?:<lb/>\s*)*</hi>", ""), (rf"(?U)({_HI})\s*\n<lb/>", "\n<lb/>$1"), (r"\n<lb/></hi>", "</hi>\n<lb/>"),
+        (r"\n\n+", "\n"), (rf"(?U){_HI}\s*</hi>", ""), (r"(?U)^\s+|\s+$", ""),
+    ],
+    "direct": [(f"{_HI}</hi>", ""), (r"\n\n+", "\n"), (r"\n", "\n<lb/>"), (" *<lb/> *", "\n<lb/>"), (r"(?U)^\s+|\s+$", "")],
+}
+PLACEMENT = PLACEMENTS["pages"]
+
+
+def place_tags(text: Column, flavour: str) -> Column:
+    return rewrite(text, PLACEMENTS[flavour])
+
+
+def unnumbered_pages_tei(text: Column, sentinel: str = "ZZZZ") -> Column:
+    """Pages without numbers: a page break first and at each sentinel, line ends without white space before them."""
+    start = F.when(text.startswith(f"\n{sentinel}\n"), F.substring(text, len(sentinel) + 3, 2**30)).when(text.startswith(f"{sentinel}\n"), F.substring(text, len(sentinel) + 2, 2**30)).otherwise(text)
+    lines = F.transform(F.split(F.concat(F.lit("<pb/>\n"), F.replace(start, F.lit(sentinel), F.lit("<pb/>"))), "\n", -1), lambda x: F.regexp_replace(x, r"(?U)\s+$", ""))
+    return place_tags(F.array_join(lines, "\n<lb/>"), "pdf")
+
+
+def drop_head_sign_lines(text: Column) -> Column:
+    """Without the lines that hold a head sign and strokes only (perhaps after a size tag)."""
+    alone = "(?U)^(?:<fs:\\d+>)?\\s*\u0f04\u0f05[\u0f0d \u0f0e]+\\s*$"
+    return F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~x.rlike(alone)), "\n")
 
 
 def markup_to_tei(text: Column, start_page: Column, placeholders: bool = True, mode: str = "intended") -> Column:
@@ -201,17 +239,72 @@ def tei_body(pages: Column) -> Column:
     return F.array_join(F.transform(pages, lambda p: F.concat(F.lit('<pb n="'), p["page_num"], F.lit('"/>'), F.array_join(F.transform(F.filter(p["lines"], lambda x: F.trim(x["content"]) != ""), lambda x: F.concat(F.lit("\n<lb/>"), F.trim(x["content"]))), ""))), "\n")
 
 
-def tei_document(ie_id: Column, ve_id: Column, ut_id: Column, path: Column, sha: Column, body: Column, title: Column | None = None, lang: str = "bo") -> Column:
-    """A TEI file with a header that names the collection, the volume, the unit, its source and digest."""
+#: Openings and closings of a TEI body: text that starts on a line of its own, text with all its spaces, text in
+#: one paragraph without lines of its own, and divisions without a paragraph around them.
+LAYOUTS = {"lines": ("<p>\n", "\n</p>\n"), "preserve": ('<p xml:space="preserve">\n', "</p>\n"), "inline": ("<p>", "</p>\n"), "divisions": ("", "")}
+ID_TYPES = {"ie_id": "ie_id", "ve_id": "ve_id", "ut_id": "ut_id", "src_path": "src_path", "src_sha256": "src_sha256"}
+
+
+def tei_document(
+    ie_id: Column, ve_id: Column, ut_id: Column, path: Column, sha: Column, body: Column, title: Column | None = None, lang: str = "bo", layout: str = "lines",
+    id_types: dict[str, str] = ID_TYPES, base: str = "", statement: str = "Text converted from its source file.", encoding: str | None = None,
+) -> Column:
+    """A TEI file with a header that names the collection, the volume, the unit, its source and digest.
+
+    ``id_types`` gives the ``type`` of each id, in order; ids of records get ``base`` before them; ``encoding``
+    is a note on the encoding in which ``{}`` stands for the collection's id.
+    """
     name = title if title is not None else ut_id
+    values = {"ie_id": ie_id, "ve_id": ve_id, "ut_id": ut_id, "src_path": path, "src_sha256": sha}
+    ids = []
+    for key, kind in id_types.items():
+        value = escape_xml(F.coalesce(values[key], F.lit("")))
+        ids += [F.lit(f'<idno type="{kind}">{"" if key.startswith("src") else base}'), value, F.lit("</idno>\n")]
+    note = [] if encoding is None else [F.lit("<encodingDesc>\n<p>"), F.replace(F.lit(encoding), F.lit("{}"), escape_xml(F.coalesce(ie_id, F.lit("")))), F.lit("</p>\n</encodingDesc>\n")]
+    opening, closing = LAYOUTS[layout]
     return F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<TEI xmlns="http://www.tei-c.org/ns/1.0">\n<teiHeader>\n<fileDesc>\n<titleStmt><title>'), escape_xml(name),
-        F.lit("</title></titleStmt>\n<publicationStmt><p>Text converted from its source file.</p></publicationStmt>\n<sourceDesc><bibl>\n"),
-        *[x for kind, value in (("ie_id", ie_id), ("ve_id", ve_id), ("ut_id", ut_id), ("src_path", path), ("src_sha256", sha)) for x in (F.lit(f'<idno type="{kind}">'), escape_xml(F.coalesce(value, F.lit(""))), F.lit("</idno>\n"))],
-        F.lit(f'</bibl></sourceDesc>\n</fileDesc>\n</teiHeader>\n<text>\n<body xml:lang="{lang}">\n<p>\n'), body, F.lit("\n</p>\n</body>\n</text>\n</TEI>\n"),
+        F.lit(f"</title></titleStmt>\n<publicationStmt><p>{statement}</p></publicationStmt>\n<sourceDesc><bibl>\n"), *ids,
+        F.lit("</bibl></sourceDesc>\n</fileDesc>\n"), *note, F.lit(f'</teiHeader>\n<text>\n<body xml:lang="{lang}">\n{opening}'), body, F.lit(f"{closing}</body>\n</text>\n</TEI>\n"),
     )
 
 
-def line_markup(content: Column, ra_rule: str = "C") -> Column:
+def pretty_xml(text: Column, indent: str = "  ") -> Column:
+    """XML with a line for each element, indented; null for what is not well-formed."""
+
+    @F.arrow_udf("string")
+    def pretty(x: pa.Array) -> pa.Array:
+        return pa.array([_pretty(v, indent) for v in x.to_pylist()], pa.string())
+
+    return pretty(text)
+
+
+def _pretty(text: str | None, indent: str) -> str | None:
+    if text is None:
+        return None
+    try:
+        root = ET.fromstring(text.encode())
+    except ET.ParseError:
+        return None
+    if root.tag.startswith("{"):
+        ET.register_namespace("", root.tag[1:].partition("}")[0])
+    ET.indent(root, indent)
+    return '<?xml version="1.0" encoding="UTF-8"?>\n' + ET.tostring(root, encoding="unicode") + "\n"
+
+
+def line_tei(line: str | None, ra_rule: str = "C") -> str:
     """A line normalised, annotated and trimmed, in that order."""
-    return F.regexp_replace(annotations(normalize_text(content, ra_rule=ra_rule)), r"(?U)^\s+|\s+$", "")
+    return annotated(normalized(line, ra_rule=ra_rule)).strip()
+
+
+def line_markup(content: Column, ra_rule: str = "C") -> Column:
+    """``line_tei`` of each line: in one Arrow pass where a line is not ASCII or holds a mark, else built-in."""
+
+    @F.arrow_udf("string")
+    def marked(x: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else line_tei(v, ra_rule) for v in x.to_pylist()], pa.string())
+
+    text = F.coalesce(content, F.lit(""))
+    special = text.rlike(r"[^\x00-\x7F]|[{(\[]")
+    plain = rewrite(plain_text(text), [("#", ""), (" {2,}", " "), (r"^[ \n]+|[ \n]+$", "")])
+    return F.when(special, marked(F.when(special, text))).otherwise(plain)

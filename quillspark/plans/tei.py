@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,7 +54,7 @@ def divided_text_tei(files: DataFrame, mode: str = "intended") -> tuple[DataFram
     xml = F.concat(F.lit('<milestone xml:id="'), F.format_string("div%d_%04d", "level", "div_no"), F.lit('" unit="section"/>\n<div>\n<head>'), markup.escape_xml(F.col("title")), F.lit("</head>\n"), F.when(paras != "", F.concat(paras, F.lit("\n"))).otherwise(""), closes)
     body = placed.withColumn("xml", xml).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("div_no", "xml"))), lambda d: d["xml"]), "").alias("body"))
     out = files.join(body, files["ut_id"] == body["doc_id"], "left")
-    tei = F.regexp_replace(markup.tei_document(F.col("ie_id"), F.col("ve_id"), F.col("ut_id"), F.col("path"), F.col("sha256"), F.coalesce("body", F.lit(""))), r"(<body[^>]*>\n)<p>\n([\s\S]*)\n</p>\n</body>", "$1$2</body>")
+    tei = markup.tei_document(F.col("ie_id"), F.col("ve_id"), F.col("ut_id"), F.col("path"), F.col("sha256"), F.coalesce("body", F.lit("")), layout="divisions")
     ends = structure.div_ends(divs, ["doc_id"], order).join(files.select(F.col("ut_id").alias("doc_id"), "ie_id", "ve_id", "vol_num"), "doc_id")
     return out.select("ie_id", "ve_id", "ut_id", F.concat(F.lit("archive/"), F.col("ve_id"), F.lit("/"), F.col("ut_id"), F.lit(".xml")).alias("path"), tei.alias("content")), ends
 
@@ -101,12 +99,16 @@ def rtf_tei(files: DataFrame, dialect: str = "v2", legacy_table: dict | None = N
     return out.select("ie_id", "ve_id", "ut_id", F.concat(F.lit("archive/"), F.col("ve_id"), F.lit("/"), F.col("ut_id"), F.lit(".xml")).alias("path"), tei.alias("content")), issues
 
 
-def _simplify_and_compose(batches):
-    """Both steps that need Python in one pass: Spark can't always plan one such function over another."""
-    for batch in batches:
-        k = batch.schema.get_field_index("text")
-        made = [None if t is None else unicodedata.normalize("NFC", segments.simplified(t)) for t in batch.column(k).to_pylist()]
-        yield batch.set_column(k, batch.schema.field(k), pa.array(made, batch.schema.field(k).type))
+def _simplify_and_normalize(ra_rule: str):
+    """Both steps that need Python, in one pass over the texts."""
+
+    def work(batches):
+        for batch in batches:
+            k = batch.schema.get_field_index("text")
+            made = [normalize.normalized(None if t is None else segments.simplified(t), ra_rule=ra_rule) for t in batch.column(k).to_pylist()]
+            yield batch.set_column(k, batch.schema.field(k), pa.array(made, batch.schema.field(k).type))
+
+    return work
 
 
 def sized_text_tei(docs: DataFrame, registry: DataFrame, blanks: DataFrame | None = None, ra_rule: str = "A", mode: str = "intended") -> tuple[DataFrame, DataFrame]:
@@ -117,8 +119,7 @@ def sized_text_tei(docs: DataFrame, registry: DataFrame, blanks: DataFrame | Non
     Texts without a profile are skipped with an issue; texts without sizes pass.
     """
     ship(docs.sparkSession)
-    rows = docs.mapInArrow(_simplify_and_compose, docs.schema)
-    rows = rows.withColumn("text", normalize.normalize_text(F.col("text"), ra_rule=ra_rule, composed=True))
+    rows = docs.mapInArrow(_simplify_and_normalize(ra_rule), docs.schema)
     rows = rows.withColumn("sizes", segments.size_set(F.col("text")))
     rows = segments.match_profiles(rows, registry).join(registry.select("profile", "classes"), "profile", "left")
     lost = (F.size("sizes") > 0) & F.col("profile").isNull()
