@@ -100,13 +100,40 @@ def is_tibetan_punctuation(char: Column) -> Column:
     return char.rlike("^[\u0f0b\u0f0d-\u0f11]$")
 
 
+def ascii_signs(text: Column) -> Column:
+    """Sorted distinct printable ASCII characters beyond those of markup."""
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(r"[!-~&&[^<>/=\"]]"), F.lit(0))))
+
+
+def suspicious_contexts(text: Column, near: int = 15) -> Column:
+    """Digits, periods and capitals before a vowel sign, with up to ``near`` characters on either side."""
+    return F.regexp_extract_all(text, F.lit(f".{{0,{near}}}[0-9.A-Z]{VOWEL}.{{0,{near}}}"), F.lit(0))
+
+
+def comparable_lines(text: Column) -> Column:
+    """For comparisons: plain line ends, no white space at line ends, no empty lines first and last."""
+    plain = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), r"(?U)[\s&&[^\n]]+(?=\n|\z)", "")
+    return F.regexp_replace(plain, r"^\n+|\n+\z", "")
+
+
+def comparable_text(text: Column) -> Column:
+    """For comparisons: no cell marks, plain line ends, no empty lines, trimmed."""
+    plain = F.regexp_replace(F.regexp_replace(F.translate(text, "\a", ""), r"\r\n?", "\n"), r"\n+", "\n")
+    return F.regexp_replace(plain, r"(?U)^\s+|\s+\z", "")
+
+
 def strip_pb_numbers(text: Column) -> Column:
     return F.regexp_replace(text, r'<pb\s+n="[^"]*"\s*/>', "<pb/>")
 
 
-def strip_leading_break(text: Column, sentinel: str = "ZZZZ") -> Column:
-    """Without the first page break if the text starts with it, and a newline on either side of it."""
-    return F.when(text.startswith(f"\n{sentinel}\n"), F.substring(text, len(sentinel) + 3, 2**30)).when(text.startswith(f"{sentinel}\n"), F.substring(text, len(sentinel) + 2, 2**30)).when(text.startswith(f"\n{sentinel}"), F.substring(text, len(sentinel) + 2, 2**30)).otherwise(text)
+def strip_leading_break(text: Column, sentinel: str = "ZZZZ", cases: int = 3) -> Column:
+    """Without the first page break if the text starts with it, and a newline on either side of it; with
+    ``cases=2`` only where a newline follows.
+    """
+    out = text
+    for start in [f"\n{sentinel}", f"{sentinel}\n", f"\n{sentinel}\n"][3 - cases :]:
+        out = F.when(text.startswith(start), F.substring(text, len(start) + 1, 2**30)).otherwise(out)
+    return out
 
 
 def drop_empty_hi(text: Column) -> Column:
@@ -200,7 +227,7 @@ def place_tags(text: Column, flavour: str) -> Column:
 
 def unnumbered_pages_tei(text: Column, sentinel: str = "ZZZZ") -> Column:
     """Pages without numbers: a page break first and at each sentinel, line ends without white space before them."""
-    start = F.when(text.startswith(f"\n{sentinel}\n"), F.substring(text, len(sentinel) + 3, 2**30)).when(text.startswith(f"{sentinel}\n"), F.substring(text, len(sentinel) + 2, 2**30)).otherwise(text)
+    start = strip_leading_break(text, sentinel, cases=2)
     lines = F.transform(F.split(F.concat(F.lit("<pb/>\n"), F.replace(start, F.lit(sentinel), F.lit("<pb/>"))), "\n", -1), lambda x: F.regexp_replace(x, r"(?U)\s+$", ""))
     return place_tags(F.array_join(lines, "\n<lb/>"), "pdf")
 

@@ -126,20 +126,35 @@ def size_set(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TAG), F.lit(1)), lambda x: x.cast("int"))))
 
 
+def split_pages(docs: DataFrame, key: str, text: str = "text", sentinel: str = "ZZZZ") -> DataFrame:
+    """``key, page_no`` (from 0) and ``page`` of the pages between sentinels; null text has none."""
+    return docs.select(key, F.posexplode(F.split(text, sentinel, -1)).alias("page_no", "page"))
+
+
 def size_counts(docs: DataFrame, key: str, text: str = "text", block_only: bool = True) -> DataFrame:
     """``key, fs, cnt, first_seen, on_first_page``: letters of the target script by size, zeros left out.
 
     ``block_only``: count U+0F00 to U+0FFF, else every character above U+0F00. The first page ends at the
-    second page break.
+    second page break; a size is on it if letters of that size are.
     """
     letters = r"[\x{0f00}-\x{0fff}]" if block_only else r"[\x{0f01}-\x{10ffff}]"
-    first_page = F.substring_index(text, "ZZZZ", 2)
-    seg = docs.select(key, F.posexplode(segments(F.col(text))).alias("seq", "s"), F.size(segments(first_page)).alias("n_first"))
-    rows = seg.select(key, "seq", F.col("s.fs").alias("fs"), F.regexp_count("s.content", F.lit(letters)).alias("n"), "n_first").where("fs is not null and n > 0")
-    return rows.groupBy(key, "fs").agg(F.sum("n").alias("cnt"), F.min("seq").alias("first_seen"), F.max(F.col("seq") < F.col("n_first")).alias("on_first_page"))
+    opening = F.filter(segments(F.substring_index(text, "ZZZZ", 2)), lambda s: s["content"].rlike(letters))
+    seg = docs.select(key, F.posexplode(segments(F.col(text))).alias("seq", "s"), F.array_distinct(F.transform(opening, lambda s: s["fs"])).alias("first"))
+    rows = seg.select(key, "seq", F.col("s.fs").alias("fs"), F.regexp_count("s.content", F.lit(letters)).alias("n"), "first").where("fs is not null and n > 0")
+    return rows.groupBy(key, "fs").agg(F.sum("n").alias("cnt"), F.min("seq").alias("first_seen"), F.max(F.array_contains("first", F.col("fs"))).alias("on_first_page"))
+
+
+def size_profiles(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``place, sizes, n_docs, sample``: size sets by their number of texts (most first), then by the first text.
+
+    ``sample`` is the least ``key`` of a set; texts without sizes don't count.
+    """
+    sets = docs.select(key, size_set(F.col(text)).alias("sizes")).where(F.size("sizes") > 0)
+    found = sets.groupBy("sizes").agg(F.count("*").alias("n_docs"), F.min(key).alias("sample"))
+    return ranked(found.withColumn("_few", -F.col("n_docs")), ["_few", "sample"], [], "place").select("place", "sizes", "n_docs", "sample")
 
 
-def classify(counts: DataFrame, key: str, rule: str = "A", body: tuple[int, int] = (18, 26)) -> DataFrame:
+def classify(counts: DataFrame, key: str, rule: str = "A", body: tuple[int, int] = (18, 26), ties: str = "smaller") -> DataFrame:
     """``key, fs, cnt, pct, class, confident`` from ``key, fs, cnt`` (and for rule A ``on_first_page``).
 
     A: regular is the most frequent size in ``body`` (else of all); larger ones are large if on the first
@@ -147,16 +162,17 @@ def classify(counts: DataFrame, key: str, rule: str = "A", body: tuple[int, int]
     more frequent turns small; if none is regular any more, the most frequent from 20 to 26 is. B: regular is
     the most frequent; larger ones large if rare or far, else unsure regular; smaller ones small, unsure if
     close. C: like A without pages, confidence and afterthoughts. D: around the most frequent. Ties go to the
-    smaller size (rules A to C in a pair of sizes: to the larger).
+    smaller size (rules A to C in a pair of sizes: to the larger), or with ``ties="first"`` to the one whose
+    ``first_seen`` is least.
     """
     doc = Window.partitionBy(key)
     c = counts.withColumn("pct", F.col("cnt") / F.sum("cnt").over(doc) * 100).withColumn("n_sizes", F.count("*").over(doc))
-    rank = F.struct(F.col("cnt"), -F.col("fs"))
+    rank = F.struct(F.col("cnt"), -F.col("first_seen" if ties == "first" else "fs"), -F.col("fs"))
     in_body = F.col("fs").between(*body)
     top = F.max_by("fs", rank).over(doc)
     top_body = F.max(F.when(in_body, rank)).over(doc)
     pair_top = F.max_by("fs", F.struct("cnt", "fs")).over(doc)
-    body_top = F.coalesce(-top_body["col2"], top)
+    body_top = F.coalesce(-top_body["col3"], top)
     regular = {"A": F.when(F.col("n_sizes") == 2, pair_top).otherwise(body_top), "B": F.when(F.col("n_sizes") == 2, pair_top).otherwise(top), "C": F.when(F.col("n_sizes") == 2, pair_top).otherwise(body_top), "D": top}[rule]
     c = c.withColumn("regular_fs", regular)
     larger, same = F.col("fs") > F.col("regular_fs"), F.col("fs") == F.col("regular_fs")
@@ -178,7 +194,7 @@ def classify(counts: DataFrame, key: str, rule: str = "A", body: tuple[int, int]
         c = c.withColumn("shrinks", F.coalesce(shrinks, F.lit(False)))
         c = c.withColumn("class", F.when(F.col("shrinks"), "small").otherwise(F.col("class"))).withColumn("confident", F.col("confident") | F.col("shrinks"))
         mid = F.max(F.when(F.col("fs").between(20, 26), rank)).over(doc)
-        saved = (F.max((F.col("class") == "regular").cast("int")).over(doc) == 0) & (F.col("fs") == F.coalesce(-mid["col2"], top))
+        saved = (F.max((F.col("class") == "regular").cast("int")).over(doc) == 0) & (F.col("fs") == F.coalesce(-mid["col3"], top))
         c = c.withColumn("saved", saved).withColumn("class", F.when(F.col("saved"), "regular").otherwise(F.col("class"))).withColumn("confident", F.col("confident") | F.col("saved"))
     return c.select(key, "fs", "cnt", "pct", "class", "confident")
 
@@ -245,3 +261,22 @@ def missing_profiles(docs: DataFrame, registry: DataFrame) -> DataFrame:
     last = registry.agg(F.coalesce(F.max(F.regexp_extract("profile", r"(\d+)", 1).try_cast("int")), F.lit(0))).first()[0]  # one number
     new = ranked(new.withColumn("_key", profile_key(F.col("sizes"))).withColumn("_few", -F.col("n_docs")), ["_few", "_key"], [], "k")
     return new.select(F.format_string("profile%03d", F.col("k") + last).alias("profile"), "sizes", "n_docs")
+
+
+def registry_additions(docs: DataFrame, registry: DataFrame, key: str, rule: str = "A") -> DataFrame:
+    """Registry rows ``profile, font_size, classification, confidence, percentage, notes`` for unknown size sets.
+
+    The least ``key`` of a set is its sample, whose letters are counted and classified; a size without letters
+    is ``?``. Numbers go on from the registry's highest. Append the rows to the registry's table.
+    """
+    sets = docs.select(key, "text", size_set(F.col("text")).alias("sizes"))
+    new = missing_profiles(sets, registry)
+    sample = sets.groupBy("sizes").agg(F.min_by(F.struct(key, "text"), key).alias("s")).select("sizes", "s.*")
+    chosen = new.join(sample, "sizes").select("profile", "sizes", F.col("text"))
+    classes = classify(size_counts(chosen, "profile"), "profile", rule)
+    rows = chosen.select("profile", F.explode("sizes").alias("fs")).join(classes, ["profile", "fs"], "left")
+    known = F.col("class").isNotNull()
+    return rows.select(
+        "profile", F.col("fs").alias("font_size"), F.when(known, F.col("class")).otherwise("?").alias("classification"), F.when(known & F.col("confident"), "").otherwise("?").alias("confidence"),
+        F.format_number(F.coalesce("pct", F.lit(0.0)), "0.0").alias("percentage"), F.when(known, "AUTO-ADDED").otherwise("AUTO-ADDED: ERROR").alias("notes"),
+    )

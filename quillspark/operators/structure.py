@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillspark.functions.markup import strip_tags
-from quillspark.functions.ordering import milestone_id
+from quillspark.functions.ordering import level_of, milestone_id
 from quillspark.operators.joins import ranked
 
 PRECEDING = (Window.unboundedPreceding, -1)
@@ -54,18 +54,21 @@ def neighbours(rows: DataFrame, order: list[str]) -> DataFrame:
 def running_start(rows: DataFrame, by: list[str], order: list[str], pages: str, seed: Column | int, mode: str = "intended") -> DataFrame:
     """``page_start``: seed plus the pages before a row of its group.
 
-    ``as_coded``: placeholders of earlier pages are counted again, so that start' = 2 start - 1 + pages; in
-    closed form 1 + 2^(k-1) (seed - 1) + sum of 2^(k-1-j) pages_j over earlier rows j.
+    ``as_coded``: placeholders of earlier pages are counted again, so that start' = 2 start - 1 + pages. A
+    number beyond a long is null.
     """
     w = Window.partitionBy(*by).orderBy(*order)
     seed = seed if isinstance(seed, Column) else F.lit(seed)
     earlier = F.coalesce(F.sum(pages).over(w.rowsBetween(*PRECEDING)), F.lit(0))
     if mode == "intended":
         return rows.withColumn("page_start", (seed + earlier).cast("long"))
+    # start - 1 doubles with every row, so rows more than 62 back can only matter where the number has left a long
     k = F.row_number().over(w)
-    past = F.collect_list(pages).over(w.rowsBetween(*PRECEDING))
-    total = F.aggregate(past, seed.cast("long"), lambda s, p: 2 * s - 1 + p)
-    return rows.withColumn("_k", k).withColumn("page_start", total).drop("_k")
+    past = F.collect_list(F.col(pages).cast("long")).over(w.rowsBetween(-62, -1))
+    lost = F.coalesce(F.max(F.abs(F.col(pages))).over(w.rowsBetween(Window.unboundedPreceding, -63)), F.lit(0)) > 0
+    first = F.when(F.col("_k") <= 63, seed.cast("long") - 1).otherwise(F.when(seed == 1, F.lit(0).cast("long")))
+    rows = rows.withColumn("_k", k).withColumn("_past", past).withColumn("_lost", lost)
+    return rows.withColumn("page_start", F.when(~F.col("_lost"), F.aggregate(F.col("_past"), first, lambda t, p: F.try_add(F.try_multiply(t, F.lit(2).cast("long")), p), lambda t: F.try_add(t, F.lit(1).cast("long"))))).drop("_k", "_past", "_lost")
 
 
 def img_and_page_ranges(pdfs: DataFrame, by: list[str], order: list[str]) -> DataFrame:
@@ -106,13 +109,15 @@ def image_ranges(toc: DataFrame, pdfs: DataFrame) -> DataFrame:
 
 
 def div_ends(divs: DataFrame, by: list[str], order: list[str], deepest: int = 2) -> DataFrame:
-    """``div_no`` over all levels, ``start_id`` and ``end_id`` (the next div at most as deep); deeper ones go last."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    rest = w.rowsBetween(1, Window.unboundedFollowing)
-    rows = divs.withColumn("div_no", F.row_number().over(w))
+    """``div_no`` over all levels, ``start_id`` and ``end_id`` (the next div at most as deep); deeper ones go last.
+
+    The next div is the last one seen when rows are read backwards, so a group is passed once.
+    """
+    rows = divs.withColumn("div_no", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    back = Window.partitionBy(*by).orderBy(F.desc("div_no")).rowsBetween(Window.unboundedPreceding, -1)
     ref = lambda x: F.format_string("1#div%d_%04d", x["level"], x["div_no"])
     here = F.struct("div_no", "level")
-    one, two = F.min(F.when(F.col("level") == 1, here)).over(rest), F.min(F.when(F.col("level") <= 2, here)).over(rest)
+    one, two = (F.last(F.when(held, here), ignorenulls=True).over(back) for held in (F.col("level") == 1, F.col("level") <= 2))
     end = F.when(F.col("level") == 1, one).otherwise(two)
     rows = rows.withColumn("start_id", F.format_string("1#div%d_%04d", "level", "div_no")).withColumn("end_id", F.when(end.isNull(), "").otherwise(ref(end)))
     return rows.where(F.col("level") <= deepest)
@@ -179,6 +184,38 @@ def coordinates(rows: DataFrame, pages: DataFrame, spans: DataFrame, marks: Data
     return at.withColumn("coord", coord).withColumn("issue", issue).select(*rows.columns, "coord", "issue")
 
 
+def convert_outline(rows: DataFrame, pages: DataFrame, spans: DataFrame, marks: DataFrame, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Outline rows with image numbers turned into coordinates, and issues ``row_idx, label, side, code``.
+
+    ``rows`` has the 18 text columns of ``sources.files.OUTLINE`` and ``row_idx``. All columns stay but
+    ``img_start`` and ``img_end``: a number becomes a coordinate (empty where no text holds the page), other text
+    becomes empty, and without a numeric volume the cell stays as it is. The neighbours that may share a page are
+    the rows before and after on the same level (above 0) of the same volume.
+    """
+    order = order or ["row_idx"]
+    trim = lambda c: F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"(?U)^\s+|\s+$", "")
+    known = rows.select("*", level_of([trim(f"pos{i}") for i in range(1, 6)]).alias("_level"))
+    plain = known.select(*order, F.col("_level").alias("level"), *[trim(c).try_cast("int").alias(c) for c in ("vol_start", "vol_end", "img_start", "img_end")])
+    beside = neighbours(plain.where("level > 0"), order).select(*order, "prev_end", "next_start")
+    plain = plain.join(beside, order, "left")
+    out, issues = known, []
+    for side, shared in (("start", "prev_end"), ("end", "next_start")):
+        vol, img = trim(f"vol_{side}"), trim(f"img_{side}")
+        at = coordinates(plain.select(*order, F.col(f"vol_{side}").alias("vol"), F.col(f"img_{side}").alias("page"), F.col(shared).alias("shared")), pages, spans, marks, side == "start")
+        out = out.join(at.select(*order, F.col("coord").alias(f"_{side}"), F.col("issue").alias(f"_{side}_issue")), order, "left")
+        asked = (img != "") & vol.try_cast("int").isNotNull()
+        out = out.withColumn(f"_{side}", F.when(asked, F.coalesce(f"_{side}", F.lit(""))).otherwise(img))
+        issues.append(F.when(asked & F.col(f"_{side}_issue").isNotNull(), F.struct(F.lit(side).alias("side"), F.col(f"_{side}_issue").alias("code"))))
+    found = out.select("row_idx", "label", F.inline(F.filter(F.array(*issues), lambda x: x.isNotNull())))
+    kept = [F.col("_start").alias(c) if c == "img_start" else F.col("_end").alias(c) if c == "img_end" else F.col(c) for c in rows.columns]
+    return out.select(*kept), found
+
+
+def boundary_totals(boundaries: DataFrame, unresolved: DataFrame) -> DataFrame:
+    """``total, inserted, unresolved`` of boundary pages and those without a place for a milestone."""
+    return boundaries.agg(F.count("*").alias("total")).crossJoin(unresolved.agg(F.count("*").alias("unresolved"))).select("total", (F.col("total") - F.col("unresolved")).alias("inserted"), "unresolved")  # one row each
+
+
 def place_milestone(page: Column, tag: Column, digits: str = "[༠-༩]+༽", head: str = "༄", mark: str = "༈", close: str = "(?:།[ ]*){3,}", line: str = "<lb/>") -> tuple[Column, Column]:
     """Page text with a milestone at the best place, and the rule (0: none).
 
@@ -236,3 +273,19 @@ def triage(cases: DataFrame) -> tuple[DataFrame, DataFrame]:
     text = F.col("next_page_text")
     open_ = cases.where(~is_title_page(text))
     return open_.where(mid_page_start(text)).select("vol", F.col("end_page").alias("old_end_page"), (F.col("end_page") + 1).alias("new_end_page")), open_.where(~mid_page_start(text))
+
+
+def review_text(cases: DataFrame) -> DataFrame:
+    """``case_no, text`` of unresolved cases ``folder, title, next_title, img_start, img_end, next_start, next_end,
+    vol, page_text``: what a reader needs to decide, with the line to copy if the text goes on.
+    """
+    show = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rule = F.lit("=" * 80)
+    lines = [
+        rule, F.concat(F.lit("Folder: "), show("folder")), F.concat(F.lit("Text: "), show("title"), F.lit(" ("), show("img_start"), F.lit("-"), show("img_end"), F.lit(")")),
+        F.concat(F.lit("Next: "), show("next_title"), F.lit(" ("), show("next_start"), F.lit("-"), show("next_end"), F.lit(")")),
+        F.concat(F.lit("If the text goes on to the next page: "), F.concat_ws(",", show("vol"), show("img_end"), show("next_start"))),
+        F.coalesce(F.col("page_text"), F.lit("[page not found]")), rule,
+    ]
+    numbered = ranked(cases, ["vol", "img_end", "folder"], [], "case_no")
+    return numbered.select("case_no", F.concat_ws("\n", *lines).alias("text"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 FOLIO = r"\d+[abx]+"
-PAGE, LINE = rf"^\[({FOLIO})\]$", rf"(?U)^\[({FOLIO})\.(\d+)\](.*)$"
+PAGE, LINE = rf"(?Us)^\[({FOLIO})\]$", rf"(?Us)^\[({FOLIO})\.(\d+)\](.*)$"
 MILESTONE = r"\{(D\d+(?:-\d+)?)\}"
 STRIP = r"(?U)^\s+|\s+$"
 

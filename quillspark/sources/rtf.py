@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quillspark.session import ship
 
@@ -68,6 +69,16 @@ def font_table(data: str, dialect: str) -> dict[int, str]:
     return out
 
 
+def colour_table(data: str) -> list[tuple[int, int, int] | None]:
+    """Red, green and blue of each entry of the colour table, None for an automatic one."""
+    m = re.search(r"\{\\colortbl([^}]*)\}", data)
+    out = []
+    for entry in m[1].split(";")[:-1] if m else []:
+        part = dict(re.findall(r"\\(red|green|blue)(\d+)", entry))
+        out.append(tuple(int(part.get(c, 0)) for c in ("red", "green", "blue")) if part else None)
+    return out
+
+
 def surrogates_joined(text: str) -> str:
     """Pairs of surrogates as one character; halves without their partner go."""
     return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "ignore") if any("\ud800" <= c <= "\udfff" for c in text) else text
@@ -252,13 +263,13 @@ def decode_runs(rows: DataFrame, table: dict[str, dict[str, str]], legacy: str =
             return f"{legacy}-a"
         return font if font.startswith(legacy) else None
 
-    def decode(text: str, font: str) -> tuple[str, bool]:
+    def decode(text: str, font: str) -> tuple[str, bool, list[str]]:
         f = name_of(font or "")
         if f is None:
-            return text, True
+            return text, True, []
         if f not in table:
-            return text, False
-        out, i = [], 0
+            return text, False, []
+        out, unknown, i = [], [], 0
         while i < len(text):
             for k in range(min(longest[f], len(text) - i), 0, -1):
                 if (hit := table[f].get(text[i : i + k])) is not None:
@@ -267,15 +278,42 @@ def decode_runs(rows: DataFrame, table: dict[str, dict[str, str]], legacy: str =
                     break
             else:
                 out.append(text[i])
+                unknown.append(text[i])
                 i += 1
-        return "".join(out), True
+        return "".join(out), True, unknown
 
-    @F.arrow_udf("struct<text: string, decoded: boolean>")
+    @F.arrow_udf("struct<text: string, decoded: boolean, unknown: array<string>>")
     def decoded(text: pa.Array, font: pa.Array) -> pa.Array:
-        got = [(None, None) if t is None else decode(t, f) for t, f in zip(text.to_pylist(), font.to_pylist())]
-        return pa.StructArray.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.bool_())], ["text", "decoded"])
+        got = [(None, None, None) if t is None else decode(t, f) for t, f in zip(text.to_pylist(), font.to_pylist())]
+        return pa.StructArray.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.bool_()), pa.array([g[2] for g in got], pa.list_(pa.string()))], ["text", "decoded", "unknown"])
+
+    return rows.withColumn("_d", decoded("text", "font.name")).withColumn("_raw", F.col("text")).withColumn("text", F.col("_d.text")).withColumn("decoded", F.col("_d.decoded")).withColumn("unknown", F.col("_d.unknown")).withColumnRenamed("_raw", "source_text").drop("_d")
 
-    return rows.withColumn("_d", decoded("text", "font.name")).withColumn("text", F.col("_d.text")).withColumn("decoded", F.col("_d.decoded")).drop("_d")
+
+def decode_stats(rows: DataFrame, legacy: str = "Dedris", samples: int = 50) -> DataFrame:
+    """Per font of decoded runs: ``font, kind, n_runs, n_chars, unknown, samples``, fonts in order.
+
+    ``kind``: handled, unhandled (of the family, without a table) or other. ``unknown`` lists the characters
+    that the font's table lacks as ``struct<code, char>`` by code point; ``samples`` holds the first 50
+    characters of at most ``samples`` runs of other fonts with digits or punctuation, by their place.
+    """
+    family = F.col("font.name").startswith(legacy) | F.lower("font.name").isin("simsun", "@simsun", "simsun western")
+    kind = F.when(~family, "other").when(F.col("decoded"), "handled").otherwise("unhandled")
+    some = rows.where("font is not null and text is not null").select(F.col("font.name").alias("font"), kind.alias("kind"), "doc_id", "seq", "source_text", "unknown")
+    odd = (F.col("kind") == "other") & F.col("source_text").rlike(r"[0-9{}.,;:!?@#$%^&*()\[\]<>]")
+    placed = some.withColumn("_k", F.row_number().over(Window.partitionBy("font", odd).orderBy("doc_id", "seq")))
+    sample = F.collect_list(F.when(odd & (F.col("_k") <= samples), F.struct("doc_id", "seq", F.left("source_text", F.lit(50)).alias("text"))))
+    signs = some.select("font", "kind", F.explode("unknown").alias("c")).distinct().groupBy("font", "kind").agg(F.array_sort(F.collect_list(F.struct(F.ascii("c").alias("code"), F.col("c").alias("char")))).alias("unknown"))
+    facts = placed.groupBy("font", "kind").agg(F.count("*").alias("n_runs"), F.sum(F.length("source_text")).alias("n_chars"), F.transform(F.array_sort(sample), lambda x: x["text"]).alias("samples"))
+    return facts.join(signs, ["font", "kind"], "left").select("font", "kind", "n_runs", "n_chars", F.coalesce("unknown", F.array().cast("array<struct<code: int, char: string>>")).alias("unknown"), "samples")
+
+
+def stats_text(stats: DataFrame) -> DataFrame:
+    """``kind, text``: the statistics of each kind of font as lines, fonts in order, characters with their codes."""
+    signs = F.array_join(F.transform("unknown", lambda u: F.concat(F.lit("\n    "), u["char"], F.lit(" (code "), u["code"].cast("string"), F.lit(")"))), "")
+    line = F.concat(F.lit("  "), F.col("font"), F.lit(": "), F.col("n_chars").cast("string"), F.lit(" characters"), signs)
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("font", line.alias("line")))), lambda x: x["line"])  # a row per font
+    return stats.groupBy("kind").agg(F.array_join(lines, "\n").alias("text"))
 
 
 def font_usage(rows: DataFrame, top: int = 20) -> DataFrame:
