@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.session import ship
+from quillspark.operators.joins import spread_join  # noqa: F401
+from quillspark.session import cut, drop_cut, shared_dir, ship  # noqa: F401
 
 #: Rows and bytes in one Arrow batch, so that a batch of long texts stays small.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
@@ -28,37 +26,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        where = tempfile.mkdtemp(prefix="quillspark-")
-        spark.sparkContext.setCheckpointDir(where)
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
-
-
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Write to the shared folder and read again: short lineage that outlives a lost executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._quill_path = path
-    return out
+def shuffle_parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def drop_cut(df: DataFrame) -> None:
-    """Remove the files of a table that cut() wrote and nothing reads any more."""
-    path = getattr(df, "_quill_path", None)
-    if path:
-        jvm = df.sparkSession.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+#: Rows of two or three numbers up to which a table is broadcast.
+SMALL = 200_000
 
 
-def shuffle_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def small(table: DataFrame) -> DataFrame:
+    """A cut table of short rows with the broadcast hint if it is small; else it is left to a shuffled join."""
+    return F.broadcast(table) if table.limit(SMALL + 1).count() <= SMALL else table
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -1,16 +1,20 @@
 """Near-duplicate passages by compact windows.
 
-A text's tokens are hashed shingles of five words. For each of ``HASHES`` min-hash functions, the
-Cartesian tree of a text over the function's values has one compact window per node: all subsequences
-that hold that token and nothing smaller share its min-hash. Only nodes that are the minimum of some
-``WIDTH`` tokens can head a long passage, so these are found by sliding minima, about two for every
-WIDTH tokens and function, and each is kept as its token and place. Windows that share a token are
-linked: to the document before and to the first. Texts of a batch are linked before the
-shuffle, so a token that a third of all documents hold arrives for one document of each batch, and a group streams by
-in constant memory. Links of a pair of documents are joined as intervals: neighbours on about the same
-diagonal form one region, which needs links of enough hashes. Regions are verified on the tokens of both
-texts: stretches must reach the similarity and the length. Near-duplicates that both differ
-too much from a common first and previous holder can be missed when they share no other token group.
+A text's tokens are hashed shingles of five words. For each of ``HASHES`` min-hash functions, the Cartesian
+tree of a text over the function's values has one compact window (l, c, r) per node: every subsequence that
+holds token c and stays inside l to r has that token as its min-hash. Only windows of at least the least
+passage's tokens matter; sliding minima find their tokens, about two for every such length and function, and
+the nearest smaller tokens, which are nodes of that kind themselves, bound them.
+
+Windows with one function and token form a signature's group. A passage of exactly the least length that two
+texts share has its minimum in a group with both, whatever the function; at similarity s a function finds it
+with chance s, and one of the functions is enough, because links are verified on tokens. Signatures of one
+text only go, in a shuffle of thin rows. Each window of the others carries the tokens around c inside its
+interval. Equal ones are one class, found inside a batch first, so that a signature that a third of all texts
+hold arrives as a row for each batch. The classes of a group meet pair by pair, those of a crowded group in
+tiles: the interval where both windows overlap must hold a stretch of the least length around c in which
+enough tokens of one are in the other at about the same place. What comes out is linear in the rows: a forest
+of the links, and for each window the partners that reach furthest to the left and to the right.
 """
 
 from __future__ import annotations
@@ -24,14 +28,18 @@ from quillspark.llm import common
 from quillspark.llm.substrings import BUFFER, Hashes, mixed, sliding_min
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Words of the shortest passage; hash functions; links that a region needs.
-LEAST_WORDS, HASHES, ENOUGH = 50, 4, 2
-#: Change of diagonal and gap (tokens) between neighbouring links of a region.
-SLACK, GAP = 16, 120
+#: Words of the shortest passage, and hash functions.
+LEAST_WORDS, HASHES = 50, 3
+#: Places by which a token may have moved, and tokens in place from which a pair is looked at.
+MOVED, ALIGNED = 3, 12
+#: Windows of one signature that a tile holds at most.
+CROWD = 4096
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _MIX = np.random.default_rng(9).integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LOW = np.uint64((1 << 24) - 1)
+_PLACE = 1 << 28
 
 
 def tokens(raw: bytes, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -49,6 +57,11 @@ def tokens(raw: bytes, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     return mixed(out), start
 
 
+def value(x: np.ndarray, k: int) -> np.ndarray:
+    """Values of hash function k, different for each place of a buffer (which has less than 2^24 tokens)."""
+    return (mixed(x ^ _MIX[8 + k]) & ~_LOW) | np.arange(len(x), dtype=np.uint64)
+
+
 def windows(x: np.ndarray, first: np.ndarray, last: np.ndarray, width: int, hashes: int):
     """(hash function, position) of every minimum of ``width`` tokens inside the texts [first, last)."""
     if len(x) < width:
@@ -58,198 +71,329 @@ def windows(x: np.ndarray, first: np.ndarray, last: np.ndarray, width: int, hash
     np.add.at(step, first[ok], 1)
     np.add.at(step, last[ok] - width + 1, -1)
     valid = np.cumsum(step)[: len(x) - width + 1] > 0
-    low = np.uint64((1 << 24) - 1)
-    at = np.arange(len(x), dtype=np.uint64)
     kinds, places = [], []
     for k in range(hashes):
-        best = sliding_min((mixed(x ^ _MIX[8 + k]) & ~low) | at, width)[valid]
-        c = np.unique((best & low).astype(np.int64)) if len(best) else np.zeros(0, np.int64)
+        best = sliding_min(value(x, k), width)[valid]
+        c = np.unique((best & _LOW).astype(np.int64)) if len(best) else np.zeros(0, np.int64)
         kinds.append(np.full(len(c), k, np.int8))
         places.append(c)
     return np.concatenate(kinds), np.concatenate(places)
 
 
-def holders(key: np.ndarray, uid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (row, other row) in groups of rows sorted by key and document, about two for each row.
+def intervals(x: np.ndarray, first: np.ndarray, last: np.ndarray, kind: np.ndarray, place: np.ndarray):
+    """l and r (inclusive) of the compact windows that ``windows`` finds: up to the nearest smaller tokens.
 
-    Each goes to the group's first row and to the last row of the document before it; rows of the group's
-    first document go to the second document's first row.
+    A nearest smaller token has a window of its own that holds this one, so it is among the places given.
     """
-    start = common.key_starts([key])
-    size = np.diff(np.append(start, len(key)))
-    own = common.key_starts([key, uid])  # a document's rows in a group
-    own_size = np.diff(np.append(own, len(key)))
-    first, mine = np.repeat(start, size), np.repeat(own, own_size)
-    i = np.arange(len(key))
-    later = mine != first
-    end_of_mine = np.repeat(own + own_size, own_size)
-    early = ~later & (end_of_mine < np.repeat(start + size, size))
-    return np.concatenate((i[later], i[later], i[early])), np.concatenate((first[later], mine[later] - 1, end_of_mine[early]))
+    left, right = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+    text = np.searchsorted(last, place, side="right")
+    for k in np.unique(kind):
+        at = np.flatnonzero(kind == k)
+        p, t = place[at], text[at]
+        v = value(x, int(k))[p]
+        for out, step in ((left, -1), (right, 1)):
+            near = np.arange(len(p)) + step
+            while True:
+                inside = (near >= 0) & (near < len(p))
+                inside[inside] = t[near[inside]] == t[inside]
+                inside[inside] = v[near[inside]] > v[inside]
+                if not inside.any():
+                    break
+                near[inside] = near[near[inside]]
+            inside = (near >= 0) & (near < len(p))
+            inside[inside] = t[near[inside]] == t[inside]
+            edge = first[t] if step < 0 else last[t] - 1
+            out[at] = np.where(inside, p[np.where(inside, near, 0)] - step, edge)
+    return left, right
+
+
+def parts(texts: list[bytes], size: int = BUFFER):
+    """Index lists of texts with about ``size`` bytes together."""
+    part, n = [], 0
+    for i, t in enumerate(texts):
+        part.append(i)
+        n += len(t)
+        if n >= size:
+            yield part
+            part, n = [], 0
+    if part:
+        yield part
 
 
-LINKS = "key long, local boolean, a long, ca int, b long, cb int"
+class Buffer:
+    """Tokens of several texts one after another; the last shingles of a text, which reach into the next, don't count."""
 
+    def __init__(self, texts: list[bytes], part: list[int]):
+        end = np.cumsum([len(texts[i]) + 1 for i in part])
+        self.x, start = tokens(b"\n".join(texts[i] for i in part))
+        last = np.searchsorted(start, end)
+        self.first = np.append(0, last[:-1])
+        self.ends = last
+        self.last = np.maximum(last - SHINGLE + 1, self.first)
+        self.part = np.array(part, np.int64)
+
+    def windows(self, width: int, hashes: int):
+        """Function, position and text (index into the part) of each window."""
+        k, c = windows(self.x, self.first, self.last, width, hashes)
+        return k, c, np.searchsorted(self.ends, c, side="right")
 
-def heads(least_words: int, hashes: int):
-    """Rows for the shuffle: the first holder of each token in a batch, and links among a batch's holders."""
-    width = least_words - SHINGLE + 1
+
+def signatures(x: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    return mixed(x ^ _MIX[kind.astype(np.int64)]).view(np.int64)
+
+
+THIN = "route long, key long, uid long, at int, sure boolean"
+
+
+def thin_windows(width: int, hashes: int):
+    """Signatures for the shuffle. Where several texts of a batch have one, all its rows are sure to stay; the
+    first tells so to other batches, and the rest go anywhere.
+    """
 
     def work(batches):
         for batch in batches:
-            uid_all = batch.column(0).to_numpy()
-            texts = [t.as_py().encode() for t in batch.column(1)]
-            keys, uids, places = [], [], []
-            for part in groups(texts):
-                raw = b"\n".join(texts[i] for i in part)
-                size = np.array([len(texts[i]) for i in part])
-                end = np.cumsum(size + 1)
-                x, start = tokens(raw)
-                last = np.searchsorted(start, end)
-                first = np.append(0, last[:-1])
-                k, c = windows(x, first, np.maximum(last - SHINGLE + 1, first), width, hashes)
-                doc = np.searchsorted(last, c, side="right")
-                keys.append(mixed(x[c] ^ _MIX[4 + k % 4]).view(np.int64))
-                uids.append(uid_all[np.array(part, np.int64)[doc]] if len(c) else np.zeros(0, np.int64))
-                places.append((c - first[doc]).astype(np.int32) if len(c) else np.zeros(0, np.int32))
+            uid_all, texts = batch.column(0).to_numpy(), [t.as_py().encode() for t in batch.column(1)]
+            keys, uids, ats = [], [], []
+            for part in parts(texts):
+                b = Buffer(texts, part)
+                k, c, doc = b.windows(width, hashes)
+                keys.append(signatures(b.x[c], k))
+                uids.append(uid_all[b.part[doc]])
+                ats.append((k.astype(np.int64) * _PLACE + c - b.first[doc]).astype(np.int32))
             if not keys:
                 continue
-            key, uid, place = np.concatenate(keys), np.concatenate(uids), np.concatenate(places)
-            by = np.lexsort((place, uid, key))
-            key, uid, place = key[by], uid[by], place[by]
-            first = np.repeat(start := common.key_starts([key]), np.diff(np.append(start, len(key))))
-            head = uid == uid[first] if len(key) else np.zeros(0, bool)
-            i, j = holders(key, uid)
-            yield frame(key[head], False, uid[head], place[head], uid[head], place[head])
-            yield frame(mixed((uid[i] ^ uid[j]).view(np.uint64)).view(np.int64), True, uid[j], place[j], uid[i], place[i])
+            key, uid, at = np.concatenate(keys), np.concatenate(uids), np.concatenate(ats)
+            by = np.lexsort((at, uid, key))
+            key, uid, at = key[by], uid[by], at[by]
+            start = common.key_starts([key])
+            size = np.diff(np.append(start, len(key)))
+            several = np.repeat(uid[start] != uid[start + size - 1], size)
+            own = ~several
+            own[start] = True
+            route = np.where(own, key, mixed((uid ^ at).view(np.uint64)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (route, key, uid, at, several)], ["route", "key", "uid", "at", "sure"])
 
     return work
 
 
-def groups(texts: list[bytes], size: int = BUFFER):
-    part, n = [], 0
-    for i, t in enumerate(texts):
-        part.append(i)
-        n += len(t)
-        if n >= size:
-            yield part
-            part, n = [], 0
-    if part:
-        yield part
+def shared_only(batches):
+    """``uid, at`` of rows, sorted by route, that are sure or whose signature several texts have."""
+    for table in common.runs(batches, ["route"]):
+        route, key, uid, sure = (table[c].to_numpy() for c in ("route", "key", "uid", "sure"))
+        by = np.lexsort((uid, key, route))
+        start = common.key_starts([route[by], key[by]])
+        size = np.diff(np.append(start, len(by)))
+        stays = (uid[by][start] != uid[by][start + size - 1]) | np.logical_or.reduceat(sure[by], start) if len(by) else np.zeros(0, bool)
+        keep = by[np.repeat(stays, size)]
+        yield pa.RecordBatch.from_arrays([pa.array(uid[keep]), pa.array(table["at"].to_numpy()[keep])], ["uid", "at"])
+
+
+HOLDERS = "key long, uid long, c int, span long, around binary, other long, `from` int, `to` int"
+
 
+def binary(rows: np.ndarray) -> pa.Array:
+    """Rows of a matrix as binary values."""
+    width = rows.shape[1] * rows.itemsize
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
 
-def frame(key, local, a, ca, b, cb):
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), local)), pa.array(a), pa.array(ca), pa.array(b), pa.array(cb)], ["key", "local", "a", "ca", "b", "cb"])
-
-
-def linked(batches):
-    """Links ``a, ca, b, cb`` (a before b) of rows sorted by key and document; state: the open group's first and last."""
-    state = None  # key, first document and its places, whether a second came, last document and its last place
-    for batch in batches:
-        key, local, a, ca, b, cb = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
-        if not len(key):
-            continue
-        out = [(a[local], ca[local], b[local], cb[local])]
-        key, uid, place = key[~local], a[~local], ca[~local]
-        if len(key):
-            skip = second = 0
-            if state is not None and state[0] == key[0]:
-                k, first, places, second, last, at = state
-                before = [(first, p) for p in places] + [(last, at)] * int(last != first)
-                skip = len(before)
-                key = np.concatenate((np.full(skip, k), key))
-                uid = np.concatenate((np.array([x[0] for x in before]), uid))
-                place = np.concatenate((np.array([x[1] for x in before], np.int32), place))
-            i, j = holders(key, uid)
-            new = (i >= skip) | (j >= skip) & (second == 0)
-            i, j = i[new], j[new]
-            out.append((uid[j], place[j], uid[i], place[i]))
-            f = common.key_starts([key])[-1]
-            mine = uid[f:] == uid[f]
-            state = (key[-1], uid[f], place[f:][mine], int(not mine.all()), uid[-1], place[-1])
-        x, cx, y, cy = (np.concatenate(c) for c in zip(*out))
-        flip = x > y
-        x, y, cx, cy = np.where(flip, y, x), np.where(flip, x, y), np.where(flip, cy, cx), np.where(flip, cx, cy)
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (x, y, cx, cy)], ["a", "b", "ca", "cb"])
-
-
-REGIONS = "a long, b long, a0 int, a1 int, b0 int, b1 int"
-
-
-def regions(enough: int):
-    """Intervals of a pair's links, sorted by place, that keep to a diagonal without large gaps."""
+
+def around(x: np.ndarray, c: np.ndarray, left: np.ndarray, right: np.ndarray, reach: int) -> np.ndarray:
+    """16 bits of each token from ``reach`` before c to as many after it, zero outside the window."""
+    at = c[:, None] + np.arange(-reach, reach + 1)
+    inside = (at >= left[:, None]) & (at <= right[:, None])
+    short = np.maximum((x >> np.uint64(48)).astype(np.uint16), 1)
+    return np.where(inside, short[np.where(inside, at, 0)], np.uint16(0))
+
+
+def span_of(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row."""
+    weight = mixed(np.arange(1, rows.shape[1] + 1, dtype=np.uint64) * _MIX[0]) | np.uint64(1)
+    return mixed((rows.astype(np.uint64) * weight).sum(1, dtype=np.uint64)).view(np.int64)
+
+
+def classes_in(key: np.ndarray, span: np.ndarray, uid: np.ndarray, rows: np.ndarray):
+    """For rows sorted by key, span and text: the first row of each row's class (equal tokens), and the first row
+    of another text in it (-1 if there is none).
+    """
+    n = len(key)
+    new = np.ones(n, bool)
+    if n:
+        new[1:] = (key[1:] != key[:-1]) | (span[1:] != span[:-1]) | (rows[1:] != rows[:-1]).any(1)
+    start = np.flatnonzero(new)
+    size = np.diff(np.append(start, n))
+    head = np.repeat(start, size)
+    differs = uid != uid[head]
+    second = np.minimum.reduceat(np.where(differs, np.arange(n), n), start) if n else start
+    second = np.repeat(np.where(second < n, second, -1), size)
+    return head, second
+
+
+def holders(width: int, hashes: int):
+    """From ``uid, text, ats``: rows of the windows asked for, and links to the first of equal ones in the batch."""
+    reach = width - 1
 
     def work(batches):
-        for table in common.runs(batches, ["a", "b"], 100_000):
-            a, b, ca, cb = (table[c].to_numpy() for c in ("a", "b", "ca", "cb"))
-            diagonal = ca.astype(np.int64) - cb
-            kept = []
-            for shift in (0, SLACK):  # two grids of diagonals: what one cuts apart the other holds together
-                band = (diagonal + shift) // (2 * SLACK)
-                by = np.lexsort((cb, ca, band, b, a))
-                u, v, cu, cv, band = a[by], b[by], ca[by], cb[by], band[by]
-                new = np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (band[1:] != band[:-1]) | (np.diff(cu.astype(np.int64)) > GAP))
-                distinct = np.append(True, new[1:] | (cu[1:] != cu[:-1]) | (cv[1:] != cv[:-1]))
-                start = np.flatnonzero(new)
-                pick = np.add.reduceat(distinct.astype(np.int64), start) >= enough
-                stop = np.append(start[1:], len(u))
-                kept.append(np.stack([u[start], v[start], cu[start], cu[stop - 1], np.minimum.reduceat(cv, start), np.maximum.reduceat(cv, start)], 1)[pick])
-            found = np.unique(np.concatenate(kept), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, i]).astype(np.int64 if i < 2 else np.int32)) for i in range(6)], ["a", "b", "a0", "a1", "b0", "b1"])
+        for batch in batches:
+            uid_all, texts = batch.column(0).to_numpy(), [t.as_py().encode() for t in batch.column(1)]
+            asked = batch.column(2).to_pylist()
+            found = []
+            for part in parts(texts):
+                b = Buffer(texts, part)
+                k, c, doc = b.windows(width, hashes)
+                left, right = intervals(b.x, b.first, b.last, k, c)
+                at = k.astype(np.int64) * _PLACE + c - b.first[doc]
+                wanted = np.concatenate([np.array(asked[i], np.int64) for i in part])
+                owner = np.repeat(np.arange(len(part)), [len(asked[i]) for i in part])
+                mine = np.isin(doc * (16 * _PLACE) + at, owner * (16 * _PLACE) + wanted)
+                k, c, doc, left, right = k[mine], c[mine], doc[mine], left[mine], right[mine]
+                found.append((signatures(b.x[c], k), uid_all[b.part[doc]], (c - b.first[doc]).astype(np.int32), around(b.x, c, left, right, reach)))
+            if not found:
+                continue
+            key, uid, c, rows = (np.concatenate(v) for v in zip(*found))
+            span = span_of(rows)
+            by = np.lexsort((c, uid, span, key))
+            key, uid, c, rows, span = key[by], uid[by], c[by], rows[by], span[by]
+            head, second = classes_in(key, span, uid, rows)
+            linked = uid != uid[head]
+            kept = np.flatnonzero(~linked | (second == np.arange(len(key))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[kept]), pa.array(uid[kept]), pa.array(c[kept]), pa.array(span[kept]), binary(rows[kept]), pa.nulls(len(kept), pa.int64()), pa.nulls(len(kept), pa.int32()), pa.nulls(len(kept), pa.int32())],
+                ["key", "uid", "c", "span", "around", "other", "from", "to"],
+            )
+            i = np.flatnonzero(linked | ((second >= 0) & ~linked))  # the first text's rows have a partner in the second
+            j = np.where(linked[i], head[i], second[i])
+            yield link_rows(uid, c, rows, i, j, *whole(rows, i))
 
     return work
 
 
-def stretch(hit: np.ndarray, share: float) -> tuple[int, int]:
-    """The longest stretch (from, to) of which at least ``share`` are hits, without misses at its ends."""
-    total = np.append(0, np.cumsum(hit - share))
-    low = np.minimum.accumulate(total)
-    first = np.searchsorted(-low, -total - 1e-9, side="left")  # where a stretch up to here can begin at the earliest
-    size = np.arange(len(total)) - first
-    to = int(np.argmax(size))
-    begin = int(first[to])
-    inside = np.flatnonzero(hit[begin:to])
-    return (begin + int(inside[0]), begin + int(inside[-1]) + 1) if len(inside) else (0, 0)
+def whole(rows: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last column (exclusive) inside the windows of rows i."""
+    inside = rows[i] > 0
+    return inside.argmax(1) if len(i) else i, rows.shape[1] - inside[:, ::-1].argmax(1) if len(i) else i
+
 
+def link_rows(uid, c, rows, i, j, lo, hi):
+    """Links of rows i to rows j over columns lo to hi, as the text's words from and to."""
+    reach = rows.shape[1] // 2
+    n = len(i)
+    nulls = [pa.nulls(n, pa.int64()), pa.array(uid[i]), pa.array(c[i]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(uid[j])]
+    return pa.RecordBatch.from_arrays(nulls + [pa.array((c[i] + lo - reach).astype(np.int32)), pa.array((c[i] + hi - reach + SHINGLE - 1).astype(np.int32))], ["key", "uid", "c", "span", "around", "other", "from", "to"])
 
-def near(x: np.ndarray, y: np.ndarray, similarity: float, least: int) -> list[tuple[int, int, int, int, float]]:
-    """Dense common stretches of two token sequences as (x from, x to, y from, y to, Jaccard).
 
-    Equally long stretches with Jaccard j share 2j / (1 + j) of their tokens: the longest stretch with that
-    share of hits is taken, and what is left on either side of it is searched again. Where the Jaccard is too
-    low all the same, denser stretches are tried.
+def stretches(a: np.ndarray, b: np.ndarray, width: int, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each pair of rows: whether a stretch of ``width`` around the middle has ``need`` tokens of a in b, at most
+    ``MOVED`` places away, and the first and last column (exclusive) of what such stretches cover.
     """
-    found, todo = [], [(0, len(y))]
-    share = 2 * similarity / (1 + similarity)
-    hit = np.isin(y, x)
-    while todo:
-        lo, hi = todo.pop()
-        if hit[lo:hi].sum() < least * similarity:
-            continue
-        for need in (share, (1 + share) / 2, 1.0):
-            p, q = stretch(hit[lo:hi], need)
-            p, q = p + lo, q + lo
-            if q - p < least:
-                break
-            r, s = stretch(np.isin(x, y[p:q]), need)
-            u, v = np.unique(x[r:s]), np.unique(y[p:q])
-            both = len(np.intersect1d(u, v, assume_unique=True))
-            jaccard = both / max(1, len(u) + len(v) - both)
-            if jaccard >= similarity and s - r >= least:
-                found.append((r, s, p, q, jaccard))
-                todo += [(lo, p), (q, hi)]
-                break
-        else:
-            todo += [(lo, p), (q, hi)]
-    return found
-
-
-def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: float = SIMILARITY, hashes: int = HASHES, enough: int = ENOUGH) -> DataFrame:
+    inside = (a > 0) & (b > 0)
+    hit = a == b
+    for s in range(1, MOVED + 1):
+        hit[:, s:] |= a[:, s:] == b[:, :-s]
+        hit[:, :-s] |= a[:, :-s] == b[:, s:]
+    hit &= inside
+    total = np.zeros((len(a), hit.shape[1] + 1), np.int16)
+    np.cumsum(hit, axis=1, out=total[:, 1:])
+    good = total[:, width:] - total[:, :-width] >= need
+    ok = good.any(1)
+    lo, hi = good.argmax(1), good.shape[1] - good[:, ::-1].argmax(1) - 1 + width
+    column = np.arange(hit.shape[1])
+    covered = hit & (column >= lo[:, None]) & (column < hi[:, None])
+    return ok, covered.argmax(1), hit.shape[1] - covered[:, ::-1].argmax(1)
+
+
+class Reaches:
+    """For each row the partners that reach furthest to either side, and a forest of all links."""
+
+    def __init__(self, n: int, middle: int):
+        self.lo, self.hi = np.full(n, middle, np.int32), np.full(n, middle, np.int32)
+        self.by_lo, self.by_hi = np.full(n, -1), np.full(n, -1)
+        self.links: list[tuple] = []
+
+    def add(self, i, j, lo, hi) -> None:
+        for p, q in ((i, j), (j, i)):
+            order = np.lexsort((lo, p))
+            head = common.key_starts([p[order]])
+            r = order[head]
+            better = lo[r] < self.lo[p[r]]
+            self.lo[p[r][better]], self.by_lo[p[r][better]] = lo[r][better], q[r][better]
+            order = np.lexsort((-hi, p))
+            r = order[head]
+            better = hi[r] > self.hi[p[r]]
+            self.hi[p[r][better]], self.by_hi[p[r][better]] = hi[r][better], q[r][better]
+        lab = common.union_find(i, j, len(self.lo))
+        r = np.flatnonzero(lab != np.arange(len(lab)))
+        self.links.append((r, lab[r]))
+
+
+def compare(uid: np.ndarray, rows: np.ndarray, start: np.ndarray, end: np.ndarray, side: np.ndarray, width: int, need: int, least: int = 64) -> Reaches:
+    """Links among the rows of each group [start, end), between different texts (and sides, if it has two)."""
+    out = Reaches(len(uid), rows.shape[1] // 2)
+
+    def look(i, j):
+        for at in range(0, len(i), 1 << 14):
+            p, q = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+            near = ((rows[p] == rows[q]) & (rows[p] > 0)).sum(1) >= min(ALIGNED, need)
+            p, q = p[near], q[near]
+            if len(p):
+                ok, lo, hi = stretches(rows[p], rows[q], width, need)
+                if ok.any():
+                    out.add(p[ok], q[ok], lo[ok], hi[ok])
+
+    size = end - start
+    small = (size > 1) & (size <= least)
+    for g in np.array_split(np.flatnonzero(small), max(1, int((size[small] ** 2).sum()) >> 20)):
+        i, j = common.cross_segments(start[g], size[g], start[g], size[g])
+        ok = (i < j) & (uid[i] != uid[j]) & ((side[i] == 2) | (side[i] != side[j]))
+        look(i[ok], j[ok])
+    for s, e in zip(start[size > least], end[size > least]):
+        for i in range(s, e):
+            j = np.arange(i + 1, e) if side[i] == 2 else np.arange(s, e)[side[s:e] == 1] if side[i] == 0 else np.arange(0)
+            j = j[uid[j] != uid[i]]
+            look(np.full(len(j), i), j)
+    return out
+
+
+def linked(width: int, need: int):
+    """Links of whole groups ``key, tile`` of rows sorted by key, tile, side, span and text."""
+
+    def work(batches):
+        for table in common.runs(batches, ["key", "tile"], 20_000):
+            key, tile, side, uid, c, span = (table[n].to_numpy() for n in ("key", "tile", "side", "uid", "c", "span"))
+            rows = np.frombuffer(b"".join(table["around"].to_pylist()), np.uint16).reshape(len(key), -1)
+            group = np.cumsum(np.append(True, (key[1:] != key[:-1]) | (tile[1:] != tile[:-1]) | (side[1:] != side[:-1]))) if len(key) else key
+            head, second = classes_in(group, span, uid, rows)
+            me = np.arange(len(key))
+            i = np.flatnonzero((uid != uid[head]) | (second >= 0))
+            yield link_rows(uid, c, rows, i, np.where(uid[i] != uid[head[i]], head[i], second[i]), *whole(rows, i))
+            stays = np.flatnonzero((head == me) | (second == me) | ((second < 0) & (uid == uid[head])))
+            key, tile, side, uid, c, rows = key[stays], tile[stays], side[stays], uid[stays], c[stays], rows[stays]
+            start = common.key_starts([key, tile])
+            got = compare(uid, rows, start, np.append(start[1:], len(key)), side, width, need)
+            for partner, lo, hi in ((got.by_lo, got.lo, None), (got.by_hi, None, got.hi)):
+                i = np.flatnonzero(partner >= 0)
+                ok, a, b = stretches(rows[i], rows[partner[i]], width, need)
+                back, a2, b2 = stretches(rows[partner[i]], rows[i], width, need)
+                lo_i, hi_i = np.where(ok, a, a2), np.where(ok, b, b2)
+                yield link_rows(uid, c, rows, i, partner[i], lo_i, hi_i)
+            if got.links:
+                i, j = (np.concatenate(v) for v in zip(*got.links))
+                middle = np.full(len(i), rows.shape[1] // 2)
+                other = uid[i] != uid[j]
+                yield link_rows(uid, c, rows, i[other], j[other], middle[other], middle[other] - SHINGLE + 1)
+
+    return work
+
+
+def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: float = SIMILARITY, hashes: int = HASHES, crowd: int = CROWD) -> DataFrame:
     """Per row of ``docs``: passages of at least ``least_words`` words that nearly repeat in another document.
 
     ``doc_id, n_words, n_dup_words, n_passages, class_id, passages array<struct<from, to>>`` (words, from 0,
     to exclusive; maximal after union). ``class_id``: the smallest doc_id reachable over verified passages,
     itself included. Null and short texts have none. Rows that repeat id and text share one result and
-    don't count as another document; other rows that repeat an id do.
+    don't count as another document; other rows that repeat an id do. A null doc_id names a class only if it
+    has no other. Every exact passage is found; one at the similarity is missed where no function agrees, or
+    where words were put in or left out so that it holds no stretch of the least length in place.
     """
     spark = docs.sparkSession
     common.bounded_batches(spark)
@@ -258,55 +402,27 @@ def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: f
     texts = base.where(F.octet_length("text") >= 2 * least_words - 1).select("uid", "text")
     if base.groupBy("uid").count().where("count > 1").limit(1).count():
         texts = texts.dropDuplicates(["uid"])
-    parts = common.shuffle_parts(spark)
-    found = texts.mapInArrow(heads(least_words, hashes), LINKS).repartition(parts, "key").sortWithinPartitions("key", "local", "a", "ca")
-    links = found.mapInArrow(linked, "a long, b long, ca int, cb int")
-    areas = links.repartition(parts, "a", "b").sortWithinPartitions("a", "b", "ca", "cb").mapInArrow(regions(enough), REGIONS)
-    areas = common.cut(areas, "regions")
-    margin = least_words
-
-    def first_side(batches):
-        for batch in batches:
-            text = batch.column(0)
-            rows = []
-            for t, asks in zip(text, batch.column(1)):
-                x, _ = tokens(t.as_py().encode())
-                x = x[: max(0, len(x) - SHINGLE + 1)]
-                for r in asks.as_py():
-                    lo, hi = max(0, r["a0"] - margin), min(len(x), r["a1"] + margin + 1)
-                    rows.append((r["a"], r["b"], lo, r["b0"], r["b1"], (x[lo:hi] >> np.uint64(32)).astype("<u4").tobytes()))
-            cols = list(zip(*rows)) if rows else [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], ["a", "b", "a0", "b0", "b1", "x"])
-
-    asks = areas.groupBy(F.col("a").alias("uid")).agg(F.collect_list(F.struct("a", "b", "a0", "a1", "b0", "b1")).alias("asks"))
-    sides = texts.join(asks, "uid").select("text", "asks").mapInArrow(first_side, "a long, b long, a0 int, b0 int, b1 int, x binary")
-
-    def second_side(batches):
-        for batch in batches:
-            rows = []
-            seen, y = None, None
-            for uid, t, a, a0, b0, b1, raw in zip(*(batch.column(i) for i in range(7))):
-                if uid.as_py() != seen:
-                    seen = uid.as_py()
-                    y, _ = tokens(t.as_py().encode())
-                    y = (y[: max(0, len(y) - SHINGLE + 1)] >> np.uint64(32)).astype("<u4")
-                lo, hi = max(0, b0.as_py() - margin), min(len(y), b1.as_py() + margin + 1)
-                at = a0.as_py()
-                for p, q, r, s, _ in near(np.frombuffer(raw.as_py(), "<u4"), y[lo:hi], similarity, least_words - SHINGLE + 1):
-                    rows.append((a.as_py(), seen, at + p, at + q + SHINGLE - 1, seen))
-                    rows.append((seen, a.as_py(), lo + r, lo + s + SHINGLE - 1, seen))
-            cols = list(zip(*rows)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)][:4], ["uid", "other", "from", "to"])
-
-    met = texts.join(sides.withColumnRenamed("b", "uid"), "uid").select("uid", "text", "a", "a0", "b0", "b1", "x")
-    verified = common.cut(met.mapInArrow(second_side, "uid long, other long, `from` int, `to` int"), "verified")
+    width = least_words - SHINGLE + 1
+    need = int(np.ceil(width * 2 * similarity / (1 + similarity) - 1e-9))
+    n_parts = common.shuffle_parts(spark)
+    thin = texts.mapInArrow(thin_windows(width, hashes), THIN).repartition(n_parts, "route").sortWithinPartitions("route")
+    asked = thin.mapInArrow(shared_only, "uid long, at int").groupBy("uid").agg(F.collect_list("at").alias("ats"))  # a text's own windows
+    found = common.cut(texts.join(asked, "uid").select("uid", "text", "ats").mapInArrow(holders(width, hashes), HOLDERS), "holders")
+    held = found.where("key is not null").select("key", "uid", "c", "span", "around")
+    crowded = common.cut(held.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("key", F.ceil(F.col("n") / crowd).cast("int").alias("n")), "crowded")
+    placed = held.join(common.small(crowded), "key", "left")
+    n = F.coalesce("n", F.lit(1))
+    own = F.pmod(F.xxhash64("uid", "c"), n).cast("int")
+    tiles = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.struct((F.least(own, j) * n + F.greatest(own, j)).alias("tile"), F.when(own == j, 2).when(own < j, 0).otherwise(1).alias("side")))
+    placed = placed.select("key", F.inline(F.when(n == 1, F.array(F.struct(F.lit(0).alias("tile"), F.lit(2).alias("side")))).otherwise(tiles)), "uid", "c", "span", "around")
+    met = placed.repartition(n_parts, "key", "tile").sortWithinPartitions("key", "tile", "side", "span", "uid", "c")
+    links = met.mapInArrow(linked(width, need), HOLDERS).unionByName(found.where("key is null")).select("uid", "other", "from", "to").distinct()
+    verified = common.cut(links, "verified")
     comp = common.components(verified.select(F.col("uid").alias("u"), F.col("other").alias("v")))
-    spans = verified.groupBy("uid").agg(F.collect_set(F.struct("from", "to")).alias("spans"))  # a text's own passages
+    spans = verified.where("`to` > `from`").groupBy("uid").agg(F.collect_set(F.struct("from", "to")).alias("spans"))  # a text's own passages
     ids = base.select("uid", "doc_id").join(comp, F.col("uid") == F.col("node")).select("uid", "doc_id", "root")
-    named = ids.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    classes = comp.join(named, "root").select(F.col("node").alias("uid"), "class_id")
+    named = ids.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("size"))
+    classes = common.spread_join(comp, named, ["root"], "size").select(F.col("node").alias("uid"), "class_id")
 
     @F.arrow_udf("array<struct<`from`: int, `to`: int>>")
     def union(spans: pa.Array) -> pa.Array:

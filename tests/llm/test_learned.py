@@ -148,6 +148,113 @@ def test_windows_cover_every_long_subsequence():
                 assert s + int(np.argmin(h[s : s + 30])) in mine
 
 
+def near_texts(texts, least=50, similarity=0.8):
+    """Pairs of texts with stretches of that many words and Jaccard similarity on five-word shingles, by definition."""
+    n = least - 4
+    shingles = [[tuple(t[i : i + 5]) for i in range(max(0, len(t) - 4))] for t in texts]
+    found = set()
+    for a in range(len(texts)):
+        for b in range(a):
+            x, y = shingles[a], shingles[b]
+            if len(set(x) & set(y)) < similarity * n:
+                continue
+            for i in range(len(x) - n + 1):
+                u = set(x[i : i + n])
+                if any(len(u & v) >= similarity * len(u | v) for j in range(len(y) - n + 1) if len(u & (v := set(y[j : j + n]))) > n // 2):
+                    found.add((b, a))
+                    break
+    return found
+
+
+def roots(n, pairs):
+    up = list(range(n))
+    for a, b in sorted(pairs):
+        while up[a] != a:
+            a = up[a]
+        while up[b] != b:
+            b = up[b]
+        up[max(a, b)] = min(a, b)
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    return [find(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed, crowd", [(1, 4096), (2, 3)])
+def test_passages_against_brute_force(spark, seed, crowd):
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 6)))
+    prose = lambda n: [word() for _ in range(n)]
+    sources = [prose(r.choice([55, 70, 100])) for _ in range(10)]
+    line = prose(30)
+    texts = []
+    for k in range(90):
+        part = list(sources[k % len(sources)])
+        for _ in range(k // len(sources) % 5):
+            at = r.randrange(len(part))
+            kind = r.random()
+            part[at : at + (kind < 0.8)] = [word()] if kind < 0.9 else []
+        texts.append(prose(r.randrange(20)) + (part if k % 3 else part + line) + prose(r.randrange(20)))
+    texts += [prose(10) + line + prose(40) for _ in range(15)] + [prose(100) for _ in range(5)]
+    want = near_texts(texts)
+    got = {x["doc_id"]: x for x in passages.near_passages(docs_of(spark, [" ".join(t) for t in texts]), crowd=crowd).collect()}
+    linked = {i for pair in want for i in pair}
+    reported = {i for i, x in got.items() if x["n_passages"]}
+    assert reported <= linked and len(reported) >= 0.97 * len(linked) and len(linked) > 50
+    classes, brute = [got[i]["class_id"] for i in range(len(texts))], roots(len(texts), want)
+    same = [(a, b) for a in range(len(texts)) for b in range(a) if brute[a] == brute[b]]
+    assert sum(classes[a] == classes[b] for a, b in same) >= 0.95 * len(same)
+    assert all(brute[a] == brute[b] for a in range(len(texts)) for b in range(a) if classes[a] == classes[b])
+
+
+def test_exact_passages_in_templates(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7)))
+    form = [word() for _ in range(60)]
+    texts = []
+    for _ in range(200):
+        mine = list(form)
+        for at in (12, 30, 47):
+            mine[at] = word()
+        texts += [" ".join([word() for _ in range(15)] + mine + [word() for _ in range(15)]) for _ in range(2)]
+    rows = {x["doc_id"]: x for x in passages.near_passages(docs_of(spark, texts)).collect()}
+    for i in range(0, 400, 2):
+        for k in (i, i + 1):
+            assert any(p["from"] <= 15 and p["to"] >= 75 for p in rows[k]["passages"]), k
+        assert rows[i]["class_id"] == rows[i + 1]["class_id"]
+
+
+def test_edited_passages_are_found(spark):
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(r.randint(2, 7)))
+    texts = []
+    for k in range(300):
+        part = [word() for _ in range(100)]
+        changed = list(part)
+        for at in (20 + k % 5, 60 + k % 7):
+            changed[at : at + 1] = [[word()], [word(), word()], []][k % 3]
+        texts += [" ".join([word() for _ in range(30)] + x + [word() for _ in range(30)]) for x in (part, changed)]
+    rows = {x["doc_id"]: x for x in passages.near_passages(docs_of(spark, texts)).collect()}
+    found = [rows[2 * k]["class_id"] == rows[2 * k + 1]["class_id"] == 2 * k for k in range(300)]
+    assert sum(found) >= 0.97 * 300
+
+
+def test_intervals_by_definition():
+    import numpy as np
+
+    x = np.random.default_rng(3).integers(0, 1 << 62, 400).astype(np.uint64)
+    first, last = np.array([0, 150]), np.array([150, 400])
+    kinds, places = passages.windows(x, first, last, 20, 3)
+    left, right = passages.intervals(x, first, last, kinds, places)
+    for k, c, lo, hi in zip(kinds, places, left, right):
+        v = passages.value(x, int(k))
+        a, b = (0, 150) if c < 150 else (150, 400)
+        assert v[lo : hi + 1].min() == v[c] and (lo == a or v[lo - 1] < v[c]) and (hi == b - 1 or v[hi + 1] < v[c])
+
+
 # --- secrets
 
 
