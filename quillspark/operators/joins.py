@@ -34,16 +34,17 @@ def _has_map(kind) -> bool:
     return "map<" in kind.simpleString() or "variant" in kind.simpleString()
 
 
-def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], size: str, how: str = "inner", share: int = 4) -> DataFrame:
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], size: str, how: str = "inner", share: int = 4, total: int | None = None) -> DataFrame:
     """``rows`` with their row of ``table`` (one per key; column ``size``: rows that have the key), hot keys spread.
 
     A key is hot if it has more than a ``share``-th of an even partition's rows. There are at most ``share`` times
     as many hot keys as shuffle partitions, so they are broadcast; rows of a hot key get a salt, and its row of
     ``table`` is repeated for each salt. Only the columns of ``table`` beyond the keys and ``size`` are added.
+    ``total``: the sum of ``size``, if it is known; else it is found in a pass of its own.
     """
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = table.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    n = table.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] if total is None else total
     least = max(1, n // (share * parts))
     salts = F.ceil(F.col(size) / least).cast("int")
     hot = table.where(F.col(size) > least).select(*keys, salts.alias("__salts"))
