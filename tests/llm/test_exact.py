@@ -295,9 +295,9 @@ def test_packing(spark):
 
     path = tok.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     r = random.Random(2)
     texts = ODD + ["".join(r.choice("aAéÉß .,'|!\n\t1٣Σςİıſ中 ́") for _ in range(r.randrange(80))) for _ in range(300)] + ["two words " * 5000]
+    texts += ["a<|endoftext|>b <|startoftext|> c", "<|endoftext|><|ENDOFTEXT|>", "x <|endoftext |> y"]
     rows = packing.pack_documents(docs_of(spark, texts), path).collect()
     ids = {i: whole.encode(t or "", add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
     place = {}
@@ -313,20 +313,79 @@ def test_packing(spark):
     assert len(place) == -(-sum(map(len, ids.values())) // 4096)
 
 
+def test_packing_names_of_special_tokens_as_text():
+    from tokenizers import Tokenizer
+
+    path = tok.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    text = "a<|endoftext|>b"
+    made = packing.WordEncoder.of(path, plain_names=True).encode([text])[0]
+    assert np.frombuffer(made, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_in_rounds_and_odd_tables(spark):
     r = random.Random(3)
-    rows = [(i, 0, 0, r.choice([1, 7, 100, 900, 2049, 4096, r.randint(1, 4096)]), 0) for i in range(900)] + [(None, 0, 0, 5, 0), (1, 0, 0, 5, 0)]
-    table = spark.createDataFrame(rows, packing.PIECES)
+    rows = [(i, 0, 0, r.choice([1, 7, 100, 900, 2049, 4096, r.randint(1, 4096)]), 0) for i in range(900)] + [(None, 0, 0, 5, 0)] + [(1, 0, 0, 5, 0)] * 300
+    table = spark.createDataFrame(rows, packing.PIECES).withColumn("pid", F.lit("clash")).withColumn("settled", F.lit(1))
     got = packing.pack(table, block=100).collect()
     fill = Counter()
     for x in got:
         fill[x["sequence_id"]] += x["length"]
-    assert len(got) == 902 and max(fill.values()) <= 4096 and sum(x["doc_id"] is None for x in got) == 1
+    assert len(got) == 1201 and max(fill.values()) <= 4096 and sum(x["doc_id"] is None for x in got) == 1
+    assert all(x["pid"] == "clash" and x["settled"] == 1 for x in got)
     large = sum(x[3] > 2048 for x in rows)
     assert len(fill) <= max(large, -(-sum(fill.values()) // 4096)) * 1.06 + 2
     assert packing.pack(table.limit(0)).count() == 0
 
 
+def fewest_bins(length, capacity):
+    """By exhaustive search with the first open bins in order."""
+    best = len(length)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best and k < len(length):
+            return
+        if k == len(length):
+            best = min(best, len(rooms))
+            return
+        for b in {room: b for b, room in enumerate(rooms) if room >= length[k]}.values():
+            place(k + 1, rooms[:b] + [rooms[b] - length[k]] + rooms[b + 1 :])
+        place(k + 1, rooms + [capacity - length[k]])
+
+    place(0, [])
+    return best
+
+
+def test_lower_bound_and_small_packings():
+    r = random.Random(6)
+    for _ in range(60):
+        length = sorted((r.randint(1, 100) for _ in range(r.randint(1, 9))), reverse=True)
+        best = fewest_bins(length, 100)
+        assert packing.least_bins(length, 100) <= best <= len(packing.evolve(length, 100, 1)[0]) <= best + 1
+    assert packing.least_bins([], 100) == 0
+
+
+def test_islands_beat_best_fit_decreasing(spark):
+    r = random.Random(1)
+    length = []
+    while len(length) < 600:
+        a = r.randint(900, 1800)
+        b = r.randint(900, min(1800, 4096 - a - 900))
+        length += [a, b, 4096 - a - b]
+    table = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(length)], packing.PIECES)
+    report = {}
+    rows = packing.pack(table, report=report).collect()
+    down = packing.packed(sorted(range(len(length)), key=lambda i: -length[i]), length, 4096)
+    assert report == {"blocks": 1, "evolved": 1}
+    assert 200 <= len({x["sequence_id"] for x in rows}) < len(down) - 3
+    again = packing.pack(table).collect()
+    assert len({x["sequence_id"] for x in again}) == len({x["sequence_id"] for x in rows})
+    alone = packing.pack(spark.createDataFrame([(i, 0, 0, 1000, 0) for i in range(40)], packing.PIECES), report=report)
+    assert alone.select("sequence_id").distinct().count() == 10 and report["evolved"] == 0
+
+
 # --- vectors
 
 
