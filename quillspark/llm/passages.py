@@ -93,13 +93,13 @@ def intervals(x: np.ndarray, first: np.ndarray, last: np.ndarray, kind: np.ndarr
         v = value(x, int(k))[p]
         for out, step in ((left, -1), (right, 1)):
             near = np.arange(len(p)) + step
-            while True:
-                inside = (near >= 0) & (near < len(p))
-                inside[inside] = t[near[inside]] == t[inside]
-                inside[inside] = v[near[inside]] > v[inside]
-                if not inside.any():
-                    break
-                near[inside] = near[near[inside]]
+            moving = np.arange(len(p))
+            while len(moving):
+                at_ = near[moving]
+                moving, at_ = (z[(at_ >= 0) & (at_ < len(p))] for z in (moving, at_))
+                larger = (t[at_] == t[moving]) & (v[at_] > v[moving])
+                moving = moving[larger]
+                near[moving] = near[at_[larger]]
             inside = (near >= 0) & (near < len(p))
             inside[inside] = t[near[inside]] == t[inside]
             edge = first[t] if step < 0 else last[t] - 1
@@ -188,7 +188,8 @@ def shared_only(batches):
         yield pa.RecordBatch.from_arrays([pa.array(uid[keep]), pa.array(table["at"].to_numpy()[keep])], ["uid", "at"])
 
 
-HOLDERS = "key long, uid long, c int, span long, around binary, other long, `from` int, `to` int"
+HOLDERS = "key long, uid long, places array<int>, span long, around binary, other long, `from` int, `to` int"
+NAMES = ["key", "uid", "places", "span", "around", "other", "from", "to"]
 
 
 def binary(rows: np.ndarray) -> pa.Array:
@@ -212,15 +213,48 @@ def span_of(rows: np.ndarray) -> np.ndarray:
     return mixed((rows.astype(np.uint64) * weight).sum(1, dtype=np.uint64)).view(np.int64)
 
 
+def same_rows(keys: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """Whether a row has the keys and the tokens of the row before it."""
+    same = np.zeros(len(rows), bool)
+    if len(rows):
+        same[1:] = (rows[1:] == rows[:-1]).all(1)
+        for k in keys:
+            same[1:] &= k[1:] == k[:-1]
+    return same
+
+
+class Places:
+    """Places of rows: a list for each."""
+
+    def __init__(self, values: np.ndarray, offsets: np.ndarray):
+        self.values, self.offsets = values, np.asarray(offsets, np.int64)
+
+    @classmethod
+    def read(cls, column: pa.ChunkedArray) -> "Places":
+        lists = column.combine_chunks()
+        return cls(lists.flatten().to_numpy(), np.append(0, np.cumsum(np.asarray(lists.value_lengths()))))
+
+    def of(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of places of each row i, and the places."""
+        n = self.offsets[i + 1] - self.offsets[i] if len(i) else np.zeros(0, np.int64)
+        at = np.repeat(self.offsets[i] if len(i) else n, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return n, self.values[at]
+
+    def lists(self, i: np.ndarray) -> pa.Array:
+        n, values = self.of(i)
+        return pa.ListArray.from_arrays(np.append(0, np.cumsum(n)).astype(np.int32), pa.array(values.astype(np.int32)))
+
+    def take(self, i: np.ndarray) -> "Places":
+        n, values = self.of(i)
+        return Places(values, np.append(0, np.cumsum(n)))
+
+
 def classes_in(key: np.ndarray, span: np.ndarray, uid: np.ndarray, rows: np.ndarray):
     """For rows sorted by key, span and text: the first row of each row's class (equal tokens), and the first row
     of another text in it (-1 if there is none).
     """
     n = len(key)
-    new = np.ones(n, bool)
-    if n:
-        new[1:] = (key[1:] != key[:-1]) | (span[1:] != span[:-1]) | (rows[1:] != rows[:-1]).any(1)
-    start = np.flatnonzero(new)
+    start = np.flatnonzero(~same_rows([key, span], rows))
     size = np.diff(np.append(start, n))
     head = np.repeat(start, size)
     differs = uid != uid[head]
@@ -254,16 +288,17 @@ def holders(width: int, hashes: int):
             span = span_of(rows)
             by = np.lexsort((c, uid, span, key))
             key, uid, c, rows, span = key[by], uid[by], c[by], rows[by], span[by]
+            own = same_rows([key, span, uid], rows)  # a text that repeats itself has many equal windows
+            first = np.flatnonzero(~own)
+            places = Places(c, np.append(first, len(c)))
+            key, uid, rows, span = key[first], uid[first], rows[first], span[first]
             head, second = classes_in(key, span, uid, rows)
+            me = np.arange(len(key))
             linked = uid != uid[head]
-            kept = np.flatnonzero(~linked | (second == np.arange(len(key))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[kept]), pa.array(uid[kept]), pa.array(c[kept]), pa.array(span[kept]), binary(rows[kept]), pa.nulls(len(kept), pa.int64()), pa.nulls(len(kept), pa.int32()), pa.nulls(len(kept), pa.int32())],
-                ["key", "uid", "c", "span", "around", "other", "from", "to"],
-            )
-            i = np.flatnonzero(linked | ((second >= 0) & ~linked))  # the first text's rows have a partner in the second
-            j = np.where(linked[i], head[i], second[i])
-            yield link_rows(uid, c, rows, i, j, *whole(rows, i))
+            kept = np.flatnonzero(~linked | (second == me))
+            yield pa.RecordBatch.from_arrays([pa.array(key[kept]), pa.array(uid[kept]), places.lists(kept), pa.array(span[kept]), binary(rows[kept]), pa.nulls(len(kept), pa.int64()), pa.nulls(len(kept), pa.int32()), pa.nulls(len(kept), pa.int32())], NAMES)
+            i = np.flatnonzero(linked | (second >= 0))  # the first text's row has a partner in the second
+            yield link_rows(uid, places, rows, i, np.where(linked[i], head[i], second[i]), *whole(rows, i))
 
     return work
 
@@ -274,12 +309,21 @@ def whole(rows: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return inside.argmax(1) if len(i) else i, rows.shape[1] - inside[:, ::-1].argmax(1) if len(i) else i
 
 
-def link_rows(uid, c, rows, i, j, lo, hi):
-    """Links of rows i to rows j over columns lo to hi, as the text's words from and to."""
+def link_rows(uid, places, rows, i, j, lo, hi):
+    """Links of rows i to rows j over columns lo to hi, as the text's words from and to; at the places of a row that lie
+    close together the words are one run.
+    """
     reach = rows.shape[1] // 2
-    n = len(i)
-    nulls = [pa.nulls(n, pa.int64()), pa.array(uid[i]), pa.array(c[i]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(uid[j])]
-    return pa.RecordBatch.from_arrays(nulls + [pa.array((c[i] + lo - reach).astype(np.int32)), pa.array((c[i] + hi - reach + SHINGLE - 1).astype(np.int32))], ["key", "uid", "c", "span", "around", "other", "from", "to"])
+    n, c = places.of(i)
+    k = np.repeat(np.arange(len(i)), n)
+    new = np.ones(len(c), bool)
+    new[1:] = (k[1:] != k[:-1]) | (c[1:] - c[:-1] > (hi - lo)[k[1:]])
+    start = np.flatnonzero(new)
+    last = np.append(start[1:], len(c)) - 1 if len(c) else start
+    k = k[start]
+    empty = len(k)
+    columns = [pa.nulls(empty, pa.int64()), pa.array(uid[i][k]), pa.nulls(empty, pa.list_(pa.int32())), pa.nulls(empty, pa.int64()), pa.nulls(empty, pa.binary()), pa.array(uid[j][k])]
+    return pa.RecordBatch.from_arrays(columns + [pa.array((c[start] + lo[k] - reach).astype(np.int32)), pa.array((c[last] + hi[k] - reach + SHINGLE - 1).astype(np.int32))], NAMES)
 
 
 def stretches(a: np.ndarray, b: np.ndarray, width: int, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -308,26 +352,140 @@ class Reaches:
     def __init__(self, n: int, middle: int):
         self.lo, self.hi = np.full(n, middle, np.int32), np.full(n, middle, np.int32)
         self.by_lo, self.by_hi = np.full(n, -1), np.full(n, -1)
+        self.root = np.arange(n)
         self.links: list[tuple] = []
 
     def add(self, i, j, lo, hi) -> None:
         for p, q in ((i, j), (j, i)):
             order = np.lexsort((lo, p))
-            head = common.key_starts([p[order]])
-            r = order[head]
+            r = order[common.key_starts([p[order]])]
             better = lo[r] < self.lo[p[r]]
             self.lo[p[r][better]], self.by_lo[p[r][better]] = lo[r][better], q[r][better]
             order = np.lexsort((-hi, p))
-            r = order[head]
+            r = order[common.key_starts([p[order]])]
             better = hi[r] > self.hi[p[r]]
             self.hi[p[r][better]], self.by_hi[p[r][better]] = hi[r][better], q[r][better]
-        lab = common.union_find(i, j, len(self.lo))
-        r = np.flatnonzero(lab != np.arange(len(lab)))
-        self.links.append((r, lab[r]))
+        self.join(i, j)
+
+    def join(self, i, j) -> None:
+        """Trees of the rows i and j become one; the links that do it are kept."""
+        a, b = self.root[i], self.root[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        tree, where = np.unique(np.concatenate((a, b)), return_inverse=True)
+        x, y = where[: len(a)], where[len(a) :]
+        lab = common.union_find(x, y, len(tree))
+        lo, hi = min(i.min(), j.min(), tree[0]), max(i.max(), j.max(), tree[-1]) + 1
+        known = np.isin(self.root[lo:hi], tree)
+        part = self.root[lo:hi]
+        part[known] = tree[lab[np.searchsorted(tree, part[known])]]
+        whole, first = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1, return_index=True)
+        for k in first[spanning(whole, len(tree))]:
+            self.links.append((i[k], j[k]))
+
+
+def spanning(pairs: np.ndarray, n: int) -> np.ndarray:
+    """Of links between n trees those that a forest needs."""
+    up = list(range(n))
+
+    def find(z):
+        while up[z] != z:
+            up[z] = up[up[z]]
+            z = up[z]
+        return z
+
+    out = []
+    for k, (x, y) in enumerate(pairs.T.tolist()):
+        x, y = find(x), find(y)
+        if x != y:
+            up[y] = x
+            out.append(k)
+    return np.array(out, np.int64)
+
+
+def equal_stretches(rows: np.ndarray, uid: np.ndarray, width: int):
+    """(row, partner, first column, last column exclusive) of stretches of ``width`` tokens that other texts' rows have
+    at the same place: every row of a class of equal stretches with the class's first row of another text.
+    """
+    n, reach = len(rows), rows.shape[1] - width + 1
+    up = np.cumprod(np.append(np.uint64(1), np.full(rows.shape[1] - 1, _MIX[1])), dtype=np.uint64)
+    total, gaps = np.zeros((n, rows.shape[1] + 1), np.uint64), np.zeros((n, rows.shape[1] + 1), np.int16)
+    np.cumsum(mixed(rows.astype(np.uint64)) * up, axis=1, out=total[:, 1:])
+    np.cumsum(rows == 0, axis=1, out=gaps[:, 1:])
+    row, at = np.nonzero(gaps[:, width:] == gaps[:, :-width])
+    h = mixed((total[row, at + width] - total[row, at]) ^ (at.astype(np.uint64) * _MIX[2]))
+    # the sums differ by the power of their place, which is the same for equal places
+    by = np.lexsort((row, h))
+    h, row, at = h[by], row[by], at[by]
+    start = common.key_starts([h])
+    size = np.diff(np.append(start, len(h)))
+    head = np.repeat(start, size)
+    differs = uid[row] != uid[row[head]]
+    second = np.minimum.reduceat(np.where(differs, np.arange(len(h)), len(h)), start) if len(h) else start
+    second = np.repeat(second, size)
+    partner = np.where(differs, head, second)
+    ok = partner < len(h)
+    row, at, partner = row[ok], at[ok], row[partner[ok]]
+    by = np.lexsort((at, partner, row))
+    row, at, partner = row[by], at[by], partner[by]
+    start = common.key_starts([row, partner])
+    last = np.append(start[1:], len(row)) - 1
+    return row[start], partner[start], at[start], at[last] + width if len(row) else at[start]
+
+
+def rare_tokens(rows: np.ndarray, width: int, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and tokens (as codes) by which rows may meet.
+
+    Two stretches with ``need`` of ``width`` tokens in common share one of the ``width - need + 1`` tokens of either
+    that are rarest in the group (``MOVED`` more, as a stretch's tokens may lie that far outside the other's); tokens
+    outside a window are rarer than any and meet nothing.
+    """
+    token, code, n = np.unique(rows, return_inverse=True, return_counts=True)
+    code = code.reshape(rows.shape)
+    rarity = np.empty(len(token), np.int32)
+    rarity[np.lexsort((token, np.where(token == 0, 0, n)))] = np.arange(len(token))
+    rank = rarity[code]
+    asked = np.zeros(rows.shape, bool)
+    k = min(width - 1, width - need + MOVED)
+    for at in range(rows.shape[1] - width + 1):
+        part = rank[:, at : at + width]
+        asked[:, at : at + width] |= part <= np.partition(part, k, axis=1)[:, k : k + 1]
+    r, c = np.nonzero(asked & (rows > 0))
+    once = np.unique(r * np.int64(len(token)) + code[r, c])
+    return once // len(token), once % len(token)
+
+
+def meeting(row: np.ndarray, token: np.ndarray, root: np.ndarray, uid: np.ndarray, most: int = 1 << 21):
+    """Pairs of rows of different texts with a token in common whose roots differ, some at a time."""
+    by = np.lexsort((row, token))
+    row, token = row[by], token[by]
+    start = common.key_starts([token])
+    size = np.diff(np.append(start, len(token)))
+    differ = np.zeros(len(start), bool)
+    if len(row):
+        differ = (np.minimum.reduceat(root[row], start) != np.maximum.reduceat(root[row], start)) & (np.minimum.reduceat(uid[row], start) != np.maximum.reduceat(uid[row], start))
+    start, size = start[differ], size[differ]
+    own, first, n = np.repeat(start, size), np.repeat(start, size), np.repeat(size, size)
+    own = own + np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)  # each place of a list
+    first, n = own + 1, first + n - own - 1  # with those after it
+    at, done = 0, np.cumsum(n)
+    while at < len(own):
+        to = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + most, side="right")))
+        a, b = common.cross_segments(own[at:to], np.ones(to - at, np.int64), first[at:to], n[at:to])
+        i, j = row[a], row[b]
+        apart = (root[i] != root[j]) & (uid[i] != uid[j])
+        yield np.unique(np.stack((np.minimum(i, j)[apart], np.maximum(i, j)[apart])), axis=1)
+        at = to
 
 
 def compare(uid: np.ndarray, rows: np.ndarray, start: np.ndarray, end: np.ndarray, side: np.ndarray, width: int, need: int, least: int = 64) -> Reaches:
-    """Links among the rows of each group [start, end), between different texts (and sides, if it has two)."""
+    """Links among the rows of each group [start, end), between different texts (and sides, if it has two).
+
+    Small groups are compared pair by pair. In larger ones equal stretches are found first, then what lies near a
+    leader; other pairs are looked at where they aren't in one tree yet and share a rare token.
+    """
     out = Reaches(len(uid), rows.shape[1] // 2)
 
     def look(i, j):
@@ -340,17 +498,38 @@ def compare(uid: np.ndarray, rows: np.ndarray, start: np.ndarray, end: np.ndarra
                 if ok.any():
                     out.add(p[ok], q[ok], lo[ok], hi[ok])
 
+    def meets(i, j):
+        return (uid[i] != uid[j]) & ((side[i] == 2) | (side[i] != side[j]))
+
     size = end - start
     small = (size > 1) & (size <= least)
     for g in np.array_split(np.flatnonzero(small), max(1, int((size[small] ** 2).sum()) >> 20)):
         i, j = common.cross_segments(start[g], size[g], start[g], size[g])
-        ok = (i < j) & (uid[i] != uid[j]) & ((side[i] == 2) | (side[i] != side[j]))
+        ok = (i < j) & meets(i, j)
         look(i[ok], j[ok])
     for s, e in zip(start[size > least], end[size > least]):
-        for i in range(s, e):
-            j = np.arange(i + 1, e) if side[i] == 2 else np.arange(s, e)[side[s:e] == 1] if side[i] == 0 else np.arange(0)
-            j = j[uid[j] != uid[i]]
-            look(np.full(len(j), i), j)
+        mine = np.arange(s, e)
+        i, j, lo, hi = equal_stretches(rows[s:e], uid[s:e], width)
+        if len(i):
+            out.add(i + s, j + s, lo, hi)
+        led = np.zeros(e - s, bool)
+        for _ in range(8):
+            rest = np.flatnonzero(~led)
+            if not len(rest):
+                break
+            leader = s + rest[0]
+            others = mine[meets(mine, np.full(e - s, leader)) & (mine != leader)]
+            look(np.full(len(others), leader), others)
+            led |= out.root[s:e] == out.root[leader]
+        r, token = rare_tokens(rows[s:e], width, need)
+        for pairs in meeting(r, token, out.root[s:e], uid[s:e]):
+            i, j = pairs + s
+            ok = meets(i, j)
+            i, j = i[ok], j[ok]
+            for at in range(0, len(i), 1 << 14):
+                p, q = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+                apart = out.root[p] != out.root[q]
+                look(p[apart], q[apart])
     return out
 
 
@@ -359,28 +538,27 @@ def linked(width: int, need: int):
 
     def work(batches):
         for table in common.runs(batches, ["key", "tile"], 20_000):
-            key, tile, side, uid, c, span = (table[n].to_numpy() for n in ("key", "tile", "side", "uid", "c", "span"))
+            key, tile, side, uid, span = (table[n].to_numpy() for n in ("key", "tile", "side", "uid", "span"))
+            places = Places.read(table["places"])
             rows = np.frombuffer(b"".join(table["around"].to_pylist()), np.uint16).reshape(len(key), -1)
             group = np.cumsum(np.append(True, (key[1:] != key[:-1]) | (tile[1:] != tile[:-1]) | (side[1:] != side[:-1]))) if len(key) else key
             head, second = classes_in(group, span, uid, rows)
             me = np.arange(len(key))
             i = np.flatnonzero((uid != uid[head]) | (second >= 0))
-            yield link_rows(uid, c, rows, i, np.where(uid[i] != uid[head[i]], head[i], second[i]), *whole(rows, i))
-            stays = np.flatnonzero((head == me) | (second == me) | ((second < 0) & (uid == uid[head])))
-            key, tile, side, uid, c, rows = key[stays], tile[stays], side[stays], uid[stays], c[stays], rows[stays]
+            yield link_rows(uid, places, rows, i, np.where(uid[i] != uid[head[i]], head[i], second[i]), *whole(rows, i))
+            stays = np.flatnonzero((head == me) | (second == me))
+            key, tile, side, uid, rows, places = key[stays], tile[stays], side[stays], uid[stays], rows[stays], places.take(stays)
             start = common.key_starts([key, tile])
             got = compare(uid, rows, start, np.append(start[1:], len(key)), side, width, need)
             for partner, lo, hi in ((got.by_lo, got.lo, None), (got.by_hi, None, got.hi)):
                 i = np.flatnonzero(partner >= 0)
                 ok, a, b = stretches(rows[i], rows[partner[i]], width, need)
-                back, a2, b2 = stretches(rows[partner[i]], rows[i], width, need)
-                lo_i, hi_i = np.where(ok, a, a2), np.where(ok, b, b2)
-                yield link_rows(uid, c, rows, i, partner[i], lo_i, hi_i)
+                _, a2, b2 = stretches(rows[partner[i]], rows[i], width, need)
+                yield link_rows(uid, places, rows, i, partner[i], np.where(ok, a, a2), np.where(ok, b, b2))
             if got.links:
-                i, j = (np.concatenate(v) for v in zip(*got.links))
+                i, j = (np.array(v) for v in zip(*got.links))
                 middle = np.full(len(i), rows.shape[1] // 2)
-                other = uid[i] != uid[j]
-                yield link_rows(uid, c, rows, i[other], j[other], middle[other], middle[other] - SHINGLE + 1)
+                yield link_rows(uid, places, rows, i, j, middle, middle - SHINGLE + 1)
 
     return work
 
@@ -408,14 +586,14 @@ def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: f
     thin = texts.mapInArrow(thin_windows(width, hashes), THIN).repartition(n_parts, "route").sortWithinPartitions("route")
     asked = thin.mapInArrow(shared_only, "uid long, at int").groupBy("uid").agg(F.collect_list("at").alias("ats"))  # a text's own windows
     found = common.cut(texts.join(asked, "uid").select("uid", "text", "ats").mapInArrow(holders(width, hashes), HOLDERS), "holders")
-    held = found.where("key is not null").select("key", "uid", "c", "span", "around")
+    held = found.where("key is not null").select("key", "uid", "places", "span", "around")
     crowded = common.cut(held.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("key", F.ceil(F.col("n") / crowd).cast("int").alias("n")), "crowded")
     placed = held.join(common.small(crowded), "key", "left")
     n = F.coalesce("n", F.lit(1))
-    own = F.pmod(F.xxhash64("uid", "c"), n).cast("int")
+    own = F.pmod(F.xxhash64("uid", "span"), n).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.struct((F.least(own, j) * n + F.greatest(own, j)).alias("tile"), F.when(own == j, 2).when(own < j, 0).otherwise(1).alias("side")))
-    placed = placed.select("key", F.inline(F.when(n == 1, F.array(F.struct(F.lit(0).alias("tile"), F.lit(2).alias("side")))).otherwise(tiles)), "uid", "c", "span", "around")
-    met = placed.repartition(n_parts, "key", "tile").sortWithinPartitions("key", "tile", "side", "span", "uid", "c")
+    placed = placed.select("key", F.inline(F.when(n == 1, F.array(F.struct(F.lit(0).alias("tile"), F.lit(2).alias("side")))).otherwise(tiles)), "uid", "places", "span", "around")
+    met = placed.repartition(n_parts, "key", "tile").sortWithinPartitions("key", "tile", "side", "span", "uid")
     links = met.mapInArrow(linked(width, need), HOLDERS).unionByName(found.where("key is null")).select("uid", "other", "from", "to").distinct()
     verified = common.cut(links, "verified")
     comp = common.components(verified.select(F.col("uid").alias("u"), F.col("other").alias("v")))
