@@ -1,19 +1,22 @@
 """SimHash of 4-word shingles and near-duplicate components by anchor-point covering.
 
-Anchors. The 64 bits fall into blocks, each with its own covering code. Two blocks of 24 bits use the
-[15,11] Hamming code on 15 bits (covering radius 1) and every point on the other 9; the last block of
-16 bits takes every point as an anchor (radius 0). If two fingerprints differ in at most 4 bits, they
-differ in at most 1 bit of the first block, or at most 1 of the second, or in none of the third (else
-2 + 2 + 1 = 5). A fingerprint's home is its nearest anchor; it is replicated to every anchor within
-radius + block threshold, so such a pair meets at the home of either. Homes of a crowded anchor are
-dealt out in bounded chunks, and its replicas stream past each chunk. A task keeps a forest of the
-links that it finds, so output is linear in the rows of an anchor, whatever the number of links.
+Anchors. The 64 bits fall into blocks, each with its own covering code: a Hamming code of covering radius 1 on
+some of its bits and every point on the others, or every point as an anchor (radius 0). Each block has a
+threshold, and all thresholds plus one sum up to 5: two fingerprints that differ in at most 4 bits differ by
+no more than its threshold in some block. A fingerprint's home in a block is its nearest anchor; it is
+replicated to every anchor within covering radius + threshold, so such a pair meets at the home of either.
+The widths of the blocks follow from the number of fingerprints (``blocks_for``): wide blocks need more
+replicas of each, narrow ones more comparisons at each anchor.
+Homes of a crowded anchor are dealt out in bounded chunks, and its replicas stream past each chunk. A task
+keeps a forest of the links that it finds, so output is linear in the rows of an anchor, whatever the number
+of links.
 """
 
 from __future__ import annotations
 
 import functools
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +27,13 @@ from pyspark.sql import functions as F
 from quillspark.llm import common
 
 THRESHOLD = 4
-#: (first bit, bits, bits under the Hamming code, threshold)
-BLOCKS = ((0, 24, 15, 1), (24, 24, 15, 1), (48, 16, 0, 0))
+#: Schemes of blocks (first bit, bits, bits under the Hamming code, threshold), from few replicas to many.
+SCHEMES = (
+    ((0, 24, 15, 1), (24, 24, 15, 1), (48, 16, 0, 0)),
+    ((0, 32, 31, 2), (32, 32, 31, 1)),
+)
+#: Cost of a replica against that of a comparison: a row is shuffled and sorted, two numbers are compared in an array.
+ROW_COST = 1000
 #: Homes of one anchor that a group of rows holds at most.
 CROWD = 4096
 
@@ -61,56 +69,89 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 @functools.lru_cache(maxsize=None)
-def hamming_table(bits: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Syndrome of each value and, by syndrome, the flip that leads to a codeword (0 for none)."""
-    values = np.arange(1 << bits, dtype=np.uint32)
-    syndrome = np.zeros(1 << bits, np.uint32)
+def syndrome_tables(bits: int) -> np.ndarray:
+    """Syndromes of the values of each byte of a Hamming code's words."""
+    values = np.arange(256, dtype=np.uint32)
+    out = np.zeros((-(-bits // 8), 256), np.uint32)
     for i in range(bits):
-        syndrome ^= np.where(values >> i & 1, np.uint32(i + 1), np.uint32(0))
-    flips = np.zeros(bits + 1, np.uint32)
-    flips[1:] = 1 << np.arange(bits, dtype=np.uint32)
-    return syndrome, flips, bits
+        out[i // 8] ^= np.where(values >> (i % 8) & 1, np.uint32(i + 1), np.uint32(0))
+    return out
+
+
+def syndrome(part: np.ndarray, bits: int) -> np.ndarray:
+    """Zero for codewords, else the number (from 1) of the bit whose flip leads to one."""
+    out = np.zeros(len(part), np.uint32)
+    low = part & np.uint32((1 << bits) - 1)
+    for k, table in enumerate(syndrome_tables(bits)):
+        out ^= table[low >> np.uint32(8 * k) & np.uint32(255)]
+    return out
 
 
 def anchors(part: np.ndarray, bits: int, coded: int, threshold: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """Home anchor of each value, and (rows, anchors) of the anchors within covering radius + threshold."""
     part = part.astype(np.uint32)
     rows = np.arange(len(part))
-    if not coded:
-        reach = [(rows, part ^ np.uint32(sum(1 << i for i in c))) for d in range(threshold + 1) for c in itertools.combinations(range(bits), d)]
-        return part, reach
-    syndrome, flips, n = hamming_table(coded)
-    low = np.uint32((1 << coded) - 1)
-    home = part ^ flips[syndrome[part & low]]
+    radius = 1 if coded else 0
+    mine = syndrome(part, coded) if coded else np.zeros(len(part), np.uint32)
+    home = part ^ np.where(mine > 0, np.uint32(1) << np.maximum(mine, 1) - np.uint32(1), np.uint32(0)).astype(np.uint32)
     reach = []
-    for d in range(threshold + 2):  # covering radius 1
+    for d in range(threshold + radius + 1):
         for c in itertools.combinations(range(bits), d):
-            x = part ^ np.uint32(sum(1 << i for i in c))
-            ok = syndrome[x & low] == 0
-            reach.append((rows[ok], x[ok]))
+            flip, moved = 0, 0
+            for i in c:  # a flip changes the syndrome by its bit's number
+                flip |= 1 << i
+                moved ^= i + 1 if i < coded else 0
+            ok = mine == moved
+            reach.append((rows[ok], part[ok] ^ np.uint32(flip)))
     return home, reach
 
 
-def dealt(batches):
-    """Rows ``key, home, fp`` of every anchor that a fingerprint belongs to."""
-    for batch in batches:
-        fp = batch.column(0).to_numpy().view(np.uint64)
-        for b, (first, bits, coded, threshold) in enumerate(BLOCKS):
-            part = (fp >> np.uint64(first)) & np.uint64((1 << bits) - 1)
-            home, reach = anchors(part, bits, coded, threshold)
-            tag = np.int64(b << 32)
-            keys = [home.astype(np.int64) | tag] + [a.astype(np.int64) | tag for _, a in reach]
-            who = [fp] + [fp[r] for r, _ in reach]
-            is_home = [np.zeros(len(fp), np.int8)] + [np.ones(len(r), np.int8) for r, _ in reach]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(is_home)), pa.array(np.concatenate(who).view(np.int64))], ["key", "replica", "fp"])
-
-
-def homes(batches):
-    for batch in batches:
-        fp = batch.column(0).to_numpy().view(np.uint64)
-        for b, (first, bits, coded, _) in enumerate(BLOCKS):
-            home, _ = anchors((fp >> np.uint64(first)) & np.uint64((1 << bits) - 1), bits, coded, -1 if coded else 0)
-            yield pa.RecordBatch.from_arrays([pa.array(home.astype(np.int64) | np.int64(b << 32))], ["key"])
+def replicas(bits: int, coded: int, threshold: int) -> float:
+    """Mean number of anchors within reach of a value."""
+    ball = sum(math.comb(bits, d) for d in range(threshold + (1 if coded else 0) + 1))
+    return ball / (coded + 1)
+
+
+def blocks_for(n: int) -> tuple:
+    """The scheme with the least cost for n fingerprints: rows dealt, and pairs compared at evenly filled anchors."""
+
+    def cost(scheme) -> float:
+        rows = sum(1 + replicas(bits, coded, t) for _, bits, coded, t in scheme)
+        pairs = sum(n * replicas(bits, coded, t) * (coded + 1) / 2.0**bits for _, bits, coded, t in scheme)
+        return ROW_COST * rows + pairs
+
+    return min(SCHEMES, key=cost)
+
+
+def dealt(blocks: tuple):
+    """Rows ``key, replica, fp`` of every anchor that a fingerprint belongs to."""
+
+    def work(batches):
+        for batch in batches:
+            fp = batch.column(0).to_numpy().view(np.uint64)
+            for b, (first, bits, coded, threshold) in enumerate(blocks):
+                part = (fp >> np.uint64(first)) & np.uint64((1 << bits) - 1)
+                home, reach = anchors(part, bits, coded, threshold)
+                tag = np.int64(b << 32)
+                keys = [home.astype(np.int64) | tag] + [a.astype(np.int64) | tag for _, a in reach]
+                who = [fp] + [fp[r] for r, _ in reach]
+                is_home = [np.zeros(len(fp), np.int8)] + [np.ones(len(r), np.int8) for r, _ in reach]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(is_home)), pa.array(np.concatenate(who).view(np.int64))], ["key", "replica", "fp"])
+
+    return work
+
+
+def homes(blocks: tuple):
+    """Each fingerprint's home in each block."""
+
+    def work(batches):
+        for batch in batches:
+            fp = batch.column(0).to_numpy().view(np.uint64)
+            for b, (first, bits, coded, _) in enumerate(blocks):
+                home, _ = anchors((fp >> np.uint64(first)) & np.uint64((1 << bits) - 1), bits, coded, -2)
+                yield pa.RecordBatch.from_arrays([pa.array(home.astype(np.int64) | np.int64(b << 32))], ["key"])
+
+    return work
 
 
 def links(batches):
@@ -170,7 +211,7 @@ def forest(home: np.ndarray, rep: np.ndarray, block: int = 1 << 22) -> tuple[np.
     return u, v
 
 
-def near_components(fps: DataFrame, crowd: int | None = None) -> DataFrame:
+def near_components(fps: DataFrame, crowd: int | None = None, blocks: tuple | None = None) -> DataFrame:
     """``doc_id, fp, component_id`` for rows ``doc_id, fp``: the smallest doc_id reachable over links.
 
     Equal fingerprints are first collapsed to one; null doc_ids stay in their component but never name it
@@ -178,10 +219,11 @@ def near_components(fps: DataFrame, crowd: int | None = None) -> DataFrame:
     """
     crowd = crowd or CROWD
     fps = common.cut(fps, "fps")
-    distinct = common.cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    distinct = common.cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("size")), "distinct")
+    blocks = blocks or blocks_for(distinct.count())
     only = distinct.select("fp")
-    crowded = common.cut(only.mapInArrow(homes, "key long").groupBy("key").count().where(F.col("count") > crowd).select("key", F.ceil(F.col("count") / crowd).cast("int").alias("n")), "crowded")
-    rows = only.mapInArrow(dealt, "key long, replica byte, fp long").join(crowded, "key", "left")
+    crowded = common.cut(only.mapInArrow(homes(blocks), "key long").groupBy("key").count().where(F.col("count") > crowd).select("key", F.ceil(F.col("count") / crowd).cast("int").alias("n")), "crowded")
+    rows = only.mapInArrow(dealt(blocks), "key long, replica byte, fp long").join(common.small(crowded), "key", "left")
     n = F.coalesce("n", F.lit(1))
     own, other = F.pmod(F.xxhash64("fp"), n).cast("int"), F.pmod(F.xxhash64("fp", F.lit(1)), n).cast("int")
     # a home goes to every tile of its row, a replica to every tile of its column
@@ -190,16 +232,17 @@ def near_components(fps: DataFrame, crowd: int | None = None) -> DataFrame:
     met = placed.repartition(common.shuffle_parts(fps.sparkSession), "key", "tile").sortWithinPartitions("key", "tile", "replica")
     linked = common.components(met.mapInArrow(links, "u long, v long"))
     linked = common.cut(linked.join(distinct, linked["node"] == distinct["fp"]).select("fp", "root", "first"), "linked")
-    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(least, "root").select("fp", "component_id")
-    by_fp = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    least = linked.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n"))
+    named = common.spread_join(linked, least, ["root"], "n").select("fp", "component_id")
+    by_fp = distinct.join(named, "fp", "left").select("fp", "size", F.coalesce("component_id", "first").alias("component_id"))
+    return common.spread_join(fps, by_fp, ["fp"], "size").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` that are the first of their near-duplicate component, by doc_id and a hash of the text.
 
-    Rows that repeat id and text count as one, and one of them stays.
+    Rows that repeat id and text count as one, and one of them stays. A null doc_id comes first. Null and empty
+    texts are near duplicates of each other. Columns of any name pass through; an empty table stays empty.
     """
     common.bounded_batches(docs.sparkSession)
     uid = F.xxhash64("doc_id", "text")
@@ -208,10 +251,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     groups = near_components(fps.select(F.col("uid").alias("doc_id"), "fp")).select(F.col("doc_id").alias("uid"), "component_id").distinct()
     ids = docs.select(uid.alias("uid"), "doc_id").distinct()
     first = groups.join(ids, "uid").groupBy("component_id").agg(F.min(F.struct("doc_id", "uid")).alias("x"))
-    rows = docs.withColumn("__uid", uid).join(first.select(F.col("x.uid").alias("__uid")), "__uid", "left_semi")
+    rows = docs.select(uid.alias("uid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).join(first.select(F.col("x.uid").alias("uid")), "uid", "left_semi")
     if docs.groupBy(uid).count().where("count > 1").limit(1).count():
-        rows = rows.dropDuplicates(["__uid"])
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+        rows = rows.dropDuplicates(["uid"])
+    return rows.select("row.*")
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

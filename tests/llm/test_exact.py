@@ -250,8 +250,8 @@ def test_simhash_by_definition():
         assert fingerprints.simhash(t) == naive_simhash(t)
 
 
-@pytest.mark.parametrize("crowd", [4096, 3])
-def test_near_components_against_brute_force(spark, crowd):
+@pytest.mark.parametrize("crowd, scheme", [(4096, 0), (3, 0), (4096, 1)])
+def test_near_components_against_brute_force(spark, crowd, scheme):
     r = random.Random(crowd)
     fps = [0, 0, (1 << 64) - 1]
     for _ in range(60):
@@ -260,29 +260,43 @@ def test_near_components_against_brute_force(spark, crowd):
     fps += [sum(1 << k for k in r.sample(range(10), r.randint(0, 6))) for _ in range(60)]
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
     table = spark.createDataFrame([(i, x) for i, x in enumerate(signed)], "doc_id long, fp long")
-    got = by_id(fingerprints.near_components(table, crowd))
+    got = by_id(fingerprints.near_components(table, crowd, fingerprints.SCHEMES[scheme]))
     want = clusters(len(fps), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 4)
     assert [got[i]["component_id"] for i in range(len(fps))] == want
 
 
-def test_every_close_pair_meets():
+@pytest.mark.parametrize("blocks", fingerprints.SCHEMES)
+def test_every_close_pair_meets(blocks):
+    assert sum(b[1] for b in blocks) == 64 and sum(b[3] + 1 for b in blocks) == fingerprints.THRESHOLD + 1
     r = random.Random(9)
-    for _ in range(300):
-        x = r.getrandbits(64)
-        y = x ^ sum(1 << k for k in r.sample(range(64), 4))
-        met = False
-        for first, bits, coded, t in fingerprints.BLOCKS:
-            part = lambda v: np.array([(v >> first) & ((1 << bits) - 1)], np.uint64)
-            home, _ = fingerprints.anchors(part(x), bits, coded, t)
-            _, reach = fingerprints.anchors(part(y), bits, coded, t)
-            met |= any(int(home[0]) in set(map(int, a)) for _, a in reach)
-        assert met
+    xs = [r.getrandbits(64) for _ in range(300)]
+    ys = [x ^ sum(1 << k for k in r.sample(range(64), 4)) for x in xs]
+    met = np.zeros(300, bool)
+    for first, bits, coded, t in blocks:
+        part = lambda v: (np.array(v, np.uint64) >> np.uint64(first)) & np.uint64((1 << bits) - 1)
+        home, _ = fingerprints.anchors(part(xs), bits, coded, t)
+        if coded:
+            assert (fingerprints.syndrome(home, coded) == 0).all() and (np.bitwise_count(home ^ part(xs).astype(np.uint32)) <= 1).all()
+        _, reach = fingerprints.anchors(part(ys), bits, coded, t)
+        n = 0
+        for rows, anchor in reach:
+            met[rows] |= home[rows] == anchor
+            n += len(rows)
+        assert abs(n / 300 - fingerprints.replicas(bits, coded, t)) < 0.1 * n / 300
+    assert met.all()
+
+
+def test_schemes_follow_the_count():
+    assert fingerprints.blocks_for(1000) == fingerprints.SCHEMES[0]
+    assert fingerprints.blocks_for(10**11) == fingerprints.SCHEMES[1]
 
 
 def test_one_of_each_and_null_ids(spark):
     rows = spark.createDataFrame([(3, "a b c d e"), (1, "a b c d e"), (1, "a b c d e"), (None, "other words in this text"), (4, None), (5, "")], "doc_id long, text string")
     kept = {(r["doc_id"], r["text"]) for r in fingerprints.one_of_each(rows).collect()}
     assert len(kept) == fingerprints.one_of_each(rows).count() == 3
+    clash = fingerprints.one_of_each(rows.withColumn("uid", F.lit("a")).withColumn("row", F.lit("b")))
+    assert clash.columns == ["doc_id", "text", "uid", "row"] and {(x["uid"], x["row"]) for x in clash.collect()} == {("a", "b")}
     assert (1, "a b c d e") in kept and (None, "other words in this text") in kept
     assert fingerprints.one_of_each(rows.limit(0)).count() == 0
 
