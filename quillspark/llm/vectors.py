@@ -1,12 +1,14 @@
 """Embedding near-duplicates by iterative quantisation and multi-index Hamming tables.
 
-Equal vectors of a label become one weighted class. On a bounded sample, PCA and iterative quantisation
-learn rotations whose signs are balanced binary codes. Each code is split into substrings; a substring
-with the label is one index table. Vectors that share an entry of any table are compared by cosine of
-the original vectors in double precision, and a linked pair counts in the first table where it meets.
-Substring length follows the number of classes, so entries keep their size; the number of tables
-follows from the chance that a pair at the threshold agrees on a substring, tried on sampled pairs. An entry with more than
-``CROWD`` classes is dealt into chunks, and every pair of chunks is one bounded tile.
+Equal vectors of a label become one weighted class. On a bounded sample, PCA and iterative quantisation learn
+rotations whose signs are balanced binary codes. Each code is split into substrings; a substring with the
+label is one index table. Only codes go to the tables. Vectors that share an entry of any table and whose whole
+codes are within the Hamming distance of pairs at the threshold are candidates, each pair in the first table
+where it meets; entries without candidates end there. The original vectors are fetched for the others only and
+compared by cosine in double precision. Substring length follows the number of classes, so entries keep their
+size; the number of tables follows from the chance that a pair at the threshold agrees on a substring, tried on
+sampled pairs. An entry with more than ``CROWD`` classes is dealt into chunks, and every pair of chunks is one
+bounded tile.
 """
 
 from __future__ import annotations
@@ -25,38 +27,42 @@ from quillspark.llm import common
 SAMPLE = 20_000
 #: Chance that a pair right at the threshold meets in no table.
 MISS = 0.005
-#: Sampled pairs that the number of tables is tried on.
+#: Share of sampled pairs at the threshold whose codes may be further apart than the Hamming distance that is kept.
+FAR = 0.001
+#: Sampled pairs that the number of tables and the Hamming distance are tried on.
 PROBES = 2000
 CROWD = 2048
 
 
-def classes_of(rows: DataFrame) -> DataFrame:
-    """``vec_id, label, cid, dim, vec`` per row; cid null where a vector can't link (see near_vectors).
+VECTORS = "vec_id long, label long, h1 long, h2 long, dim int, vec binary"
 
-    Labels of any type become hashes.
+
+def vectors_of(rows: DataFrame) -> DataFrame:
+    """``vec_id, label, h1, h2, dim, vec`` per row; h1 and h2 (128 bits of label and vector) are null where a vector
+    can't link (see near_vectors). Labels of any type become hashes.
     """
     wide = "double" in rows.schema["embedding"].dataType.simpleString()
     kind = np.float64 if wide else np.float32
+    names = [x.split()[0] for x in VECTORS.split(", ")]
 
     def work(batches):
         for batch in batches:
-            cid, dim, vec = [], [], []
+            out = []
             for e, label in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 ok = e is not None and label is not None and len(e) and None not in e
                 x = np.array(e, np.float64) if ok else None
                 if ok and np.isfinite(x).all() and x.any():
                     raw = x.astype(kind).tobytes()
-                    cid.append(xxhash.xxh3_64_intdigest(label.to_bytes(8, "little", signed=True) + raw) - (1 << 63))
-                    dim.append(len(x))
-                    vec.append(raw)
+                    digest = np.frombuffer(xxhash.xxh3_128_digest(label.to_bytes(8, "little", signed=True) + raw), np.int64)
+                    out.append((int(digest[0]), int(digest[1]), len(x), raw))
                 else:
-                    cid.append(None)
-                    dim.append(None)
-                    vec.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(cid, pa.int64()), pa.array(dim, pa.int32()), pa.array(vec, pa.binary())], ["vec_id", "label", "cid", "dim", "vec"])
+                    out.append((None,) * 4)
+            cols = list(zip(*out)) if out else [[]] * 4
+            made = [pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *made], names)
 
     out = rows.select(F.col("vec_id").cast("long"), "embedding", F.when(F.col("label").isNotNull(), F.xxhash64("label")).alias("label"))
-    return out.mapInArrow(work, "vec_id long, label long, cid long, dim int, vec binary")
+    return out.mapInArrow(work, VECTORS)
 
 
 def unit(raw: list[bytes], kind, width: int) -> np.ndarray:
@@ -134,6 +140,20 @@ class Codes:
                 self.bits, self.tables, self.per, self.maps = 0, 1, 1, [m]
                 break
             self.tables = min(most, done + self.per)
+        apart = [np.bitwise_count(self.packed(x) ^ self.packed(y)).sum(1) for x, y in pairs] if self.bits else []
+        #: Codes further apart than this aren't compared.
+        self.within = int(max((np.quantile(d, 1 - FAR, method="higher") for d in apart), default=0)) if self.bits else 1 << 30
+
+    def packed(self, x: np.ndarray) -> np.ndarray:
+        """All bits of all tables, eight to a byte."""
+        return np.packbits((self.substrings(x)[:, :, None] >> np.arange(self.bits) & 1).reshape(len(x), -1).astype(np.uint8), axis=1) if self.bits else np.zeros((len(x), 1), np.uint8)
+
+    def unpacked(self, code: np.ndarray) -> np.ndarray:
+        """Substrings from packed bits."""
+        if not self.bits:
+            return np.zeros((len(code), 1), np.int32)
+        bit = np.unpackbits(code, axis=1)[:, : self.tables * self.bits].reshape(len(code), self.tables, self.bits)
+        return (bit.astype(np.int32) << np.arange(self.bits, dtype=np.int32)).sum(2, dtype=np.int32)
 
     def pieces(self, x: np.ndarray, m: np.ndarray) -> np.ndarray:
         bit, power = (x - self.mean) @ m >= 0, 1 << np.arange(self.bits)
@@ -154,95 +174,129 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93, crowd: int = CROWD) -
     spark = rows.sparkSession
     common.bounded_batches(spark)
     kind = np.float64 if "double" in rows.schema["embedding"].dataType.simpleString() else np.float32
-    every = common.cut(classes_of(rows), "vectors")
-    classes = common.cut(every.where("cid is not null").groupBy("cid").agg(F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("vec").alias("vec"), F.count("*").alias("weight"), F.min("vec_id").alias("first")), "classes")
+    every = common.cut(vectors_of(rows), "vectors")
+    classes = every.where("h1 is not null").groupBy("h1", "h2").agg(F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("vec").alias("vec"), F.count("*").alias("weight"), F.min("vec_id").alias("first"))
+    classes = common.cut(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     n, width = classes.agg(F.count("*"), F.max("dim")).first()
     if not n:
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    sample = [r["vec"] for r in classes.select("cid", "vec").orderBy(F.xxhash64("cid")).limit(SAMPLE).collect()]
+    sample = [r["vec"] for r in classes.select("h1", "h2", "vec").orderBy(F.xxhash64("h1"), "h2").limit(SAMPLE).collect()]
     codes = Codes(unit([bytes(r) for r in sample], kind, width), n, threshold, crowd)
-    shared = spark.sparkContext.broadcast(codes)
+    shared = spark.sparkContext.broadcast(codes)  # a mean and a few square matrices of the dimension
 
     def coded(batches):
         for batch in batches:
             if batch.num_rows:
-                sub = shared.value.substrings(unit(batch.column(1).to_pylist(), kind, width))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(sub.tobytes()[i : i + sub.shape[1] * 4] for i in range(0, sub.nbytes, sub.shape[1] * 4)), pa.binary())], ["cid", "code"])
-
-    code = common.cut(classes.select("cid", "vec").mapInArrow(coded, "cid long, code binary"), "codes")
-    full = classes.join(code, "cid")
-    t = F.explode(F.sequence(F.lit(0), F.lit(codes.tables - 1))).alias("t")
-    key = F.xxhash64("label", "dim", "t", F.expr("substring(code, t * 4 + 1, 4)"))
-    entries = full.select("cid", "label", "dim", "code", t).select("cid", key.alias("key"))
-    crowded = common.cut(entries.groupBy("key").count().where(F.col("count") > 1).select("key", F.ceil(F.col("count") / crowd).cast("int").alias("n")), "entries")
-    placed = full.select("cid", "label", "dim", "code", "vec", "weight", t).withColumn("key", key).join(crowded, "key")
+                x = unit(batch.column(3).to_pylist(), kind, width)
+                sub, code = shared.value.substrings(x) if shared.value.bits else np.zeros((len(x), 1), np.int32), shared.value.packed(x)
+                lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * sub.shape[1], pa.array(sub.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), lists, pa.array([r.tobytes() for r in code], pa.binary())], ["cid", "label", "dim", "sub", "code"])
+
+    code = common.cut(classes.select("cid", "label", "dim", "vec").mapInArrow(coded, "cid long, label long, dim int, sub array<int>, code binary"), "codes")
+    parts = common.shuffle_parts(spark)
+    entries = code.select("cid", "label", "dim", "code", F.posexplode("sub").alias("t", "s")).select("cid", "code", "t", F.xxhash64("label", "dim", "t", "s").alias("key"))
+    filled = entries.groupBy("key").agg(F.count("*").alias("count")).where("count > 1").select("key", F.ceil(F.col("count") / crowd).cast("int").alias("n"))
+    placed = entries.join(common.cut(filled, "entries"), "key")
     own = F.pmod(F.xxhash64("cid"), F.col("n")).cast("int")
-    tiles = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.struct((F.least(own, j) * F.col("n") + F.greatest(own, j)).alias("tile"), F.when(own == j, 2).when(own < j, 0).otherwise(1).alias("side")))
-    placed = placed.select("key", "t", F.inline(tiles), "cid", "code", "vec", "weight")
-    met = placed.repartition(common.shuffle_parts(spark), "key", "tile").sortWithinPartitions("key", "tile", "side", "cid")
+    tiles = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.struct((F.least(own, j) * F.col("n") + F.greatest(own, j)).alias("tile"), F.when(own == j, 2).when(own < j, 0).otherwise(1).cast("byte").alias("side")))
+    placed = placed.select("key", "t", F.inline(tiles), "cid", "code")
+    met = placed.repartition(parts, "key", "tile").sortWithinPartitions("key", "tile", "side", "cid")
+
+    def candidates(batches):
+        for table in common.runs(batches, ["key", "tile"], 4000):
+            yield close_codes(table, shared.value)
+
+    asked = common.cut(met.mapInArrow(candidates, "key long, tile int, t int, side byte, cid long"), "candidates")
+    known = classes.select("cid", "vec", "weight").join(code.select("cid", "code"), "cid")
+    fetched = asked.join(known, "cid").repartition(parts, "key", "tile").sortWithinPartitions("key", "tile", "side", "cid")
 
     def compare(batches):
         for table in common.runs(batches, ["key", "tile"], 4000):
-            yield from compared(table, kind, width, threshold)
+            yield from compared(table, kind, width, threshold, shared.value)
 
-    found = common.cut(met.mapInArrow(compare, "u long, v long, links long"), "links")
+    found = common.cut(fetched.mapInArrow(compare, "u long, v long, links long"), "links")
     comp = common.components(found.where("u <> v").select("u", "v"))
     least = comp.join(classes.select(F.col("cid").alias("node"), "first"), "node")
-    least = least.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = comp.join(least, "root").select(F.col("node").alias("cid"), "component_id")
+    least = common.cut(least, "members")
+    lowest = least.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n"))
+    named = common.spread_join(least.select("node", "root"), lowest, ["root"], "n").select(F.col("node").alias("cid"), "component_id")
     links = found.groupBy(F.col("u").alias("cid")).agg(F.sum("links").alias("links"))
-    by_class = classes.select("cid", "weight", "first").join(named, "cid", "left").join(links, "cid", "left")
-    by_class = by_class.select("cid", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "first").alias("component_id"))
-    out = every.select("vec_id", "cid").join(by_class, "cid", "left")
-    component = F.when(F.col("cid").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    by_class = classes.select("cid", "h1", "h2", "weight", "first").join(named, "cid", "left").join(links, "cid", "left")
+    by_class = by_class.select("h1", "h2", F.col("weight").alias("size"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "first").alias("component_id"))
+    linked = common.spread_join(every.where("h1 is not null").select("vec_id", "h1", "h2"), by_class, ["h1", "h2"], "size").select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id")
+    alone = every.where("h1 is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def compared(table: pa.Table, kind, width: int, threshold: float):
-    """Links of whole groups: each class's weight of partners in this table, and its local root."""
-    key, tile = table["key"].to_numpy(), table["tile"].to_numpy()
-    t, side, cid, weight = (table[c].to_numpy() for c in ("t", "side", "cid", "weight"))
-    x = unit(table["vec"].to_pylist(), kind, width)
-    code = np.frombuffer(b"".join(table["code"].to_pylist()), np.int32).reshape(len(cid), -1)
+def pairs_of(key: np.ndarray, tile: np.ndarray, side: np.ndarray, small: int = 24):
+    """Row pairs of sorted tiles, some at a time: i before j, of the two sides or within a tile of one."""
     starts = common.key_starts([key, tile])
     ends = np.append(starts[1:], len(key))
-    links, a_all, b_all = np.zeros(len(cid), np.int64), [], []
-
-    def take(i, j):
-        """Linked pairs of rows: count those that no earlier table has."""
-        first = np.ones(len(i), bool)
-        for k in range(int(t[i].max()) if len(i) else 0):
-            first &= (code[i, k] != code[j, k]) | (t[i] <= k)
-        np.add.at(links, i[first], weight[j[first]])
-        np.add.at(links, j[first], weight[i[first]])
-        lab = common.union_find(i, j, len(cid)) if len(i) > 5000 else None
-        if lab is None:
-            a_all.append(i)
-            b_all.append(j)
-        else:
-            r = np.flatnonzero(lab != np.arange(len(lab)))
-            a_all.append(r)
-            b_all.append(lab[r])
-
     size = ends - starts
-    small = (size > 1) & (size <= 24)
-    i, j = common.cross_segments(starts[small], size[small], starts[small], size[small])
+    few = (size > 1) & (size <= small)
+    i, j = common.cross_segments(starts[few], size[few], starts[few], size[few])
     ok = (i < j) & ((side[i] == 2) | (side[i] != side[j]))
     i, j = i[ok], j[ok]
     for at in range(0, len(i), 1 << 16):
-        p, q = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-        hit = np.einsum("ij,ij->i", x[p], x[q]) >= threshold
-        take(p[hit], q[hit])
-    for s, e in zip(starts[size > 24], ends[size > 24]):
-        cut = s + int((side[s:e] == 0).sum())
+        yield i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+    for s, e in zip(starts[size > small], ends[size > small]):
         whole = side[s] == 2
-        for at in range(s, e if whole else cut, 512):
-            to = min(at + 512, e if whole else cut)
+        cut = e if whole else s + int((side[s:e] == 0).sum())
+        step = max(1, (1 << 18) // (e - s))
+        for at in range(s, cut, step):
+            to = min(at + step, cut)
             lo = at if whole else cut
-            p, q = np.nonzero(x[at:to] @ x[lo:e].T >= threshold)
-            p, q = p + at, q + lo
+            p, q = np.repeat(np.arange(at, to), e - lo), np.tile(np.arange(lo, e), to - at)
             ok = p < q
-            take(p[ok], q[ok])
+            yield p[ok], q[ok]
+
+
+def near_codes(code: np.ndarray, sub: np.ndarray, t: np.ndarray, i: np.ndarray, j: np.ndarray, codes: Codes) -> np.ndarray:
+    """Which pairs are within the Hamming distance and meet in no earlier table."""
+    ok = np.bitwise_count(code[i] ^ code[j]).sum(1, dtype=np.int32) <= codes.within
+    k = np.flatnonzero(ok)
+    earlier = (sub[i[k]] == sub[j[k]]) & (np.arange(sub.shape[1]) < t[i[k]][:, None])
+    ok[k] = ~earlier.any(1)
+    return ok
+
+
+def codes_in(table: pa.Table, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
+    code = np.frombuffer(b"".join(table["code"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+    return code, codes.unpacked(code)
+
+
+def close_codes(table: pa.Table, codes: Codes) -> pa.RecordBatch:
+    """Rows of tiles that have a candidate in their tile."""
+    key, tile, t, side = (table[c].to_numpy() for c in ("key", "tile", "t", "side"))
+    code, sub = codes_in(table, codes)
+    stays = np.zeros(len(key), bool)
+    for i, j in pairs_of(key, tile, side):
+        ok = near_codes(code, sub, t, i, j, codes)
+        stays[i[ok]] = stays[j[ok]] = True
+    k = np.flatnonzero(stays)
+    return pa.RecordBatch.from_arrays([pa.array(key[k]), pa.array(tile[k]), pa.array(t[k]), pa.array(side[k]), pa.array(table["cid"].to_numpy()[k])], ["key", "tile", "t", "side", "cid"])
+
+
+def compared(table: pa.Table, kind, width: int, threshold: float, codes: Codes):
+    """Links of whole tiles: each class's weight of partners in this table, and its local root."""
+    key, tile, t, side, cid, weight = (table[c].to_numpy() for c in ("key", "tile", "t", "side", "cid", "weight"))
+    x = unit(table["vec"].to_pylist(), kind, width)
+    code, sub = codes_in(table, codes)
+    links, a_all, b_all, held = np.zeros(len(cid), np.int64), [], [], 0
+    for i, j in pairs_of(key, tile, side):
+        ok = near_codes(code, sub, t, i, j, codes)
+        i, j = i[ok], j[ok]
+        hit = np.einsum("ij,ij->i", x[i], x[j]) >= threshold
+        i, j = i[hit], j[hit]
+        np.add.at(links, i, weight[j])
+        np.add.at(links, j, weight[i])
+        a_all.append(i)
+        b_all.append(j)
+        held += len(i)
+        if held > 1 << 20:  # keep a forest of what there is
+            lab = common.union_find(np.concatenate(a_all), np.concatenate(b_all), len(cid))
+            r = np.flatnonzero(lab != np.arange(len(lab)))
+            a_all, b_all, held = [r], [lab[r]], 0
     if not a_all or not sum(map(len, a_all)):
         return
     lab = common.union_find(np.concatenate(a_all), np.concatenate(b_all), len(cid))
