@@ -578,7 +578,8 @@ def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: f
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
     base = base.withColumn("uid", F.xxhash64("doc_id", "text"))
     texts = base.where(F.octet_length("text") >= 2 * least_words - 1).select("uid", "text")
-    if base.groupBy("uid").count().where("count > 1").limit(1).count():
+    every = common.cut(base.select("doc_id", "uid", F.regexp_count("text", F.lit("[^ \t\n\u000b\f\r]+")).alias("n_words")), "ids")
+    if every.groupBy("uid").count().where("count > 1").limit(1).count():
         texts = texts.dropDuplicates(["uid"])
     width = least_words - SHINGLE + 1
     need = int(np.ceil(width * 2 * similarity / (1 + similarity) - 1e-9))
@@ -598,7 +599,7 @@ def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: f
     verified = common.cut(links, "verified")
     comp = common.components(verified.select(F.col("uid").alias("u"), F.col("other").alias("v")))
     spans = verified.where("`to` > `from`").groupBy("uid").agg(F.collect_set(F.struct("from", "to")).alias("spans"))  # a text's own passages
-    ids = base.select("uid", "doc_id").join(comp, F.col("uid") == F.col("node")).select("uid", "doc_id", "root")
+    ids = every.select("uid", "doc_id").join(comp, F.col("uid") == F.col("node")).select("uid", "doc_id", "root")
     named = ids.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("size"))
     classes = common.spread_join(comp, named, ["root"], "size").select(F.col("node").alias("uid"), "class_id")
 
@@ -618,8 +619,7 @@ def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: f
             out.append([{"from": a, "to": b} for a, b in whole])
         return pa.array(out, pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])))
 
-    n_words = F.size(F.filter(F.split("text", "[ \t\n\u000b\f\r]+"), lambda w: w != ""))
-    out = base.select("doc_id", "uid", n_words.alias("n_words")).join(spans, "uid", "left").join(classes, "uid", "left").withColumn("passages", union("spans"))
+    out = every.join(spans, "uid", "left").join(classes, "uid", "left").withColumn("passages", union("spans"))
     dup = F.aggregate("passages", F.lit(0), lambda n, p: n + p["to"] - p["from"])
     return out.select("doc_id", F.col("n_words").cast("long").alias("n_words"), dup.cast("long").alias("n_dup_words"), F.size("passages").cast("long").alias("n_passages"), F.coalesce("class_id", "doc_id").alias("class_id"), "passages")
 
