@@ -278,5 +278,5 @@ def registry_additions(docs: DataFrame, registry: DataFrame, key: str, rule: str
     known = F.col("class").isNotNull()
     return rows.select(
         "profile", F.col("fs").alias("font_size"), F.when(known, F.col("class")).otherwise("?").alias("classification"), F.when(known & F.col("confident"), "").otherwise("?").alias("confidence"),
-        F.format_number(F.coalesce("pct", F.lit(0.0)), "0.0").alias("percentage"), F.when(known, "AUTO-ADDED").otherwise("AUTO-ADDED: ERROR").alias("notes"),
+        F.format_string("%.1f", F.coalesce("pct", F.lit(0.0))).alias("percentage"), F.when(known, "AUTO-ADDED").otherwise("AUTO-ADDED: ERROR").alias("notes"),
     )

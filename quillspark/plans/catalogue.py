@@ -132,11 +132,6 @@ def order_sets(spark, sf_dir):
     return lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("l_linenumber")).alias("sizes")).withColumn("profile_key", F.array_join("sizes", "-"))
 
 
-@query(f"SELECT profile_key, count(*) AS n_orders, min(l_orderkey) AS sample_order FROM ({SETS}) GROUP BY profile_key")
-def q_size_profile(spark, sf_dir):
-    return order_sets(spark, sf_dir).groupBy("profile_key").agg(F.count("*").alias("n_orders"), F.min("l_orderkey").alias("sample_order"))
-
-
 def registry_of(sets):
     """A registry of the sets of orders whose key divides by 200: a set's first order names its profile."""
     known = sets.where("l_orderkey % 200 = 0").groupBy("sizes").agg(F.min("l_orderkey").alias("ord"))
@@ -354,11 +349,6 @@ def q_natural_sort(spark, sf_dir):
     return joins.ranked(brands.withColumn("_key", ordering.natural_key(F.col("p_brand"))), ["_key", "p_brand"], [], "position").drop("_key")
 
 
-@query("SELECT source, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, source LIMIT 10")
-def q_topk_sources(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source").limit(10)
-
-
 TOC = """WITH pdfs AS (SELECT o_custkey AS folder, o_orderkey AS ord, CAST(o_orderkey % 30 + 3 AS INT) AS total, CAST(o_orderkey % 3 AS INT) AS blanks, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1 AS is_contents, o_custkey % 90 AS volnum FROM orders),
 toc AS (SELECT o_custkey AS folder, o_orderkey AS row_idx, o_orderkey AS number, o_orderpriority AS title, CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE CAST(o_orderkey % 40 AS VARCHAR) END AS page FROM orders WHERE o_orderkey % 4 <> 0)"""
 
@@ -425,26 +415,6 @@ def q_trailing_pages(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), F.array_join(issues, "|").alias("issues"))
 
 
-@query("SELECT doc_id, sha256(coalesce(text, '')) AS sha256 FROM documents")
-def q_sha256(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
-
-
-@query("""SELECT d.lang, count(*) AS n, count(*) FILTER (WHERE l.quality = 1) AS success, count(*) FILTER (WHERE l.quality = 0) AS failed, count(*) FILTER (WHERE l.doc_id IS NULL) AS unlabelled,
-array_to_string(list_sort(list(d.doc_id) FILTER (WHERE l.quality = 0))[1:3], ',') AS first_failed FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""")
-def q_audit_totals(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
-    ranked = docs.withColumn("k", F.row_number().over(Window.partitionBy("lang", "quality").orderBy("doc_id")))
-    first = F.array_join(F.transform(F.array_sort(F.collect_list(F.when((F.col("quality") == 0) & (F.col("k") <= 3), F.col("doc_id")))), lambda x: x.cast("string")), ",")
-    return ranked.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("quality") == 1).alias("success"), F.count_if(F.col("quality") == 0).alias("failed"), F.count_if(F.col("quality").isNull()).alias("unlabelled"), first.alias("first_failed"))
-
-
-@query(r"SELECT doc_id, regexp_replace(replace(text, 'th', 't' || chr(10) || 'h'), '([a-z])\n+([a-z])', '\1\2', 'g') AS text FROM documents")
-def q_join_broken_words(spark, sf_dir):
-    broken = F.replace("text", F.lit("th"), F.lit("t\nh"))
-    return table(spark, sf_dir, "documents").select("doc_id", markup.rewrite(broken, [("([a-z])\n+([a-z])", "$1$2")]).alias("text"))
-
-
 @query("""WITH b AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS base FROM orders), s AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN '-' || CAST(o_orderkey AS VARCHAR) ELSE '' END AS stem FROM orders)
 SELECT o_orderkey, stem, base FROM s JOIN b ON stem = base OR starts_with(stem, base || '-')""")
 def q_prefix_join(spark, sf_dir):
@@ -473,38 +443,6 @@ def q_segments(spark, sf_dir):
     return docs.select("doc_id", F.posexplode(segments.segments(F.col("marked"))).alias("seq", "s")).select("doc_id", "seq", "s.fs", "s.content")
 
 
-@query()
-def q_size_markup(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").withColumn("marked", size_marked(None))
-    classes = F.create_map(F.lit(18), F.lit("small"), F.lit(26), F.lit("large"))
-    return docs.select("doc_id", segments.apply_size_markup(F.col("marked"), classes).alias("text"))
-
-
-@query()
-def q_simplify_sizes(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").withColumn("marked", F.translate(size_marked(None), ".(", "།༼"))
-    return docs.select("doc_id", segments.simplify(F.col("marked")).alias("text"))
-
-
-@query()
-def q_normalise_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", normalize.normalize_text(F.translate("text", "aeiou", "ཀིུྐཾ")).alias("text"))
-
-
-@query()
-def q_annotations(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    marked = F.concat(F.lit("{D"), F.col("doc_id").cast("string"), F.lit("}"), F.regexp_replace("text", r"(\w+) (\w+)\.", "($1,$2)."))
-    return docs.select("doc_id", markup.annotations(marked).alias("text"))
-
-
-@query()
-def q_markup_to_tei(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", markup.markup_to_tei(F.replace("text", F.lit(".\n"), F.lit(".\nZZZZ\n")), (F.col("doc_id") % 5 + 1).cast("int")).alias("body"))
-
-
 LINES = "l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line, len(string_split(text, chr(10))) AS n FROM documents)"
 
 
@@ -575,14 +513,6 @@ def q_ambiguous_triage(spark, sf_dir):
     return docs.select("doc_id", F.when(title, "title").when(mid, "corrected").otherwise("review").alias("outcome"))
 
 
-@query("""WITH c AS (SELECT DISTINCT lang, unnest(string_split(text, '')) AS ch FROM documents)
-SELECT lang, string_agg(ch, '' ORDER BY ascii(ch)) AS signs FROM c WHERE ascii(ch) BETWEEN 33 AND 126 AND NOT regexp_matches(ch, '[A-Za-z0-9]') GROUP BY lang""")
-def q_ascii_signs(spark, sf_dir):
-    signs = F.array_distinct(F.regexp_extract_all("text", F.lit(r"[!-~&&[^A-Za-z0-9]]"), F.lit(0)))
-    rows = table(spark, sf_dir, "documents").select("lang", F.explode(signs).alias("ch")).distinct()
-    return rows.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list("ch")), "").alias("signs"))  # at most 32 signs
-
-
 @query(f"""WITH {LINES} SELECT doc_id, CAST((i - 1) // 6 AS INT) AS page_no, string_agg(line, chr(10) ORDER BY i) AS page FROM l GROUP BY doc_id, (i - 1) // 6""")
 def q_page_split(spark, sf_dir):
     """A page break before every sixth line, and pages by looking ahead to it, without the break and its newline."""

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quillspark.operators import joins, segments, structure
 from quillspark.plans import tei
@@ -97,3 +98,42 @@ def test_boundary_pages_over_all_rows(spark):
     assert {tuple(r) for r in structure.boundary_pages(outline).collect()} == want
     one = outline.withColumn("g", F.lit(1))
     assert {tuple(r) for r in structure.boundary_pages(one, by=["g"]).collect()} == want
+
+
+def test_positions_over_many_files(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    n = 300_000
+    spark.range(n).select("id", (F.col("id") * 7919 % 1000).alias("k"), F.rand(3).alias("x")).repartition(8).write.parquet(path)
+    rows = spark.read.parquet(path)
+    for order in (["x"], ["k"]):  # the second with many ties
+        got = joins.ranked(rows, order, [])
+        assert got.agg(F.countDistinct("_rank"), F.min("_rank"), F.max("_rank")).first() == (n, 1, n)
+        w = Window.partitionBy().orderBy("_rank")
+        assert got.withColumn("before", F.lag(order[0]).over(w)).where(F.col("before") > F.col(order[0])).count() == 0
+    same = joins.zip_join(rows.select("id", "x"), rows.select(F.col("id").alias("other"), F.col("x").alias("y")), ["x"], ["y"])
+    assert same.count() == n and same.where("id <> other").count() == 0
+    assert joins.ranked(rows.limit(0), ["x"], []).count() == 0
+
+
+def test_spread_join_of_a_hot_key(spark):
+    rows = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50 + 2).alias("k"), "id").unionByName(spark.range(3).select(F.lit(None).cast("long").alias("k"), "id"))
+    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("most"))
+    got = joins.spread_join(rows, table, ["k"], "n")
+    want = rows.join(table.drop("n"), "k")
+    assert got.columns == want.columns and got.exceptAll(want).count() == 0 and got.count() == want.count()
+    assert joins.spread_join(rows, table, ["k"], "n", "left").count() == rows.count()
+
+
+def test_as_coded_starts_that_leave_a_long(spark):
+    rows = spark.createDataFrame([(1, k, 1) for k in range(80)] + [(2, k, 0) for k in range(80)], "vol int, ord int, pages long")
+    got = {(r["vol"], r["ord"]): r["page_start"] for r in structure.running_start(rows, ["vol"], ["ord"], "pages", F.when(F.col("vol") == 1, 4).otherwise(1), "as_coded").collect()}
+    s = 4
+    for k in range(80):
+        assert got[1, k] == (s if s < 2**63 else None) and got[2, k] == 1
+        s = 2 * s - 1 + 1
+
+
+def test_sizes_on_the_first_page(spark):
+    text = "<fs:10>\u0f40ZZZZ\u0f41<fs:12>abZZZZ\u0f42<fs:14>\u0f43"
+    got = {r["fs"]: (r["cnt"], r["on_first_page"]) for r in segments.size_counts(spark.createDataFrame([("d", text)], "doc string, text string"), "doc").collect()}
+    assert got == {10: (2, True), 12: (1, False), 14: (1, False)}

@@ -2,8 +2,9 @@ import xml.etree.ElementTree as ET
 
 from pyspark.sql import functions as F
 
+from quillspark.functions import markup
 from quillspark.plans import tei
-from quillspark.sources import files, markers, rtf, sinks
+from quillspark.sources import decoders, files, markers, rtf, sinks
 
 MARKED = "junk\n[1a]\n[1b]\n[1b.1]{D1}ཀ་ཁ། (ག,ང)\n[1b.2] {D1-1}#ཅ\nloose\n\n[2a.1]ཆ"
 
@@ -112,5 +113,73 @@ def test_files_and_sinks(spark, tmp_path):
 
 
 def test_toc(spark):
-    rows = spark.createDataFrame([("f", "༡༽ ཀ་ཁ་་་་་༡༢"), ("f", "-- page 1 --")], "folder string, line string")
-    assert [tuple(r) for r in files.toc_rows(rows).collect()] == [("f", "1", "ཀ་ཁ", "12")]
+    lines = [" ༡༽ ཀ་ཁ་་་་་༡༢ ", "-- page 1 --", "༢༽ no leader", "༣ [[F11(]]x[[F1 ]]   y་་[[F13]]༤་་༩"]
+    rows = spark.createDataFrame([("f", x) for x in lines], "folder string, line string")
+    assert [tuple(r) for r in files.toc_rows(rows).collect()] == [("f", "1", "ཀ་ཁ", "12"), ("f", "2", "no leader", ""), ("f", "3", "༼x y", "34")]
+
+
+def test_decoded_files(spark):
+    def decoder(raw, regions):
+        if raw == b"bad":
+            raise ValueError("no")
+        for page in raw.decode().split("|"):
+            yield [page] if regions is None else [f"{page}{k}" for k in range(len(regions))]
+
+    src = spark.createDataFrame([("a", bytearray(b"x\n\ny|z")), ("b", bytearray(b"bad")), ("c", None), ("d", bytearray(b"q")), ("single/e", bytearray(b"r")), ("f", bytearray(b"s"))], "path string, content binary")
+    text, issues = decoders.decode_files(src, decoder, decoders.REGIONS, single_page="^single/", denied=["d", "f"], single_files=["f"])
+    got = {r["path"]: r["text"] for r in text.collect()}
+    assert got == {"a": "\nZZZZ\nx\ny0\nZZZZ\nx\ny1\nZZZZ\nx\ny2\nZZZZ\nz0\nZZZZ\nz1\nZZZZ\nz2", "b": None, "c": None, "d": None, "single/e": "\nZZZZ\nr", "f": "\nZZZZ\ns"}
+    assert {(r["path"], r["code"]) for r in issues.collect()} == {("b", "NOT_DECODED"), ("c", "NO_CONTENT")}
+
+
+def test_rtf_to_tei(spark):
+    data = r"{\rtf1\ansi{\fonttbl{\f0\fnil Tib;}}\f0\fs24 \u3904? \u3905?\par {\fs48 \u3906?}\par \u3904?<x>}"
+    src = spark.createDataFrame([("IE1", "VE1", "UT1", "a.rtf", "00", bytearray(data.encode())), ("IE1", "VE1", "UT2", "b.rtf", "00", None)], "ie_id string, ve_id string, ut_id string, path string, sha256 string, content binary")
+    for dialect in ("v2", "v3"):
+        docs, issues = tei.rtf_tei(src, dialect)
+        text = {r["ut_id"]: r["content"] for r in docs.collect()}
+        for xml in text.values():
+            ET.fromstring(xml.encode())
+        assert '<hi rend="head">ག</hi>' in text["UT1"] and "<lb/>" in text["UT1"] and "&lt;x&gt;" in text["UT1"]
+        assert [(r["doc_id"], r["code"]) for r in issues.collect()] == [("UT2", "NO_CONTENT")]
+
+
+def test_colour_table():
+    assert rtf.colour_table(r"{\rtf1{\colortbl;\red255\green0\blue1;\red3\green4\blue5;}x}") == [None, (255, 0, 1), (3, 4, 5)]
+    assert rtf.colour_table("{x}") == []
+
+
+def test_font_statistics(spark):
+    rows = [("d", 0, "ab?", "Dedris-a"), ("d", 1, "1. x", "Times"), ("d", 2, "q", "Dedris-z"), ("e", 0, "?#", "Dedris-a")]
+    runs = spark.createDataFrame([(d, s, t, (1, f, 12)) for d, s, t, f in rows], "doc_id string, seq int, text string, font struct<id: int, name: string, size: int>")
+    stats = rtf.decode_stats(rtf.decode_runs(runs, {"Dedris-a": {"a": "ཀ", "b": "ཁ"}}))
+    got = {r["font"]: (r["kind"], r["n_runs"], r["n_chars"], [(u["code"], u["char"]) for u in r["unknown"]], r["samples"]) for r in stats.collect()}
+    assert got == {"Dedris-a": ("handled", 2, 5, [(35, "#"), (63, "?")], []), "Dedris-z": ("unhandled", 1, 1, [], []), "Times": ("other", 1, 4, [], ["1. x"])}
+    text = {r["kind"]: r["text"] for r in rtf.stats_text(stats).collect()}
+    assert text["handled"] == "  Dedris-a: 5 characters\n    # (code 35)\n    ? (code 63)"
+
+
+def test_tables_from_csv(spark, tmp_path):
+    (tmp_path / "keyed.csv").write_text('b,a,c\r\n1,"x, ""y""",3\r\n')
+    assert [tuple(r) for r in files.keyed_csv(spark, str(tmp_path / "keyed.csv"), ["a", "b", "none"]).collect()] == [('x, "y"', "1", None)]
+    (tmp_path / "blank.csv").write_text("F/1-0.pdf,10,2,1\nF/1-1.pdf,5,0,1\nF/1-2.pdf,x,0,1\n")
+    rows = files.pages_by_folder(files.blank_pages(spark, str(tmp_path / "blank.csv"))).orderBy("file_name").collect()
+    assert [tuple(r) for r in rows] == [("F", "1-0.pdf", 10, 2, True), ("F", "1-1.pdf", 5, 0, False)]
+    (tmp_path / "outline.csv").write_text(",".join(["h"] * 18) + "\n" + ",".join(str(k) for k in range(18)) + "\n")
+    row = files.outline(spark, str(tmp_path / "outline.csv")).first()
+    assert row["rid"] == "0" and row["vol_end"] == "17" and row["row_idx"] == 0
+    made = sinks.csv_files(spark.createDataFrame([("k", 2, 'a"b'), ("k", 1, "x")], "g string, i int, v string"), "g", ["i"], F.array("v", F.lit("z")), ["h", "h"]).first()
+    assert tuple(made) == ("k.csv", 'h,h\r\nx,z\r\n"a""b",z\r\n')
+
+
+def test_pretty_xml_and_headers(spark):
+    df = spark.createDataFrame([('<a xmlns="n"><b>x</b><c/></a>',), ("<a>",), (None,)], "v string")
+    got = [r[0] for r in df.select(markup.pretty_xml(F.col("v"))).collect()]
+    assert got == ['<?xml version="1.0" encoding="UTF-8"?>\n<a xmlns="n">\n  <b>x</b>\n  <c />\n</a>\n', None, None]
+    cols = [F.lit(x) for x in ("IE1", "VE1", "UT1", "a&b.txt", "00", "<lb/>x")]
+    for layout in markup.LAYOUTS:
+        text = spark.range(1).select(markup.tei_document(*cols, layout=layout, id_types={"src_path": "path", "ie_id": "work"}, base="http://x/", encoding="See {}.")).first()[0]
+        root = ET.fromstring(text.encode())
+        assert [e.text for e in root.iter("{http://www.tei-c.org/ns/1.0}idno")] == ["a&b.txt", "http://x/IE1"] and "<p>See IE1.</p>" in text
+
+
