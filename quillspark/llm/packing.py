@@ -30,8 +30,9 @@ from quillspark.llm import common
 CAPACITY, END_ID = 4096, 1
 #: Pieces in a block, share of its bins that go on to the next round.
 BLOCK, GO_ON = 2000, 0.06
-#: Islands of a block, packings on an island, epochs with a migration between them, generations in an epoch.
-ISLANDS, POPULATION, EPOCHS, GENERATIONS = 4, 6, 3, 80
+#: Islands of a block, packings on an island, epochs with a migration between them, generations in an epoch, and
+#: generations without fewer bins after which an island waits for the next guest.
+ISLANDS, POPULATION, EPOCHS, GENERATIONS, PATIENCE = 4, 6, 3, 80, 15
 #: Words whose ids a worker remembers, and characters of a word that is worth it.
 CACHE_WORDS, CACHE_CHARS = 800_000, 40
 SEPARATOR = "|"
@@ -288,13 +289,16 @@ def evolve(length: list[int], capacity: int, seed: int, group: list | None = Non
     least = least_bins(length, capacity)
     group = group or first_group(length, capacity, rng, population)
     group.sort(key=lambda x: cost(x, capacity))
+    fewest, idle = len(group[0]), 0
     for _ in range(generations):
-        if len(group[0]) <= least or len(group) < 2:
+        if len(group[0]) <= least or len(group) < 2 or idle >= PATIENCE:
             break
         a, b = rng.sample(range(len(group)), 2)
         group += [child(group[a], group[b], length, capacity, rng), child(group[b], group[a], length, capacity, rng)]
         group.sort(key=lambda x: cost(x, capacity))
         del group[population:]
+        idle = idle + 1 if len(group[0]) == fewest else 0
+        fewest = len(group[0])
     return group
 
 
@@ -345,7 +349,7 @@ def evolved(blocks: DataFrame, capacity: int, islands: int = ISLANDS, epochs: in
         if state is not None:
             guest = state.select("block", ((F.col("island") + 1) % islands).cast("int").alias("island"), "pid", F.get("bins", F.lit(0)).alias("guest"))
             spread = state.drop("cost").join(guest, ["block", "island", "pid"])
-        before, state = state, common.cut(spread.groupBy("block", "island").applyInArrow(island_epoch(capacity, epoch), ISLAND), "islands")
+        before, state = state, common.cut(spread.repartition(common.shuffle_parts(blocks.sparkSession), "block", "island").groupBy("block", "island").applyInArrow(island_epoch(capacity, epoch), ISLAND), "islands")
         if before is not None:
             common.drop_cut(before)
     best = state.groupBy("block").agg(F.min(F.struct("cost", "island")).alias("x")).select("block", F.col("x.island").alias("island"))
@@ -380,7 +384,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, report
     while n:
         blocks = max(1, -(-n // block))
         dealt = now.select(F.pmod(F.xxhash64("pid", F.lit(stage)), F.lit(blocks)).cast("long").alias("block"), "pid", "length")
-        bins = common.cut(dealt.groupBy("block").applyInArrow(best_fit_blocks(capacity), BINS), "bins")
+        bins = common.cut(dealt.repartition(common.shuffle_parts(pieces.sparkSession), "block").groupBy("block").applyInArrow(best_fit_blocks(capacity), BINS), "bins")
         hopeful = bins.where("open").agg(F.countDistinct("block")).first()[0]
         counts["blocks"] += blocks
         counts["evolved"] += hopeful
