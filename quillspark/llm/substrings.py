@@ -1,20 +1,21 @@
 """Exact substring dedup: bytes covered by a long string that also starts elsewhere.
 
-Which strings may repeat is found without moving text. Every window of ``length`` bytes picks the
-``GRAM``-byte gram with the least hash in it (its anchor); windows in a row with one anchor form a run,
-and equal windows always have equal anchors. Runs are counted by a 128-bit digest of the bytes they
-span: where that repeats, all of the run repeats. Only distinct runs that share an anchor with other
-bytes around it need a closer look. Their windows are suffixes to be sorted: prefix polynomial hashes
-give the hash of any substring, binary search over them the common extension of two suffixes, and so
-each comparison of a vectorised mergesort takes logarithmically many steps. Neighbours in that order
-with a common extension of a whole window are compared byte by byte, so no hash collision passes.
-An anchor with more than ``CROWD`` distinct runs is sorted in blocks; what a block finds unique is
-merged with the other blocks by window hash, dealt out over as many groups as there are blocks.
+Which strings may repeat is found without moving text. Every window of ``length`` bytes picks the ``GRAM``-byte
+gram with the least hash in it (its anchor); windows in a row with one anchor form a run, and equal windows
+always have equal anchors. Runs whose anchor no other run has go, in a shuffle of thin rows. The others fetch
+their bytes. Equal runs are one, compared byte by byte, inside a batch first, so that a passage that a third of
+all texts hold arrives as a row for each batch. The windows of an anchor's runs are suffixes to be sorted: prefix
+polynomial hashes give the hash of any substring, binary search over them the common extension of two suffixes,
+and so each comparison of a vectorised mergesort takes logarithmically many steps. Neighbours in that order with
+a common extension of a whole window are compared byte by byte; where one fails, its group is compared by its
+bytes alone. An anchor with more than ``CROWD`` runs is sorted in blocks; windows that several blocks hold are
+found by hash, dealt out over as many groups as there are blocks, and compared byte by byte as well.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -119,16 +120,19 @@ def buffers(texts, size: int = BUFFER, length: int = LENGTH):
         yield held
 
 
-RUNS = "uid long, start int, span int, anchor long, skip int, d1 long, d2 long"
+THIN = "route long, uid long, start int, span int, anchor long, skip int, sure boolean"
 
 
-def runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """A row per run: where it spans, its anchor hash and place, and a digest of the spanned bytes."""
+def thin_runs(length: int, gram: int):
+    """A row per run: where it spans, its anchor hash and place. Of runs with one anchor in a batch all are sure to
+    stay; the first tells so to other batches, and the rest go anywhere.
+    """
 
     def work(batches):
         for batch in batches:
-            uid = batch.column(0).to_numpy()
+            uid_all = batch.column(0).to_numpy()
             texts = [t.as_py().encode() for t in batch.column(1)]
+            found = []
             for held in buffers(texts, BUFFER, length):
                 raw = b"".join(p for _, _, p in held)
                 size = np.array([len(p) for _, _, p in held])
@@ -136,15 +140,64 @@ def runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 starts = ends - size
                 first, last, at, h = window_runs(np.frombuffer(raw, np.uint8), starts, ends, length, gram)
                 of = np.searchsorted(ends, first, side="right")
-                doc = np.array([i for i, _, _ in held])[of]
-                place = first - starts[of] + np.array([o for _, o, _ in held])[of]
-                span = last - first + length
-                view = memoryview(raw)
-                d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[a : a + n]) for a, n in zip(first.tolist(), span.tolist())), np.int64).reshape(-1, 2)
-                cols = [uid[doc] if len(doc) else uid[:0], place.astype(np.int32), span.astype(np.int32), h.view(np.int64), (at - first).astype(np.int32), d[:, 0], d[:, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], ["uid", "start", "span", "anchor", "skip", "d1", "d2"])
+                doc = np.array([i for i, _, _ in held], np.int64)[of]
+                place = first - starts[of] + np.array([o for _, o, _ in held], np.int64)[of]
+                found.append((uid_all[doc], place, last - first + length, h.view(np.int64), at - first))
+            if not found:
+                continue
+            uid, start, span, anchor, skip = (np.concatenate(v) for v in zip(*found))
+            by = np.argsort(anchor, kind="stable")
+            uid, start, span, anchor, skip = uid[by], start[by], span[by], anchor[by], skip[by]
+            head = common.key_starts([anchor])
+            size = np.diff(np.append(head, len(anchor)))
+            several = np.repeat(size > 1, size)
+            own = ~several
+            own[head] = True
+            route = np.where(own, anchor, mixed((uid ^ start).view(np.uint64)).view(np.int64))
+            cols = [route, uid, start.astype(np.int32), span.astype(np.int32), anchor, skip.astype(np.int32), several]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["route", "uid", "start", "span", "anchor", "skip", "sure"])
+
+    return work
+
+
+def shared_only(batches):
+    """Runs, sorted by route, that are sure or whose anchor several runs have."""
+    for table in common.runs(batches, ["route"]):
+        route, anchor, sure = (table[c].to_numpy() for c in ("route", "anchor", "sure"))
+        by = np.lexsort((anchor, route))
+        head = common.key_starts([route[by], anchor[by]])
+        size = np.diff(np.append(head, len(by)))
+        stays = (size > 1) | np.logical_or.reduceat(sure[by], head) if len(by) else size > 1
+        keep = by[np.repeat(stays, size)]
+        yield pa.RecordBatch.from_arrays([pa.array(table[c].to_numpy()[keep]) for c in ("uid", "start", "span", "anchor", "skip")], ["uid", "start", "span", "anchor", "skip"])
 
-    return docs.select("uid", "text").mapInArrow(work, RUNS)
+
+PIECES = "anchor long, uid long, start int, span int, skip int, h long, bytes binary"
+
+
+def pieces(batches):
+    """From ``uid, text, runs``: bytes of the runs. Of equal ones in the batch the first goes on; all of them repeat,
+    which rows without an anchor say.
+    """
+    for batch in batches:
+        seen: dict[tuple, list] = {}
+        rows, whole = [], []
+        for uid, text, runs in zip(*(batch.column(i) for i in range(3))):
+            raw, uid = text.as_py().encode(), uid.as_py()
+            for r in runs.as_py():
+                part = raw[r["start"] : r["start"] + r["span"]]
+                key = (r["anchor"], r["skip"], part)
+                if key in seen:
+                    whole.append((uid, r["start"], r["span"]))
+                    if seen[key]:
+                        whole.append(seen[key].pop())
+                else:
+                    seen[key] = [(uid, r["start"], r["span"])]
+                    rows.append((r["anchor"], uid, r["start"], r["span"], r["skip"], xxhash.xxh3_64_intdigest(part) - (1 << 63), part))
+        rows += [(None, uid, start, span, None, None, None) for uid, start, span in whole]
+        cols = list(zip(*rows)) if rows else [[]] * 7
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], ["anchor", "uid", "start", "span", "skip", "h", "bytes"])
 
 
 def extension(h: Hashes, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -201,7 +254,7 @@ def suffix_sort(raw: np.ndarray, h: Hashes, suffix: np.ndarray, group: np.ndarra
 
 
 def repeated_windows(raw: bytes, start: np.ndarray, span: np.ndarray, skip: np.ndarray, group: np.ndarray, length: int):
-    """Windows of runs (adjacent equal ``group``: one anchor) as (run, first byte, repeats in its group)."""
+    """Windows of runs (adjacent equal ``group``: one anchor) as (run, first byte, repeats in its group, hash)."""
     buf = np.frombuffer(raw, np.uint8)
     h = Hashes(buf)
     n = span - length + 1
@@ -215,12 +268,19 @@ def repeated_windows(raw: bytes, start: np.ndarray, span: np.ndarray, skip: np.n
     order = suffix_sort(buf, h, suffix, gid, length)
     s, g = suffix[order], gid[order]
     twin = np.flatnonzero((g[1:] == g[:-1]) & (h.of(s[1:], length) == h.of(s[:-1], length))) if len(s) else np.zeros(0, np.int64)
-    hit = np.zeros(len(s), bool)
+    hit, false = np.zeros(len(s), bool), []
     offsets = np.arange(length)
-    for at in range(0, len(twin), 8192):  # hash collisions end here
+    for at in range(0, len(twin), 8192):
         t = twin[at : at + 8192]
-        t = t[(buf[s[t][:, None] + offsets] == buf[s[t + 1][:, None] + offsets]).all(1)]
+        same = (buf[s[t][:, None] + offsets] == buf[s[t + 1][:, None] + offsets]).all(1)
+        false.append(g[t[~same]])
+        t = t[same]
         hit[t] = hit[t + 1] = True
+    for bad in np.unique(np.concatenate(false)) if false else []:  # equal hashes of different bytes: neither order nor hash counts
+        mine = np.flatnonzero(g == bad)
+        windows = [raw[x : x + length] for x in s[mine].tolist()]
+        count = Counter(windows)
+        hit[mine] = [count[w] > 1 for w in windows]
     out = np.zeros(len(s), bool)
     out[order] = hit
     return run, place, out, h.of(suffix, length)
@@ -233,103 +293,165 @@ def ranges(place: np.ndarray, length: int) -> bytes:
     return np.stack((a, b), 1).astype("<i4").tobytes()
 
 
-VERDICT = "anchor long, d1 long, d2 long, covered binary"
-BLOCK = VERDICT + ", bucket int, block int, hashes binary, refs binary, digests binary"
+MARKS = "uid long, start int, span int, covered binary"
+JUDGED = MARKS + ", anchor long, bucket int, block int, hashes binary, refs binary, owners binary"
+SAME = "uid long, start int, a int, b int, uid2 long, start2 int, a2 int, anchor long"
 
 
 def sort_blocks(length: int):
-    """Covered ranges of each run in a block; for a crowded anchor also the windows left unique, by bucket."""
+    """Marks of the runs in a block; for a crowded anchor also its windows by bucket.
+
+    A mark without ``covered`` means the whole run. Equal runs are one for the sort.
+    """
 
     def work(batches):
         for table in common.runs(batches, ["anchor", "block"], 2500):
-            anchor, block, n = (table[c].to_numpy() for c in ("anchor", "block", "n"))
-            d1, d2, skip = (table[c].to_numpy() for c in ("d1", "d2", "skip"))
+            anchor, block, n, uid, start, skip, h = (table[c].to_numpy() for c in ("anchor", "block", "n", "uid", "start", "skip", "h"))
             text = table["bytes"].to_pylist()
-            span = np.array(list(map(len, text)))
+            heads, rows, last = [], [], {}
+            for i in range(len(text)):  # sorted by anchor, block and hash
+                key = (anchor[i], block[i], h[i], skip[i], text[i])
+                if key in last:
+                    j, told = last[key]
+                    rows += [(int(uid[k]), int(start[k]), len(text[k])) + (None,) * 7 for k in ([i] if told else [j, i])]
+                    last[key] = (j, True)
+                else:
+                    last = last if heads and (anchor[heads[-1]], block[heads[-1]]) == key[:2] else {}
+                    last[key] = (i, False)
+                    heads.append(i)
+            k = np.array(heads, np.int64)
+            anchor, block, n, uid, start, skip = anchor[k], block[k], n[k], uid[k], start[k], skip[k]
+            text = [text[i] for i in heads]
+            span = np.array(list(map(len, text)), np.int64)
             group = np.cumsum(np.append(True, (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1]))) - 1
-            run, place, hit, h = repeated_windows(b"".join(text), np.cumsum(span) - span, span, skip.astype(np.int64), group, length)
-            rows = []
+            run, place, hit, wh = repeated_windows(b"".join(text), np.cumsum(span) - span, span, skip.astype(np.int64), group, length)
             by = np.lexsort((place[hit], run[hit]))
             r, p = run[hit][by], place[hit][by]
             for k in np.split(np.arange(len(r)), np.flatnonzero(np.diff(r)) + 1) if len(r) else []:
                 i = r[k[0]]
-                rows.append((anchor[i], d1[i], d2[i], ranges(p[k], length), None, None, None, None, None))
+                rows.append((int(uid[i]), int(start[i]), int(span[i]), ranges(p[k], length)) + (None,) * 6)
             crowded = n[run] > 1
             if crowded.any():
-                h = mixed(h ^ (mixed((skip[run] - place + 7).astype(np.uint64))))
+                wh = mixed(wh ^ (mixed((skip[run] - place + 7).astype(np.uint64))))
                 # each block speaks for every window of its own once, repeated there or not
-                run, place, h, hit = run[crowded], place[crowded], h[crowded], hit[crowded]
+                run, place, wh, hit = run[crowded], place[crowded], wh[crowded], hit[crowded]
                 for g in np.unique(group[run]):
                     m = group[run] == g
-                    mh, mr, mp, mt = h[m], run[m], place[m], hit[m]
+                    mh, mr, mp, mt = wh[m], run[m], place[m], hit[m]
                     first = int(mr.min())
                     bucket = (mh >> np.uint64(33)).astype(np.int64) % int(n[first])
                     member = np.flatnonzero(group == g)
-                    digests = np.stack((d1[member], d2[member]), 1).tobytes()
+                    owners = np.stack((uid[member], start[member].astype(np.int64)), 1).tobytes()
                     for b in np.unique(bucket):
-                        k = bucket == b
-                        _, keep = np.unique(mh[k], return_index=True)
-                        keep = np.union1d(keep, np.flatnonzero(~mt[k]))
-                        refs = np.stack((mr[k][keep] - member[0], mp[k][keep]), 1).astype("<i4").tobytes()
-                        rows.append((anchor[first], None, None, None, int(b), int(block[first]), mh[k][keep].tobytes(), refs, digests))
-            cols = list(zip(*rows)) if rows else [[]] * 9
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-            names = ["anchor", "d1", "d2", "covered", "bucket", "block", "hashes", "refs", "digests"]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names)
+                        k = np.flatnonzero(bucket == b)
+                        keep = np.union1d(k[np.unique(mh[k], return_index=True)[1]], k[~mt[k]])
+                        refs = np.stack((mr[keep] - member[0], mp[keep]), 1).astype("<i4").tobytes()
+                        rows.append((None, None, None, None, int(anchor[first]), int(b), int(block[first]), mh[keep].tobytes(), refs, owners))
+            cols = list(zip(*rows)) if rows else [[]] * 10
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], [x.split()[0] for x in JUDGED.split(", ")])
 
     return work
 
 
 def merge_blocks(length: int):
-    """Windows that several blocks of an anchor hold, back to their runs."""
+    """Windows that several blocks of an anchor hold by their hashes, as ranges of bytes [a, b) of a run that should be
+    those of another run from a2 on; to be compared.
+    """
 
     def work(table: pa.Table) -> pa.Table:
-        h = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
-        _, inverse, count = np.unique(np.concatenate(h), return_inverse=True, return_counts=True)
-        many = count[inverse] > 1
-        anchor = table["anchor"][0].as_py()
-        rows, at = [], 0
-        for x, refs, digests in zip(h, table["refs"].to_pylist(), table["digests"].to_pylist()):
-            hit = many[at : at + len(x)]
-            at += len(x)
-            if hit.any():
-                run, place = np.frombuffer(refs, "<i4").reshape(-1, 2)[hit].T
-                d = np.frombuffer(digests, np.int64).reshape(-1, 2)
-                by = np.lexsort((place, run))
-                run, place = run[by], place[by]
-                for k in np.split(np.arange(len(run)), np.flatnonzero(np.diff(run)) + 1):
-                    rows.append((anchor, int(d[run[k[0]], 0]), int(d[run[k[0]], 1]), ranges(place[k], length)))
-        cols = list(zip(*rows)) if rows else [[]] * 4
-        return pa.table([pa.array(list(c), t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.int64(), pa.binary()])], ["anchor", "d1", "d2", "covered"])
+        parts = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
+        refs = [np.frombuffer(x, "<i4").reshape(-1, 2) for x in table["refs"].to_pylist()]
+        owners = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in table["owners"].to_pylist()]
+        base = np.cumsum([0] + [len(o) for o in owners])
+        h = np.concatenate(parts)
+        run = np.concatenate([r[:, 0] + base[i] for i, r in enumerate(refs)])
+        place = np.concatenate([r[:, 1] for r in refs]).astype(np.int64)
+        owner = np.concatenate(owners)
+        by = np.lexsort((place, run, h))
+        h, run, place = h[by], run[by], place[by]
+        head = common.key_starts([h])
+        head = np.repeat(head, np.diff(np.append(head, len(h))))
+        other = np.flatnonzero(head != np.arange(len(h)))
+        r, p, r2, p2 = run[other], place[other], run[head[other]], place[head[other]]
+        by = np.lexsort((p, p2 - p, r2, r))
+        r, p, r2, p2 = r[by], p[by], r2[by], p2[by]
+        new = np.ones(len(r), bool)
+        new[1:] = (r[1:] != r[:-1]) | (r2[1:] != r2[:-1]) | (np.diff(p2 - p) != 0) | (np.diff(p) > length)
+        s = np.flatnonzero(new)
+        e = np.append(s[1:], len(r)) - 1 if len(r) else s
+        x, y = owner[r[s]], owner[r2[s]]
+        cols = [x[:, 0], x[:, 1].astype(np.int32), p[s].astype(np.int32), (p[e] + length).astype(np.int32), y[:, 0], y[:, 1].astype(np.int32), p2[s].astype(np.int32), np.full(len(s), table["anchor"][0].as_py(), np.int64)]
+        return pa.table([pa.array(np.ascontiguousarray(c)) for c in cols], [x.split()[0] for x in SAME.split(", ")])
 
     return work
 
 
+def covered(a: str, b: str):
+    """A range of bytes as ``ranges`` writes it."""
+    def little(c: str):
+        big = F.lpad(F.hex(F.col(c).cast("long")), 8, "0")
+        return F.unhex(F.concat(*[F.substring(big, k, 2) for k in (7, 5, 3, 1)]))
+
+    return F.concat(little(a), little(b))
+
+
+def across_blocks(judged: DataFrame, held: DataFrame, length: int) -> DataFrame:
+    """Marks of windows in several blocks of an anchor whose bytes are the same.
+
+    A range that isn't the same is taken apart: each of its windows is compared with the one it should be, and
+    those that differ are grouped by their bytes.
+    """
+    same = judged.where("bucket is not null").groupBy("anchor", "bucket").applyInArrow(merge_blocks(length), SAME)
+    own = held.select("anchor", "uid", "start", "span", "bytes")
+    other = held.select("anchor", F.col("uid").alias("uid2"), F.col("start").alias("start2"), F.col("span").alias("span2"), F.col("bytes").alias("bytes2"))
+    met = same.join(own, ["anchor", "uid", "start"]).join(other, ["anchor", "uid2", "start2"])
+    cut_out = lambda raw, at, n: F.substring(F.col(raw), F.col(at) + 1, n)
+    n = F.col("b") - F.col("a")
+    met = common.cut(met.withColumn("b2", F.col("a2") + n).withColumn("equal", cut_out("bytes", "a", n) == cut_out("bytes2", "a2", n)), "across")
+    good = met.where("equal")
+    marks = good.select("uid", "start", "span", covered("a", "b").alias("covered")).unionByName(good.select(F.col("uid2").alias("uid"), F.col("start2").alias("start"), F.col("span2").alias("span"), covered("a2", "b2").alias("covered")))
+    bad = met.where("not equal")
+    if not bad.limit(1).count():
+        return marks
+    apart = bad.withColumn("k", F.explode(F.sequence(F.lit(0), n - length)))
+    window = lambda raw, at: F.substring(F.col(raw), F.col(at) + F.col("k") + 1, F.lit(length))
+    both = apart.select("anchor", "uid", "start", "span", (F.col("a") + F.col("k")).alias("a"), window("bytes", "a").alias("w")).unionByName(
+        apart.select("anchor", F.col("uid2").alias("uid"), F.col("start2").alias("start"), F.col("span2").alias("span"), (F.col("a2") + F.col("k")).alias("a"), window("bytes2", "a2").alias("w"))
+    ).distinct()
+    many = both.groupBy("anchor", "w").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "w")
+    again = both.join(many, ["anchor", "w"]).withColumn("b", F.col("a") + length)
+    return marks.unionByName(again.select("uid", "start", "span", covered("a", "b").alias("covered")))
+
+
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every text as UTF-8 bytes.
 
     Removes each byte covered by a string of ``length`` bytes that starts anywhere else, same text
     included (overlaps count), judged on the input; no string crosses texts. Null text is empty. Rows
     that repeat a doc_id are texts of their own; a row that repeats id and text repeats all its strings.
-    ``kept`` is the remaining text as bytes.
+    ``kept`` is the remaining text as bytes. An empty table gives an empty result.
     """
-    common.bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    common.bounded_batches(spark)
+    parts = common.shuffle_parts(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
     base = base.withColumn("uid", F.xxhash64("doc_id", "text"))
-    runs = common.cut(runs_of(base.where(F.octet_length("text") >= length), length, gram), "runs")
-    key = ["anchor", "d1", "d2"]
-    distinct = common.cut(runs.groupBy(*key).agg(F.count("*").alias("copies"), F.min(F.struct("uid", "start", "span", "skip")).alias("at")), "distinct")
-    shared = distinct.groupBy("anchor").agg(F.count("*").alias("runs")).where("runs > 1")
-    twice = distinct.where("copies > 1").select(*key, F.lit(None).cast("binary").alias("covered"))
-    asked = distinct.join(shared, "anchor").select(*key, "at.*", F.ceil(F.col("runs") / crowd).cast("int").alias("n"))
-    with_bytes = asked.join(base.select("uid", "text").dropDuplicates(["uid"]) if docs_repeat(base) else base.select("uid", "text"), "uid")
-    with_bytes = with_bytes.select(*key, "n", "skip", F.expr("substring(cast(text as binary), start + 1, span)").alias("bytes"))
-    blocks = with_bytes.withColumn("block", F.pmod("d1", "n").cast("int")).repartition(common.shuffle_parts(docs.sparkSession), "anchor", "block").sortWithinPartitions("anchor", "block", "d1", "d2")
-    judged = common.cut(blocks.mapInArrow(sort_blocks(length), BLOCK), "judged")
-    merged = judged.where("bucket is not null").groupBy("anchor", "bucket").applyInArrow(merge_blocks(length), VERDICT)
-    verdict = twice.union(judged.where("bucket is null").select(*key, "covered")).union(merged.select(*key, "covered"))
-    marks = runs.join(verdict, key).select("uid", F.struct("start", "span", "covered").alias("m"))
-    marks = marks.groupBy("uid").agg(F.collect_list("m").alias("marks"))  # a text's own marks
+    texts = base.where(F.octet_length("text") >= length).select("uid", "text")
+    thin = texts.mapInArrow(thin_runs(length, gram), THIN).repartition(parts, "route").sortWithinPartitions("route")
+    asked = thin.mapInArrow(shared_only, "uid long, start int, span int, anchor long, skip int")
+    asked = asked.groupBy("uid").agg(F.collect_list(F.struct("start", "span", "anchor", "skip")).alias("runs"))  # a text's own runs
+    single = texts.dropDuplicates(["uid"]) if docs_repeat(base) else texts
+    held = common.cut(single.join(asked, "uid").select("uid", "text", "runs").mapInArrow(pieces, PIECES), "pieces")
+    with_bytes = held.where("anchor is not null")
+    crowded = common.cut(with_bytes.groupBy("anchor").agg(F.count("*").alias("runs")).where(F.col("runs") > crowd).select("anchor", F.ceil(F.col("runs") / crowd).cast("int").alias("n")), "crowded")
+    blocks = with_bytes.join(common.small(crowded), "anchor", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    blocks = blocks.withColumn("block", F.pmod("h", "n").cast("int")).repartition(parts, "anchor", "block").sortWithinPartitions("anchor", "block", "h")
+    judged = common.cut(blocks.mapInArrow(sort_blocks(length), JUDGED), "judged")
+    marks = held.where("anchor is null").select("uid", "start", "span", F.lit(None).cast("binary").alias("covered")).unionByName(judged.where("bucket is null").select("uid", "start", "span", "covered"))
+    if crowded.limit(1).count():
+        marks = marks.unionByName(across_blocks(judged, with_bytes.join(common.small(crowded).drop("n"), "anchor", "left_semi"), length))
+    marks = marks.groupBy("uid").agg(F.collect_list(F.struct("start", "span", "covered")).alias("marks"))  # a text's own marks
     rows = base.join(marks, "uid", "left").select("doc_id", "text", "marks")
     return rows.mapInArrow(apply_marks, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
