@@ -1,10 +1,11 @@
 """Secret scans: candidate strings, and a random forest that removes false positives.
 
-Everything on the texts is DataFrame functions, row by row: one pattern finds candidates (runs of at
-least 16 token characters with a digit), and what lies between the candidates gives places and
-neighbouring words. Features of a candidate are its length, shares of character classes, transitions
-between classes, coverage by a dictionary of word parts, path signs and the words around it. A forest
-is trained on labelled findings (a bounded table; the default is generated from a fixed seed) whose
+Everything on the texts is DataFrame functions, row by row: one pattern finds candidates, and what lies between
+the candidates gives places and neighbouring words. Candidates are runs of at least 16 token characters with a
+digit, and any 8 or more characters without white space and quotes that a secret word and an assignment sign
+come before. Features of a candidate are its length, shares of character classes, transitions between classes,
+coverage by a dictionary of word parts and of the corpus's frequent words, path signs and the words around it. A
+forest is trained on labelled findings (a bounded table; the default is generated from a fixed seed) whose
 features come from the same expressions, and its trees become nested conditions over the features.
 """
 
@@ -21,11 +22,14 @@ from pyspark.sql import functions as F
 from quillspark.llm import common
 
 TOKEN = r"A-Za-z0-9+/_.\-"
-CANDIDATE = rf"(?<![{TOKEN}])(?=[A-Za-z+/_.\-]*+[0-9])[{TOKEN}]{{16,}}+={{0,2}}"
+LONG = rf"(?<![{TOKEN}])(?=[A-Za-z+/_.\-]*+[0-9])[{TOKEN}]{{16,}}+={{0,2}}"
+#: What is given to a secret word: the place after an assignment sign is looked for first, and the word before it.
+GIVEN = r"(?<=[=:] {0,2}[\"'`]?)(?<=(?i:secret|token|passw(?:or)?d|pwd|pass|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|apikey)(?:_[A-Za-z]{1,8})?[\"'`]?\]? {0,2}[=:] {0,2}[\"'`]?)[^\s\"'`,;<>(){}\[\]]{8,}+"
+CANDIDATE = f"{LONG}|{GIVEN}"
 #: Characters of context before a candidate, score from which it is a secret, trees, their depth.
 CONTEXT, SECRET_FROM, TREES, DEPTH = 40, 0.5, 25, 6
-#: Labelled findings that the default forest is trained on.
-FINDINGS = 3000
+#: Labelled findings that the default forest is trained on, and frequent words of the corpus in the dictionary.
+FINDINGS, WORDS = 4000, 1000
 REDACTED = "[SECRET]"
 
 #: Word parts of several languages, for dictionary coverage.
@@ -42,8 +46,15 @@ SECRET_WORDS = r"(?i)(secret|token|passw(or)?d|passwd|pwd|api[ _-]?key|access[ _
 PLAIN_WORDS = r"(?i)(commit|revision|sha\d*|md5|digest|checksum|hash|uuid|guid|etag|isbn|issn|id|order|invoice|ref|see|file|path|url|visit|version|at|page|mail|phone|serial|build)[^A-Za-z0-9]{0,6}$"
 
 
-def features(candidate: Column, before: Column, after: Column) -> dict[str, Column]:
+def dictionary(docs: DataFrame, n: int = WORDS) -> list[str]:
+    """The ``n`` words of 4 to 15 letters that occur most often in all texts (ties by the word), for coverage."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,15}(?!\p{L})"), F.lit(0))).alias("w"))
+    return [r["w"] for r in words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(n).collect()]  # n words
+
+
+def features(candidate: Column, before: Column, after: Column, words: tuple[str, ...] = ()) -> dict[str, Column]:
     """Named numbers of a candidate, the text before it and the text after it."""
+    known = sorted({*PARTS, *words}, key=lambda x: (-len(x), x))
     n = F.greatest(F.length(candidate), F.lit(1)).cast("double")
     share = lambda p: F.regexp_count(candidate, F.lit(p)) / n
     near = F.right(before, F.lit(CONTEXT))
@@ -57,7 +68,7 @@ def features(candidate: Column, before: Column, after: Column) -> dict[str, Colu
         "transitions": F.regexp_count(candidate, F.lit("[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+")) / n,
         "hex": flag(candidate.rlike("^[0-9a-f]+$|^[0-9A-F]+$")),
         "only_digits": flag(candidate.rlike("^[0-9.+/_-]+$")),
-        "dictionary": 1 - F.length(F.regexp_replace(F.lower(candidate), "|".join(sorted(PARTS, key=lambda x: (-len(x), x))), "")) / n,
+        "dictionary": 1 - F.length(F.regexp_replace(F.lower(candidate), "|".join(known), "")) / n,
         "vowels": share("[aeiouAEIOU]"),
         "distinct": F.size(F.array_distinct(F.split(candidate, ""))) / n,
         "paths": F.regexp_count(candidate, F.lit("[/.]")) / n,
@@ -68,11 +79,15 @@ def features(candidate: Column, before: Column, after: Column) -> dict[str, Colu
         "assigned": flag(near.rlike(r"[=:]\s*[\"'`]?$")),
         "quoted": flag(near.rlike("[\"'`]$") & after.rlike("^[\"'`]")),
         "address": flag(near.rlike(r"(@|://|www\.)$") | after.rlike("^@")),
+        "code": flag(candidate.rlike(r"^[$%{<]|^(os|env|process|config|settings|self|this|get|req|request|args|params|data|ctx)[._]|://|^\*+$|\.\.\.") | after.rlike(r"^[(\[{<]")),
+        "blank": flag(candidate.rlike(r"(?i)^(x+|\*+|\.+|-+|_+|0+)[\W_0-9]*$|example|placeholder|changeme|change[-_]me|your[-_]|<.*>|redacted|removed|hidden|required|optional|invalid|expired|missing|unknown|undefined|disabled|enabled|default")),
+        "one_word": flag(candidate.rlike(r"^[A-Za-z]?[a-z]+[.!?:]?$")),
+        "kinds": F.lit(0.0) + sum((flag(candidate.rlike(c)) for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")), F.lit(0.0)),
     }
 
 
 def names() -> list[str]:
-    return ["length", "digits", "upper", "lower", "signs", "transitions", "hex", "only_digits", "dictionary", "vowels", "distinct", "paths", "dashes", "prefix", "secret_word", "plain_word", "assigned", "quoted", "address"]
+    return ["length", "digits", "upper", "lower", "signs", "transitions", "hex", "only_digits", "dictionary", "vowels", "distinct", "paths", "dashes", "prefix", "secret_word", "plain_word", "assigned", "quoted", "address", "code", "blank", "one_word", "kinds"]
 
 
 def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, str, str, int]]:
@@ -94,6 +109,29 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
         body = r.choice([lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16), lambda: "ghp_" + pick(alnum, 36), lambda: "sk-" + pick(alnum, 44), lambda: "glpat-" + pick(alnum, 20), lambda: "eyJ" + pick(alnum + "-_", 60)])()
         return f"{prose()} ", body, f" {prose()}"
 
+    def password():
+        """What people choose, behind a word that says so."""
+        key = r.choice(["password", "Password", "passwd", "pwd", "pass", "db_password", "secret", "token", "api_key", "credential"])
+        stem = lambda: r.choice(words).capitalize() if r.random() < 0.4 else r.choice(words)
+        body = r.choice([
+            lambda: "".join(r.choice(words) for _ in range(r.randint(3, 6))), lambda: stem() + stem() + str(r.randint(1, 9999)), lambda: stem() + r.choice("!@#$%&*") + stem() + str(r.randint(0, 99)),
+            lambda: pick(alnum + "!@#$%^&*-_+", r.randint(8, 15)), lambda: pick(string.ascii_letters, r.randint(10, 30)), lambda: pick(string.ascii_lowercase, 4) + str(r.randint(0, 9)) + pick(string.ascii_lowercase, 4),
+        ])()
+        join, quote = r.choice([" = ", "=", ": ", ":"]), r.choice(['"', "'", "", ""])
+        return f"{prose()} {key}{join}{quote}", body, f"{quote}{r.choice([' ', chr(10), ', '])}{prose()}"
+
+    def said():
+        """What stands behind such a word and is none."""
+        key = r.choice(["password", "Password", "secret", "token", "api_key", "pass", "credential"])
+        name = "_".join(r.choice(words) for _ in range(r.randint(1, 3)))
+        body, after = r.choice([
+            lambda: (r.choice(["required", "optional", "invalid", "expired.", "missing", "undefined", "unknown", "disabled", "forgotten", "changeme", "redacted"]), " "),
+            lambda: (r.choice(["os.environ", "config.get", "settings.", "self.", "env.", "process.env.", "request.", "args."]) + name, r.choice(["(", "[", " "])), lambda: ("$" + r.choice("{(") * 0 + name.upper(), " "), lambda: ("*" * r.randint(8, 12), " "),
+            lambda: ("x" * r.randint(8, 16), " "), lambda: ("your-" + name, " "), lambda: ("http://" + name + ".example.com/" + r.choice(words), " "), lambda: (r.choice(words) + r.choice(words) + r.choice(["ing", "tion", "ment", "able"]), " " + prose()), lambda: ("get_" + name, "("),
+        ])()
+        join, quote = r.choice([" = ", "=", ": ", ": "]), ""
+        return f"{prose()} {key}{join}{quote}", body, after
+
     def harmless():
         kind = r.randrange(11)
         if kind == 0:
@@ -122,8 +160,12 @@ def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
     out = []
     while len(out) < n:
         label = r.random() < 0.5
-        before, body, after = (secret() if r.random() < 0.8 else bare()) if label else harmless()
-        if len(body) >= 16 and any(c.isdigit() for c in body):
+        pick_one = r.random()
+        if label:
+            before, body, after = secret() if pick_one < 0.5 else bare() if pick_one < 0.65 else password()
+        else:
+            before, body, after = harmless() if pick_one < 0.65 else said()
+        if len(body) >= 8:
             out.append((before, body, after, int(label)))
     return out
 
@@ -162,19 +204,29 @@ def train(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH,
     return out
 
 
-def fit(spark: SparkSession, findings: DataFrame | None = None, limit: int = 20_000) -> list:
-    """A forest from ``before, candidate, after, label`` (at most ``limit`` rows, by hash); null rows don't teach."""
-    key = None if findings is not None else spark.sparkContext.applicationId
+class Forest(list):
+    """Trees, and the words of the corpus that their dictionary feature knows."""
+
+    words: tuple[str, ...] = ()
+
+
+def fit(spark: SparkSession, findings: DataFrame | None = None, limit: int = 20_000, words: list[str] = ()) -> Forest:
+    """A forest from ``before, candidate, after, label`` (at most ``limit`` rows, by hash); null rows don't teach.
+
+    ``words`` are frequent words of the corpus (see ``dictionary``).
+    """
+    key = None if findings is not None else (spark.sparkContext.applicationId, tuple(words))
     if key in _fitted:
         return _fitted[key]
     table = findings if findings is not None else spark.createDataFrame(labelled_findings(), "before string, candidate string, after string, label int")
     table = table.where("candidate is not null and label is not null")
     table = table.select(F.coalesce("before", F.lit("")).alias("before"), "candidate", F.coalesce("after", F.lit("")).alias("after"), "label").orderBy(F.xxhash64("candidate", "before", "after")).limit(limit)
-    made = features(F.col("candidate"), F.col("before"), F.col("after"))
+    made = features(F.col("candidate"), F.col("before"), F.col("after"), tuple(words))
     rows = table.select(*[made[n].alias(n) for n in names()], "label").collect()  # bounded by limit
     x = np.array([[float(r[n]) for n in names()] for r in rows]).reshape(-1, len(names()))
     y = np.array([r["label"] for r in rows], float)
-    forest = train(x, y) if len(rows) else [0.0]
+    forest = Forest(train(x, y) if len(rows) else [0.0])
+    forest.words = tuple(words)
     if key:
         _fitted[key] = forest
     return forest
@@ -195,40 +247,43 @@ def score(forest: list, of) -> Column:
     return functools.reduce(lambda a, b: a + b, map(tree, forest)) / float(len(forest))
 
 
-def with_findings(docs: DataFrame, forest: list) -> DataFrame:
-    """Adds ``__parts, __found``: texts between candidates, and per candidate ``text, score``."""
+def with_findings(docs: DataFrame, forest: Forest) -> DataFrame:
+    """``row struct<all columns>, text, parts, found, scores``: texts between candidates, candidates and their scores."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     found = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
-    rows = docs.withColumn("__found", F.coalesce(found, F.array().cast("array<string>")))
-    rows = rows.withColumn("__parts", F.when(F.size("__found") > 0, F.split("text", CANDIDATE, -1)))
-    fed = F.transform("__found", lambda c, i: F.struct(*[v.alias(k) for k, v in features(c, F.get("__parts", i), F.get("__parts", i + 1)).items()]))
-    rows = rows.withColumn("__fed", F.when(F.size("__found") > 0, fed))
-    scores = F.transform("__fed", lambda f: score(forest, lambda name: f[name]))
-    return rows.withColumn("__scores", scores).drop("__fed")
+    rows = rows.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
+    rows = rows.withColumn("parts", F.when(F.size("found") > 0, F.split("text", CANDIDATE, -1)))
+    fed = F.transform("found", lambda c, i: F.struct(*[v.alias(k) for k, v in features(c, F.get("parts", i), F.get("parts", i + 1), getattr(forest, "words", ())).items()]))
+    rows = rows.withColumn("fed", F.when(F.size("found") > 0, fed))
+    scores = F.transform("fed", lambda f: score(forest, lambda name: f[name]))
+    return rows.withColumn("scores", scores).drop("fed")
 
 
-def scan(docs: DataFrame, forest: list) -> DataFrame:
+def scan(docs: DataFrame, forest: Forest) -> DataFrame:
     """``doc_id, finding, start, length, score, secret_sha256``: a row per secret, places in code points from 0.
 
-    Null and empty texts have none. Repeated rows give repeated findings.
+    A score of exactly ``SECRET_FROM`` is a secret. Null and empty texts have none. Repeated rows give repeated
+    findings; a null doc_id stays null.
     """
-    rows = with_findings(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), forest).where(F.size("__found") > 0)
-    rows = rows.select("doc_id", "__parts", F.posexplode(F.arrays_zip(F.col("__found").alias("c"), F.col("__scores").alias("s"))).alias("finding", "x"), "__found")
-    before = F.aggregate(F.slice("__parts", F.lit(1), F.col("finding") + 1), F.lit(0).cast("long"), lambda a, p: a + F.length(p))
-    earlier = F.aggregate(F.slice("__found", F.lit(1), F.col("finding")), F.lit(0).cast("long"), lambda a, c: a + F.length(c))
+    rows = with_findings(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), forest).where(F.size("found") > 0)
+    rows = rows.select("row.doc_id", "parts", F.posexplode(F.arrays_zip(F.col("found").alias("c"), F.col("scores").alias("s"))).alias("finding", "x"), "found")
+    before = F.aggregate(F.slice("parts", F.lit(1), F.col("finding") + 1), F.lit(0).cast("long"), lambda a, p: a + F.length(p))
+    earlier = F.aggregate(F.slice("found", F.lit(1), F.col("finding")), F.lit(0).cast("long"), lambda a, c: a + F.length(c))
     out = rows.where(F.col("x.s") >= SECRET_FROM)
     return out.select("doc_id", "finding", (before + earlier).alias("start"), F.length("x.c").alias("length"), F.col("x.s").alias("score"), F.sha2("x.c", 256).alias("secret_sha256"))
 
 
-def redact(docs: DataFrame, forest: list) -> DataFrame:
-    """All columns of ``docs``, with every secret in ``text`` replaced; null text stays null."""
+def redact(docs: DataFrame, forest: Forest) -> DataFrame:
+    """All columns of ``docs``, with every secret in ``text`` replaced; null text stays null, repeated rows stay."""
     rows = with_findings(docs, forest)
     cleaned = F.concat(
-        F.get("__parts", F.lit(0)),
-        F.array_join(F.transform("__found", lambda c, i: F.concat(F.when(F.get("__scores", i) >= SECRET_FROM, F.lit(REDACTED)).otherwise(c), F.get("__parts", i + 1))), ""),
+        F.get("parts", F.lit(0)),
+        F.array_join(F.transform("found", lambda c, i: F.concat(F.when(F.get("scores", i) >= SECRET_FROM, F.lit(REDACTED)).otherwise(c), F.get("parts", i + 1))), ""),
     )
-    text = F.when(F.exists("__scores", lambda s: s >= SECRET_FROM), cleaned).otherwise(F.col("text"))
-    return rows.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    text = F.when(F.exists("scores", lambda s: s >= SECRET_FROM), cleaned).otherwise(F.col("text"))
+    return rows.select(*[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(common.documents(spark, sf_dir), fit(spark))
+    docs = common.documents(spark, sf_dir)
+    return scan(docs, fit(spark, words=dictionary(docs)))

@@ -134,6 +134,42 @@ def test_substrings_of_long_texts_and_repeated_rows(spark, monkeypatch):
     assert substrings.dedup(twice.limit(0), length=40, gram=12).count() == 0
 
 
+def test_substrings_of_a_crowded_anchor(spark):
+    r = random.Random(9)
+    licence = "".join(r.choice("abcdef ") for _ in range(70))
+    texts = ["".join(r.choice("abcdef ") for _ in range(r.randint(5, 60))) + licence + "".join(r.choice("abcdef ") for _ in range(r.randint(5, 60))) for _ in range(80)]
+    texts += ["a" * 500, "a" * 37, "ab" * 300] + texts[:5]
+    got = by_id(substrings.dedup(docs_of(spark, texts), length=40, gram=12, crowd=7))
+    for i, w in enumerate(brute_substrings(texts, 40)):
+        assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], got[i]["kept_sha256"]) == w, (i, texts[i])
+
+
+def test_windows_with_equal_hashes_are_told_apart(monkeypatch):
+    r = random.Random(5)
+    raw = bytes(r.choice(b"ab") for _ in range(600))
+    span = np.full(6, 100)
+    start, skip, group = np.arange(6) * 100, np.full(6, 50), np.zeros(6, np.int64)
+    plain = substrings.Hashes.of
+    monkeypatch.setattr(substrings.Hashes, "of", lambda self, s, n: plain(self, s, n) & np.uint64(3))
+    run, place, hit, _ = substrings.repeated_windows(raw, start, span, skip, group, 8)
+    seen = Counter((p, raw[100 * k + p : 100 * k + p + 8]) for k in range(6) for p in range(93))
+    assert hit.any() and not hit.all()
+    assert all(h == (seen[p, raw[100 * k + p : 100 * k + p + 8]] > 1) for k, p, h in zip(run.tolist(), place.tolist(), hit.tolist()))
+
+
+def test_ranges_across_blocks_are_compared_by_bytes(spark):
+    held = spark.createDataFrame([(1, 10, 0, 20, bytearray(b"0123456789abcdefghij")), (1, 11, 5, 20, bytearray(b"0123456789abcdefghiX")), (1, 12, 0, 20, bytearray(b"0123456789abcdefghiX"))], "anchor long, uid long, start int, span int, bytes binary")
+    h = np.array([7, 8], np.uint64).tobytes()
+    refs = np.array([[0, 0], [0, 12]], "<i4").tobytes()
+    rows = [(None, None, None, None, 1, 0, b, bytearray(h), bytearray(refs), bytearray(np.array([[uid, start]], np.int64).tobytes())) for b, (uid, start) in enumerate([(10, 0), (11, 5), (12, 0)])]
+    judged = spark.createDataFrame(rows, substrings.JUDGED)
+    marks = {}
+    for m in substrings.across_blocks(judged, held, 8).collect():
+        a, b = np.frombuffer(bytes(m["covered"]), "<i4")
+        marks.setdefault((m["uid"], m["start"]), set()).update(range(a, b))
+    assert marks[11, 5] == marks[12, 0] and max(marks[11, 5]) == 19 and 0 in marks[10, 0] and 19 not in marks[10, 0]
+
+
 def test_suffix_sort_orders_suffixes():
     r = np.random.default_rng(5)
     raw = r.integers(97, 99, 400).astype(np.uint8)
@@ -157,8 +193,8 @@ def brute_lines(texts, k):
         for p in range(len(ls) - k + 1):
             seen.setdefault(tuple(ls[p : p + k]), (i, p))
     for (i, ls), t in zip(rows, texts):
-        starts = [p for p in range(len(ls) - k + 1) if seen[tuple(ls[p : p + k])] != (i, p)]
-        out.append(t if t is None else lines.keep_lines(t, starts, k)[0])
+        starts = [(p, k) for p in range(len(ls) - k + 1) if seen[tuple(ls[p : p + k])] != (i, p)]
+        out.append(t if t is None else lines.keep_lines(t, starts)[0])
     return out
 
 
@@ -166,11 +202,44 @@ def brute_lines(texts, k):
 def test_lines_against_brute_force(spark, k):
     r = random.Random(k)
     texts = [None, "", "\n \n", "a", "a\na\na\na\na\na\na"] + ["\n".join(r.choice(["a", "b", "c", "d", "", " "]) for _ in range(r.randrange(12))) for _ in range(60)]
-    got = by_id(lines.dedup_lines(docs_of(spark, texts), k))
+    got = by_id(lines.without_copies(docs_of(spark, texts), k))
     assert [got[i]["text"] for i in range(len(texts))] == brute_lines(texts, k)
     assert got[3]["uid"] == "clash"
 
 
+def test_line_ranks_order_suffixes(spark):
+    r = random.Random(7)
+    texts = ["\n".join(r.choice("ab") for _ in range(r.randint(1, 25))) for _ in range(30)] + ["x\ny\nz\nw\nv"] * 2
+    docs = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "doc long, tie int, text string")
+    split = [t.split("\n") for t in texts]
+    found = lines.intervals(docs, 1)
+    assert [n for n, _ in found] == [2**k for k in range(len(found))]
+    first = {(x["doc"], x["p"]): x["rank"] for x in found[0][1].collect()}
+    alphabet = {split[d][p]: rank for (d, p), rank in first.items()}
+    for n, rows in found:
+        rows = rows.collect()
+        count = Counter(tuple(t[p : p + n]) for t in split for p in range(len(t) - n + 1))
+        assert {(x["doc"], x["p"]) for x in rows} == {(d, p) for d, t in enumerate(split) for p in range(len(t) - n + 1) if count[tuple(t[p : p + n])] > 1}
+        keys = {}
+        for x in rows:
+            keys.setdefault(x["rank"], set()).add(tuple(alphabet[c] for c in split[x["doc"]][x["p"] : x["p"] + n]))
+        assert all(len(v) == 1 for v in keys.values())
+        ordered = [next(iter(keys[k])) for k in sorted(keys)]
+        assert ordered == sorted(ordered)
+    longest = {}
+    for x in lines.later_starts(docs, 1).collect():
+        longest[x["doc"], x["p"]] = x["length"]
+    assert longest[31, 0] == 4 and (30, 0) not in longest
+
+
+def test_one_line_in_half_of_all_documents(spark):
+    texts = [f"Copyright\nown {i}\nlast {i % 7}" if i % 2 else f"a {i}\nb {i}" for i in range(4000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(lines.without_copies(docs, 1))
+    want = brute_lines(texts, 1)
+    assert all(got[i]["text"] == w for i, w in enumerate(want))
+
+
 def test_lines_query_and_odd_tables(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{DATA}/documents.parquet'")
@@ -178,8 +247,10 @@ def test_lines_query_and_odd_tables(spark):
     got = lines.op3_line_dedup(spark, DATA).toPandas().sort_values("doc_id", ignore_index=True)
     assert (got.astype(str) == want[got.columns].astype(str)).all().all()
     rows = spark.createDataFrame([(1, "a\nb"), (1, "a\nb"), (None, "c\nd"), (2, "c\nd")], "doc_id long, text string")
-    assert sorted(r["text"] for r in lines.dedup_lines(rows).collect()) == ["", "a\nb", "a\nb", "c\nd"]
+    assert sorted(r["text"] for r in lines.without_copies(rows).collect()) == ["", "a\nb", "a\nb", "c\nd"]
     assert lines.dedup_lines(rows.limit(0)).count() == 0
+    clash = lines.without_copies(rows.withColumn("starts", F.lit(1)).withColumn("tie", F.lit("t")).withColumn("row", F.lit("r")))
+    assert {(r["starts"], r["tie"], r["row"]) for r in clash.collect()} == {(1, "t", "r")}
 
 
 # --- fingerprints of documents

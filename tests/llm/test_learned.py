@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillspark.llm import common, fingerprints, langid, passages, secrets
+from tests.llm.findings import FINDINGS
 
 DATA = "/root/testdata/sf0.001"
 
@@ -258,32 +259,61 @@ def test_intervals_by_definition():
 # --- secrets
 
 
+def walked(tree, x):
+    while isinstance(tree, tuple):
+        f, at, low, high = tree
+        tree = low if x[f] <= at else high
+    return tree
+
+
 def test_forest_on_unseen_findings(spark):
     forest = secrets.fit(spark)
     rows = spark.createDataFrame(secrets.labelled_findings(800, seed=123), "before string, candidate string, after string, label int")
     made = secrets.features(F.col("candidate"), F.col("before"), F.col("after"))
     assert list(made) == secrets.names()
-    rows = rows.select("label", *[made[n].alias(n) for n in secrets.names()]).withColumn("score", secrets.score(forest, lambda n: F.col(n)))
-    n, right = rows.agg(F.count("*"), F.count_if((F.col("score") >= 0.5) == (F.col("label") == 1))).first()
-    assert right >= 0.95 * n
+    rows = rows.select("label", *[made[n].alias(n) for n in secrets.names()]).withColumn("score", secrets.score(forest, lambda n: F.col(n))).collect()
+    assert sum((r["score"] >= 0.5) == (r["label"] == 1) for r in rows) >= 0.95 * len(rows)
+    for r in rows:  # the conditions are the trees
+        x = [r[n] for n in secrets.names()]
+        assert abs(r["score"] - sum(walked(t, x) for t in forest) / len(forest)) < 1e-9
+
+
+def test_findings_written_by_hand(spark):
+    docs = spark.createDataFrame([(i, line) for i, (line, _, _) in enumerate(FINDINGS)], "doc_id long, text string")
+    words = secrets.dictionary(common.documents(spark, DATA))
+    assert len(words) == secrets.WORDS
+    forest = secrets.fit(spark, words=words)
+    found = {(r["doc_id"], FINDINGS[r["doc_id"]][0][r["start"] : r["start"] + r["length"]]) for r in secrets.scan(docs, forest).collect()}
+    right = sum((i, c) in found for i, (_, c, y) in enumerate(FINDINGS) if y)
+    recall, precision = right / sum(y for _, _, y in FINDINGS), right / max(1, len(found))
+    print("recall", recall, "precision", precision, sorted(found - {(i, c) for i, (_, c, y) in enumerate(FINDINGS) if y}), [c for i, (_, c, y) in enumerate(FINDINGS) if y and (i, c) not in found])
+    assert recall >= 0.85 and precision >= 0.85
 
 
 def test_places_and_redaction(spark):
     forest = secrets.fit(spark)
     key, other = "0123456789abcdef0123456789abcdef01234567", "ghp_" + "aB3dE6gH9k" * 3 + "xyz123"
     texts = [f'Übér words token = "{key}" and 12345678901234567 more', f"two: {other} and again api_key={key}.", None, "", "word " * 2000 + "mail6.example.com7", f"commit {key} in file"]
-    docs = docs_of(spark, texts)
+    docs = docs_of(spark, texts).withColumn("found", F.lit("clash")).withColumn("parts", F.lit(3))
     found = secrets.scan(docs, forest).collect()
     for r in found:
         assert re.match(r"0123456789abcdef|ghp_", texts[r["doc_id"]][r["start"] : r["start"] + r["length"]])
     assert sorted(r["doc_id"] for r in found) == [0, 1, 1]
-    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs, forest).collect()}
+    rows = secrets.redact(docs, forest)
+    assert rows.columns == docs.columns and {(r["found"], r["parts"]) for r in rows.collect()} == {("clash", 3)}
+    clean = {r["doc_id"]: r["text"] for r in rows.collect()}
     assert clean[0] == 'Übér words token = "[SECRET]" and 12345678901234567 more'
     assert key not in clean[1] and other not in clean[1] and [clean[i] for i in (2, 3, 4, 5)] == texts[2:]
-    candidates = {r["doc_id"]: r["__found"] for r in secrets.with_findings(docs, forest).select("doc_id", "__found").collect()}
-    pattern = re.compile(secrets.CANDIDATE)
-    assert all(candidates[i] == [m[0] for m in pattern.finditer(t or "")] for i, t in enumerate(texts))
+    candidates = {r["doc_id"]: r["found"] for r in secrets.with_findings(docs, forest).select("row.doc_id", "found").collect()}
+    pattern = re.compile(secrets.LONG)
+    given = re.compile(r"(?i)(?:secret|token|passw(?:or)?d|pwd|pass|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|apikey)(?:_[A-Za-z]{1,8})?[\"'`]?\]? {0,2}[=:] {0,2}[\"'`]?$")
+    for i, t in enumerate(texts):
+        want = [m[0] for m in pattern.finditer(t or "")]
+        assert [c for c in candidates[i] if c in want] == want
+        assert all(c in want or given.search((t or "")[: (t or "").index(c)]) for c in candidates[i])
     assert secrets.scan(docs.limit(0), forest).count() == 0
+    twice = spark.createDataFrame([(None, f"token = {key}")] * 2, "doc_id long, text string")
+    assert [r["doc_id"] for r in secrets.scan(twice, forest).collect()] == [None, None]
 
 
 # --- pipeline
