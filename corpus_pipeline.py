@@ -17,28 +17,34 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without an identifiable language; ``lang`` becomes the prediction."""
+    """Drops texts without an identifiable language (null, empty, without letters); ``lang`` becomes the prediction.
+
+    Rows map one to one, so repeated ones stay; without any labelled text, as in an empty table, nothing is kept.
+    """
     common.bounded_batches(spark)
     return langid.keep_identified(docs, langid.fit(docs))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deletes later copies of repeated line runs from the texts; every document stays."""
-    return _sized(lines.dedup_lines(docs).drop("__lines"))
+    """Deletes later copies of repeated line runs from the texts; every document stays.
+
+    Null texts stay null; rows that repeat id and text get the same text; a null id comes first.
+    """
+    return _sized(lines.without_copies(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate group."""
+    """Keeps one document of each near-duplicate group: the least id, null first. Null and empty texts are one group."""
     return fingerprints.one_of_each(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets in the texts; every document stays."""
-    return _sized(secrets.redact(docs, secrets.fit(spark)))
+    """Replaces secrets in the texts; every document stays. Null texts stay null, repeated rows stay."""
+    return _sized(secrets.redact(docs, secrets.fit(spark, words=secrets.dictionary(docs))))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encodes and packs all texts into sequences; one row per piece."""
+    """Encodes and packs all texts into sequences; one row per piece. A null text is its end id alone."""
     import public_tokenizers as tok
 
     return packing.pack_documents(docs, tok.path("word_bpe_49k.json"))
