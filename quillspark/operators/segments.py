@@ -199,12 +199,13 @@ def classify(counts: DataFrame, key: str, rule: str = "A", body: tuple[int, int]
     return c.select(key, "fs", "cnt", "pct", "class", "confident")
 
 
-def apply_size_markup(text: Column, classes: Column) -> Column:
+def apply_size_markup(text: Column, classes: Column, pages: bool = True) -> Column:
     """Size tags to ``<large>`` and ``<small>`` by a map of size to class (default regular).
 
     Spaces beside a tag move out of the element, an element ends before a page break and opens again after
-    it, and empty elements go.
+    it, and empty elements go. Without ``pages`` page breaks are text like any other.
     """
+
     def kind(s: Column) -> Column:
         known = F.when(s["fs"].isNull(), "regular").otherwise(F.coalesce(F.try_element_at(classes, s["fs"]), F.lit("regular")))
         return F.struct(F.when(known.isin("large", "small"), known).otherwise("regular").alias("k"), s["content"].alias("c"))
@@ -233,10 +234,11 @@ def apply_size_markup(text: Column, classes: Column) -> Column:
 
     def element(x: Column) -> Column:
         start, end = F.concat(F.lit("<"), x["k"], F.lit(">")), F.concat(F.lit("</"), x["k"], F.lit(">"))
-        return F.concat(x["a"], start, F.replace(x["c"], F.lit("ZZZZ"), F.concat(end, F.lit("ZZZZ"), start)), end, x["z"])
+        inner = F.replace(x["c"], F.lit("ZZZZ"), F.concat(end, F.lit("ZZZZ"), start)) if pages else x["c"]
+        return F.concat(x["a"], start, inner, end, x["z"])
 
     def written(x: Column) -> Column:
-        chain = let(outside(x), lambda p: let(closed(p), lambda q: let(paged(q), element)))
+        chain = let(outside(x), lambda p: let(closed(p), lambda q: let(paged(q), element) if pages else element(q)))
         return F.when(x["k"] == "regular", x["c"]).otherwise(chain)
 
     made = let(F.transform(segments(text), kind), lambda kinds: F.when(F.size(kinds) > 0, F.array_join(F.transform(islands(kinds), written), "")))

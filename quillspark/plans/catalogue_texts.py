@@ -650,3 +650,106 @@ def q_review_report(spark, sf_dir):
     key = F.col("s_suppkey")
     cases = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("folder"), F.lit("a").alias("title"), F.lit("b").alias("next_title"), F.lit(1).alias("img_start"), key.alias("img_end"), (key + 1).alias("next_start"), F.lit(9).alias("next_end"), F.col("s_nationkey").alias("vol"), F.when(key % 2 == 0, F.col("s_name")).alias("page_text"))
     return structure.review_text(cases)
+
+
+# --- runs of word-processor files, size markup, milestones
+
+
+def rtf_files(spark, sf_dir, odd, even):
+    """Texts as word-processor files: every second line in a group of its own font and size."""
+    clean = lambda x: F.concat(F.lit("a"), F.translate(x, "\\{}", ""))
+    line = lambda x, i: F.concat(F.when(i % 2 == 1, F.concat(F.lit(odd), clean(x), F.lit("}"))).otherwise(F.concat(F.lit(even), clean(x))), F.lit("\\par "))
+    body = F.array_join(F.transform(F.split("text", "\n", -1), line), "")
+    head = r"{\rtf1\ansi{\fonttbl{\f0\fnil Serif;}{\f1\fnil Sans B;}}\f0\fs24 "
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.concat(F.lit(head), body, F.lit("}")).cast("binary").alias("content"))
+
+
+CLEAN = "'a' || translate(line, concat(chr(92), '{}'), '')"
+
+
+@query(rf"""WITH {LINES}, r AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(i - 1 AS INT) AS seq, CASE WHEN i % 2 = 0 THEN {CLEAN} ELSE CASE WHEN i > 1 THEN chr(10) ELSE '' END || {CLEAN} || chr(10) END AS text, CASE WHEN i % 2 = 0 THEN 'Sans B' ELSE 'Serif' END AS font, CASE WHEN i % 2 = 0 THEN 18 ELSE 12 END AS size FROM l)
+SELECT *, d AS dialect FROM r, (SELECT unnest(['v1', 'v2']) AS d)""".replace("SELECT *, d AS dialect", "SELECT doc_id, seq, text, font, size, d AS dialect"))
+def q_rtf_simple_dialects(spark, sf_dir):
+    docs = rtf_files(spark, sf_dir, r"{\f1\fs36 ", "")
+    both = [rtf.runs(docs, d).select("doc_id", "seq", "text", F.col("font.name").alias("font"), F.col("font.size").alias("size"), F.lit(d).alias("dialect")) for d in ("v1", "v2")]
+    return both[0].unionByName(both[1])
+
+
+@query(rf"""WITH {LINES} SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(2 * i - 2 AS INT) AS seq, '' AS type, {CLEAN} AS text, CASE WHEN i % 2 = 0 THEN 'Sans B' ELSE 'Serif' END AS font, CASE WHEN i % 2 = 0 THEN 18 ELSE 12 END AS size FROM l
+UNION ALL SELECT CAST(doc_id AS VARCHAR), CAST(2 * i - 1 AS INT), 'par_break', '', '', -1 FROM l""")
+def q_rtf_fonts_by_direction(spark, sf_dir):
+    """The dialect whose fonts hang on direction and character set: each second line switches both."""
+    docs = rtf_files(spark, sf_dir, r"{\ltrch\hich\f1\fs36 ", r"\ltrch\loch\f0 ")
+    return rtf.runs(docs).select("doc_id", "seq", F.coalesce("type", F.lit("")).alias("type"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("font.name", F.lit("")).alias("font"), F.coalesce("font.size", F.lit(-1)).alias("size"))
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS doc_id, unnest([0, 1, 2]) AS seq, unnest(['', 'header', '']) AS type, unnest(['x' || chr(233) || chr(160) || chr(CAST(3904 + event_id % 20 AS INT)) || event_type, event_type || '{1}', 'end']) AS text FROM events""")
+def q_rtf_signs_and_blocks(spark, sf_dir):
+    """Hexadecimal and Unicode signs with their fallbacks, a header with a group in it, metadata groups and bad bytes."""
+    code = (F.lit(3904) + F.col("event_id") % 20).cast("string")
+    data = F.concat(F.lit(r"{\rtf1{\*\generator g;}x\'e9\~\u"), code, F.lit("?"), "event_type", F.lit(r"{\header {"), "event_type", F.lit("{1}}}end}"))
+    raw = F.concat(data.cast("binary"), F.unhex(F.lit("FF")))
+    return rtf.runs(table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("path"), raw.alias("content")), "v2").select("doc_id", "seq", F.coalesce("type", F.lit("")).alias("type"), "text")
+
+
+@query("""SELECT doc_id, repeat('ཀ', CAST(doc_id % 5 + 2 AS INT)) || chr(10) || '<lb/><hi rend="head">ཁ' || lang || '</hi>' || chr(10) || '<lb/>note &amp; ' || source AS body FROM documents""")
+def q_runs_to_body(spark, sf_dir):
+    """A body from runs: headers go, footnotes stay, the larger size is a head, breaks are in the most frequent size."""
+    docs = table(spark, sf_dir, "documents")
+    rows = [(0, None, F.repeat(F.lit("ཀ"), (F.col("doc_id") % 5 + 2).cast("int")), 12), (1, "par_break", F.lit(None).cast("string"), None), (2, None, F.concat(F.lit("ཁ"), "lang"), 18), (3, "par_break", F.lit(None).cast("string"), None), (4, "header", F.lit("gone"), 18), (5, "footnote", F.concat(F.lit("note & "), "source"), 12)]
+    parts = [F.struct(F.lit(seq).alias("seq"), F.lit(kind).cast("string").alias("type"), text.alias("text"), F.when(F.lit(size is not None), F.struct(F.lit(1).alias("id"), F.lit("f").alias("name"), F.lit(size or 0).alias("size"))).alias("font")) for seq, kind, text, size in rows]
+    return tei.runs_tei_body(docs.select("doc_id", F.inline(F.array(*parts))))
+
+
+@query("""SELECT event_id, '<large>' || event_type || '</large>ZZZZ<large>b</large> ' || CAST(user_id AS VARCHAR) || '<small>x</small>ZZZZ' || chr(10) || 'y' AS text,
+'<large>' || event_type || 'ZZZZb</large> ' || CAST(user_id AS VARCHAR) || '<small>xZZZZ</small>' || chr(10) || 'y' AS plain FROM events""")
+def q_size_markup_over_pages(spark, sf_dir):
+    """An element ends before a page break and opens again after it; what stands at its edges moves out."""
+    text = F.concat(F.lit("<fs:26>"), "event_type", F.lit("ZZZZb <fs:20>"), F.col("user_id").cast("string"), F.lit("<fs:12>xZZZZ\n<fs:14>y"))
+    classes = F.create_map(F.lit(26), F.lit("large"), F.lit(12), F.lit("small"))
+    return table(spark, sf_dir, "events").select("event_id", segments.apply_size_markup(text, classes).alias("text"), segments.apply_size_markup(text, classes, pages=False).alias("plain"))
+
+
+@query("""SELECT event_id, '<fs:20>' || event_type || '་<fs:24>༼b་༽<fs:20>' || CAST(user_id AS VARCHAR) || '་' AS text FROM events""")
+def q_brackets(spark, sf_dir):
+    text = F.concat(F.lit("<fs:20>"), "event_type", F.lit("་<fs:22>༼<fs:24>b་<fs:26>༽<fs:20>"), F.col("user_id").cast("string"), F.lit("་"))
+    return table(spark, sf_dir, "events").select("event_id", segments.simplify(text).alias("text"))
+
+
+def sized_documents(spark, sf_dir):
+    key = F.col("doc_id")
+    text = F.when(key % 3 == 0, F.concat(F.lit("<fs:20>"), "source", F.lit("་<fs:30>"), "lang", F.lit("་ZZZZཀ་"))).when(key % 3 == 1, "<fs:11>x་<fs:12>y་").otherwise(F.concat(F.lit("\nZZZZ\n"), "lang", F.lit("ZZZZ")))
+    docs = table(spark, sf_dir, "documents").select(key.cast("string").alias("doc_id"), (key + 10).alias("vol"), F.lit(1).alias("ord"), text.alias("text"))
+    registry = spark.createDataFrame([("profile001", [20, 30], 1, {30: "large"})], "profile string, sizes array<int>, ord int, classes map<int, string>")
+    return tei.sized_text_tei(docs, registry, docs.where("cast(doc_id as int) % 6 = 2").select("doc_id", F.lit(1).alias("blanks")))
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE doc_id % 3 WHEN 0 THEN p || source || '་<hi rend="head">' || lang || '་</hi><pb n="5"/><hi rend="head">ཀ་</hi>' ELSE p || chr(10) || '<lb/>' || lang || CASE WHEN doc_id % 6 = 2 THEN '' ELSE '<pb n="5"/>' END END AS body
+FROM (SELECT *, '<pb n="1"/>' || chr(10) || '<pb n="2"/>' || chr(10) || '<pb n="3"/>' || chr(10) || '<pb n="4"/>' || CASE WHEN doc_id % 3 = 0 THEN chr(10) || '<lb/>' ELSE '' END AS p FROM documents) WHERE doc_id % 3 <> 1""")
+def q_sized_text_bodies(spark, sf_dir):
+    return sized_documents(spark, sf_dir)[0].select("doc_id", "body")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'NO_PROFILE' AS code, '11-12' AS detail FROM documents WHERE doc_id % 3 = 1")
+def q_sized_text_issues(spark, sf_dir):
+    return sized_documents(spark, sf_dir)[1]
+
+
+MARKS = """d AS (SELECT doc_id, CAST(doc_id % 8 AS INT) AS vol, lang, source FROM documents)"""
+
+
+def milestone_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    text = F.concat(F.lit('x<pb n="1"/>'), "lang", F.lit("༈"), "source", F.lit('<pb n="2"/>'), "lang")
+    due = spark.range(8).select(F.col("id").cast("int").alias("vol"), F.explode(F.array(F.lit(1), F.lit(2))).alias("page")).where("page = 1 and vol % 2 = 0 or page = 2 and vol % 3 = 0")
+    return structure.milestones_in_text(docs.select("doc_id", (F.col("doc_id") % 8).cast("int").alias("vol"), text.alias("text")), due)
+
+
+@query(f"""WITH {MARKS} SELECT doc_id, vol, 'x<pb n="1"/>' || lang || CASE WHEN vol % 2 = 0 THEN '<milestone xml:id="P1_B01" unit="section"/>' ELSE '' END || '༈' || source || '<pb n="2"/>' || lang AS text FROM d""")
+def q_milestones_in_text(spark, sf_dir):
+    return milestone_documents(spark, sf_dir)[0]
+
+
+@query(f"WITH {MARKS} SELECT doc_id, vol, CAST(2 AS INT) AS page, lang AS preview FROM d WHERE vol % 3 = 0")
+def q_milestones_unresolved(spark, sf_dir):
+    return milestone_documents(spark, sf_dir)[1]
