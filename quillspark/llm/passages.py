@@ -518,9 +518,11 @@ def compare(uid: np.ndarray, rows: np.ndarray, start: np.ndarray, end: np.ndarra
             if not len(rest):
                 break
             leader = s + rest[0]
-            others = mine[meets(mine, np.full(e - s, leader)) & (mine != leader)]
+            others = mine[meets(mine, np.full(e - s, leader)) & (out.root[s:e] != out.root[leader])]
             look(np.full(len(others), leader), others)
             led |= out.root[s:e] == out.root[leader]
+        if (out.root[s:e] == out.root[s]).all():
+            continue
         r, token = rare_tokens(rows[s:e], width, need)
         for pairs in meeting(r, token, out.root[s:e], uid[s:e]):
             i, j = pairs + s
