@@ -683,9 +683,11 @@ def q_rtf_fonts_by_direction(spark, sf_dir):
     return rtf.runs(docs).select("doc_id", "seq", F.coalesce("type", F.lit("")).alias("type"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("font.name", F.lit("")).alias("font"), F.coalesce("font.size", F.lit(-1)).alias("size"))
 
 
-@query("""SELECT CAST(event_id AS VARCHAR) AS doc_id, unnest([0, 1, 2]) AS seq, unnest(['', 'header', '']) AS type, unnest(['x' || chr(233) || chr(160) || chr(CAST(3904 + event_id % 20 AS INT)) || event_type, event_type || '{1}', 'end']) AS text FROM events""")
+@query("""SELECT CAST(event_id AS VARCHAR) AS doc_id, unnest([0, 1, 2]) AS seq, unnest(['header', '', '']) AS type, unnest([event_type || '{1}', 'x' || chr(233) || chr(160) || chr(CAST(3904 + event_id % 20 AS INT)) || event_type, 'end']) AS text FROM events""")
 def q_rtf_signs_and_blocks(spark, sf_dir):
-    """Hexadecimal and Unicode signs with their fallbacks, a header with a group in it, metadata groups and bad bytes."""
+    """Hexadecimal and Unicode signs with their fallbacks, a header with a group in it (it comes before the open text),
+    a metadata group and a bad byte.
+    """
     code = (F.lit(3904) + F.col("event_id") % 20).cast("string")
     data = F.concat(F.lit(r"{\rtf1{\*\generator g;}x\'e9\~\u"), code, F.lit("?"), "event_type", F.lit(r"{\header {"), "event_type", F.lit("{1}}}end}"))
     raw = F.concat(data.cast("binary"), F.unhex(F.lit("FF")))
