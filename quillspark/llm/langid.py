@@ -158,7 +158,10 @@ class Model:
         return (matched * (self.pointer_bits + 1 + 2 * np.log2(mean)) + lacking * LITERAL) / size
 
     def predict(self, texts: list[str | None], batch_chars: int = 1 << 21) -> list[tuple[str, float]]:
-        """(language, score) of whole texts; score: how much cheaper the best language is than the next."""
+        """(language, score) of whole texts; score: how much cheaper the best language is than the next (equal: 0).
+
+        Of languages with the same cost the first by name is said.
+        """
         out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
         todo, coded, chars = [], [], 0
 
@@ -237,7 +240,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The columns of ``docs``; ``lang`` becomes the predicted language, and texts without one go."""
+    """The columns of ``docs``, whatever their names; ``lang`` becomes the predicted language, and texts without one go.
+
+    Repeated rows stay as they are; without labelled text no text has a language.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("string")
@@ -245,8 +251,8 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
         return pa.array([x[0] for x in shared.value.predict(text.to_pylist())], pa.string())
 
     language = language.asNondeterministic()  # else the filter and the column would each call it
-    rows = docs.withColumn("__lang", language("text")).where(F.col("__lang") != UNKNOWN)
-    return rows.select(*[F.col("__lang").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), language("text").alias("said")).where(F.col("said") != UNKNOWN)
+    return rows.select(*[F.col("said").alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -377,8 +377,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, report
     Repeated rows are pieces of their own, also in the dealing. An empty table gives an empty result. Sequence
     numbers are unique, not consecutive. ``report`` gets the number of blocks, and of those that evolved.
     """
-    numbered = common.cut(pieces.withColumn("__pid", F.monotonically_increasing_id()), "numbered")
-    now = numbered.select(F.col("__pid").alias("pid"), F.col("length").cast("long").alias("length"))
+    row = F.struct(*[F.col(f"`{c}`") for c in pieces.columns])
+    numbered = common.cut(pieces.select(row.alias("row"), F.monotonically_increasing_id().alias("pid")), "numbered")
+    now = numbered.select("pid", F.col("row.length").cast("long").alias("length"))
     n, done, stage = now.count(), [], 0
     counts = {"blocks": 0, "evolved": 0}
     while n:
@@ -399,10 +400,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, report
         n, stage = now.count(), stage + 1
     if report is not None:
         report.update(counts)
-    places = [out.select(F.col("pid").alias("__pid"), "sequence_id", "offset") for out in done]
+    places = [out.select("pid", "sequence_id", "offset") for out in done]
     if not places:
         return pieces.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).limit(0)
-    return numbered.join(functools.reduce(DataFrame.unionByName, places), "__pid").drop("__pid")
+    return numbered.join(functools.reduce(DataFrame.unionByName, places), "pid").select("row.*", "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, report: dict | None = None) -> DataFrame:

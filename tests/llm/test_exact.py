@@ -283,6 +283,8 @@ def test_document_fingerprints(spark):
         assert int(row["fingerprint"], 16) == term_fingerprint(t) and int(row["edited_fingerprint"], 16) == term_fingerprint(edited)
         assert 0 <= row["near_edited"] <= 1 and 0 <= row["near_next"] <= 1
     assert got[5]["fingerprint"] == got[6]["fingerprint"] and got[5]["near_next"] == 1
+    fps = [int(got[i]["fingerprint"], 16) for i in range(len(texts))]
+    assert [got[i]["n_near"] for i in (0, 1, 26)] == [sum((fps[0] ^ x).bit_count() <= simhash.RADIUS for x in fps) - 1, None, None]
 
 
 def test_document_fingerprints_of_odd_tables(spark):

@@ -103,6 +103,20 @@ def test_labels_of_held_out_documents_teach_nothing(spark):
     assert {r["lang_pred"] for r in got} == {"und"}
 
 
+def test_odd_tables_and_ties(spark):
+    docs = common.documents(spark, DATA)
+    model = langid.fit(docs)
+    assert langid.predict(docs.limit(0), model).count() == 0 and langid.keep_identified(docs.limit(0), model).count() == 0
+    text = docs.first()["text"]
+    rows = spark.createDataFrame([(1, text, "x", "a", 2), (1, text, "x", "a", 2), (None, text, None, "b", 3), (4, None, "x", "c", 4)], "doc_id long, text string, lang string, row string, said int")
+    kept = langid.keep_identified(rows, model).collect()
+    assert sorted((r["doc_id"] or 0, r["row"], r["said"]) for r in kept) == [(0, "b", 3), (1, "a", 2), (1, "a", 2)] and len({r["lang"] for r in kept}) == 1
+    got = langid.predict(rows, model).collect()
+    assert len(got) == 4 and all(0 <= r["score"] <= 1 for r in got)
+    twins = langid.Model({"b": "abc abc", "a": "abc abc"})
+    assert twins.predict(["abc"]) == [("a", 0.0)]
+
+
 # --- passages
 
 
@@ -256,6 +270,15 @@ def test_intervals_by_definition():
         assert v[lo : hi + 1].min() == v[c] and (lo == a or v[lo - 1] < v[c]) and (hi == b - 1 or v[hi + 1] < v[c])
 
 
+def test_passages_of_rows_without_ids(spark):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7)))
+    part = " ".join(word() for _ in range(60))
+    rows = spark.createDataFrame([(None, part + " x"), (7, "y " + part), (7, part), (9, part)], "doc_id long, text string").withColumn("other", F.lit("clash"))
+    got = passages.near_passages(rows).collect()
+    assert len(got) == 4 and all(x["n_passages"] == 1 and x["class_id"] == 7 for x in got)
+
+
 # --- secrets
 
 
@@ -342,6 +365,14 @@ def test_pipeline_stages(spark, staged):
     assert fill[0] <= 4096 and fill[1] <= -(-fill[2] // 4096) + 1
 
 
+def test_pipeline_of_an_empty_table(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.cut(stage(spark, docs, DATA), name)
+        assert docs.count() == 0
+    assert {"doc_id", "sequence_id", "offset"} <= set(docs.columns)
+
+
 def test_pipeline_near_dedup_against_brute_force(spark, staged):
     rows = [(r["doc_id"], fingerprints.simhash(r["text"])) for r in staged[2].collect()]
     rows.sort()
