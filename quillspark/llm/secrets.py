@@ -24,7 +24,7 @@ from quillspark.llm import common
 TOKEN = r"A-Za-z0-9+/_.\-"
 LONG = rf"(?<![{TOKEN}])(?=[A-Za-z+/_.\-]*+[0-9])[{TOKEN}]{{16,}}+={{0,2}}"
 #: What is given to a secret word: the place after an assignment sign is looked for first, and the word before it.
-GIVEN = r"(?<=[=:] {0,2}[\"'`]?)(?<=(?i:secret|token|passw(?:or)?d|pwd|pass|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|apikey)(?:_[A-Za-z]{1,8})?[\"'`]?\]? {0,2}[=:] {0,2}[\"'`]?)[^\s\"'`,;<>(){}\[\]]{8,}+"
+GIVEN = r"(?<=[=: \"'`])(?<=[=:] {0,2}[\"'`]?)(?<=(?i:secret|token|passw(?:or)?d|pwd|pass|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|apikey)(?:_[A-Za-z]{1,8})?[\"'`]?\]? {0,2}[=:] {0,2}[\"'`]?)[^\s\"'`,;<>(){}\[\]]{8,}+"
 CANDIDATE = f"{LONG}|{GIVEN}"
 #: Characters of context before a candidate, score from which it is a secret, trees, their depth.
 CONTEXT, SECRET_FROM, TREES, DEPTH = 40, 0.5, 25, 6
