@@ -225,9 +225,20 @@ def place_tags(text: Column, flavour: str) -> Column:
     return rewrite(text, PLACEMENTS[flavour])
 
 
+def escape_outside_sizes(text: Column) -> Column:
+    """Three entities, but size elements stay elements."""
+    text = escape_xml(text)
+    for tag in ("<large>", "</large>", "<small>", "</small>"):
+        text = F.replace(text, F.lit(f"&lt;{tag[1:-1]}&gt;"), F.lit(tag))
+    return text
+
+
 def unnumbered_pages_tei(text: Column, sentinel: str = "ZZZZ") -> Column:
-    """Pages without numbers: a page break first and at each sentinel, line ends without white space before them."""
-    start = strip_leading_break(text, sentinel, cases=2)
+    """Pages without numbers: a page break first and at each sentinel, line ends without white space before them.
+
+    Signs of XML are escaped, size elements become ``<hi>``.
+    """
+    start = strip_leading_break(escape_outside_sizes(text), sentinel, cases=2)
     lines = F.transform(F.split(F.concat(F.lit("<pb/>\n"), F.replace(start, F.lit(sentinel), F.lit("<pb/>"))), "\n", -1), lambda x: F.regexp_replace(x, r"(?U)\s+$", ""))
     return place_tags(F.array_join(lines, "\n<lb/>"), "pdf")
 

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from quillspark.functions.markup import strip_tags
 from quillspark.functions.ordering import level_of, milestone_id
-from quillspark.operators.joins import ranked
+from quillspark.operators.joins import last_wins, ranked
 
 PRECEDING = (Window.unboundedPreceding, -1)
 
@@ -240,21 +240,38 @@ def place_milestone(page: Column, tag: Column, digits: str = "[༠-༩]+༽", he
     return F.when(rule == 0, page).otherwise(F.concat(F.substr(page, F.lit(1), at - 1), tag, F.substr(page, at))), rule
 
 
+def numbered_pages(docs: DataFrame) -> DataFrame:
+    """``doc_id, vol, seq, pb, page, part``: texts split before each numbered page break; ``pb`` is the break (empty for
+    what is before the first) and ``part`` what follows it.
+    """
+    rows = docs.select("doc_id", "vol", F.posexplode(F.split("text", r'(?=<pb n="\d+"/>)', -1)).alias("seq", "part"))
+    pb = F.regexp_extract("part", r'^<pb n="\d+"/>', 0)
+    return rows.select("doc_id", "vol", "seq", pb.alias("pb"), F.regexp_extract("part", r'^<pb n="(\d+)"/>', 1).try_cast("int").alias("page"), F.substr(F.col("part"), F.length(pb) + 1).alias("part"))
+
+
 def milestones_in_text(docs: DataFrame, boundaries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc_id, vol, text`` with a milestone on each page of the volume's boundary set, and unresolved pages."""
-    parts = F.split("text", r'(?=<pb n="\d+"/>)', -1)
-    rows = docs.select("doc_id", "vol", F.posexplode(parts).alias("seq", "part"))
-    rows = rows.withColumn("page", F.regexp_extract("part", r'^<pb n="(\d+)"/>', 1).try_cast("int"))
-    rows = rows.join(boundaries.select("vol", "page").distinct().withColumn("_due", F.lit(True)), ["vol", "page"], "left")
+    rows = numbered_pages(docs).join(boundaries.select("vol", "page").distinct().withColumn("_due", F.lit(True)), ["vol", "page"], "left")
     tag = F.concat(F.lit('<milestone xml:id="'), milestone_id(F.col("page")), F.lit('" unit="section"/>'))
-    pb = F.regexp_extract("part", r'^<pb n="\d+"/>', 0)
-    placed, rule = place_milestone(F.substr(F.col("part"), F.length(pb) + 1), tag)
-    rows = rows.withColumn("rule", F.when(F.col("_due"), rule)).withColumn("new", F.when(F.col("_due"), F.concat(pb, placed)).otherwise(F.col("part")))
+    placed, rule = place_milestone(F.col("part"), tag)
+    rows = rows.withColumn("rule", F.when(F.col("_due"), rule)).withColumn("new", F.concat("pb", F.when(F.col("_due"), placed).otherwise(F.col("part"))))
     out = rows.groupBy("doc_id", "vol").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "new"))), lambda x: x["new"]), "").alias("text"))
-    unresolved = rows.where("rule = 0").select("doc_id", "vol", "page", F.left(strip_tags(F.substr(F.col("part"), F.length(pb) + 1)), F.lit(200)).alias("preview"))
+    unresolved = rows.where("rule = 0").select("doc_id", "vol", "page", F.left(strip_tags(F.col("part")), F.lit(200)).alias("preview"))
     return out, unresolved
 
 
+def titled(units: DataFrame, titles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``units`` (``ut_id, vol, page`` and more) with the ``title`` that starts on their page, and issues.
+
+    ``titles``: ``vol, page, title, row_idx``; of several at one page the last counts. Without one the unit's id is
+    the title, with an issue.
+    """
+    known = last_wins(titles.select("vol", "page", "title", "row_idx"), ["vol", "page"], "row_idx").select("vol", "page", "title")
+    rows = units.join(known, ["vol", "page"], "left")
+    issues = rows.where("title is null").select(F.col("ut_id").alias("doc_id"), F.lit("MISSING_TITLE").alias("code"), F.concat_ws(":", F.col("vol").cast("string"), F.col("page").cast("string")).alias("detail"))
+    return rows.withColumn("title", F.coalesce("title", "ut_id")).select(*units.columns, "title"), issues
+
+
 def mid_page_start(page: Column, sign: str = "༅") -> Column:
     """Whether the sign is on any line after the first."""
     lines = F.split(page, "\n", -1)

@@ -98,21 +98,7 @@ def q_blank_pages(spark, sf_dir):
 
 @query("""SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INT) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents""")
 def q_line_explode(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-
-
-@query("""WITH l AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line FROM documents)
-SELECT doc_id, string_agg(upper(left(line, 1)) || substr(line, 2), chr(10) ORDER BY i) AS text FROM l GROUP BY doc_id""")
-def q_reassemble(spark, sf_dir):
-    lines = F.transform(F.split("text", "\n", -1), lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.substring(x, 2, 2**30)))
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(lines, "\n").alias("text"))
-
-
-@query("""WITH t AS (SELECT unnest(regexp_extract_all(html, '<([a-z0-9]+)', 1)) AS tag, page_id FROM pages)
-SELECT tag, count(*) AS n, min(page_id) AS first_page, max(page_id) AS last_page FROM t GROUP BY tag""")
-def q_tag_histogram(spark, sf_dir):
-    tags = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<([a-z0-9]+)"), F.lit(1))).alias("tag"))
-    return tags.groupBy("tag").agg(F.count("*").alias("n"), F.min("page_id").alias("first_page"), F.max("page_id").alias("last_page"))
+    return segments.split_pages(table(spark, sf_dir, "documents"), "doc_id", sentinel="\n").toDF("doc_id", "line_no", "line")
 
 
 TIB = "".join(map(chr, range(0x0F20, 0x0F2A)))
@@ -371,13 +357,6 @@ def q_image_ranges(spark, sf_dir):
     return structure.image_ranges(toc, pdfs)
 
 
-@query("""WITH a AS (SELECT o_custkey, count(*) AS n_orders, count(DISTINCT o_orderpriority) AS n_kinds FROM orders GROUP BY o_custkey)
-SELECT o_custkey, n_orders, n_kinds, CASE WHEN n_orders - 1 = n_kinds THEN 'simple' ELSE 'complex' END AS branch FROM a""")
-def q_count_branch(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.countDistinct("o_orderpriority").alias("n_kinds"))
-    return rows.withColumn("branch", F.when(F.col("n_orders") - 1 == F.col("n_kinds"), "simple").otherwise("complex"))
-
-
 @query(r"""WITH p AS (SELECT doc_id, text AS t, string_split(text, chr(10)) AS l FROM documents),
 q AS (SELECT *, strpos(t, regexp_extract(t, '[0-9]+"')) AS one0, strpos(l[2], '@') AS f, list_filter(generate_series(3, len(l)), lambda i: strpos(l[i], '@') > 0) AS later, strpos(t, '#') AS three, regexp_extract(t, '(?:\.[ ]*){3,}') AS dots FROM p),
 s AS (SELECT *, CASE WHEN regexp_matches(t, '[0-9]+"') THEN one0 ELSE 0 END AS one,
@@ -513,12 +492,12 @@ def q_ambiguous_triage(spark, sf_dir):
     return docs.select("doc_id", F.when(title, "title").when(mid, "corrected").otherwise("review").alias("outcome"))
 
 
-@query(f"""WITH {LINES} SELECT doc_id, CAST((i - 1) // 6 AS INT) AS page_no, string_agg(line, chr(10) ORDER BY i) AS page FROM l GROUP BY doc_id, (i - 1) // 6""")
+@query(f"""WITH {LINES} SELECT doc_id, CAST((i - 1) // 6 AS INT) AS seq, CAST((i - 1) // 6 * 6 AS INT) AS page, string_agg(line || CASE WHEN i < n THEN chr(10) ELSE '' END, '' ORDER BY i) AS part FROM l GROUP BY doc_id, (i - 1) // 6""")
 def q_page_split(spark, sf_dir):
-    """A page break before every sixth line, and pages by looking ahead to it, without the break and its newline."""
-    docs = with_lines(spark, sf_dir, lambda x, i: F.when((i > 0) & (i % 6 == 0), F.concat(F.lit('<pb n="'), i.cast("string"), F.lit('"/>'), x)).otherwise(x))
-    pages = docs.select("doc_id", F.posexplode(F.split("content", r'\n(?=<pb n="\d+"/>)', -1)).alias("page_no", "page"))
-    return pages.withColumn("page", F.regexp_replace("page", r'^<pb n="\d+"/>', ""))
+    """A numbered page break before every sixth line; the first page is 0."""
+    docs = with_lines(spark, sf_dir, lambda x, i: F.when(i % 6 == 0, F.concat(F.lit('<pb n="'), i.cast("string"), F.lit('"/>'), x)).otherwise(x))
+    pages = structure.numbered_pages(docs.select("doc_id", F.lit(1).alias("vol"), F.col("content").alias("text")))
+    return pages.select("doc_id", "seq", "page", "part")
 
 
 @query("""SELECT doc_id, 'x<pb/>' || text || '<pb/>' AS text, 'x' || chr(10) || text AS joined FROM documents""")
@@ -528,9 +507,11 @@ def q_pb_and_carriage_returns(spark, sf_dir):
     return docs.select("doc_id", markup.strip_pb_numbers(numbered).alias("text"), markup.strip_leading_break(F.concat(F.lit("\nZZZZ\nx\n"), F.col("text"))).alias("joined"))
 
 
-@query("""WITH r AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k, l_quantity AS q FROM lineitem)
-SELECT l_orderkey, CAST(sum(q) AS BIGINT) AS pages, count(*) AS n_files, max(k) = count(*) AS complete FROM r GROUP BY l_orderkey""")
+@query("""WITH r AS (SELECT o_custkey AS folder, o_orderkey AS ord, CAST(o_orderkey % 30 + 3 - o_orderkey % 3 AS INT) AS n, o_orderkey % 5 = 0 AS is_contents FROM orders),
+s AS (SELECT *, coalesce(CAST(sum(n) OVER w AS BIGINT), 0) AS before, coalesce(CAST(sum(CASE WHEN is_contents THEN 0 ELSE n END) OVER w AS BIGINT), 0) AS pages FROM r WINDOW w AS (PARTITION BY folder ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT folder, ord, 4 + before AS img_start, 3 + before + n AS img_end, CASE WHEN is_contents THEN -1 ELSE 1 + pages END AS page_start, CASE WHEN is_contents THEN -1 ELSE pages + n END AS page_end FROM s""")
 def q_file_counts(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
-    rows = joins.ranked(lines, ["l_linenumber", "l_partkey", "l_suppkey"], ["l_orderkey"], "k")
-    return rows.groupBy("l_orderkey").agg(F.sum("l_quantity").cast("long").alias("pages"), F.count("*").alias("n_files"), (F.max("k") == F.count("*")).alias("complete"))
+    key = F.col("o_orderkey")
+    pdfs = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("folder"), key.alias("ord"), (key % 30 + 3).cast("int").alias("total"), (key % 3).cast("int").alias("blanks"), (key % 5 == 0).alias("is_contents"))
+    ranges = structure.img_and_page_ranges(pdfs, ["folder"], ["ord"])
+    return ranges.select("folder", "ord", *[F.coalesce(F.col(c).cast("long"), F.lit(-1)).alias(c) for c in ("img_start", "img_end", "page_start", "page_end")])

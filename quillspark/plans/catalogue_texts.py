@@ -274,7 +274,7 @@ def q_markup_to_tei(spark, sf_dir):
     return docs.select("doc_id", markup.markup_to_tei(text, (F.col("doc_id") % 5 + 1).cast("int")).alias("body"))
 
 
-@query(rf"""WITH d AS (SELECT doc_id, replace(replace('<pb/>' || chr(10) || replace(replace(text, chr(160), ' '), '.' || chr(10), '.' || chr(10) || 'ZZZZ' || chr(10)), 'ZZZZ', '<pb/>'), chr(10), ' ' || chr(10)) AS t FROM documents)
+@query(rf"""WITH d AS (SELECT doc_id, replace(replace('<pb/>' || chr(10) || replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(160), ' '), '.' || chr(10), '.' || chr(10) || 'ZZZZ' || chr(10)), 'ZZZZ', '<pb/>'), chr(10), ' ' || chr(10)) AS t FROM documents)
 SELECT doc_id, {chain(r"replace(regexp_replace(regexp_replace(t, '\s+\n', chr(10), 'g'), '\s+$', ''), chr(10), chr(10) || '<lb/>')", PLACED)} AS body FROM d WHERE NOT regexp_matches(t, '\n\s*\n')""")
 def q_unnumbered_pages(spark, sf_dir):
     text = F.replace(F.replace(F.replace("text", F.lit(" "), F.lit(" ")), F.lit(".\n"), F.lit(".\nZZZZ\n")), F.lit("\n"), F.lit(" \n"))
@@ -755,3 +755,40 @@ def q_milestones_in_text(spark, sf_dir):
 @query(f"WITH {MARKS} SELECT doc_id, vol, CAST(2 AS INT) AS page, lang AS preview FROM d WHERE vol % 3 = 0")
 def q_milestones_unresolved(spark, sf_dir):
     return milestone_documents(spark, sf_dir)[1]
+
+
+# --- issues
+
+
+@query("""SELECT 'UT' || CAST(doc_id AS VARCHAR) || '_0001' AS doc_id, CASE WHEN doc_id % 4 = 0 THEN 'NO_CONTENT' ELSE 'NO_PAGES' END AS code, 'in/' || CAST(doc_id AS VARCHAR) || '.txt' AS detail FROM documents WHERE doc_id % 4 < 2 AND NOT regexp_matches(text, '\\[[0-9]+[abx]')
+UNION ALL SELECT 'UT' || CAST(doc_id AS VARCHAR) || '_0001', 'NO_CONTENT', 'in/' || CAST(doc_id AS VARCHAR) || '.txt' FROM documents WHERE doc_id % 4 = 0 AND regexp_matches(text, '\\[[0-9]+[abx]')""".replace("\\\\", "\\"))
+def q_source_issues(spark, sf_dir):
+    key = F.col("doc_id") % 4
+    content = F.when(key == 1, F.col("text")).when(key == 2, F.concat(F.lit("x\n [1a] \n"), "text")).when(key == 3, F.concat(F.lit("[12b.1]"), "text"))
+    return tei.source_issues(as_files(table(spark, sf_dir, "documents").withColumn("content", content)), "pages")
+
+
+TITLES = """u AS (SELECT o_orderkey AS k, CAST(o_custkey % 20 AS INT) AS vol, CAST(o_orderkey % 50 AS INT) AS page FROM orders), t AS (SELECT vol, page, arg_max(k, k) AS last FROM u WHERE k % 3 = 0 GROUP BY vol, page)"""
+
+
+def titles_of(spark, sf_dir):
+    key = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(key.cast("string").alias("ut_id"), (F.col("o_custkey") % 20).cast("int").alias("vol"), (key % 50).cast("int").alias("page"), key.alias("row_idx"))
+    return structure.titled(rows.drop("row_idx"), rows.where("row_idx % 3 = 0").withColumn("title", F.concat(F.lit("t"), "ut_id")))
+
+
+@query(f"WITH {TITLES} SELECT CAST(k AS VARCHAR) AS ut_id, u.vol, u.page, coalesce('t' || CAST(last AS VARCHAR), CAST(k AS VARCHAR)) AS title FROM u LEFT JOIN t ON u.vol = t.vol AND u.page = t.page")
+def q_titles(spark, sf_dir):
+    return titles_of(spark, sf_dir)[0]
+
+
+@query(f"WITH {TITLES} SELECT CAST(k AS VARCHAR) AS doc_id, 'MISSING_TITLE' AS code, CAST(u.vol AS VARCHAR) || ':' || CAST(u.page AS VARCHAR) AS detail FROM u LEFT JOIN t ON u.vol = t.vol AND u.page = t.page WHERE last IS NULL")
+def q_missing_titles(spark, sf_dir):
+    return titles_of(spark, sf_dir)[1]
+
+
+@query("""WITH a AS (SELECT n_regionkey AS k, count(*) AS n FROM nation GROUP BY n_regionkey), b AS (SELECT s_nationkey % 6 AS k, count(*) AS n FROM supplier GROUP BY s_nationkey % 6)
+SELECT CAST(coalesce(a.k, b.k) AS VARCHAR) AS doc_id, 'COUNT_MISMATCH' AS code, CAST(coalesce(a.n, 0) AS VARCHAR) || ':' || CAST(coalesce(b.n, 0) AS VARCHAR) AS detail FROM a FULL JOIN b ON a.k = b.k WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""")
+def q_count_mismatches(spark, sf_dir):
+    right = table(spark, sf_dir, "supplier").select((F.col("s_nationkey") % 6).cast("int").alias("k"))
+    return files.count_mismatches(table(spark, sf_dir, "nation").select(F.col("n_regionkey").cast("int").alias("k")), right, "k")

@@ -116,7 +116,8 @@ def sized_text_tei(docs: DataFrame, registry: DataFrame, blanks: DataFrame | Non
 
     Simplify sizes, normalise, look the size set up in ``registry(profile, sizes, ord, classes map)``, mark up,
     drop trailing blank pages (``blanks(doc_id, blanks)``, default 0), number pages through the volume, to TEI.
-    Texts without a profile are skipped with an issue; texts without sizes pass.
+    Texts without a profile are skipped with an issue; texts without sizes pass. ``as_coded`` leaves signs of XML
+    as they are, which ``intended`` escapes.
     """
     ship(docs.sparkSession)
     rows = docs.mapInArrow(_simplify_and_normalize(ra_rule), docs.schema)
@@ -133,12 +134,39 @@ def sized_text_tei(docs: DataFrame, registry: DataFrame, blanks: DataFrame | Non
     found = F.when(F.col("lost"), no_profile).otherwise(F.transform("bad", lambda x: F.struct(F.lit("TRAILING_PAGES").alias("code"), x.alias("detail"))))
     issues = rows.select("doc_id", F.inline(found))
     rows = rows.where("not lost")
+    if mode == "intended":
+        rows = rows.withColumn("text", markup.escape_outside_sizes(F.col("text")))
     pages = F.size(F.split(markup.strip_leading_break(F.col("text")), "ZZZZ", -1))
     rows = rows.withColumn("pages", pages.cast("long"))
     rows = structure.running_start(rows, ["vol"], ["ord"], "pages", F.when(F.col("vol") == 1, 6).otherwise(4), mode)
     return rows.select("doc_id", "vol", "page_start", markup.markup_to_tei(F.col("text"), F.col("page_start").cast("int"), mode=mode).alias("body")), issues
 
 
+def source_issues(files: DataFrame, kind: str) -> DataFrame:
+    """Issues ``doc_id, code, detail`` of marked (``pages``) or divided (``divisions``) texts ``ut_id, path, content``:
+    content that can't be read, and texts without a page or a division.
+    """
+    missing = F.col("content").isNull()
+    pattern = markers.ANY_PAGE if kind == "pages" else markers.ANY_DIVISION
+    code = F.when(missing, "NO_CONTENT").when(~F.col("content").rlike(pattern), "NO_PAGES" if kind == "pages" else "NO_DIVISIONS")
+    return files.select(F.col("ut_id").alias("doc_id"), code.alias("code"), F.col("path").alias("detail")).where("code is not null")
+
+
+def sized_files_tei(files: DataFrame, registry: DataFrame, titles: DataFrame, boundaries: DataFrame, blanks: DataFrame | None = None, **how) -> tuple[DataFrame, DataFrame]:
+    """From ``ie_id, ve_id, ut_id, vol, ord, path, sha256, text`` (size tags and ZZZZ): TEI files, and all issues.
+
+    The chain of ``sized_text_tei``, then milestones on the pages of ``boundaries(vol, page)``, then the title of
+    ``titles(vol, page, title, row_idx)`` at a text's first page.
+    """
+    bodies, issues = sized_text_tei(files.select(F.col("ut_id").alias("doc_id"), "vol", "ord", "text"), registry, blanks, **how)
+    text, unresolved = structure.milestones_in_text(bodies.select("doc_id", "vol", F.col("body").alias("text")), boundaries)
+    named, untitled = structure.titled(bodies.select(F.col("doc_id").alias("ut_id"), "vol", F.col("page_start").cast("int").alias("page")), titles)
+    rows = files.drop("text", "vol").join(named.select("ut_id", "title"), "ut_id").join(text.select(F.col("doc_id").alias("ut_id"), F.col("text").alias("body")), "ut_id")
+    tei = markup.tei_document(F.col("ie_id"), F.col("ve_id"), F.col("ut_id"), F.col("path"), F.col("sha256"), F.col("body"), title=F.col("title"))
+    found = issues.unionByName(untitled).unionByName(unresolved.select("doc_id", F.lit("NO_PLACE_FOR_MILESTONE").alias("code"), F.col("page").cast("string").alias("detail")))
+    return rows.select("ie_id", "ve_id", "ut_id", F.concat(F.lit("archive/"), F.col("ve_id"), F.lit("/"), F.col("ut_id"), F.lit(".xml")).alias("path"), tei.alias("content")), found
+
+
 def job_totals(results: DataFrame) -> DataFrame:
     """``ie_id, success, failed, first_errors`` of ``ie_id, doc_id, ok, error``."""
     w = Window.partitionBy("ie_id", "ok").orderBy("doc_id")

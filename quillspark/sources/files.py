@@ -59,6 +59,13 @@ def side_files(files: DataFrame, suffix: str = ".txt") -> DataFrame:
     return files.where(~F.col("file_name").endswith(suffix) & (F.col("file_name") != ".DS_Store"))
 
 
+def count_mismatches(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
+    """Issues ``doc_id, code, detail`` of groups with other numbers of rows on the two sides (``2:3``)."""
+    counts = [df.groupBy(F.col(by).cast("string").alias("doc_id")).agg(F.count("*").alias(name)) for df, name in ((left, "a"), (right, "b"))]
+    both = counts[0].join(counts[1], "doc_id", "full").fillna(0, ["a", "b"])
+    return both.where("a <> b").select("doc_id", F.lit("COUNT_MISMATCH").alias("code"), F.concat_ws(":", F.col("a").cast("string"), F.col("b").cast("string")).alias("detail"))
+
+
 def digest_or_missing(wanted: DataFrame, files: DataFrame, missing: str = "FILE_NOT_FOUND") -> DataFrame:
     """SHA-256 of each wanted path, or a sentinel."""
     have = files.select("path", F.sha2("content", 256).alias("sha256"))

@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 FOLIO = r"\d+[abx]+"
 PAGE, LINE = rf"(?Us)^\[({FOLIO})\]$", rf"(?Us)^\[({FOLIO})\.(\d+)\](.*)$"
+#: Whether a text has a page, or a division, at all.
+ANY_PAGE, ANY_DIVISION = rf"(?Um)^\s*\[{FOLIO}(?:\.\d+)?\]", r"(?U)#div\d+\s"
 MILESTONE = r"\{(D\d+(?:-\d+)?)\}"
 STRIP = r"(?U)^\s+|\s+$"
 

@@ -1,3 +1,5 @@
+import xml.etree.ElementTree as ET
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -137,3 +139,19 @@ def test_sizes_on_the_first_page(spark):
     text = "<fs:10>\u0f40ZZZZ\u0f41<fs:12>abZZZZ\u0f42<fs:14>\u0f43"
     got = {r["fs"]: (r["cnt"], r["on_first_page"]) for r in segments.size_counts(spark.createDataFrame([("d", text)], "doc string, text string"), "doc").collect()}
     assert got == {10: (2, True), 12: (1, False), 14: (1, False)}
+
+
+def test_sized_files_to_tei(spark):
+    rows = [("IE1", "VE1", "UT1_0001", 1, 1, "a.txt", "00", "<fs:20>\u0f40\u0f0b<fs:30>\u0f41\u0f0bZZZZ\u0f42\u0f08\u0f43\u0f0b"), ("IE1", "VE1", "UT1_0002", 1, 2, "b.txt", "01", "<fs:11>\u0f40\u0f0b"), ("IE1", "VE1", "UT1_0003", 1, 3, "c.txt", "02", "one & twoZZZZthree")]
+    files = spark.createDataFrame(rows, "ie_id string, ve_id string, ut_id string, vol int, ord int, path string, sha256 string, text string")
+    registry = spark.createDataFrame([("profile001", [20, 30], 1, {30: "large"})], "profile string, sizes array<int>, ord int, classes map<int, string>")
+    titles = spark.createDataFrame([(1, 6, "Old", 1), (1, 6, "Title", 2)], "vol int, page int, title string, row_idx int")
+    boundaries = spark.createDataFrame([(1, 7), (1, 8)], "vol int, page int")
+    out, issues = tei.sized_files_tei(files, registry, titles, boundaries)
+    text = {r["ut_id"]: r["content"] for r in out.collect()}
+    assert set(text) == {"UT1_0001", "UT1_0003"}
+    for xml in text.values():
+        ET.fromstring(xml.encode())
+    assert "<title>Title</title>" in text["UT1_0001"] and '<milestone xml:id="P7_B01" unit="section"/>\u0f08' in text["UT1_0001"]
+    assert "<title>UT1_0003</title>" in text["UT1_0003"] and "one &amp; two" in text["UT1_0003"] and '<pb n="9"/>' in text["UT1_0003"]
+    assert {(r["doc_id"], r["code"]) for r in issues.collect()} == {("UT1_0002", "NO_PROFILE"), ("UT1_0003", "MISSING_TITLE"), ("UT1_0003", "NO_PLACE_FOR_MILESTONE")}
