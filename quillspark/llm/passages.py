@@ -74,7 +74,8 @@ def windows(x: np.ndarray, first: np.ndarray, last: np.ndarray, width: int, hash
     kinds, places = [], []
     for k in range(hashes):
         best = sliding_min(value(x, k), width)[valid]
-        c = np.unique((best & _LOW).astype(np.int64)) if len(best) else np.zeros(0, np.int64)
+        c = (best & _LOW).astype(np.int64)  # never moves back
+        c = c[np.flatnonzero(np.append(True, c[1:] != c[:-1]))] if len(c) else c
         kinds.append(np.full(len(c), k, np.int8))
         places.append(c)
     return np.concatenate(kinds), np.concatenate(places)
@@ -381,13 +382,13 @@ class Reaches:
         known = np.isin(self.root[lo:hi], tree)
         part = self.root[lo:hi]
         part[known] = tree[lab[np.searchsorted(tree, part[known])]]
-        whole, first = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1, return_index=True)
+        whole, first = np.unique(np.minimum(x, y) * np.int64(len(tree)) + np.maximum(x, y), return_index=True)
         for k in first[spanning(whole, len(tree))]:
             self.links.append((i[k], j[k]))
 
 
 def spanning(pairs: np.ndarray, n: int) -> np.ndarray:
-    """Of links between n trees those that a forest needs."""
+    """Of links x * n + y between n trees those that a forest needs."""
     up = list(range(n))
 
     def find(z):
@@ -397,8 +398,8 @@ def spanning(pairs: np.ndarray, n: int) -> np.ndarray:
         return z
 
     out = []
-    for k, (x, y) in enumerate(pairs.T.tolist()):
-        x, y = find(x), find(y)
+    for k, pair in enumerate(pairs.tolist()):
+        x, y = find(pair // n), find(pair % n)
         if x != y:
             up[y] = x
             out.append(k)
@@ -476,7 +477,8 @@ def meeting(row: np.ndarray, token: np.ndarray, root: np.ndarray, uid: np.ndarra
         a, b = common.cross_segments(own[at:to], np.ones(to - at, np.int64), first[at:to], n[at:to])
         i, j = row[a], row[b]
         apart = (root[i] != root[j]) & (uid[i] != uid[j])
-        yield np.unique(np.stack((np.minimum(i, j)[apart], np.maximum(i, j)[apart])), axis=1)
+        i, j = i[apart], j[apart]
+        yield np.divmod(np.unique(np.minimum(i, j) * np.int64(len(root)) + np.maximum(i, j)), len(root))
         at = to
 
 
@@ -525,7 +527,7 @@ def compare(uid: np.ndarray, rows: np.ndarray, start: np.ndarray, end: np.ndarra
             continue
         r, token = rare_tokens(rows[s:e], width, need)
         for pairs in meeting(r, token, out.root[s:e], uid[s:e]):
-            i, j = pairs + s
+            i, j = pairs[0] + s, pairs[1] + s
             ok = meets(i, j)
             i, j = i[ok], j[ok]
             for at in range(0, len(i), 1 << 14):
@@ -568,6 +570,8 @@ def linked(width: int, need: int):
 def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: float = SIMILARITY, hashes: int = HASHES, crowd: int = CROWD) -> DataFrame:
     """Per row of ``docs``: passages of at least ``least_words`` words that nearly repeat in another document.
 
+    Equal texts are one in the search, and of documents that have one text all of it is a passage.
+
     ``doc_id, n_words, n_dup_words, n_passages, class_id, passages array<struct<from, to>>`` (words, from 0,
     to exclusive; maximal after union). ``class_id``: the smallest doc_id reachable over verified passages,
     itself included. Null and short texts have none. Rows that repeat id and text share one result and
@@ -578,17 +582,19 @@ def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: f
     spark = docs.sparkSession
     common.bounded_batches(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
-    base = base.withColumn("uid", F.xxhash64("doc_id", "text"))
+    base = base.withColumn("uid", F.xxhash64("text"))
     texts = base.where(F.octet_length("text") >= 2 * least_words - 1).select("uid", "text")
     every = common.cut(base.select("doc_id", "uid", F.regexp_count("text", F.lit("[^ \t\n\u000b\f\r]+")).alias("n_words")), "ids")
-    if every.groupBy("uid").count().where("count > 1").limit(1).count():
-        texts = texts.dropDuplicates(["uid"])
+    rows = every.groupBy("uid").agg(F.count("*").alias("size"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("doc_id").alias("named"), F.first("n_words").alias("n"))
+    several = (F.col("least") < F.col("most")) | ((F.col("named") > 0) & (F.col("named") < F.col("size")))
+    rows = common.cut(rows.select("uid", "size", "least", (F.coalesce(several, F.lit(False)) & (F.col("n") >= least_words)).alias("copied"), "n"), "texts")
+    single = texts.dropDuplicates(["uid"]) if rows.where("size > 1").limit(1).count() else texts
     width = least_words - SHINGLE + 1
     need = int(np.ceil(width * 2 * similarity / (1 + similarity) - 1e-9))
     n_parts = common.shuffle_parts(spark)
     thin = texts.mapInArrow(thin_windows(width, hashes), THIN).repartition(n_parts, "route").sortWithinPartitions("route")
     asked = thin.mapInArrow(shared_only, "uid long, at int").groupBy("uid").agg(F.collect_list("at").alias("ats"))  # a text's own windows
-    found = common.cut(texts.join(asked, "uid").select("uid", "text", "ats").mapInArrow(holders(width, hashes), HOLDERS), "holders")
+    found = common.cut(single.join(asked, "uid").select("uid", "text", "ats").mapInArrow(holders(width, hashes), HOLDERS), "holders")
     held = found.where("key is not null").select("key", "uid", "places", "span", "around")
     crowded = common.cut(held.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("key", F.ceil(F.col("n") / crowd).cast("int").alias("n")), "crowded")
     placed = held.join(common.small(crowded), "key", "left")
@@ -599,11 +605,12 @@ def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: f
     met = placed.repartition(n_parts, "key", "tile").sortWithinPartitions("key", "tile", "side", "span", "uid")
     links = met.mapInArrow(linked(width, need), HOLDERS).unionByName(found.where("key is null")).select("uid", "other", "from", "to").distinct()
     verified = common.cut(links, "verified")
+    for table in (found, crowded):
+        common.drop_cut(table)
     comp = common.components(verified.select(F.col("uid").alias("u"), F.col("other").alias("v")))
     spans = verified.where("`to` > `from`").groupBy("uid").agg(F.collect_set(F.struct("from", "to")).alias("spans"))  # a text's own passages
-    ids = every.select("uid", "doc_id").join(comp, F.col("uid") == F.col("node")).select("uid", "doc_id", "root")
-    named = ids.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("size"))
-    classes = common.spread_join(comp, named, ["root"], "size").select(F.col("node").alias("uid"), "class_id")
+    named = comp.join(rows.select(F.col("uid").alias("node"), "least"), "node").groupBy("root").agg(F.min("least").alias("class_id"), F.count("*").alias("members"))
+    classes = common.spread_join(comp, named, ["root"], "members").select(F.col("node").alias("uid"), "class_id")
 
     @F.arrow_udf("array<struct<`from`: int, `to`: int>>")
     def union(spans: pa.Array) -> pa.Array:
@@ -621,7 +628,10 @@ def near_passages(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: f
             out.append([{"from": a, "to": b} for a, b in whole])
         return pa.array(out, pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])))
 
-    out = every.join(spans, "uid", "left").join(classes, "uid", "left").withColumn("passages", union("spans"))
+    found = rows.join(spans, "uid", "left").join(classes, "uid", "left")
+    whole = F.array(F.struct(F.lit(0).alias("from"), F.col("n").cast("int").alias("to")))
+    found = found.withColumn("passages", F.when(F.col("copied"), whole).otherwise(union("spans"))).withColumn("class_id", F.coalesce("class_id", F.when(F.col("copied"), F.col("least"))))
+    out = common.spread_join(every, found.select("uid", "size", "passages", "class_id"), ["uid"], "size")
     dup = F.aggregate("passages", F.lit(0), lambda n, p: n + p["to"] - p["from"])
     return out.select("doc_id", F.col("n_words").cast("long").alias("n_words"), dup.cast("long").alias("n_dup_words"), F.size("passages").cast("long").alias("n_passages"), F.coalesce("class_id", "doc_id").alias("class_id"), "passages")
 
