@@ -231,6 +231,7 @@ def near_components(fps: DataFrame, crowd: int | None = None, blocks: tuple | No
     placed = rows.select("key", F.explode(tiles).alias("tile"), "replica", "fp")
     met = placed.repartition(common.shuffle_parts(fps.sparkSession), "key", "tile").sortWithinPartitions("key", "tile", "replica")
     linked = common.components(met.mapInArrow(links, "u long, v long"))
+    common.drop_cut(crowded)
     linked = common.cut(linked.join(distinct, linked["node"] == distinct["fp"]).select("fp", "root", "first"), "linked")
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n"))
     named = common.spread_join(linked, least, ["root"], "n").select("fp", "component_id")

@@ -393,6 +393,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, report
         if hopeful:
             settled = settled.unionByName(evolved(bins.where("open").drop("bin", "open"), capacity))
         out = common.cut(settle(settled, capacity, stage, blocks > 1), "packed")
+        common.drop_cut(bins)
         done.append(out.where("settled"))
         if blocks == 1:
             break

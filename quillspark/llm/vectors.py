@@ -196,7 +196,8 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93, crowd: int = CROWD) -
     parts = common.shuffle_parts(spark)
     entries = code.select("cid", "label", "dim", "code", F.posexplode("sub").alias("t", "s")).select("cid", "code", "t", F.xxhash64("label", "dim", "t", "s").alias("key"))
     filled = entries.groupBy("key").agg(F.count("*").alias("count")).where("count > 1").select("key", F.ceil(F.col("count") / crowd).cast("int").alias("n"))
-    placed = entries.join(common.cut(filled, "entries"), "key")
+    filled = common.cut(filled, "entries")
+    placed = entries.join(filled, "key")
     own = F.pmod(F.xxhash64("cid"), F.col("n")).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.struct((F.least(own, j) * F.col("n") + F.greatest(own, j)).alias("tile"), F.when(own == j, 2).when(own < j, 0).otherwise(1).cast("byte").alias("side")))
     placed = placed.select("key", "t", F.inline(tiles), "cid", "code")
@@ -215,6 +216,8 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93, crowd: int = CROWD) -
             yield from compared(table, kind, width, threshold, shared.value)
 
     found = common.cut(fetched.mapInArrow(compare, "u long, v long, links long"), "links")
+    for table in (code, filled, asked):
+        common.drop_cut(table)
     comp = common.components(found.where("u <> v").select("u", "v"))
     least = comp.join(classes.select(F.col("cid").alias("node"), "first"), "node")
     least = common.cut(least, "members")
