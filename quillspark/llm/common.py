@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -132,5 +134,14 @@ def union_find(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return lab
 
 
+def release() -> None:
+    """Give free memory back to the system: workers live on, and what they hold at most would add up over stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))

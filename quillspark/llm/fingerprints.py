@@ -64,6 +64,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for batch in batches:
             fp = np.array([simhash(x.as_py()) for x in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+        common.release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(work, "doc_id long, fp long")
 

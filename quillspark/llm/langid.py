@@ -85,14 +85,26 @@ class Table:
         target = np.array([t for e in nxt for t in e.values()], np.int32) * 2
         self.root = np.ones(self.width, np.int32)
         self.root[column[state == 0]] = target[state == 0] | 1
-        self.steps = self.keys = None
-        key = state * self.width + column
+        self.steps = None
+        self.states = len(nxt)
+        key = (state * self.width + column)[state > 0]
+        by = np.argsort(key)
+        self.keys, self.targets = key[by], target[state > 0][by]
+        self.fill()
+
+    def fill(self) -> None:
+        """The dense table of a small alphabet."""
         if self.width <= DENSE:
-            self.steps = np.tile(self.root, len(nxt))
-            self.steps[key[state > 0]] = target[state > 0]
-        else:
-            by = np.argsort(key[state > 0])
-            self.keys, self.targets = key[state > 0][by], target[state > 0][by]
+            self.steps = np.tile(self.root, self.states)
+            self.steps[self.keys] = self.targets
+
+    def __getstate__(self):
+        """Dense tables don't travel; a worker fills its own."""
+        return self.__dict__ | {"steps": None}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.fill()
 
     def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
         if self.steps is not None:
@@ -233,6 +245,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         for batch in batches:
             got = m.predict(batch.column(2).to_pylist())
+            common.release()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("text"))
@@ -248,7 +261,9 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.arrow_udf("string")
     def language(text: pa.Array) -> pa.Array:
-        return pa.array([x[0] for x in shared.value.predict(text.to_pylist())], pa.string())
+        said = [x[0] for x in shared.value.predict(text.to_pylist())]
+        common.release()
+        return pa.array(said, pa.string())
 
     language = language.asNondeterministic()  # else the filter and the column would each call it
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), language("text").alias("said")).where(F.col("said") != UNKNOWN)

@@ -172,6 +172,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY,
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
         finally:  # workers outlive the task, and their words would add up
             encoder.forget()
+            common.release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(work, PIECES)
 
