@@ -85,6 +85,7 @@ def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool
                 raw = enc.decode_bytes(ids.tolist())
                 row = [len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(raw).hexdigest(), raw == text.encode()]
                 rows.append(row + [ids.astype(np.int32), raw] * with_ids)
+            common.release()
             cols = list(zip(*rows)) if rows else [[]] * (4 + 2 * with_ids)
             kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(list(c), t) for c, t in zip(cols, kinds)], names)

@@ -23,6 +23,8 @@ from quillspark.llm import common
 
 #: Bounds of the fit: documents and characters per language, characters in all (of which each language may have DOC_CHARS at least), characters of a document (from a hashed offset).
 SAMPLE_DOCS, SAMPLE_CHARS, TOTAL_CHARS, DOC_CHARS = 300, 60_000, 400_000, 2_000
+#: Parts in which a language's texts are ranked first.
+SALTS = 64
 #: Columns of the widest dense table; languages with more characters have sorted transitions.
 DENSE = 96
 #: Bits of a character that a sample lacks.
@@ -224,7 +226,9 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAM
     part = F.col("text").substr(at.cast("int"), F.lit(DOC_CHARS))
     h = F.xxhash64(F.lit(1), "text")
     ids = labelled(docs).where(part.rlike(r"\p{L}")).select("lang", h.alias("h")).distinct()
-    top = ids.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= sample_docs)  # each task keeps its least hashes only
+    top = ids.withColumn("salt", F.pmod("h", F.lit(SALTS)))
+    for by in (["lang", "salt"], ["lang"]):  # a language's least hashes are among those of its parts
+        top = top.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).where(F.col("k") <= sample_docs)
     last = top.groupBy("lang").agg(F.max("h").alias("last"))  # a row per language
     chosen = labelled(docs).select("lang", h.alias("h"), part.alias("part")).join(F.broadcast(last), "lang").where("h <= last")
     texts: dict[str, list[str]] = {}
