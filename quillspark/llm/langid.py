@@ -92,22 +92,17 @@ class Table:
         key = (state * self.width + column)[state > 0]
         by = np.argsort(key)
         self.keys, self.targets = key[by], target[state > 0][by]
-        self.fill()
 
     def fill(self) -> None:
-        """The dense table of a small alphabet."""
-        if self.width <= DENSE:
+        """The dense table of a small alphabet, at the first use: the driver, which only learns, has none."""
+        if self.steps is None and self.width <= DENSE:
             self.steps = np.tile(self.root, self.states)
             self.steps[self.keys] = self.targets
 
     def __getstate__(self):
-        """Dense tables don't travel; a worker fills its own."""
+        """Dense tables don't travel."""
         return self.__dict__ | {"steps": None}
 
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self.fill()
-
     def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
         if self.steps is not None:
             return np.take(self.steps, state * self.width + column)
@@ -152,6 +147,7 @@ class Model:
             lanes[: size[k], k] = pieces[j]
         live = np.searchsorted(-size, -np.arange(SEGMENT), side="left")  # lanes longer than step
         for g, (steps, columns) in enumerate(zip(self.tables, self.columns)):
+            steps.fill()
             state, begun, absent = (np.zeros(len(pieces), np.int32) for _ in range(3))
             other = steps.width - 1
             for t in range(int(size[0])):
@@ -235,7 +231,9 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAM
     for r in chosen.select("lang", "part").distinct().orderBy("lang", F.xxhash64("part"), "part").collect():
         texts.setdefault(r["lang"], []).append(letters_only(r["part"]))
     size = min(sample_chars, max(DOC_CHARS, TOTAL_CHARS // max(1, len(texts))))
-    return Model({k: " ".join(x for x in v if x)[:size] for k, v in texts.items()})
+    model = Model({k: " ".join(x for x in v if x)[:size] for k, v in texts.items()})
+    common.release()  # the automata were built in the driver
+    return model
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -23,6 +23,8 @@ from quillspark.operators import joins
 
 #: Lines of the shortest run whose later copies go.
 MIN_LINES = 2
+#: Rows that one task can take, whatever their class: fewer aren't spread.
+FEW = 100_000
 BLANK = " \t\r\f\v"
 
 
@@ -40,11 +42,13 @@ def intervals(docs: DataFrame, min_lines: int = MIN_LINES) -> list[tuple[int, Da
     """
     base = docs.select("doc", "tie", F.posexplode(digests()).alias("p", "x")).select("doc", "tie", "p", F.col("x.a").alias("r1"), F.col("x.b").alias("r2"))
 
-    def ranked(rows: DataFrame) -> DataFrame:
-        """Classes are summed up before rows meet them; rows of a class that many have are spread."""
+    def ranked(rows: DataFrame, most: int | None = None) -> DataFrame:
+        """Classes are summed up before rows meet them; rows of a class that many have are spread. ``most``: a bound
+        of the rows, if one is known.
+        """
         classes = rows.groupBy("r1", "r2").agg(F.min(F.struct("doc", "tie", "p")).alias("first"), F.count("*").alias("n")).where("n > 1")
         classes = joins.ranked(classes, ["r1", "r2"], [], "rank")
-        out = common.spread_join(rows, classes, ["r1", "r2"], "n")
+        out = common.spread_join(rows, classes, ["r1", "r2"], "n", total=most) if most is None or most > FEW else rows.join(classes, ["r1", "r2"])
         return out.select("doc", "tie", "p", "rank", (F.col("first") != F.struct("doc", "tie", "p")).alias("later"))
 
     def paired(rows: DataFrame, step: int) -> DataFrame:
@@ -54,14 +58,13 @@ def intervals(docs: DataFrame, min_lines: int = MIN_LINES) -> list[tuple[int, Da
         return left.join(right, same).select("a.doc", "a.tie", "a.p", F.col("a.rank").alias("r1"), F.col("b.rank").alias("r2"))
 
     now, length, found = common.cut(ranked(base), "ranks"), 1, []
-    while True:
+    while (n := now.count()):
         if length >= min_lines:
             found.append((length, now))
         step = length if length >= min_lines or 2 * length <= min_lines else min_lines - length
-        now = common.cut(ranked(paired(now, step)), "ranks")
-        if not now.limit(1).count():
-            return found
+        now = common.cut(ranked(paired(now, step), n), "ranks")
         length += step
+    return found
 
 
 def later_starts(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
