@@ -13,6 +13,8 @@ from quillspark.functions.ordering import level_of, milestone_id
 from quillspark.operators.joins import last_wins, ranked
 
 PRECEDING = (Window.unboundedPreceding, -1)
+#: Rows of one stretch of a table that is numbered over all rows.
+STRETCH = 1 << 16
 
 
 def numeric(text: Column | str) -> Column:
@@ -22,16 +24,19 @@ def numeric(text: Column | str) -> Column:
 def boundary_pages(outline: DataFrame, order: str = "row_idx", by: list[str] | None = None) -> DataFrame:
     """Rows whose end volume and page are the next row's start, after rows with other than numbers are gone.
 
-    Without ``by`` the next row may be any: rows are then numbered by range partitions and joined to the
-    number after, so that no task gets them all.
+    Without ``by`` the next row may be any: rows are then numbered by range partitions and meet the next one in
+    stretches of ``STRETCH`` numbers, to which the first row of the stretch after goes too; so no task gets them all,
+    and no table of all rows is broadcast.
     """
     rows = outline.select("*", *[numeric(c).alias(f"_{c}") for c in ("vol_start", "vol_end", "img_start", "img_end")])
     rows = rows.where(reduce(lambda a, b: a & b, [F.col(f"_{c}").isNotNull() for c in ("vol_start", "vol_end", "img_start", "img_end")]))
     if not by:
-        rows = ranked(rows, [order], [], "_n")
-        after = rows.select((F.col("_n") - 1).alias("_n"), F.col("_vol_start").alias("_v"), F.col("_img_start").alias("_i"))
-        rows = rows.join(after, "_n")
-        return rows.where("_vol_end = _v and _img_end = _i").select(F.col("_vol_end").alias("vol"), F.col("_img_end").alias("page")).distinct()
+        rows = ranked(rows.select(order, "_vol_start", "_vol_end", "_img_start", "_img_end"), [order], [], "_n")
+        own = F.shiftright(F.col("_n"), STRETCH.bit_length() - 1)
+        first = F.col("_n") % STRETCH == 0
+        rows = rows.withColumn("_own", own).withColumn("_part", F.explode(F.when(first, F.array(own, own - 1)).otherwise(F.array(own))))
+        rows = rows.withColumn("_next", F.lead(F.struct("_vol_start", "_img_start")).over(Window.partitionBy("_part").orderBy("_n"))).where("_own = _part")
+        return rows.where("_vol_end = _next._vol_start and _img_end = _next._img_start").select(F.col("_vol_end").alias("vol"), F.col("_img_end").alias("page")).distinct()
     w = Window.partitionBy(*by).orderBy(order)
     hit = (F.col("_vol_end") == F.lead("_vol_start").over(w)) & (F.col("_img_end") == F.lead("_img_start").over(w))
     return rows.withColumn("_hit", hit).where("_hit").select(F.col("_vol_end").alias("vol"), F.col("_img_end").alias("page")).distinct()
