@@ -122,7 +122,7 @@ def sized_text_tei(docs: DataFrame, registry: DataFrame, blanks: DataFrame | Non
     ship(docs.sparkSession)
     rows = docs.mapInArrow(_simplify_and_normalize(ra_rule), docs.schema)
     rows = rows.withColumn("sizes", segments.size_set(F.col("text")))
-    rows = segments.match_profiles(rows, registry).join(registry.select("profile", "classes"), "profile", "left")
+    rows = segments.match_profiles(rows, registry).join(F.broadcast(registry.select("profile", "classes")), "profile", "left")  # as there
     lost = (F.size("sizes") > 0) & F.col("profile").isNull()
     rows = rows.withColumn("lost", lost).withColumn("text", segments.apply_size_markup(F.col("text"), F.coalesce("classes", F.create_map().cast("map<int, string>"))))
     if blanks is not None:
