@@ -101,13 +101,52 @@ def is_tibetan_punctuation(char: Column) -> Column:
 
 
 def ascii_signs(text: Column) -> Column:
-    """Sorted distinct printable ASCII characters beyond those of markup."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(r"[!-~&&[^<>/=\"]]"), F.lit(0))))
+    """Sorted distinct printable ASCII characters beyond those of markup: a set in Python, where an expression would
+    make an array of every character.
+    """
+
+    @F.arrow_udf("array<string>")
+    def signs(x: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else sorted(_PRINTABLE.intersection(v)) for v in x.to_pylist()], pa.list_(pa.string()))
+
+    return signs(text)
 
 
 def suspicious_contexts(text: Column, near: int = 15) -> Column:
     """Digits, periods and capitals before a vowel sign, with up to ``near`` characters on either side."""
-    return F.regexp_extract_all(text, F.lit(f".{{0,{near}}}[0-9.A-Z]{VOWEL}.{{0,{near}}}"), F.lit(0))
+
+    @F.arrow_udf("array<string>")
+    def contexts(x: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else contexts_of(v, near) for v in x.to_pylist()], pa.list_(pa.string()))
+
+    return contexts(text)
+
+
+_PRINTABLE = frozenset(map(chr, range(0x21, 0x7F))) - set('<>/="')
+_SUSPICIOUS = re.compile(f"[0-9.A-Z]{VOWEL}")
+_LINE_END = re.compile("[\n\r\u0085\u2028\u2029]")
+
+
+def contexts_of(text: str, near: int) -> list[str]:
+    """The matches of ``.{0,near}`` pair ``.{0,near}``, by the places of the pairs: the pattern itself would look at
+    every character ``near`` times.
+    """
+    found, out, at, k = [m.start() for m in _SUSPICIOUS.finditer(text)], [], 0, 0
+    while k < len(found):
+        first = found[k]
+        start = max(at, first - near)
+        for m in _LINE_END.finditer(text, start, first):
+            start = m.end()
+        end_of_line = _LINE_END.search(text, first, first + 2 * near + 3)
+        stop = end_of_line.start() if end_of_line else len(text)
+        while k + 1 < len(found) and found[k + 1] <= min(start + near, stop - 1):
+            k += 1
+        at = min(found[k] + 2 + near, stop)
+        out.append(text[start:at])
+        k += 1
+        while k < len(found) and found[k] < at:
+            k += 1
+    return out
 
 
 def comparable_lines(text: Column) -> Column:
@@ -166,28 +205,30 @@ ANNOTATIONS = [
     (r"\[([^\[\]]*[\u0f00-\u0fff][^\[\]]*)\]", '<unclear reason="illegible">{0}</unclear>'),
 ]
 _ENTITIES = {ord(c): f"&{name};" for c, name in (("&", "amp"), ("<", "lt"), (">", "gt"), ('"', "quot"), ("'", "apos"))}
+_SIGNS = re.compile("[&<>\"']")
 
 
 def annotated(text: str) -> str:
     """One text with its inline marks as TEI, without ``#`` and with single spaces."""
     for pattern, to in ANNOTATIONS:
-        text = re.sub(pattern, lambda m, to=to: to.format(*(g.translate(_ENTITIES) for g in m.groups())), text)
-    return re.sub(" {2,}", " ", text.replace("#", ""))
+        if pattern[1] in text:
+            text = re.sub(pattern, lambda m, to=to: to.format(*(g.translate(_ENTITIES) if _SIGNS.search(g) else g for g in m.groups())), text)
+    text = text.replace("#", "")
+    return re.sub(" {2,}", " ", text) if "  " in text else text
 
 
 def annotations(text: Column) -> Column:
     """Inline marks to TEI: milestones, variants, corrections (split at the last comma), unclear passages.
 
-    What a mark holds is escaped while it is replaced, so texts with a mark go through Python, others not.
+    What a mark holds is escaped while it is replaced, so texts go through Python: all of them, as asking first whether
+    they hold a mark would make each text twice.
     """
 
     @F.arrow_udf("string")
     def marks(x: pa.Array) -> pa.Array:
         return pa.array([None if v is None else annotated(v) for v in x.to_pylist()], pa.string())
 
-    marked = text.rlike(r"[{(\[]")
-    plain = rewrite(text, [("#", ""), (" {2,}", " ")])
-    return F.when(marked, marks(F.when(marked, text))).otherwise(plain)
+    return marks(text)
 
 
 def lines_to_lb(text: Column) -> Column:
@@ -345,4 +386,4 @@ def line_markup(content: Column, ra_rule: str = "C") -> Column:
     text = F.coalesce(content, F.lit(""))
     special = text.rlike(r"[^\x00-\x7F]|[{(\[]")
     plain = rewrite(plain_text(text), [("#", ""), (" {2,}", " "), (r"^[ \n]+|[ \n]+$", "")])
-    return F.when(special, marked(F.when(special, text))).otherwise(plain)
+    return F.coalesce(marked(F.when(special, text)), plain)
