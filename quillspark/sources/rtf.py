@@ -25,6 +25,8 @@ TOKEN = re.compile(r"(?P<open>\{)|(?P<close>\})|\\(?P<word>[A-Za-z]+)(?P<n>-?\d+
 SKIPPED = {"fonttbl", "colortbl", "stylesheet", "info", "listtable", "listoverridetable", "mmathPr", "footer", "header"}
 BLOCKS = {"footnote", "header", "footer", "pict"}
 BREAKS = {"par": "par_break", "line": "line_break", "cell": "cell_break", "row": "row_break"}
+#: Runs and characters of them in one batch that a parser's worker returns.
+OUT_ROWS, OUT_CHARS = 5000, 4 << 20
 COMPLEX = re.compile(r"\\panose[^}]*\}Dedris", re.S)
 
 
@@ -232,31 +234,56 @@ def _parse_simple(data: str, fonts: dict[int, str], dialect: str) -> Iterator[tu
     return iter(out)
 
 
+def batches_of(files: Iterator[tuple], dialect: str) -> Iterator[pa.RecordBatch]:
+    """Runs of ``(key, bytes)`` one file after another, in batches of bounded size however many runs there are."""
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.struct([("id", pa.int32()), ("name", pa.string()), ("size", pa.int32())]), pa.int32(), pa.int32()]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows)) if rows else [[]] * 7
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], ["doc_id", "seq", "type", "text", "font", "char_start", "char_end"])
+
+    rows, held = [], 0
+    for doc, raw in files:
+        for seq, (kind, text, fid, name, size, a, b) in enumerate(parse((raw or b"").decode("utf-8", "ignore"), dialect)):
+            rows.append((doc, seq, kind, text, None if fid is None else {"id": fid, "name": name, "size": size}, a, b))
+            held += len(text or "")
+            if len(rows) >= OUT_ROWS or held >= OUT_CHARS:
+                yield batch(rows)
+                rows, held = [], 0
+    yield batch(rows)
+
+
 def runs(files: DataFrame, dialect: str = "v3", key: str = "path") -> DataFrame:
     """Runs of every file of ``key, content`` (binary); bytes that are not UTF-8 vanish. Null content has none."""
     ship(files.sparkSession)
 
     def work(batches):
-        for batch in batches:
-            rows = []
-            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for seq, (kind, text, fid, name, size, a, b) in enumerate(parse((raw or b"").decode("utf-8", "ignore"), dialect)):
-                    rows.append((doc, seq, kind, text, None if fid is None else {"id": fid, "name": name, "size": size}, a, b))
-            cols = list(zip(*rows)) if rows else [[]] * 7
-            kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.struct([("id", pa.int32()), ("name", pa.string()), ("size", pa.int32())]), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], ["doc_id", "seq", "type", "text", "font", "char_start", "char_end"])
+        yield from batches_of(((doc.as_py(), raw.as_py()) for batch in batches for doc, raw in zip(batch.column(0), batch.column(1))), dialect)
 
     return files.select(F.col(key).cast("string"), F.col("content").cast("binary")).mapInArrow(work, RUNS)
 
 
+def longest_first(table: dict[str, str]) -> str:
+    """A pattern for the sequences of a table, one group, that takes the longest; by first characters, so that few are
+    tried at a place. Empty if there are none.
+    """
+    rest: dict[str, list[str]] = {}
+    for key in sorted((k for k in table if k), key=len, reverse=True):
+        rest.setdefault(key[0], []).append(key[1:])
+    alone = "".join(re.escape(c) for c, r in rest.items() if r == [""])
+    more = [f"{re.escape(c)}(?:{'|'.join(map(re.escape, r))})" for c, r in rest.items() if r != [""]]
+    return f"({'|'.join(([f'[{alone}]'] if alone else []) + more)})" if rest else ""
+
+
 def decode_runs(rows: DataFrame, table: dict[str, dict[str, str]], legacy: str = "Dedris") -> DataFrame:
     """Runs in a legacy font to Unicode by a table font -> longest sequence -> text; others as they are.
 
     ``table`` is the user's (a few thousand entries). Stray system fonts count as the first legacy font.
-    ``decoded`` is false where a font of the family is not in the table, and the text stays.
+    ``decoded`` is false where a font of the family is not in the table, and the text stays. ``unknown`` names each
+    character of a run that the font's table lacks once.
     """
     ship(rows.sparkSession)
-    longest = {f: max(map(len, t), default=1) for f, t in table.items()}
+    known = {f: longest_first(t) for f, t in table.items()}
 
     def name_of(font: str) -> str | None:
         if font.lower() in ("simsun", "@simsun", "simsun western"):
@@ -269,18 +296,10 @@ def decode_runs(rows: DataFrame, table: dict[str, dict[str, str]], legacy: str =
             return text, True, []
         if f not in table:
             return text, False, []
-        out, unknown, i = [], [], 0
-        while i < len(text):
-            for k in range(min(longest[f], len(text) - i), 0, -1):
-                if (hit := table[f].get(text[i : i + k])) is not None:
-                    out.append(hit)
-                    i += k
-                    break
-            else:
-                out.append(text[i])
-                unknown.append(text[i])
-                i += 1
-        return "".join(out), True, unknown
+        parts = re.split(known[f], text) if known[f] else [text]
+        unknown = set().union(*parts[::2])
+        parts[1::2] = map(table[f].__getitem__, parts[1::2])
+        return "".join(parts), True, sorted(unknown)
 
     @F.arrow_udf("struct<text: string, decoded: boolean, unknown: array<string>>")
     def decoded(text: pa.Array, font: pa.Array) -> pa.Array:
@@ -299,13 +318,18 @@ def decode_stats(rows: DataFrame, legacy: str = "Dedris", samples: int = 50) ->
     """
     family = F.col("font.name").startswith(legacy) | F.lower("font.name").isin("simsun", "@simsun", "simsun western")
     kind = F.when(~family, "other").when(F.col("decoded"), "handled").otherwise("unhandled")
-    some = rows.where("font is not null and text is not null").select(F.col("font.name").alias("font"), kind.alias("kind"), "doc_id", "seq", "source_text", "unknown")
-    odd = (F.col("kind") == "other") & F.col("source_text").rlike(r"[0-9{}.,;:!?@#$%^&*()\[\]<>]")
-    placed = some.withColumn("_k", F.row_number().over(Window.partitionBy("font", odd).orderBy("doc_id", "seq")))
-    sample = F.collect_list(F.when(odd & (F.col("_k") <= samples), F.struct("doc_id", "seq", F.left("source_text", F.lit(50)).alias("text"))))
-    signs = some.select("font", "kind", F.explode("unknown").alias("c")).distinct().groupBy("font", "kind").agg(F.array_sort(F.collect_list(F.struct(F.ascii("c").alias("code"), F.col("c").alias("char")))).alias("unknown"))
-    facts = placed.groupBy("font", "kind").agg(F.count("*").alias("n_runs"), F.sum(F.length("source_text")).alias("n_chars"), F.transform(F.array_sort(sample), lambda x: x["text"]).alias("samples"))
-    return facts.join(signs, ["font", "kind"], "left").select("font", "kind", "n_runs", "n_chars", F.coalesce("unknown", F.array().cast("array<struct<code: int, char: string>>")).alias("unknown"), "samples")
+    some = rows.where("font is not null and source_text is not null").select(F.col("font.name").alias("font"), kind.alias("kind"), "doc_id", "seq", "source_text", "unknown")
+    # a run counts in its row without a character, so runs are decoded once and grouped by font and character at once
+    chars = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(F.array_distinct("unknown"), F.array().cast("array<string>")))
+    counted = some.select("font", "kind", F.length("source_text").alias("n"), F.explode(chars).alias("c")).groupBy("font", "kind", "c").agg(F.count("*").alias("n_runs"), F.sum("n").alias("n_chars"))
+    whole = F.col("c").isNull()
+    signs = F.collect_list(F.when(~whole, F.struct(F.ascii("c").alias("code"), F.col("c").alias("char"))))
+    facts = counted.groupBy("font", "kind").agg(F.max(F.when(whole, F.col("n_runs"))).alias("n_runs"), F.max(F.when(whole, F.col("n_chars"))).alias("n_chars"), F.array_sort(signs).alias("unknown"))
+    # the first runs of a font are picked in each partition before they meet; texts don't travel whole
+    odd = rows.where("font is not null").where(~family & F.col("source_text").rlike(r"[0-9{}.,;:!?@#$%^&*()\[\]<>]")).select(F.col("font.name").alias("font"), F.lit("other").alias("kind"), "doc_id", "seq", F.left("source_text", F.lit(50)).alias("text"))
+    placed = odd.withColumn("_k", F.row_number().over(Window.partitionBy("font").orderBy("doc_id", "seq"))).where(F.col("_k") <= samples)
+    sample = placed.groupBy("font", "kind").agg(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "seq", "text"))), lambda x: x["text"]).alias("samples"))
+    return facts.join(sample, ["font", "kind"], "left").select("font", "kind", "n_runs", "n_chars", "unknown", F.coalesce("samples", F.array().cast("array<string>")).alias("samples"))
 
 
 def stats_text(stats: DataFrame) -> DataFrame:
