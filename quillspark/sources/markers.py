@@ -52,7 +52,7 @@ def pages(lines: DataFrame) -> DataFrame:
 def split_divs(docs: DataFrame) -> DataFrame:
     """``doc_id, seq, line``: every ``#div`` at the start of a line of its own, what is before it trimmed at the right."""
     text = F.regexp_replace("content", r"(?m)^[^\S\n]+(?=#div)", "")
-    text = F.regexp_replace(text, r"[^\S\n]*(?<!^|\n)(?=#div)", "\n")
+    text = F.regexp_replace(text, r"[^\S\n]*(?=#div)(?<!^|\n)", "\n")
     return docs.select("doc_id", F.posexplode(F.split(text, "\n", -1)).alias("seq", "line"))
 
 
